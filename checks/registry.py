@@ -1,0 +1,593 @@
+"""Every query by name, with the SQL whose result it must equal."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks import inputs
+from checks.inputs import as_sql, derive
+from siltstone import session
+from siltstone.plans import calls, commerce, gold, reports, silver
+from siltstone.sources import partitions, relational, text
+from siltstone.sources.catalog import read_named
+
+BASE_URL = "https://media.example/medias/"
+RUN_STAMP = "2024-03-01_00-00-00"
+REWRITTEN_DAY = date(2024, 1, 2)
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    """Register a query under its function's name."""
+
+    def register(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return zoneless(fn(session.pin_utc(spark), sf_dir))
+
+        QUERIES[fn.__name__] = run
+        if sql is not None:
+            ORACLE[fn.__name__] = sql
+        return fn
+
+    return register
+
+
+def zoneless(df: DataFrame) -> DataFrame:
+    """Timestamps as UTC wall-clock time, the type the given tables use."""
+    stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+
+
+def rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Means of doubles depend on summing order in the last digits."""
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+# Silver
+
+SQL_EVENTS = as_sql(inputs.EVENTS)
+SQL_SILVER_EVENTS = f"""(
+SELECT event_key, visitor_key, media_id, media_url, percent_viewed, ip, country,
+       TRY_CAST(received_at AS TIMESTAMP) AS received_at,
+       TRY_CAST(pipeline_ingested_at_utc AS TIMESTAMP) AS pipeline_ingested_at_utc,
+       ingested_date
+FROM {SQL_EVENTS})"""
+
+
+def _silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.events(derive(spark, sf_dir, inputs.EVENTS))
+
+
+@query(f"SELECT * FROM {SQL_SILVER_EVENTS}")
+def silver_events(spark, sf_dir):
+    return _silver_events(spark, sf_dir)
+
+
+SQL_SILVER_MEDIA = f"""(
+SELECT hashed_id, name, TRY_CAST(created AS TIMESTAMP) AS created,
+       CASE WHEN updated LIKE '%+02:00'
+            THEN CAST(replace(updated, '+02:00', '') AS TIMESTAMP) - INTERVAL 2 HOUR
+            ELSE CAST(updated AS TIMESTAMP) END AS updated,
+       CASE archived WHEN 'true' THEN true WHEN '1' THEN true WHEN 'false' THEN false END AS archived,
+       TRY_CAST(duration AS DOUBLE) AS duration, TRY_CAST(progress AS DOUBLE) AS progress,
+       TRY_CAST(pipeline_ingested_at_utc AS TIMESTAMP) AS pipeline_ingested_at_utc,
+       CAST(coalesce(lower(name) LIKE '%facebook%', false) AS INTEGER) AS facebook,
+       CAST(coalesce(lower(name) LIKE '%youtube%', false) AS INTEGER) AS youtube
+FROM {as_sql(inputs.MEDIA_DETAILS)})"""
+
+
+@query(f"SELECT * FROM {SQL_SILVER_MEDIA}")
+def silver_media_details(spark, sf_dir):
+    return silver.media_details(derive(spark, sf_dir, inputs.MEDIA_DETAILS))
+
+
+SQL_SILVER_STATS = f"""(
+SELECT pipeline_media_id AS media_id, load_count, play_count, play_rate, hours_watched,
+       engagement, visitors,
+       TRY_CAST(pipeline_ingested_at_utc AS TIMESTAMP) AS pipeline_ingested_at_utc
+FROM {as_sql(inputs.MEDIA_STATS)})"""
+
+
+@query(f"SELECT * FROM {SQL_SILVER_STATS}")
+def silver_media_stats(spark, sf_dir):
+    return silver.media_stats(derive(spark, sf_dir, inputs.MEDIA_STATS))
+
+
+@query(
+    f"""SELECT visitor_key, load_count, play_count,
+           TRY_CAST(created_at AS TIMESTAMP) AS created_at,
+           TRY_CAST(last_active_at AS TIMESTAMP) AS last_active_at,
+           TRY_CAST(pipeline_ingested_at_utc AS TIMESTAMP) AS pipeline_ingested_at_utc
+    FROM {as_sql(inputs.VISITORS)}"""
+)
+def silver_visitors(spark, sf_dir):
+    return silver.visitors(derive(spark, sf_dir, inputs.VISITORS))
+
+
+# Gold
+
+SQL_ORDER = "coalesce(received_at, TIMESTAMP '9999-12-31'), event_key"
+SQL_DIM_VISITOR = f"""
+SELECT visitor_key AS visitor_id,
+       first(ip ORDER BY {SQL_ORDER}) FILTER (ip IS NOT NULL) AS ip,
+       first(country ORDER BY {SQL_ORDER}) FILTER (country IS NOT NULL) AS country
+FROM {SQL_SILVER_EVENTS} WHERE visitor_key IS NOT NULL GROUP BY visitor_key"""
+
+
+@query(SQL_DIM_VISITOR)
+def gold_dim_visitor(spark, sf_dir):
+    return gold.dim_visitor(_silver_events(spark, sf_dir))
+
+
+@query(SQL_DIM_VISITOR)
+def gold_dim_visitor_by_date(spark, sf_dir):
+    """The same dimension, merged from one batch of rows per date."""
+    events = _silver_events(spark, sf_dir)
+    path = session.scratch_path(spark, "visitor_first_seen")
+    batches = gold.visitor_first_seen(events, "ingested_date")
+    partitions.write_dates(batches, path)
+    return gold.merge_first_seen(partitions.read_table(spark, path))
+
+
+@query(f"SELECT * FROM {SQL_SILVER_STATS}")
+def gold_fact_media(spark, sf_dir):
+    return gold.fact_media(silver.media_stats(derive(spark, sf_dir, inputs.MEDIA_STATS)))
+
+
+def _sql_fact_visitor(visitors: str) -> str:
+    return f"""
+    SELECT e.visitor_key AS visitor_id, event_key AS event_id, percent_viewed,
+           load_count, play_count, pipeline_ingested_at_utc
+    FROM {SQL_SILVER_EVENTS} e LEFT JOIN
+         (SELECT visitor_key, load_count, play_count FROM {visitors}) v
+         ON e.visitor_key = v.visitor_key"""
+
+
+@query(_sql_fact_visitor(as_sql(inputs.VISITORS)))
+def gold_fact_visitor(spark, sf_dir):
+    visitors = silver.visitors(derive(spark, sf_dir, inputs.VISITORS))
+    return gold.fact_visitor(_silver_events(spark, sf_dir), visitors)
+
+
+@query(_sql_fact_visitor(as_sql(inputs.VISITORS_REPEATED)))
+def gold_fact_visitor_fanout(spark, sf_dir):
+    visitors = derive(spark, sf_dir, inputs.VISITORS_REPEATED)
+    return gold.fact_visitor(_silver_events(spark, sf_dir), visitors)
+
+
+@query(
+    f"""SELECT m.hashed_id AS media_id, m.* EXCLUDE (hashed_id),
+           CASE WHEN u.url IS NULL OR trim(u.url) = '' THEN '{BASE_URL}' || m.hashed_id
+                ELSE u.url END AS url
+    FROM {SQL_SILVER_MEDIA} m LEFT JOIN (
+        SELECT media_id, first(media_url ORDER BY {SQL_ORDER}) AS url
+        FROM {SQL_SILVER_EVENTS} WHERE media_url IS NOT NULL GROUP BY media_id) u
+    ON m.hashed_id = u.media_id"""
+)
+def gold_media_details(spark, sf_dir):
+    media = silver.media_details(derive(spark, sf_dir, inputs.MEDIA_DETAILS))
+    return gold.media_details(media, _silver_events(spark, sf_dir), BASE_URL)
+
+
+# Reading and writing
+
+
+@query(
+    f"""SELECT event_key, visitor_key, received_at, ingested_date,
+           CASE WHEN ingested_date = DATE '{REWRITTEN_DAY}' THEN 0.0 ELSE percent_viewed END
+               AS percent_viewed
+    FROM {SQL_SILVER_EVENTS}
+    WHERE ingested_date <> DATE '{REWRITTEN_DAY}' OR visitor_key IS NOT NULL"""
+)
+def partition_overwrite_roundtrip(spark, sf_dir):
+    """Every date is written, one of them again with other rows, then all are read."""
+    root = session.scratch_path(spark, "events")
+    columns = ["event_key", "visitor_key", "received_at", "percent_viewed", "ingested_date"]
+    partitions.write_dates(_silver_events(spark, sf_dir).select(*columns), root)
+    day = partitions.read_partition(spark, root, REWRITTEN_DAY)
+    rewritten = session.stage(
+        day.where("visitor_key IS NOT NULL").withColumn("percent_viewed", F.lit(0.0)), "day"
+    )
+    partitions.write_partition(rewritten.df, root, REWRITTEN_DAY)
+    return partitions.read_table(spark, root).select(*columns)
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus <> 'P'")
+def table_overwrite_roundtrip(spark, sf_dir):
+    """A whole table is written, then replaced by other rows."""
+    root = session.scratch_path(spark, "orders")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    partitions.write_table(orders, root)
+    partitions.write_table(orders.where("o_orderstatus <> 'P'"), root)
+    return partitions.read_table(spark, root)
+
+
+@query("SELECT * FROM customer")
+def csv_roundtrip(spark, sf_dir):
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    path = text.write_csv(customer, session.scratch_path(spark, "customer"))
+    return text.read_csv(spark, path, customer.schema)
+
+
+@query(
+    """SELECT 'customer' AS "table", 'ok' AS status, count(*) AS rows, false AS has_error FROM customer
+    UNION ALL SELECT 'orders', 'ok', count(*), false FROM orders
+    UNION ALL SELECT 'no_such_table', 'failed', NULL, true
+    UNION ALL SELECT 'lineitem', 'ok', count(*), false FROM lineitem"""
+)
+def ingest_status(spark, sf_dir):
+    """Tables are copied one by one; the one that cannot be read does not stop the rest."""
+    status = relational.extract_tables(
+        spark,
+        ["customer", "orders", "no_such_table", "lineitem"],
+        lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"),
+        session.scratch_path(spark, "bronze"),
+        raise_on_failure=False,
+    )
+    return status.select("table", "status", "rows", F.col("error").isNotNull().alias("has_error"))
+
+
+@query("SELECT * FROM lineitem")
+def catalog_scan(spark, sf_dir):
+    """A table by its name in the catalog."""
+    spark.read.parquet(f"{sf_dir}/lineitem.parquet").createOrReplaceTempView("named_lineitem")
+    return read_named(spark, "named_lineitem")
+
+
+# Scheduled calls
+
+SQL_USED_ORDERS = """(
+SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'
+  AND NOT (o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P'))"""
+SQL_CALLS = f"""(
+SELECT 'call-' || o_orderkey AS event_id, 'type-' || o_orderpriority AS event_type,
+       strftime(o_orderdate, '%Y-%m-%dT09:00:00Z') AS start_time,
+       CASE o_orderpriority WHEN '1-URGENT' THEN '' END AS end_time,
+       CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'active' ELSE 'canceled' END AS status,
+       CASE o_orderstatus WHEN 'F' THEN 'c' || o_custkey || '@x.example' WHEN 'P' THEN 'N/A' END
+           AS invitee_email
+FROM {SQL_USED_ORDERS}
+UNION ALL
+SELECT 'next-' || o_orderkey, '', '', '', 'N/A', 'N/A' FROM {SQL_USED_ORDERS})"""
+
+
+def _call_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, inputs.CALL_PAGES)
+
+
+@query(f"SELECT * FROM {SQL_CALLS}")
+def calls_flatten(spark, sf_dir):
+    return calls.flatten_calls(_call_pages(spark, sf_dir))
+
+
+@query(
+    """SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'refused'
+                WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'unreadable'
+                ELSE 'used' END AS outcome, count(*) AS pages
+    FROM orders GROUP BY 1"""
+)
+def calls_page_outcomes(spark, sf_dir):
+    return calls.page_outcomes(_call_pages(spark, sf_dir))
+
+
+@query(
+    """SELECT 'type-' || p_partkey AS uri FROM part WHERE p_brand <> 'Brand#7'
+    UNION ALL SELECT p_name FROM part WHERE p_brand <> 'Brand#7'"""
+)
+def calls_event_types(spark, sf_dir):
+    return calls.identifiers(derive(spark, sf_dir, inputs.TYPE_PAGES))
+
+
+@query(
+    """SELECT c_name AS event_type,
+           CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN ''
+                WHEN c_mktsegment <> 'FURNITURE' THEN 'org-' || c_mktsegment END AS organization
+    FROM customer WHERE c_acctbal >= 0"""
+)
+def calls_organizations(spark, sf_dir):
+    return calls.organizations(derive(spark, sf_dir, inputs.ORGANIZATION_PAGES))
+
+
+SQL_RATE = f"""
+SELECT '{RUN_STAMP}' AS "timestamp", count(*) AS total_scheduled_calls,
+       count(*) FILTER (status = 'completed') AS completed_calls,
+       round_even(count(*) FILTER (status = 'completed') / count(*) * 100, 2)
+           AS completed_calls_percentage
+FROM {SQL_CALLS}"""
+
+
+@query(SQL_RATE)
+def calls_completion_rate(spark, sf_dir):
+    return calls.completion_rate(calls.flatten_calls(_call_pages(spark, sf_dir)), RUN_STAMP)
+
+
+CSV_CALLS = T.StructType([T.StructField(f[0], T.StringType()) for f in calls.CALL_FIELDS])
+CSV_RATE = T.StructType(
+    [
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("total_scheduled_calls", T.LongType()),
+        T.StructField("completed_calls", T.LongType()),
+        T.StructField("completed_calls_percentage", T.DoubleType()),
+    ]
+)
+
+
+@query(
+    f"""SELECT event_id, nullif(event_type, '') AS event_type, nullif(start_time, '') AS start_time,
+           nullif(end_time, '') AS end_time, status, invitee_email FROM {SQL_CALLS}"""
+)
+def calls_export(spark, sf_dir):
+    """The calls as read back from the CSV export, where empty text and NULL are one."""
+    root = session.scratch_path(spark, "calls")
+    written = calls.export_calls(_call_pages(spark, sf_dir), root, RUN_STAMP)
+    return text.read_csv(spark, written.calls, CSV_CALLS)
+
+
+@query(SQL_RATE)
+def calls_export_metrics(spark, sf_dir):
+    """The completion rate as read back from the CSV export."""
+    root = session.scratch_path(spark, "calls")
+    written = calls.export_calls(_call_pages(spark, sf_dir), root, RUN_STAMP)
+    return text.read_csv(spark, written.metrics, CSV_RATE)
+
+
+# Customer lifetime value
+
+SQL_CLV_TOTALS = """(
+SELECT o_custkey AS customer_id, c_mktsegment AS currency,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend,
+       count(DISTINCT o_orderkey) AS total_orders,
+       date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))
+           AS customer_lifespan_days
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
+SQL_CLV = f"""(
+SELECT customer_id, total_spend, total_spend / total_orders AS avg_order_value, total_orders,
+       CAST(customer_lifespan_days AS INTEGER) AS customer_lifespan_days,
+       CASE WHEN total_orders > 1
+            THEN customer_lifespan_days / CAST(total_orders - 1 AS DOUBLE) END
+           AS avg_days_between_orders,
+       currency,
+       CASE WHEN total_spend >= (SELECT quantile_cont(total_spend, 2.0 / 3) FROM {SQL_CLV_TOTALS})
+            THEN 'High'
+            WHEN total_spend >= (SELECT quantile_cont(total_spend, 1.0 / 3) FROM {SQL_CLV_TOTALS})
+            THEN 'Medium' ELSE 'Low' END AS clv_segment
+FROM {SQL_CLV_TOTALS})"""
+
+
+def _clv_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return (
+        derive(spark, sf_dir, inputs.CLV_ORDERS),
+        derive(spark, sf_dir, inputs.CLV_CUSTOMERS),
+    )
+
+
+def _clv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return commerce.customer_lifetime_value(*_clv_inputs(spark, sf_dir))
+
+
+@query(f"SELECT * FROM {SQL_CLV}")
+def clv_table(spark, sf_dir):
+    return _clv(spark, sf_dir)
+
+
+@query(
+    f"""SELECT count(*) AS total_customers, round(sum(total_spend), 2) AS total_revenue,
+           round(avg(avg_order_value), 4) AS avg_order_value,
+           round(avg(customer_lifespan_days), 4) AS avg_customer_lifespan_days
+    FROM {SQL_CLV}"""
+)
+def clv_kpis(spark, sf_dir):
+    # No segment is asked for, so none is computed.
+    kpis = reports.clv_kpis(commerce.customer_totals(*_clv_inputs(spark, sf_dir)))
+    return rounded(kpis, total_revenue=2, avg_order_value=4, avg_customer_lifespan_days=4)
+
+
+@query(f'SELECT clv_segment, count(*) AS "count" FROM {SQL_CLV} GROUP BY 1')
+def clv_segment_counts(spark, sf_dir):
+    return reports.clv_segment_counts(_clv(spark, sf_dir))
+
+
+@query(
+    f"""SELECT clv_segment, round(avg(total_spend), 4) AS avg_spend,
+           round(avg(total_orders), 4) AS avg_orders,
+           round(avg(avg_days_between_orders), 4) AS avg_days
+    FROM {SQL_CLV} GROUP BY 1"""
+)
+def clv_segment_means(spark, sf_dir):
+    means = reports.clv_segment_means(_clv(spark, sf_dir))
+    return rounded(means, avg_spend=4, avg_orders=4, avg_days=4)
+
+
+@query(
+    f"""SELECT currency, round(sum(total_spend), 2) AS total_revenue
+    FROM {SQL_CLV} WHERE currency IS NOT NULL GROUP BY 1"""
+)
+def clv_revenue_by_currency(spark, sf_dir):
+    totals = commerce.customer_totals(*_clv_inputs(spark, sf_dir))
+    return rounded(reports.clv_revenue_by_currency(totals), total_revenue=2)
+
+
+@query(f"SELECT DISTINCT clv_segment FROM {SQL_CLV}")
+def clv_segments(spark, sf_dir):
+    return reports.clv_segments(_clv(spark, sf_dir))
+
+
+@query(f"SELECT * FROM {SQL_CLV} WHERE clv_segment IN ('High', 'Low') OR clv_segment IS NULL")
+def clv_filtered(spark, sf_dir):
+    return reports.clv_filtered(_clv(spark, sf_dir), ["High", "Low", None])
+
+
+# Item options
+
+SQL_OPTIONS = """(
+SELECT p_name AS item_name, p_brand AS option_name,
+       CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_added_count,
+       CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_removed_count
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
+SQL_CLEAN = f"""(
+SELECT item_name, option_name,
+       CAST(trunc(CASE WHEN total_added_count IS NULL OR total_added_count IN ('x', 'nan', '1d') THEN 0
+                       ELSE CAST(trim(total_added_count) AS DOUBLE) END) AS BIGINT) AS total_added_count,
+       CAST(total_removed_count AS BIGINT) AS total_removed_count
+FROM {as_sql(inputs.ITEM_OPTIONS_TEXT, item_options=SQL_OPTIONS)})"""
+
+
+def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return commerce.item_options(
+        derive(spark, sf_dir, inputs.OPTION_LINES), derive(spark, sf_dir, inputs.MENU)
+    )
+
+
+def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messy = derive(
+        spark, sf_dir, inputs.ITEM_OPTIONS_TEXT, item_options=_options(spark, sf_dir)
+    )
+    return reports.item_options_clean(messy)
+
+
+def _clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written first, as choosing the default item reads it a second time."""
+    return session.stage(_clean(spark, sf_dir), "item_options").df
+
+
+@query(f"SELECT * FROM {SQL_OPTIONS}")
+def item_options_table(spark, sf_dir):
+    return _options(spark, sf_dir)
+
+
+@query(f"SELECT * FROM {SQL_CLEAN}")
+def item_options_clean(spark, sf_dir):
+    return _clean(spark, sf_dir)
+
+
+@query(
+    f"""SELECT count(DISTINCT item_name) AS total_menu_items,
+           count(DISTINCT option_name) AS total_option_types,
+           CAST(sum(total_added_count) AS BIGINT) AS total_options_added
+    FROM {SQL_CLEAN}"""
+)
+def item_options_kpis(spark, sf_dir):
+    return reports.item_options_kpis(_clean(spark, sf_dir))
+
+
+@query(f"SELECT DISTINCT item_name FROM {SQL_CLEAN} WHERE item_name IS NOT NULL")
+def item_names(spark, sf_dir):
+    return reports.item_names(_clean(spark, sf_dir))
+
+
+SQL_FIRST_ITEM = f"item_name = (SELECT min(item_name) FROM {SQL_CLEAN})"
+
+
+@query(f"SELECT * FROM {SQL_CLEAN} WHERE {SQL_FIRST_ITEM}")
+def item_options_for_item(spark, sf_dir):
+    return reports.item_options_for_item(_clean_table(spark, sf_dir))
+
+
+@query(
+    f"""SELECT item_name, option_name, total_added_count FROM {SQL_CLEAN}
+    WHERE {SQL_FIRST_ITEM} ORDER BY total_added_count DESC, option_name LIMIT 10"""
+)
+def item_top_added(spark, sf_dir):
+    return reports.item_top_added(_clean_table(spark, sf_dir))
+
+
+@query(
+    f"""SELECT item_name, option_name, total_removed_count FROM {SQL_CLEAN}
+    WHERE {SQL_FIRST_ITEM} ORDER BY total_removed_count DESC, option_name LIMIT 10"""
+)
+def item_top_removed(spark, sf_dir):
+    return reports.item_top_removed(_clean_table(spark, sf_dir))
+
+
+def _sql_options_top(count: str) -> str:
+    return f"""SELECT option_name, CAST(sum({count}) AS BIGINT) AS {count} FROM {SQL_CLEAN}
+    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+
+
+@query(_sql_options_top("total_added_count"))
+def options_top_added(spark, sf_dir):
+    return reports.options_top_added(_clean(spark, sf_dir))
+
+
+@query(_sql_options_top("total_removed_count"))
+def options_top_removed(spark, sf_dir):
+    return reports.options_top_removed(_clean(spark, sf_dir))
+
+
+# Top performing locations
+
+SQL_LOCATIONS = f"""(
+SELECT CAST(rank() OVER (PARTITION BY currency ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank,
+       restaurant_id, currency, total_revenue, total_revenue / total_orders AS avg_order_value,
+       total_orders, total_orders / CAST(days AS DOUBLE) AS avg_daily_orders,
+       total_orders / CAST(weeks AS DOUBLE) AS avg_weekly_orders
+FROM (SELECT l.restaurant_id, currency, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+             count(DISTINCT l.order_id) AS total_orders, count(DISTINCT order_date) AS days,
+             count(DISTINCT date_trunc('week', order_date)) AS weeks
+      FROM {as_sql(inputs.ORDER_LINES)} l
+      JOIN {as_sql(inputs.ORDER_DATES)} o ON l.order_id = o.order_id
+      JOIN {as_sql(inputs.RESTAURANTS)} r ON l.restaurant_id = r.restaurant_id
+      GROUP BY 1, 2))"""
+SQL_FIRST_CURRENCY = f"currency = (SELECT min(r_name) FROM {as_sql('SELECT * FROM region')})"
+
+
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return commerce.top_performing_locations(
+        derive(spark, sf_dir, inputs.ORDER_LINES),
+        derive(spark, sf_dir, inputs.ORDER_DATES),
+        derive(spark, sf_dir, inputs.RESTAURANTS),
+    )
+
+
+@query(f"SELECT * FROM {SQL_LOCATIONS}")
+def locations_table(spark, sf_dir):
+    return _locations(spark, sf_dir)
+
+
+@query(f"SELECT DISTINCT currency FROM {SQL_LOCATIONS}")
+def location_currencies(spark, sf_dir):
+    return reports.location_currencies(_locations(spark, sf_dir))
+
+
+@query(
+    f"""SELECT count(*) AS total_restaurants, round(sum(total_revenue), 2) AS total_revenue,
+           round(avg(avg_order_value), 4) AS avg_order_value,
+           round(avg(avg_daily_orders), 6) AS avg_daily_orders
+    FROM {SQL_LOCATIONS} WHERE {SQL_FIRST_CURRENCY}"""
+)
+def locations_kpis(spark, sf_dir):
+    kpis = reports.locations_kpis(_locations(spark, sf_dir))
+    return rounded(kpis, total_revenue=2, avg_order_value=4, avg_daily_orders=6)
+
+
+@query(
+    f"""SELECT revenue_rank, restaurant_id, total_revenue, avg_order_value, avg_daily_orders
+    FROM {SQL_LOCATIONS} WHERE {SQL_FIRST_CURRENCY} ORDER BY revenue_rank, restaurant_id LIMIT 10"""
+)
+def locations_top10(spark, sf_dir):
+    return reports.locations_top10(_locations(spark, sf_dir))
+
+
+@query(
+    f"""SELECT restaurant_id, avg_order_value, total_revenue, total_orders
+    FROM {SQL_LOCATIONS} WHERE {SQL_FIRST_CURRENCY}"""
+)
+def locations_scatter(spark, sf_dir):
+    return reports.locations_scatter(_locations(spark, sf_dir))
+
+
+@query(
+    f"""SELECT revenue_rank, restaurant_id, total_revenue, avg_order_value, total_orders,
+           avg_daily_orders, avg_weekly_orders
+    FROM {SQL_LOCATIONS} WHERE currency = 'ASIA'"""
+)
+def locations_ranking(spark, sf_dir):
+    return reports.locations_ranking(_locations(spark, sf_dir), "ASIA")

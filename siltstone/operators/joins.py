@@ -35,10 +35,6 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
     return [row[0] for row in top.select(key).collect()]
 
 
-def _bucket(columns: list[Column]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(SPREAD)).cast("int")
-
-
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -49,48 +45,53 @@ def left_join(
 ) -> DataFrame:
     """left LEFT JOIN right USING (key), with the fan-out of repeated right keys.
 
-    Left rows with a NULL key match nothing; they get a salt from spread_by instead of
-    all hashing to one task. A key that is hot on the left only is split at run time by
+    Both sides carry a second join column, a hash of the key, which only a spread key
+    varies. (A constant would be folded away and leave the key alone to partition by.)
+
+    Left rows with a NULL key match nothing; theirs is a hash of spread_by, so they do not
+    all go to one task. A key that is hot on the left only is split at run time by
     Spark's own skew handling, which may cut the left side of a left join. A key that is
     hot on the right cannot be cut that way, so its rows are salted here and its left
     rows repeated once per salt.
     """
     hot = [] if unique_right else heavy_keys(right, key, hot_rows)
     k = F.col(key)
-    null_salt = _bucket([F.col(spread_by)])
+    plain = F.xxhash64(k)
+    keyless = F.xxhash64(F.col(spread_by))
     if not hot:
-        salted = left.withColumn(SALT, F.when(k.isNull(), null_salt).otherwise(0))
-        return salted.join(right.withColumn(SALT, F.lit(0)), [key, SALT], "left").drop(SALT)
+        salted = left.withColumn(SALT, F.when(k.isNull(), keyless).otherwise(plain))
+        return salted.join(right.withColumn(SALT, plain), [key, SALT], "left").drop(SALT)
 
-    every_salt = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    every_salt = F.transform(
+        F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda salt: F.xxhash64(k, salt)
+    )
     salts = (
-        F.when(k.isNull(), F.array(null_salt))
+        F.when(k.isNull(), F.array(keyless))
         .when(k.isin(hot), every_salt)
-        .otherwise(F.array(F.lit(0)))
+        .otherwise(F.array(plain))
     )
-    columns = right.columns
-    cold = right.where(~k.isin(hot)).withColumns({SALT: F.lit(0), COPIES: F.lit(1)})
+    cold = right.where(~k.isin(hot)).withColumns({SALT: plain, COPIES: F.lit(1)})
+    spread = _spread_hot(right.where(k.isin(hot)), key)
     joined = left.withColumn(SALT, F.explode(salts)).join(
-        cold.unionByName(_spread_hot(right.where(k.isin(hot)), columns)), [key, SALT], "left"
+        cold.unionByName(spread), [key, SALT], "left"
     )
     # A hot key has right rows under some salts for certain, so a repeat that met none is
     # not an unmatched row but a surplus one.
     matched = F.col(COPIES).isNotNull()
     surplus = ~matched & F.coalesce(k.isin(hot), F.lit(False))
     repeat = F.sequence(F.lit(1), F.coalesce(F.col(COPIES), F.lit(1)))
-    return (
-        joined.where(~surplus)
-        .withColumn(COPIES, F.explode(repeat))
-        .drop(SALT, COPIES)
-    )
+    return joined.where(~surplus).withColumn(COPIES, F.explode(repeat)).drop(SALT, COPIES)
 
 
-def _spread_hot(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _spread_hot(rows: DataFrame, key: str) -> DataFrame:
     """Hot rows with equal ones counted, long counts cut, and a salt on each piece."""
+    columns = [F.col(c) for c in rows.columns]
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
     pieces = F.ceil(F.col("__rows") / COPIES_PER_ROW).cast("bigint")
     cut = counted.withColumn("__piece", F.explode(F.sequence(F.lit(1).cast("bigint"), pieces)))
     before = (F.col("__piece") - 1) * COPIES_PER_ROW
     copies = F.least(F.lit(COPIES_PER_ROW), F.col("__rows") - before).cast("int")
-    salt = _bucket([F.col(c) for c in columns] + [F.col("__piece")])
-    return cut.withColumns({SALT: salt, COPIES: copies}).drop("__rows", "__piece")
+    salt = F.pmod(F.xxhash64(*columns, F.col("__piece")), F.lit(SPREAD)).cast("int")
+    return cut.withColumns({SALT: F.xxhash64(F.col(key), salt), COPIES: copies}).drop(
+        "__rows", "__piece"
+    )

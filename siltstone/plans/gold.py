@@ -24,18 +24,20 @@ def dim_visitor(events: DataFrame) -> DataFrame:
     return rename(known, "visitor_key", "visitor_id")
 
 
-def visitor_first_seen(events: DataFrame) -> DataFrame:
-    """What one batch of events says of each visitor: earliest value and its place in order.
+def visitor_first_seen(events: DataFrame, *batch: str) -> DataFrame:
+    """What a batch of events says of each visitor: earliest value and its place in order.
 
     A day's batch reduces to one row per visitor of that day. Keeping these rows lets
-    the dimension be rebuilt from them instead of from all events ever received.
+    the dimension be rebuilt from them instead of from all events ever received. The
+    events may hold several batches, told apart by the batch columns.
     """
     order = event_order("received_at", "event_key")
     aggregates = []
     for c in VISITOR_ATTRIBUTES:
         aggregates.append(first_known(c, order).alias(c))
         aggregates.append(F.min(F.when(F.col(c).isNotNull(), order)).alias(f"{c}_order"))
-    return events.where(F.col("visitor_key").isNotNull()).groupBy("visitor_key").agg(*aggregates)
+    known = events.where(F.col("visitor_key").isNotNull())
+    return known.groupBy("visitor_key", *batch).agg(*aggregates)
 
 
 def merge_first_seen(batches: DataFrame) -> DataFrame:

@@ -1,0 +1,106 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from siltstone.plans import calls
+from siltstone.sources import text
+from checks.registry import CSV_CALLS, CSV_RATE
+from tests.conftest import rows
+
+
+def pages(spark, *raw, status=200):
+    return spark.createDataFrame(
+        [("t", status, r) for r in raw], "event_type string, status_code int, raw string"
+    )
+
+
+def test_missing_and_null_fields(spark):
+    raw = """{"collection": [
+      {"uri": "a", "event_type": "t", "start_time": "s", "end_time": "e", "status": "completed",
+       "location": {"email": "x@y"}},
+      {"uri": "b"},
+      {"uri": "c", "status": null, "location": null},
+      {"uri": "d", "location": {}},
+      {"uri": "e", "location": {"email": null}},
+      {"uri": null, "location": "phone"},
+      {"uri": 7, "status": true}
+    ]}"""
+    assert rows(calls.flatten_calls(pages(spark, raw))) == sorted(
+        [
+            ("a", "t", "s", "e", "completed", "x@y"),
+            ("b", "", "", "", "N/A", "N/A"),
+            ("c", "", "", "", None, "N/A"),
+            ("d", "", "", "", "N/A", "N/A"),
+            ("e", "", "", "", "N/A", None),
+            (None, "", "", "", "N/A", "N/A"),
+            ("7", "", "", "", "true", "N/A"),
+        ],
+        key=repr,
+    )
+
+
+def test_pages_without_usable_content(spark):
+    df = pages(spark, "{}", '{"collection": []}', "not json", None, '{"collection": null}')
+    assert calls.flatten_calls(df).count() == 0
+    assert rows(calls.page_outcomes(df)) == [("unreadable", 2), ("used", 3)]
+    refused = pages(spark, '{"collection":[{"uri":"a"}]}', status=500)
+    assert calls.flatten_calls(refused).count() == 0
+    assert rows(calls.page_outcomes(refused)) == [("refused", 1)]
+
+
+def test_identifiers(spark):
+    df = pages(spark, '{"collection":[{"uri":"a"},{"uri":"b"}]}', '{"collection":[{"name":"x"}]}')
+    assert rows(calls.identifiers(df, strict=False)) == [("",), ("a",), ("b",)]
+    with pytest.raises(PySparkException, match="no \\$.uri in"):
+        calls.identifiers(df).collect()
+
+
+def test_organizations(spark):
+    df = pages(
+        spark,
+        '{"resource":{"current_organization":"o"}}',
+        "{}",
+        '{"resource":{}}',
+        '{"resource":{"current_organization":null}}',
+        "bad",
+    )
+    got = [r[1] for r in rows(calls.organizations(df))]
+    assert sorted(got, key=repr) == sorted(["o", "", "", None], key=repr)
+
+
+def test_completion_rate(spark):
+    def rate(*statuses):
+        df = spark.createDataFrame([(s,) for s in statuses], "status string")
+        return tuple(calls.completion_rate(df, "now").first())
+
+    assert rate() == ("now", 0, 0, 0.0)
+    assert rate("completed", *["active"] * 31) == ("now", 32, 1, 3.12)
+    assert rate("completed", "Completed", None) == ("now", 3, 1, 33.33)
+
+
+def test_export_writes_both_files_in_one_pass(spark, tmp_path):
+    raw = '{"collection":[{"uri":"a,\\"b\\"","status":"completed"},{"uri":"c\\nd","status":null}]}'
+    written = calls.export_calls(pages(spark, raw), str(tmp_path), "2024-01-02_03-04-05")
+    assert written.calls == f"{tmp_path}/scheduled_calls_2024-01-02_03-04-05"
+    got = rows(text.read_csv(spark, written.calls, CSV_CALLS))
+    assert got == [
+        ('a,"b"', None, None, None, "completed", "N/A"),
+        ("c\nd", None, None, None, None, "N/A"),
+    ]
+    assert rows(text.read_csv(spark, written.metrics, CSV_RATE)) == [
+        ("2024-01-02_03-04-05", 2, 1, 50.0)
+    ]
+
+
+def test_export_without_calls_writes_only_metrics(spark, tmp_path):
+    written = calls.export_calls(pages(spark, "{}"), str(tmp_path), "s")
+    assert written.calls is None and not (tmp_path / "scheduled_calls_s").exists()
+    assert rows(text.read_csv(spark, written.metrics, CSV_RATE)) == [("s", 0, 0, 0.0)]
+
+
+def test_csv_text_is_plain(spark, tmp_path):
+    df = spark.createDataFrame([('say "hi"', None, "")], "a string, b string, c string").coalesce(1)
+    path = text.write_csv(df, str(tmp_path / "out"))
+    part = next((tmp_path / "out").glob("*.csv"))
+    assert part.read_text() == 'a,b,c\n"say ""hi""",,\n'
+    assert path == str(tmp_path / "out")
+    assert text.write_csv(df.where("1 = 0"), str(tmp_path / "none")) is None
