@@ -12,9 +12,14 @@ def parse_document(raw: Column) -> Column:
 
 
 def field_or(doc: Column, path: str, default: str) -> Column:
-    """Field as text. A missing key gives the default, an explicit null stays NULL."""
-    present = F.try_variant_get(doc, path, "variant").isNotNull()
-    return F.when(present, F.try_variant_get(doc, path, "string")).otherwise(F.lit(default))
+    """Field as text. A missing key gives the default, an explicit null stays NULL.
+
+    Whether the key is there at all is looked up only for fields without text.
+    """
+    missing = F.try_variant_get(doc, path, "variant").isNull()
+    return F.coalesce(
+        F.try_variant_get(doc, path, "string"), F.when(missing, F.lit(default))
+    )
 
 
 def required_field(doc: Column, path: str) -> Column:

@@ -1,0 +1,106 @@
+from datetime import date
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from checks import inputs
+from checks.inputs import derive
+from siltstone.__main__ import main
+from siltstone.plans import gold, silver
+from siltstone.plans.jobs import JOBS, run
+from siltstone.sources import partitions as P
+from tests.conftest import SMALL, rows
+
+DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
+SILVER = ["silver_events", "silver_visitors", "silver_media_details", "silver_media_stats"]
+GOLD = ["dim_visitor", "fact_visitor", "fact_media", "gold_media_details"]
+BASE = "http://b/"
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """Three dates of bronze tables, and the layers above them."""
+    root = str(tmp_path_factory.mktemp("lake"))
+    events = derive(spark, SMALL, inputs.EVENTS)
+    rest = {
+        "visitors": derive(spark, SMALL, inputs.VISITORS),
+        "media_details": derive(spark, SMALL, inputs.MEDIA_DETAILS),
+        "media_stats": derive(spark, SMALL, inputs.MEDIA_STATS),
+    }
+    for day in DAYS:
+        of_day = events.where(F.col("ingested_date") == F.lit(day))
+        P.write_partition(of_day, f"{root}/bronze/events", day)
+        for table, df in rest.items():
+            P.write_partition(df, f"{root}/bronze/{table}", day)
+        for job in SILVER:
+            run(spark, job, root, day)
+        for job in GOLD:
+            run(spark, job, root, day, **({"base_url": BASE} if job == "gold_media_details" else {}))
+    return root
+
+
+def test_reports_count_what_was_read_and_written(spark, lake):
+    bronze = P.read_partition(spark, f"{lake}/bronze/events", DAYS[1]).count()
+    report = run(spark, "silver_events", lake, DAYS[1])
+    assert report.rows_in == {"bronze/events": bronze} and report.rows_out == bronze
+    facts = run(spark, "fact_visitor", lake, DAYS[1])
+    visitors = P.read_partition(spark, f"{lake}/silver/visitors", DAYS[1]).count()
+    assert facts.rows_in == {"silver/events": bronze, "silver/visitors": visitors}
+    assert facts.rows_out == bronze
+
+
+def test_gold_tables_equal_direct_transforms(spark, lake):
+    events = silver.events(derive(spark, SMALL, inputs.EVENTS)).where(
+        F.col("ingested_date").isin(DAYS)
+    )
+    visitors = silver.visitors(derive(spark, SMALL, inputs.VISITORS))
+    assert rows(P.read_table(spark, f"{lake}/gold/dim_visitor")) == rows(gold.dim_visitor(events))
+    facts = P.read_table(spark, f"{lake}/gold/fact_visitor").drop("ingested_date")
+    assert rows(facts) == rows(gold.fact_visitor(events, visitors))
+    day = events.where(F.col("ingested_date") == F.lit(DAYS[2])).drop("ingested_date")
+    media = silver.media_details(derive(spark, SMALL, inputs.MEDIA_DETAILS))
+    written = P.read_partition(spark, f"{lake}/gold/media_details", DAYS[2]).drop("ingested_date")
+    assert rows(written) == rows(gold.media_details(media, day, BASE))
+
+
+def test_rerun_changes_nothing(spark, lake):
+    for job in ("silver_events", "fact_visitor"):
+        path = f"{lake}/{JOBS[job].output}"
+        before = rows(P.read_table(spark, path))
+        run(spark, job, lake, DAYS[0])
+        assert rows(P.read_table(spark, path)) == before
+
+
+def test_dimension_from_batches_equals_the_rebuild(spark, lake):
+    rebuilt = rows(P.read_table(spark, f"{lake}/gold/dim_visitor"))
+    for day in DAYS:
+        run(spark, "visitor_first_seen", lake, day)
+    report = run(spark, "dim_visitor_from_first_seen", lake, DAYS[-1])
+    assert rows(P.read_table(spark, f"{lake}/gold/dim_visitor")) == rebuilt
+    assert report.rows_out == len(rebuilt)
+
+
+def test_missing_input_date_fails_and_keeps_output(spark, lake):
+    before = P.read_table(spark, f"{lake}/silver/events").count()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        run(spark, "silver_events", lake, date(2030, 1, 1))
+    assert P.read_table(spark, f"{lake}/silver/events").count() == before
+
+
+def test_empty_input_date(spark, lake):
+    day = date(2024, 2, 1)
+    none = P.read_partition(spark, f"{lake}/bronze/events", DAYS[0]).where("1 = 0")
+    P.write_partition(none, f"{lake}/bronze/events", day)
+    report = run(spark, "silver_events", lake, day)
+    assert report.rows_out == 0 and report.rows_in == {"bronze/events": 0}
+    assert P.read_partition(spark, f"{lake}/silver/events", day).count() == 0
+
+
+def test_command_line(spark, lake):
+    main(["fact_media", "--root", lake, "--ingested_date", "2024-01-03"])
+    main(["gold_media_details", "--root", lake, "--ingested_date", "2024-01-03", "--base_url", BASE])
+    with pytest.raises(SystemExit):
+        main(["no_such_job", "--root", lake])
+    with pytest.raises(ValueError):
+        main(["fact_media", "--root", lake, "--ingested_date", "yesterday"])
