@@ -125,7 +125,7 @@ FROM {customer}
 
 CLV_ORDERS = """
 SELECT o_custkey AS customer_id, o_orderkey AS order_id,
-       CAST(o_totalprice AS DECIMAL(18, 2)) AS amount, CAST(o_orderdate AS DATE) AS order_date
+       o_totalprice AS amount, CAST(o_orderdate AS DATE) AS order_date
 FROM {orders}
 """
 
@@ -155,7 +155,7 @@ FROM {item_options}
 
 ORDER_LINES = """
 SELECT l_orderkey AS order_id, l_suppkey AS restaurant_id,
-       CAST(l_extendedprice AS DECIMAL(12, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2))) AS revenue
+       l_extendedprice * (1 - l_discount) AS revenue
 FROM {lineitem}
 """
 

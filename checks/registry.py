@@ -114,11 +114,11 @@ def silver_visitors(spark, sf_dir):
 
 # Gold
 
-SQL_ORDER = "coalesce(received_at, TIMESTAMP '9999-12-31'), event_key"
+SQL_TIME = "coalesce(received_at, TIMESTAMP '9999-12-31')"
 SQL_DIM_VISITOR = f"""
 SELECT visitor_key AS visitor_id,
-       first(ip ORDER BY {SQL_ORDER}) FILTER (ip IS NOT NULL) AS ip,
-       first(country ORDER BY {SQL_ORDER}) FILTER (country IS NOT NULL) AS country
+       first(ip ORDER BY {SQL_TIME}, ip) FILTER (ip IS NOT NULL) AS ip,
+       first(country ORDER BY {SQL_TIME}, country) FILTER (country IS NOT NULL) AS country
 FROM {SQL_SILVER_EVENTS} WHERE visitor_key IS NOT NULL GROUP BY visitor_key"""
 
 
@@ -168,7 +168,7 @@ def gold_fact_visitor_fanout(spark, sf_dir):
            CASE WHEN u.url IS NULL OR trim(u.url) = '' THEN '{BASE_URL}' || m.hashed_id
                 ELSE u.url END AS url
     FROM {SQL_SILVER_MEDIA} m LEFT JOIN (
-        SELECT media_id, first(media_url ORDER BY {SQL_ORDER}) AS url
+        SELECT media_id, first(media_url ORDER BY {SQL_TIME}, media_url) AS url
         FROM {SQL_SILVER_EVENTS} WHERE media_url IS NOT NULL GROUP BY media_id) u
     ON m.hashed_id = u.media_id"""
 )
@@ -343,7 +343,7 @@ def calls_export_metrics(spark, sf_dir):
 
 SQL_CLV_TOTALS = """(
 SELECT o_custkey AS customer_id, c_mktsegment AS currency,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend,
+       round(sum(o_totalprice), 4) AS total_spend,
        count(DISTINCT o_orderkey) AS total_orders,
        date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))
            AS customer_lifespan_days
@@ -529,7 +529,7 @@ SELECT CAST(rank() OVER (PARTITION BY currency ORDER BY total_revenue DESC) AS I
        restaurant_id, currency, total_revenue, total_revenue / total_orders AS avg_order_value,
        total_orders, total_orders / CAST(days AS DOUBLE) AS avg_daily_orders,
        total_orders / CAST(weeks AS DOUBLE) AS avg_weekly_orders
-FROM (SELECT l.restaurant_id, currency, CAST(sum(revenue) AS DOUBLE) AS total_revenue,
+FROM (SELECT l.restaurant_id, currency, round(sum(revenue), 4) AS total_revenue,
              count(DISTINCT l.order_id) AS total_orders, count(DISTINCT order_date) AS days,
              count(DISTINCT date_trunc('week', order_date)) AS weeks
       FROM {as_sql(inputs.ORDER_LINES)} l

@@ -65,6 +65,16 @@ def amount(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def money(c: Column) -> Column:
+    """A sum of money as a double, to four decimals.
+
+    A sum of doubles varies in its last bits with the order of summing, and so with how
+    tasks were split or retried. Amounts of at most four decimals give the same rounded
+    sum in any order, so that reruns and ranks agree.
+    """
+    return F.round(c.cast("double"), 4)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """part / whole * 100, and 0 when there is no whole."""
     return F.coalesce(F.try_divide(part, whole) * 100, F.lit(0.0))

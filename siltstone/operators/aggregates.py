@@ -16,21 +16,39 @@ LAST_TIME = "9999-12-31 00:00:00"
 COMPLETED = "completed"
 
 
-def event_order(time: str, tie_break: str) -> Column:
-    """Order of events: by time, rows without a time last, then by key."""
-    return F.struct(
-        F.coalesce(F.col(time), F.lit(LAST_TIME).cast("timestamp")).alias("at"),
-        F.col(tie_break).alias("key"),
+def earliest_known(df: DataFrame, keys: Sequence[str], columns: Sequence[str], time: str) -> DataFrame:
+    """Per key and column, the earliest non-null value with its time, as (at, value).
+
+    Rows without a time come after all others, and of values at the same time the
+    smallest is taken, so the result does not depend on row order. Columns are looked at
+    one by one: their values may come from different rows.
+
+    Rows first shrink to one per distinct combination of values, keeping only its first
+    time. That step hashes, as its buffer is a plain number, and leaves little for the
+    second, which compares text and has to sort. The results of several batches merge
+    with merge_known.
+    """
+    at = F.coalesce(F.col(time), F.lit(LAST_TIME).cast("timestamp"))
+    seen = df.groupBy(*keys, *columns).agg(F.min(at).alias("__at"))
+    known = [
+        F.when(
+            F.col(c).isNotNull(), F.struct(F.col("__at").alias("at"), F.col(c).alias("value"))
+        )
+        for c in columns
+    ]
+    return seen.groupBy(*keys).agg(
+        *[F.min(k).alias(c) for k, c in zip(known, columns, strict=True)]
     )
 
 
-def first_known(column: str, order: Column) -> Column:
-    """Earliest non-null value of a group, independent of row order.
+def merge_known(batches: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per key out of the results of earliest_known for several batches."""
+    return batches.groupBy(*keys).agg(*[F.min(c).alias(c) for c in columns])
 
-    min_by passes over rows whose order value is NULL, so rows without a value take no
-    part. It merges partial results, so each map task sends one row per key.
-    """
-    return F.min_by(F.col(column), F.when(F.col(column).isNotNull(), order))
+
+def known_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The values alone, without their times."""
+    return df.withColumns({c: F.col(c)["value"] for c in columns})
 
 
 def mean(c: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.columns import amount
+from siltstone.functions.columns import amount, money
 from siltstone.operators.ranking import ONE_TASK_ROWS, exact_quantiles, rank_within
 from siltstone.session import stage
 
@@ -30,7 +30,7 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.max("order_date").alias("last_date"),
     )
     per_customer = per_order.groupBy("customer_id").agg(
-        F.sum("amount").cast("double").alias("total_spend"),
+        money(F.sum("amount")).alias("total_spend"),
         F.count("order_id").alias("total_orders"),
         F.datediff(F.max("last_date"), F.min("first_date")).alias("customer_lifespan_days"),
     )
@@ -117,7 +117,7 @@ def location_totals(
         .agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders"))
     )
     per_restaurant = per_day.groupBy("restaurant_id").agg(
-        F.sum("revenue").cast("double").alias("total_revenue"),
+        money(F.sum("revenue")).alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
         F.count("day").alias("days"),
         F.count_distinct(F.date_trunc("week", "day")).alias("weeks"),

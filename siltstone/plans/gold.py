@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone import schemas
 from siltstone.functions.columns import default_url, rename
-from siltstone.operators.aggregates import event_order, first_known
+from siltstone.operators.aggregates import earliest_known, known_values, merge_known
 from siltstone.operators.joins import HOT_ROWS, left_join
 
 VISITOR_ATTRIBUTES = ("ip", "country")
@@ -15,37 +15,28 @@ VISITOR_ATTRIBUTES = ("ip", "country")
 
 def dim_visitor(events: DataFrame) -> DataFrame:
     """One row per visitor with the earliest known ip and the earliest known country."""
-    order = event_order("received_at", "event_key")
-    known = (
-        events.where(F.col("visitor_key").isNotNull())
-        .groupBy("visitor_key")
-        .agg(*[first_known(c, order).alias(c) for c in VISITOR_ATTRIBUTES])
-    )
-    return rename(known, "visitor_key", "visitor_id")
+    return _as_dimension(visitor_first_seen(events))
 
 
 def visitor_first_seen(events: DataFrame, *batch: str) -> DataFrame:
-    """What a batch of events says of each visitor: earliest value and its place in order.
+    """What a batch of events says of each visitor: earliest values with their times.
 
     A day's batch reduces to one row per visitor of that day. Keeping these rows lets
     the dimension be rebuilt from them instead of from all events ever received. The
     events may hold several batches, told apart by the batch columns.
     """
-    order = event_order("received_at", "event_key")
-    aggregates = []
-    for c in VISITOR_ATTRIBUTES:
-        aggregates.append(first_known(c, order).alias(c))
-        aggregates.append(F.min(F.when(F.col(c).isNotNull(), order)).alias(f"{c}_order"))
-    known = events.where(F.col("visitor_key").isNotNull())
-    return known.groupBy("visitor_key", *batch).agg(*aggregates)
+    with_visitor = events.where(F.col("visitor_key").isNotNull())
+    keys = ("visitor_key", *batch)
+    return earliest_known(with_visitor, keys, VISITOR_ATTRIBUTES, "received_at")
 
 
 def merge_first_seen(batches: DataFrame) -> DataFrame:
     """The visitor dimension from the batches' rows; equals dim_visitor over all events."""
-    known = batches.groupBy("visitor_key").agg(
-        *[F.min_by(c, f"{c}_order").alias(c) for c in VISITOR_ATTRIBUTES]
-    )
-    return rename(known, "visitor_key", "visitor_id")
+    return _as_dimension(merge_known(batches, ["visitor_key"], VISITOR_ATTRIBUTES))
+
+
+def _as_dimension(first_seen: DataFrame) -> DataFrame:
+    return rename(known_values(first_seen, VISITOR_ATTRIBUTES), "visitor_key", "visitor_id")
 
 
 def fact_media(media_stats: DataFrame) -> DataFrame:
@@ -79,11 +70,9 @@ def media_details(media: DataFrame, events: DataFrame, base_url: str) -> DataFra
     """
     if "url" in media.columns:
         raise ValueError("media_details already has a column 'url'")
-    urls = (
-        events.where(F.col("media_url").isNotNull())
-        .groupBy("media_id")
-        .agg(first_known("media_url", event_order("received_at", "event_key")).alias("url"))
-    )
+    with_url = events.where(F.col("media_url").isNotNull())
+    first_urls = earliest_known(with_url, ["media_id"], ["media_url"], "received_at")
+    urls = rename(known_values(first_urls, ["media_url"]), "media_url", "url")
     renamed = rename(media, "hashed_id", "media_id")
     columns = renamed.columns
     spread_by = next((c for c in columns if c != "media_id"), "media_id")

@@ -47,8 +47,6 @@ class Job:
     needs: tuple[tuple[str, ...] | None, ...] = (None,)
 
 
-EVENT_ORDER = ("received_at", "event_key")
-
 JOBS = {
     "silver_events": Job(
         (("bronze/events", schemas.BRONZE_EVENTS),), silver.events, "silver/events"
@@ -71,13 +69,13 @@ JOBS = {
         gold.dim_visitor,
         "gold/dim_visitor",
         whole=True,
-        needs=(("visitor_key", *gold.VISITOR_ATTRIBUTES, *EVENT_ORDER),),
+        needs=(("visitor_key", *gold.VISITOR_ATTRIBUTES, "received_at"),),
     ),
     "visitor_first_seen": Job(
         (("silver/events", schemas.SILVER_EVENTS),),
         gold.visitor_first_seen,
         "gold/visitor_first_seen",
-        needs=(("visitor_key", *gold.VISITOR_ATTRIBUTES, *EVENT_ORDER),),
+        needs=(("visitor_key", *gold.VISITOR_ATTRIBUTES, "received_at"),),
     ),
     "dim_visitor_from_first_seen": Job(
         (("gold/visitor_first_seen", Contract("visitor_first_seen", ("visitor_key",))),),
@@ -110,7 +108,7 @@ JOBS = {
         ),
         gold.media_details,
         "gold/media_details",
-        needs=(None, ("media_id", "media_url", *EVENT_ORDER)),
+        needs=(None, ("media_id", "media_url", "received_at")),
     ),
 }
 

@@ -44,7 +44,7 @@ def test_first_known_per_column(spark):
     assert rows(gold.dim_visitor(df)) == [("v", "A", "FR"), ("w", None, "US")]
 
 
-def test_rows_without_time_come_last_and_ties_go_by_key(spark):
+def test_rows_without_time_come_last_and_ties_go_by_value(spark):
     df = events(
         spark,
         ("a", "v", "m", None, "no time", "X", None),
