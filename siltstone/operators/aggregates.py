@@ -16,27 +16,34 @@ LAST_TIME = "9999-12-31 00:00:00"
 COMPLETED = "completed"
 
 
-def earliest_known(df: DataFrame, keys: Sequence[str], columns: Sequence[str], time: str) -> DataFrame:
+def earliest_known(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    time: str,
+    values_repeat: bool = False,
+) -> DataFrame:
     """Per key and column, the earliest non-null value with its time, as (at, value).
 
     Rows without a time come after all others, and of values at the same time the
     smallest is taken, so the result does not depend on row order. Columns are looked at
-    one by one: their values may come from different rows.
+    one by one: their values may come from different rows. The results of several batches
+    merge with merge_known.
 
-    Rows first shrink to one per distinct combination of values, keeping only its first
-    time. That step hashes, as its buffer is a plain number, and leaves little for the
-    second, which compares text and has to sort. The results of several batches merge
-    with merge_known.
+    Comparing text makes Spark sort each task's rows by key. Where a key's rows mostly
+    repeat the same values, values_repeat first shrinks them to one per combination with
+    its first time; that step hashes, as it keeps only a number. Where they do not, it
+    would only move all rows once more.
     """
     at = F.coalesce(F.col(time), F.lit(LAST_TIME).cast("timestamp"))
-    seen = df.groupBy(*keys, *columns).agg(F.min(at).alias("__at"))
+    if values_repeat:
+        df = df.groupBy(*keys, *columns).agg(F.min(at).alias("__at"))
+        at = F.col("__at")
     known = [
-        F.when(
-            F.col(c).isNotNull(), F.struct(F.col("__at").alias("at"), F.col(c).alias("value"))
-        )
+        F.when(F.col(c).isNotNull(), F.struct(at.alias("at"), F.col(c).alias("value")))
         for c in columns
     ]
-    return seen.groupBy(*keys).agg(
+    return df.groupBy(*keys).agg(
         *[F.min(k).alias(c) for k, c in zip(known, columns, strict=True)]
     )
 

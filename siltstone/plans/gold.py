@@ -27,7 +27,9 @@ def visitor_first_seen(events: DataFrame, *batch: str) -> DataFrame:
     """
     with_visitor = events.where(F.col("visitor_key").isNotNull())
     keys = ("visitor_key", *batch)
-    return earliest_known(with_visitor, keys, VISITOR_ATTRIBUTES, "received_at")
+    return earliest_known(
+        with_visitor, keys, VISITOR_ATTRIBUTES, "received_at", values_repeat=True
+    )
 
 
 def merge_first_seen(batches: DataFrame) -> DataFrame:
