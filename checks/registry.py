@@ -15,6 +15,7 @@ from siltstone import session
 from siltstone.plans import calls, commerce, gold, reports, silver
 from siltstone.sources import partitions, relational, text
 from siltstone.sources.catalog import read_named
+from siltstone.sources.staging import stage
 
 BASE_URL = "https://media.example/medias/"
 RUN_STAMP = "2024-03-01_00-00-00"
@@ -163,6 +164,13 @@ def gold_fact_visitor_fanout(spark, sf_dir):
     return gold.fact_visitor(_silver_events(spark, sf_dir), visitors)
 
 
+@query(_sql_fact_visitor(as_sql(inputs.VISITORS_HOT)))
+def gold_fact_visitor_hot_key(spark, sf_dir):
+    """The join's way for a key that is hot among the visitors, taken from 100 rows on."""
+    visitors = derive(spark, sf_dir, inputs.VISITORS_HOT)
+    return gold.fact_visitor(_silver_events(spark, sf_dir), visitors, hot_rows=100)
+
+
 @query(
     f"""SELECT m.hashed_id AS media_id, m.* EXCLUDE (hashed_id),
            CASE WHEN u.url IS NULL OR trim(u.url) = '' THEN '{BASE_URL}' || m.hashed_id
@@ -193,7 +201,7 @@ def partition_overwrite_roundtrip(spark, sf_dir):
     columns = ["event_key", "visitor_key", "received_at", "percent_viewed", "ingested_date"]
     partitions.write_dates(_silver_events(spark, sf_dir).select(*columns), root)
     day = partitions.read_partition(spark, root, REWRITTEN_DAY)
-    rewritten = session.stage(
+    rewritten = stage(
         day.where("visitor_key IS NOT NULL").withColumn("percent_viewed", F.lit(0.0)), "day"
     )
     partitions.write_partition(rewritten.df, root, REWRITTEN_DAY)
@@ -369,8 +377,8 @@ def _clv_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     )
 
 
-def _clv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commerce.customer_lifetime_value(*_clv_inputs(spark, sf_dir))
+def _clv(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+    return commerce.customer_lifetime_value(*_clv_inputs(spark, sf_dir), **options)
 
 
 @query(f"SELECT * FROM {SQL_CLV}")
@@ -378,6 +386,12 @@ def clv_table(spark, sf_dir):
     return _clv(spark, sf_dir)
 
 
+@query(f"SELECT * FROM {SQL_CLV}")
+def clv_table_narrowed(spark, sf_dir):
+    """The cut points' way for tables too large for one task, taken from 100 rows on."""
+    return _clv(spark, sf_dir, one_task_rows=100)
+
+
 @query(
     f"""SELECT count(*) AS total_customers, round(sum(total_spend), 2) AS total_revenue,
            round(avg(avg_order_value), 4) AS avg_order_value,
@@ -455,7 +469,7 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written first, as choosing the default item reads it a second time."""
-    return session.stage(_clean(spark, sf_dir), "item_options").df
+    return stage(_clean(spark, sf_dir), "item_options").df
 
 
 @query(f"SELECT * FROM {SQL_OPTIONS}")
@@ -539,11 +553,12 @@ FROM (SELECT l.restaurant_id, currency, round(sum(revenue), 4) AS total_revenue,
 SQL_FIRST_CURRENCY = f"currency = (SELECT min(r_name) FROM {as_sql('SELECT * FROM region')})"
 
 
-def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _locations(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     return commerce.top_performing_locations(
         derive(spark, sf_dir, inputs.ORDER_LINES),
         derive(spark, sf_dir, inputs.ORDER_DATES),
         derive(spark, sf_dir, inputs.RESTAURANTS),
+        **options,
     )
 
 
@@ -552,6 +567,12 @@ def locations_table(spark, sf_dir):
     return _locations(spark, sf_dir)
 
 
+@query(f"SELECT * FROM {SQL_LOCATIONS}")
+def locations_table_ranged(spark, sf_dir):
+    """The ranks' way for tables too large for one task, taken from 10 rows on."""
+    return _locations(spark, sf_dir, one_task_rows=10)
+
+
 @query(f"SELECT DISTINCT currency FROM {SQL_LOCATIONS}")
 def location_currencies(spark, sf_dir):
     return reports.location_currencies(_locations(spark, sf_dir))

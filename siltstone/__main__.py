@@ -1,25 +1,71 @@
-"""Run one job: spark-submit … -m siltstone fact_visitor --root s3a://lake/media."""
+"""Command line of the jobs, for spark-submit or python -m siltstone.
+
+    silver_events --root s3a://lake/media --ingested_date 2024-01-02
+    extract --url jdbc:sqlserver://… --properties login.json --out s3a://lake/bronze
+    export_calls --pages s3a://lake/landed/calls --out s3a://lake/calls
+"""
 
 from __future__ import annotations
 
 import argparse
+import json
 import logging
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from siltstone import session
+from siltstone.functions.columns import run_stamp
+from siltstone.plans.calls import export_calls
 from siltstone.plans.jobs import JOBS, run
-from siltstone.sources.partitions import run_date
+from siltstone.sources.partitions import read_table, run_date
+from siltstone.sources.relational import SOURCE_TABLES, extract_tables, read_relational
 
 
-def main(argv: list[str] | None = None) -> None:
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="siltstone")
-    parser.add_argument("job", choices=sorted(JOBS))
-    parser.add_argument("--root", required=True, help="folder that holds bronze/, silver/, gold/")
-    parser.add_argument("--ingested_date", help="YYYY-MM-DD, by default today in UTC")
-    parser.add_argument("--base_url", help="prefix of default media URLs (gold_media_details)")
-    args = parser.parse_args(argv)
+    jobs = parser.add_subparsers(dest="job", required=True)
+    for name in sorted(JOBS):
+        job = jobs.add_parser(name)
+        job.add_argument("--root", required=True, help="folder with bronze/, silver/ and gold/")
+        job.add_argument("--ingested_date", help="YYYY-MM-DD, by default today in UTC")
+        if name == "gold_media_details":
+            job.add_argument("--base_url", required=True, help="prefix of default media URLs")
+    extract = jobs.add_parser("extract")
+    extract.add_argument("--url", required=True)
+    extract.add_argument("--tables", nargs="+", default=list(SOURCE_TABLES))
+    extract.add_argument("--schema", default="dbo")
+    extract.add_argument("--properties", help="JSON file with JDBC properties")
+    extract.add_argument("--hash_field", help="whole-number column to read in slices by")
+    extract.add_argument("--out", required=True)
+    calls = jobs.add_parser("export_calls")
+    calls.add_argument("--pages", required=True, help="Parquet table of landed pages")
+    calls.add_argument("--out", required=True)
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
     logging.basicConfig(level=logging.INFO)
-    options = {"base_url": args.base_url} if args.base_url else {}
-    run(session.create(), args.job, args.root, run_date(args.ingested_date), **options)
+    day = run_date(getattr(args, "ingested_date", None))
+    spark = session.create()
+    if args.job == "extract":
+        properties = json.loads(Path(args.properties).read_text()) if args.properties else {}
+        prefix = f"{args.schema}." if args.schema else ""
+        extract_tables(
+            spark,
+            args.tables,
+            lambda table: read_relational(
+                spark, args.url, prefix + table, properties, args.hash_field
+            ),
+            args.out,
+        )
+    elif args.job == "export_calls":
+        stamp = spark.range(1).select(run_stamp(F.current_timestamp())).first()[0]
+        export_calls(read_table(spark, args.pages), args.out, stamp)
+    else:
+        options = {"base_url": args.base_url} if "base_url" in args else {}
+        run(spark, args.job, args.root, day, **options)
 
 
 if __name__ == "__main__":

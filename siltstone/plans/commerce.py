@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.columns import amount, money
 from siltstone.operators.ranking import ONE_TASK_ROWS, exact_quantiles, rank_within
-from siltstone.session import stage
+from siltstone.sources.staging import stage
 
 
 def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ class Report:
     job: str
     rows_in: dict[str, int]
     rows_out: int
-    columns: tuple[str, ...]
+    schema: str
 
 
 @dataclass(frozen=True)
@@ -140,7 +140,7 @@ def run(spark: SparkSession, name: str, root: str, day: date, **options: object)
         name,
         {table: rows_seen(seen) for table, seen in counters.items()},
         rows,
-        tuple(result.columns),
+        result.schema.simpleString(),
     )
     log.info("%s", report)
     return report

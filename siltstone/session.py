@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 
 def create(app_name: str = "siltstone", **conf: str) -> SparkSession:
@@ -45,23 +43,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/siltstone/{uuid.uuid4().hex}/{name}"
-
-
-class Staged(NamedTuple):
-    """A frame written to the shared folder and read back, with its row count."""
-
-    df: DataFrame
-    rows: int
-
-
-def stage(df: DataFrame, name: str) -> Staged:
-    """Write an intermediate once, so that later passes read the same rows.
-
-    Later passes prune columns and push filters into the Parquet scan, and a lost
-    executor costs a re-read of files rather than a re-run of the plan above them.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return Staged(spark.read.schema(df.schema).parquet(path), seen.get.get("rows", 0))

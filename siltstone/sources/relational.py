@@ -12,6 +12,9 @@ from siltstone.sources.partitions import write_table
 
 log = logging.getLogger(__name__)
 
+# The tables of the relational source.
+SOURCE_TABLES = ("date_dim", "order_items", "order_item_options")
+
 # Fixed value: slices of a hash-partitioned read.
 HASH_PARTITIONS = 10
 

@@ -1,3 +1,4 @@
+import json
 from datetime import date
 
 import pytest
@@ -10,6 +11,7 @@ from siltstone.__main__ import main
 from siltstone.plans import gold, silver
 from siltstone.plans.jobs import JOBS, run
 from siltstone.sources import partitions as P
+from siltstone.sources.relational import ExtractFailed
 from tests.conftest import SMALL, rows
 
 DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
@@ -48,6 +50,7 @@ def test_reports_count_what_was_read_and_written(spark, lake):
     visitors = P.read_partition(spark, f"{lake}/silver/visitors", DAYS[1]).count()
     assert facts.rows_in == {"silver/events": bronze, "silver/visitors": visitors}
     assert facts.rows_out == bronze
+    assert facts.schema.startswith("struct<visitor_id:string,event_id:string,percent_viewed:double")
 
 
 def test_gold_tables_equal_direct_transforms(spark, lake):
@@ -97,6 +100,34 @@ def test_empty_input_date(spark, lake):
     assert P.read_partition(spark, f"{lake}/silver/events", day).count() == 0
 
 
+def test_empty_side_inputs(spark, lake):
+    """A date without events or visitors still counts and writes its other input."""
+    day = date(2024, 2, 2)
+    for table in ("events", "visitors", "media_details"):
+        df = P.read_partition(spark, f"{lake}/silver/{table}", DAYS[0])
+        P.write_partition(df if table == "media_details" else df.where("1 = 0"), f"{lake}/silver/{table}", day)
+    media = run(spark, "gold_media_details", lake, day, base_url=BASE)
+    assert media.rows_out == media.rows_in["silver/media_details"] > 0
+    assert media.rows_in["silver/events"] == 0
+    facts = run(spark, "fact_visitor", lake, day)
+    assert facts.rows_out == 0 and set(facts.rows_in.values()) == {0}
+
+
+def test_command_line_extract_and_calls(spark, tmp_path):
+    url, login = "jdbc:derby:memory:cli;create=true", tmp_path / "login.json"
+    login.write_text('{"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}')
+    spark.range(5).write.jdbc(url, "APP.date_dim", properties=json.loads(login.read_text()))
+    base = ["extract", "--url", url, "--properties", str(login), "--schema", "APP"]
+    main([*base, "--tables", "date_dim", "--out", str(tmp_path / "bronze")])
+    assert P.read_table(spark, f"{tmp_path}/bronze/date_dim").count() == 5
+    with pytest.raises(ExtractFailed, match="order_items"):
+        main([*base, "--out", str(tmp_path / "bronze")])
+    derive(spark, SMALL, inputs.CALL_PAGES).write.parquet(f"{tmp_path}/pages")
+    main(["export_calls", "--pages", f"{tmp_path}/pages", "--out", f"{tmp_path}/calls"])
+    names = sorted(p.name[:16] for p in (tmp_path / "calls").iterdir())
+    assert names == ["campaign_metrics", "scheduled_calls_"]
+
+
 def test_command_line(spark, lake):
     main(["fact_media", "--root", lake, "--ingested_date", "2024-01-03"])
     main(["gold_media_details", "--root", lake, "--ingested_date", "2024-01-03", "--base_url", BASE])

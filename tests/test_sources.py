@@ -5,10 +5,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from siltstone.schemas import INGESTED_DATE, SILVER_VISITORS, TOP_PERFORMING_LOCATIONS
-from siltstone.session import shared_dir, stage
+from siltstone.session import shared_dir
 from siltstone.sources import partitions as P
 from siltstone.sources import relational as R
 from siltstone.sources.catalog import read_named
+from siltstone.sources.staging import stage
 from tests.conftest import plan, rows
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
