@@ -12,6 +12,7 @@ import json
 import logging
 from pathlib import Path
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import session
@@ -19,7 +20,12 @@ from siltstone.functions.columns import run_stamp
 from siltstone.plans.calls import export_calls
 from siltstone.plans.jobs import JOBS, run
 from siltstone.sources.partitions import read_table, run_date
-from siltstone.sources.relational import SOURCE_TABLES, extract_tables, read_relational
+from siltstone.sources.relational import (
+    HASH_PARTITIONS,
+    SOURCE_TABLES,
+    extract_tables,
+    read_relational,
+)
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -36,7 +42,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     extract.add_argument("--tables", nargs="+", default=list(SOURCE_TABLES))
     extract.add_argument("--schema", default="dbo")
     extract.add_argument("--properties", help="JSON file with JDBC properties")
-    extract.add_argument("--hash_field", help="whole-number column to read in slices by")
+    extract.add_argument(
+        "--hash_field",
+        nargs="+",
+        default=[],
+        metavar="TABLE=COLUMN",
+        help="whole-number columns to read tables in slices by",
+    )
+    extract.add_argument("--slices", type=int, default=HASH_PARTITIONS)
     extract.add_argument("--out", required=True)
     calls = jobs.add_parser("export_calls")
     calls.add_argument("--pages", required=True, help="Parquet table of landed pages")
@@ -44,28 +57,35 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _extract(spark: SparkSession, args: argparse.Namespace) -> None:
+    properties = json.loads(Path(args.properties).read_text()) if args.properties else {}
+    prefix = f"{args.schema}." if args.schema else ""
+    fields = dict(pair.split("=", 1) for pair in args.hash_field)
+
+    def read(table: str) -> DataFrame:
+        return read_relational(
+            spark, args.url, prefix + table, properties, fields.get(table), args.slices
+        )
+
+    extract_tables(spark, args.tables, read, args.out)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     logging.basicConfig(level=logging.INFO)
     day = run_date(getattr(args, "ingested_date", None))
     spark = session.create()
-    if args.job == "extract":
-        properties = json.loads(Path(args.properties).read_text()) if args.properties else {}
-        prefix = f"{args.schema}." if args.schema else ""
-        extract_tables(
-            spark,
-            args.tables,
-            lambda table: read_relational(
-                spark, args.url, prefix + table, properties, args.hash_field
-            ),
-            args.out,
-        )
-    elif args.job == "export_calls":
-        stamp = spark.range(1).select(run_stamp(F.current_timestamp())).first()[0]
-        export_calls(read_table(spark, args.pages), args.out, stamp)
-    else:
-        options = {"base_url": args.base_url} if "base_url" in args else {}
-        run(spark, args.job, args.root, day, **options)
+    try:
+        if args.job == "extract":
+            _extract(spark, args)
+        elif args.job == "export_calls":
+            stamp = spark.range(1).select(run_stamp(F.current_timestamp())).first()[0]
+            export_calls(read_table(spark, args.pages), args.out, stamp)
+        else:
+            options = {"base_url": args.base_url} if "base_url" in args else {}
+            run(spark, args.job, args.root, day, **options)
+    finally:
+        session.drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone import schemas
-from siltstone.plans import gold, silver
+from siltstone.plans import commerce, gold, silver
 from siltstone.schemas import INGESTED_DATE, Contract
 from siltstone.sources.partitions import (
     counted,
@@ -110,6 +110,35 @@ JOBS = {
         "gold/media_details",
         needs=(None, ("media_id", "media_url", "received_at")),
     ),
+    "customer_lifetime_value": Job(
+        (("bronze/orders", schemas.ORDERS), ("bronze/customers", schemas.CUSTOMERS)),
+        commerce.customer_lifetime_value,
+        "gold/customer_lifetime_value",
+        whole=True,
+        needs=(schemas.ORDERS.required, schemas.CUSTOMERS.required),
+    ),
+    "item_options": Job(
+        (("bronze/option_lines", schemas.OPTION_LINES), ("bronze/menu", schemas.MENU)),
+        commerce.item_options,
+        "gold/item_options",
+        whole=True,
+        needs=(schemas.OPTION_LINES.required, schemas.MENU.required),
+    ),
+    "top_performing_locations": Job(
+        (
+            ("bronze/order_lines", schemas.ORDER_LINES),
+            ("bronze/orders", schemas.ORDERS),
+            ("bronze/restaurants", schemas.RESTAURANTS),
+        ),
+        commerce.top_performing_locations,
+        "gold/top_performing_locations",
+        whole=True,
+        needs=(
+            schemas.ORDER_LINES.required,
+            ("order_id", "order_date"),
+            schemas.RESTAURANTS.required,
+        ),
+    ),
 }
 
 

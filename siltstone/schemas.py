@@ -93,6 +93,18 @@ SILVER_VISITORS = Contract("silver visitors", ("visitor_key", "load_count", "pla
 
 LANDED_PAGES = Contract("landed pages", ("event_type", "status_code", "raw"))
 
+ORDERS = Contract("orders", ("customer_id", "order_id", "amount", "order_date"))
+
+CUSTOMERS = Contract("customers", ("customer_id", "currency"))
+
+OPTION_LINES = Contract("option_lines", ("item_id", "quantity", "removed"))
+
+MENU = Contract("menu", ("item_id", "item_name", "option_name"))
+
+ORDER_LINES = Contract("order_lines", ("order_id", "restaurant_id", "revenue"))
+
+RESTAURANTS = Contract("restaurants", ("restaurant_id", "currency"))
+
 CUSTOMER_LIFETIME_VALUE = Contract(
     "customer_lifetime_value",
     (

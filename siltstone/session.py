@@ -40,6 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/siltstone/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/siltstone/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application put below the shared folder, once nothing reads it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

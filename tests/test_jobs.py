@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,11 +8,14 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.inputs import derive
+from siltstone import schemas, session
 from siltstone.__main__ import main
-from siltstone.plans import gold, silver
+from siltstone.plans import commerce, gold, reports, silver
 from siltstone.plans.jobs import JOBS, run
 from siltstone.sources import partitions as P
+from siltstone.sources.catalog import read_named
 from siltstone.sources.relational import ExtractFailed
+from siltstone.sources.staging import stage
 from tests.conftest import SMALL, rows
 
 DAYS = [date(2024, 1, d) for d in (1, 2, 3)]
@@ -113,12 +117,53 @@ def test_empty_side_inputs(spark, lake):
     assert facts.rows_out == 0 and set(facts.rows_in.values()) == {0}
 
 
+COMMERCE = {
+    "orders": inputs.CLV_ORDERS,
+    "customers": inputs.CLV_CUSTOMERS,
+    "option_lines": inputs.OPTION_LINES,
+    "menu": inputs.MENU,
+    "order_lines": inputs.ORDER_LINES,
+    "restaurants": inputs.RESTAURANTS,
+}
+
+
+def test_commerce_tables_and_a_report_on_them(spark, tmp_path):
+    frames = {name: derive(spark, SMALL, sql) for name, sql in COMMERCE.items()}
+    for name, df in frames.items():
+        P.write_table(df, f"{tmp_path}/bronze/{name}")
+    built = {}
+    for job in ("customer_lifetime_value", "item_options", "top_performing_locations"):
+        report = run(spark, job, str(tmp_path), DAYS[0])
+        assert report.rows_in == {
+            f"bronze/{n}": frames[n].count() for n in (t.split("/")[1] for t in report.rows_in)
+        }
+        built[job] = P.read_table(spark, f"{tmp_path}/gold/{job}")
+        assert report.rows_out == built[job].count() > 0
+    schemas.CUSTOMER_LIFETIME_VALUE.check(built["customer_lifetime_value"])
+    schemas.ITEM_OPTIONS.check(built["item_options"])
+    schemas.TOP_PERFORMING_LOCATIONS.check(built["top_performing_locations"])
+    direct = commerce.customer_lifetime_value(frames["orders"], frames["customers"])
+    assert rows(built["customer_lifetime_value"]) == rows(direct)
+    built["top_performing_locations"].createOrReplaceTempView("top_performing_locations")
+    named = read_named(spark, "top_performing_locations", schemas.TOP_PERFORMING_LOCATIONS)
+    assert reports.locations_ranking(named).first().revenue_rank == 1
+
+
+def test_scratch_is_dropped(spark):
+    staged = stage(spark.range(3), "t")
+    files = [Path(f.removeprefix("file://")) for f in staged.df.inputFiles()]
+    assert all(f.exists() for f in files) and files
+    session.drop_scratch(spark)
+    assert not any(f.exists() for f in files)
+
+
 def test_command_line_extract_and_calls(spark, tmp_path):
     url, login = "jdbc:derby:memory:cli;create=true", tmp_path / "login.json"
     login.write_text('{"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}')
     spark.range(5).write.jdbc(url, "APP.date_dim", properties=json.loads(login.read_text()))
     base = ["extract", "--url", url, "--properties", str(login), "--schema", "APP"]
-    main([*base, "--tables", "date_dim", "--out", str(tmp_path / "bronze")])
+    out = str(tmp_path / "bronze")
+    main([*base, "--tables", "date_dim", "--hash_field", 'date_dim="id"', "--slices", "3", "--out", out])
     assert P.read_table(spark, f"{tmp_path}/bronze/date_dim").count() == 5
     with pytest.raises(ExtractFailed, match="order_items"):
         main([*base, "--out", str(tmp_path / "bronze")])
