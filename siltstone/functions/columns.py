@@ -36,16 +36,20 @@ def default_url(url: Column, media_id: Column, base_url: str) -> Column:
     return F.when(is_blank(url), F.concat(F.lit(base_url), media_id)).otherwise(url)
 
 
+# What counts as a number in text. A cast alone also takes Java's type suffixes ("1d"),
+# hexadecimal floats and "nan", and turns numbers out of range into infinity.
+DECIMAL_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+INFINITE_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
+
+
 def lenient_number(df: DataFrame, name: str) -> Column:
     """Number in a text or numeric column; anything unreadable becomes NULL."""
     c = F.col(name)
     if not isinstance(df.schema[name].dataType, T.StringType):
-        return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-    text = F.trim(c)
-    # A cast to double takes Java's type suffixes ("1d", "2f"), which are not numbers here.
-    suffixed = text.rlike("[dDfF]$") & ~F.lower(text).endswith("inf")
-    number = F.when(~suffixed, text.try_cast("double"))
-    return F.nanvl(number, F.lit(None).cast("double"))
+        return skip_nan(c)
+    number = c.try_cast("double")
+    in_range = F.abs(number) != float("inf")
+    return F.when((c.rlike(DECIMAL_TEXT) & in_range) | c.rlike(INFINITE_TEXT), number)
 
 
 def whole_count(df: DataFrame, name: str) -> Column:

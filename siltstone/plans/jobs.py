@@ -26,7 +26,11 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Report:
-    """What a run read and wrote, counted while it was written."""
+    """What a run read and wrote, counted while it was written.
+
+    rows_out is exact. Where a lost executor made Spark repeat tasks below a shuffle,
+    rows_in counts their rows again.
+    """
 
     job: str
     rows_in: dict[str, int]

@@ -78,9 +78,11 @@ def write_partition(df: DataFrame, root: str, day: date) -> int:
     fails half-way leaves the old partition readable. It replaces nothing when there are
     no rows, so an empty result empties the date's folder instead.
     """
-    dated, seen = counted(df.withColumn(INGESTED_DATE, F.lit(day)))
+    checked, seen = counted(df.drop(INGESTED_DATE))
     (
-        dated.write.mode("overwrite")
+        # Added last, the date is a known constant to the writer, which would else sort by it.
+        checked.withColumn(INGESTED_DATE, F.lit(day))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(INGESTED_DATE)
         .parquet(root)

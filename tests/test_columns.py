@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def test_whole_counts(spark):
     assert _apply(numbers, C.whole_count(numbers, "t")) == [2, 0, 0]
 
 
+# Texts near the edge of what is a number.
+NUMBER_TEXTS = """1_000 0x10 +5 5. .5 . 1e400 -1e400 True 1,000 --1 1e e5 inf -inf Infinity +inf INF infinity
+NaN nan NA None null 1d 1D 2f 0x1p3 1e5f 00012 1E3 1e+3 -0 5- 1.2.3 9007199254740993 0.1 1e-400 infd
+1L 0b11 +-5 inff e 1e+ 3.e2""".split() + ["", " ", "\t7\n", " 8", "1 2", "- 5", " +7 ", "\r9", "١", "１２"]
+
+
+def test_numbers_in_text_equal_pandas(spark):
+    expected = pd.to_numeric(pd.Series(NUMBER_TEXTS, dtype=object), errors="coerce")
+    df = _texts(spark, *NUMBER_TEXTS)
+    got = _apply(df, C.lenient_number(df, "t"))
+    assert got == [None if x != x else x for x in expected]
+
+
 def test_infinite_count_raises(spark):
     df = _texts(spark, "inf")
     with pytest.raises(PySparkException, match="CAST_OVERFLOW"):

@@ -111,6 +111,41 @@ def test_location_cadence(spark):
     ]
 
 
+def _bucketed(spark, name, df, key):
+    df.write.bucketBy(8, key).mode("overwrite").saveAsTable(name)
+    return spark.table(name)
+
+
+def test_tables_bucketed_by_their_keys_need_no_shuffle_of_lines(spark, with_conf):
+    """The groupings and joins fit a bucketing by order or customer as they are."""
+    with_conf(
+        spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"
+    )
+    orders, who, lines, dates, places = (
+        derive(spark, SMALL, sql)
+        for sql in (
+            inputs.CLV_ORDERS,
+            inputs.CLV_CUSTOMERS,
+            inputs.ORDER_LINES,
+            inputs.ORDER_DATES,
+            inputs.RESTAURANTS,
+        )
+    )
+    totals = commerce.customer_totals(
+        _bucketed(spark, "orders_b", orders, "customer_id"),
+        _bucketed(spark, "customers_b", who, "customer_id"),
+    )
+    assert "Exchange" not in plan(totals)
+    assert rows(totals) == rows(commerce.customer_totals(orders, who))
+    located = commerce.location_totals(
+        _bucketed(spark, "lines_b", lines, "order_id"),
+        _bucketed(spark, "dates_b", dates, "order_id"),
+        places,
+    )
+    assert "hashpartitioning(order_id" not in plan(located)
+    assert rows(located) == rows(commerce.location_totals(lines, dates, places))
+
+
 def test_item_options(spark):
     lines = spark.createDataFrame(
         [(1, 2.0, False), (1, 3.0, True), (2, 5.0, False), (3, 1.0, False), (2, NAN, False)],
