@@ -31,7 +31,7 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return zoneless(fn(session.pin_utc(spark), sf_dir))
+            return zoneless(fn(session.pin(spark), sf_dir))
 
         QUERIES[fn.__name__] = run
         if sql is not None:

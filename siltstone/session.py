@@ -12,19 +12,23 @@ def create(app_name: str = "siltstone", **conf: str) -> SparkSession:
     """Session for the jobs; the cluster's own settings stay unless given here."""
     builder = (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return pin_utc(builder.getOrCreate())
+    return pin(builder.getOrCreate())
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Timestamps without an offset are read as UTC, whatever the host's zone."""
+def pin(spark: SparkSession) -> SparkSession:
+    """Options that results depend on, set on the session.
+
+    Timestamps without an offset are read as UTC, whatever the host's zone. Of a key that
+    a JSON object repeats, the last value counts; by default the object is unreadable.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -38,6 +41,47 @@ def test_missing_and_null_fields(spark):
     )
 
 
+def test_repeated_keys_take_the_last_value(spark):
+    raw = '{"collection":[{"uri":"a","uri":"b","location":{"email":1},"location":{"email":"x"}}]}'
+    assert rows(calls.flatten_calls(pages(spark, raw)))[0][0::5] == ("b", "x")
+
+
+def _by_hand(document):
+    """One page as plain dictionary look-ups; a null location counts as missing."""
+    out = []
+    for call in json.loads(document).get("collection", []):
+        location = call.get("location", {}) or {}
+        out.append(
+            (
+                *(call.get(k, "") for k in ("uri", "event_type", "start_time", "end_time")),
+                call.get("status", "N/A"),
+                location.get("email", "N/A"),
+            )
+        )
+    return out
+
+
+def test_random_documents_equal_dictionary_look_ups(spark):
+    rng = random.Random(8)
+    texts = ["", "completed", 'say "hi"', "línea\nnueva", "\\ back", "日本 🎉", "\t", "N/A", None]
+
+    def some(*keys):
+        return {k: rng.choice(texts) for k in keys if rng.random() < 0.7}
+
+    def call():
+        made = some("uri", "event_type", "start_time", "end_time", "status", "extra")
+        if rng.random() < 0.8:
+            made["location"] = rng.choice([None, {}, some("email", "type"), some("email")])
+        return made
+
+    documents = [
+        json.dumps({"collection": [call() for _ in range(rng.randrange(5))], "next": None})
+        for _ in range(300)
+    ]
+    expected = [row for document in documents for row in _by_hand(document)]
+    assert rows(calls.flatten_calls(pages(spark, *documents))) == sorted(expected, key=repr)
+
+
 def test_pages_without_usable_content(spark):
     df = pages(spark, "{}", '{"collection": []}', "not json", None, '{"collection": null}')
     assert calls.flatten_calls(df).count() == 0
