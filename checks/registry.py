@@ -351,7 +351,7 @@ def calls_export_metrics(spark, sf_dir):
 
 SQL_CLV_TOTALS = """(
 SELECT o_custkey AS customer_id, c_mktsegment AS currency,
-       round(sum(o_totalprice), 4) AS total_spend,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 4))) AS DOUBLE) AS total_spend,
        count(DISTINCT o_orderkey) AS total_orders,
        date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))
            AS customer_lifespan_days
@@ -543,7 +543,7 @@ SELECT CAST(rank() OVER (PARTITION BY currency ORDER BY total_revenue DESC) AS I
        restaurant_id, currency, total_revenue, total_revenue / total_orders AS avg_order_value,
        total_orders, total_orders / CAST(days AS DOUBLE) AS avg_daily_orders,
        total_orders / CAST(weeks AS DOUBLE) AS avg_weekly_orders
-FROM (SELECT l.restaurant_id, currency, round(sum(revenue), 4) AS total_revenue,
+FROM (SELECT l.restaurant_id, currency, CAST(sum(CAST(revenue AS DECIMAL(18, 4))) AS DOUBLE) AS total_revenue,
              count(DISTINCT l.order_id) AS total_orders, count(DISTINCT order_date) AS days,
              count(DISTINCT date_trunc('week', order_date)) AS weeks
       FROM {as_sql(inputs.ORDER_LINES)} l

@@ -69,14 +69,26 @@ def amount(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def money(c: Column) -> Column:
-    """A sum of money as a double, to four decimals.
+# Money is summed in whole units of a ten-thousandth.
+MONEY_UNITS = 10_000
+
+
+def money_units(df: DataFrame, name: str) -> Column:
+    """An amount in whole units, so that sums are exact and fast.
 
     A sum of doubles varies in its last bits with the order of summing, and so with how
-    tasks were split or retried. Amounts of at most four decimals give the same rounded
-    sum in any order, so that reruns and ranks agree.
+    tasks were split or retried. Sums of whole numbers do not, and neither do the ranks
+    and segments that follow from them.
     """
-    return F.round(c.cast("double"), 4)
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.rint(skip_nan(c) * MONEY_UNITS).cast("bigint")
+    return (c.cast("decimal(38, 4)") * MONEY_UNITS).cast("bigint")
+
+
+def money_total(units: Column) -> Column:
+    """Sum of unit sums as a double. It is wider than a bigint: one key may hold very much."""
+    return F.sum(units.cast("decimal(38, 0)")).cast("double") / MONEY_UNITS
 
 
 def percent(part: Column, whole: Column) -> Column:

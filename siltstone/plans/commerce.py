@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.columns import amount, money
+from siltstone.functions.columns import amount, money_total, money_units
 from siltstone.operators.ranking import ONE_TASK_ROWS, exact_quantiles, rank_within
 from siltstone.sources.staging import stage
 
@@ -25,12 +25,12 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
     customer table joins the finished totals, one row per key on both sides.
     """
     per_order = orders.groupBy("customer_id", "order_id").agg(
-        F.sum(amount(orders, "amount")).alias("amount"),
+        F.sum(money_units(orders, "amount")).alias("units"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
     )
     per_customer = per_order.groupBy("customer_id").agg(
-        money(F.sum("amount")).alias("total_spend"),
+        money_total(F.col("units")).alias("total_spend"),
         F.count("order_id").alias("total_orders"),
         F.datediff(F.max("last_date"), F.min("first_date")).alias("customer_lifespan_days"),
     )
@@ -109,15 +109,15 @@ def location_totals(
     is spread by order and by day until only its days remain.
     """
     per_order = order_lines.groupBy("order_id", "restaurant_id").agg(
-        F.sum(amount(order_lines, "revenue")).alias("revenue")
+        F.sum(money_units(order_lines, "revenue")).alias("units")
     )
     per_day = (
         per_order.join(orders.select("order_id", "order_date"), "order_id")
         .groupBy("restaurant_id", F.col("order_date").cast("date").alias("day"))
-        .agg(F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders"))
+        .agg(F.sum("units").alias("units"), F.count("order_id").alias("orders"))
     )
     per_restaurant = per_day.groupBy("restaurant_id").agg(
-        money(F.sum("revenue")).alias("total_revenue"),
+        money_total(F.col("units")).alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
         F.count("day").alias("days"),
         F.count_distinct(F.date_trunc("week", "day")).alias("weeks"),
