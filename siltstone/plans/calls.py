@@ -96,9 +96,10 @@ class CallFiles(NamedTuple):
 
 
 def export_calls(pages: DataFrame, out_root: str, run_stamp: str) -> CallFiles:
-    """Write the calls and their completion rate as CSV, reading the pages once.
+    """Write the calls and their completion rate as CSV.
 
-    The two counts behind the rate are taken while the calls are written.
+    After a look at whether there is any call, the pages are read once: the two counts
+    behind the rate are taken while the calls are written.
     """
     root = out_root.rstrip("/")
     seen = Observation()

@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/siltstone/{spark.sparkContext.applicationId}"
+    return f"{shared_dir(spark)}/siltstone/{spark.conf.get('spark.app.id')}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -83,7 +83,8 @@ def extract_tables(
             outcome.append((table, "ok", rows, None))
             log.info("%s: %d rows", table, rows)
         except Exception as error:
-            outcome.append((table, "failed", None, str(error).splitlines()[0]))
+            lines = str(error).splitlines() or [type(error).__name__]
+            outcome.append((table, "failed", None, lines[0]))
             log.error("%s: %s", table, error)
     status = spark.createDataFrame(outcome, STATUS)
     failed = [row[0] for row in outcome if row[1] == "failed"]
