@@ -91,6 +91,8 @@ SILVER_MEDIA_STATS = Contract(
 
 SILVER_VISITORS = Contract("silver visitors", ("visitor_key", "load_count", "play_count"))
 
+VISITOR_FIRST_SEEN = Contract("visitor_first_seen", ("visitor_key", "ip", "country"))
+
 LANDED_PAGES = Contract("landed pages", ("event_type", "status_code", "raw"))
 
 ORDERS = Contract("orders", ("customer_id", "order_id", "amount", "order_date"))
