@@ -49,7 +49,7 @@ FROM {events} GROUP BY user_id, event_type
 
 # A third of the rows share one visitor, with many of them equal.
 VISITORS_HOT = """
-SELECT CASE WHEN user_id % 3 = 0 THEN '42' ELSE CAST(user_id AS STRING) END AS visitor_key,
+SELECT CASE WHEN user_id % 3 = 0 THEN '13' ELSE CAST(user_id AS STRING) END AS visitor_key,
        count(*) AS load_count,
        count(CASE WHEN value > 50 THEN 1 END) AS play_count
 FROM {events} GROUP BY user_id, event_type

@@ -4,27 +4,29 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
 COPIES = "__copies"
 
-# A right-side key with at least this many rows is spread over several tasks.
+# A right-side key with at least this many rows is spread, with this many salts or a
+# multiple of them.
 HOT_ROWS = 1_000_000
+SALTS_PER_HOT_ROWS = 16
 
 # Longest key list held on the driver. A key outside it has fewer than 1/256 of the rows.
 MAX_HOT_KEYS = 256
 
-# Tasks a hot or NULL key is spread over.
-SPREAD = 512
+# Most tasks a hot key is spread over, and so most repeats of its left rows.
+MAX_SPREAD = 4_096
 
 # Equal rows of a hot key travel as one row with a count, at most this many each.
 COPIES_PER_ROW = 1_000
 
 
-def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
-    """The keys with at least hot_rows rows, largest first."""
+def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
+    """The keys with at least hot_rows rows and their counts, largest first."""
     counts = (
         df.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -32,7 +34,7 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
         .where(F.col("rows") >= hot_rows)
     )
     top = counts.orderBy(F.desc("rows"), key).limit(MAX_HOT_KEYS)
-    return [row[0] for row in top.select(key).collect()]
+    return {row[0]: row[1] for row in top.select(key, "rows").collect()}
 
 
 def left_join(
@@ -51,10 +53,10 @@ def left_join(
     Left rows with a NULL key match nothing; theirs is a hash of spread_by, so they do not
     all go to one task. A key that is hot on the left only is split at run time by
     Spark's own skew handling, which may cut the left side of a left join. A key that is
-    hot on the right cannot be cut that way, so its rows are salted here and its left
-    rows repeated once per salt.
+    hot on the right cannot be cut that way, so its rows are salted here, with salts in
+    proportion to them, and its left rows are repeated once per salt.
     """
-    hot = [] if unique_right else heavy_keys(right, key, hot_rows)
+    hot = {} if unique_right else heavy_keys(right, key, hot_rows)
     k = F.col(key)
     plain = F.xxhash64(k)
     keyless = F.xxhash64(F.col(spread_by))
@@ -62,28 +64,34 @@ def left_join(
         salted = left.withColumn(SALT, F.when(k.isNull(), keyless).otherwise(plain))
         return salted.join(right.withColumn(SALT, plain), [key, SALT], "left").drop(SALT)
 
+    spread = {
+        value: min(MAX_SPREAD, rows * SALTS_PER_HOT_ROWS // hot_rows)
+        for value, rows in hot.items()
+    }
+    salts_of_key = F.create_map(*[F.lit(x) for pair in spread.items() for x in pair])[k]
+    is_hot = k.isin(list(hot))
     every_salt = F.transform(
-        F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda salt: F.xxhash64(k, salt)
+        F.sequence(F.lit(0), salts_of_key - 1), lambda salt: F.xxhash64(k, salt)
     )
     salts = (
         F.when(k.isNull(), F.array(keyless))
-        .when(k.isin(hot), every_salt)
+        .when(is_hot, every_salt)
         .otherwise(F.array(plain))
     )
-    cold = right.where(~k.isin(hot)).withColumns({SALT: plain, COPIES: F.lit(1)})
-    spread = _spread_hot(right.where(k.isin(hot)), key)
+    cold = right.where(~is_hot).withColumns({SALT: plain, COPIES: F.lit(1)})
+    pieces = _hot_pieces(right.where(is_hot), key, salts_of_key)
     joined = left.withColumn(SALT, F.explode(salts)).join(
-        cold.unionByName(spread), [key, SALT], "left"
+        cold.unionByName(pieces), [key, SALT], "left"
     )
     # A hot key has right rows under some salts for certain, so a repeat that met none is
     # not an unmatched row but a surplus one.
     matched = F.col(COPIES).isNotNull()
-    surplus = ~matched & F.coalesce(k.isin(hot), F.lit(False))
+    surplus = ~matched & F.coalesce(is_hot, F.lit(False))
     repeat = F.sequence(F.lit(1), F.coalesce(F.col(COPIES), F.lit(1)))
     return joined.where(~surplus).withColumn(COPIES, F.explode(repeat)).drop(SALT, COPIES)
 
 
-def _spread_hot(rows: DataFrame, key: str) -> DataFrame:
+def _hot_pieces(rows: DataFrame, key: str, salts_of_key: Column) -> DataFrame:
     """Hot rows with equal ones counted, long counts cut, and a salt on each piece."""
     columns = [F.col(c) for c in rows.columns]
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
@@ -91,7 +99,7 @@ def _spread_hot(rows: DataFrame, key: str) -> DataFrame:
     cut = counted.withColumn("__piece", F.explode(F.sequence(F.lit(1).cast("bigint"), pieces)))
     before = (F.col("__piece") - 1) * COPIES_PER_ROW
     copies = F.least(F.lit(COPIES_PER_ROW), F.col("__rows") - before).cast("int")
-    salt = F.pmod(F.xxhash64(*columns, F.col("__piece")), F.lit(SPREAD)).cast("int")
+    salt = F.pmod(F.xxhash64(*columns, F.col("__piece")), salts_of_key).cast("int")
     return cut.withColumns({SALT: F.xxhash64(F.col(key), salt), COPIES: copies}).drop(
         "__rows", "__piece"
     )

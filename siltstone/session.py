@@ -14,6 +14,8 @@ def create(app_name: str = "siltstone", **conf: str) -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcasts are chosen by file size; rows in memory are larger than compressed files.
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():
