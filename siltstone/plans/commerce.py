@@ -3,9 +3,10 @@
 The reports fix the columns of these tables but nothing fixes how they are computed; the
 definitions here are this project's own.
 
-The joins are hinted to merge. Each meets a side that is grouped, and so partitioned, by the
-join key already, and the other side grows with the data: a broadcast would save little
-and is chosen by the size of compressed files, which says little of its size in memory.
+Each join meets a side that is grouped, and so partitioned, by the join key already, so a
+merge moves the other side only. The join with orders is hinted to be one: orders grow
+with their lines, and Spark would choose a broadcast by the size of compressed files, which says
+little of the size in memory.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.datediff(F.max("last_date"), F.min("first_date")).alias("customer_lifespan_days"),
     )
     return per_customer.join(
-        customers.select("customer_id", "currency").hint("merge"), "customer_id", "left"
+        customers.select("customer_id", "currency"), "customer_id", "left"
     ).select(
         "customer_id",
         "total_spend",
@@ -89,7 +90,7 @@ def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("removed"), quantity)).alias("gone"),
     )
     return (
-        per_id.join(menu.select("item_id", "item_name", "option_name").hint("merge"), "item_id")
+        per_id.join(menu.select("item_id", "item_name", "option_name"), "item_id")
         .groupBy("item_name", "option_name")
         .agg(
             F.coalesce(F.sum("added"), F.lit(0)).cast("bigint").alias("total_added_count"),
@@ -127,7 +128,7 @@ def location_totals(
         F.count_distinct(F.date_trunc("week", "day")).alias("weeks"),
     )
     return per_restaurant.join(
-        restaurants.select("restaurant_id", "currency").hint("merge"), "restaurant_id", "left"
+        restaurants.select("restaurant_id", "currency"), "restaurant_id", "left"
     ).select(
         "restaurant_id",
         "currency",
