@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks import inputs
-from checks.inputs import as_sql, derive
+from siltstone_checks import inputs
+from siltstone_checks.inputs import as_sql, derive
 from siltstone import session
 from siltstone.plans import calls, commerce, gold, reports, silver
 from siltstone.sources import partitions, relational, text

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 
 from siltstone.plans import calls
 from siltstone.sources import text
-from checks.registry import CSV_CALLS, CSV_RATE
+from siltstone_checks.registry import CSV_CALLS, CSV_RATE
 from tests.conftest import rows
 
 

@@ -4,8 +4,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from checks import inputs
-from checks.inputs import derive
+from siltstone_checks import inputs
+from siltstone_checks.inputs import derive
 from siltstone.plans import commerce, reports
 from tests.conftest import SMALL, plan, rows
 

@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from checks import inputs
-from checks.inputs import derive
+from siltstone_checks import inputs
+from siltstone_checks.inputs import derive
 from siltstone.plans import gold, silver
 from tests.conftest import SMALL, rows
 

@@ -6,8 +6,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from checks import inputs
-from checks.inputs import derive
+from siltstone_checks import inputs
+from siltstone_checks.inputs import derive
 from siltstone import schemas, session
 from siltstone.__main__ import main
 from siltstone.plans import commerce, gold, reports, silver
