@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from siltstone.sources.staging import stage
@@ -53,3 +57,42 @@ def in_order(df: DataFrame, order: list[Column], name: str, value: str | None =
         inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
         rows = rows.withColumn("before", F.col("_sum") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return rows.drop("_at", "_file", "_row", "_first", "_sum")
+
+
+_KINDS = {
+    "long": (T.LongType(), pa.int64()),
+    "double": (T.DoubleType(), pa.float64()),
+    "boolean": (T.BooleanType(), pa.bool_()),
+    "string": (T.StringType(), pa.string()),
+    "binary": (T.BinaryType(), pa.binary()),
+    "array<long>": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+}
+
+
+def add_columns(
+    df: DataFrame,
+    keep: Sequence[str],
+    inputs: Sequence[Column],
+    make: Callable[[], Callable[..., Sequence[Sequence]]],
+    added: dict[str, str],
+) -> DataFrame:
+    """The kept columns of df and columns made in Python, a row for a row.
+
+    make runs once a task; what it returns gets the input columns of a batch as lists and
+    returns the added columns as lists. Kept columns pass through untouched.
+    """
+    small_batches(df.sparkSession)
+    n = len(keep)
+    rows = df.select(*keep, *(c.alias(f"_in{i}") for i, c in enumerate(inputs)))
+    schema = T.StructType(list(rows.schema)[:n])
+    for name, kind in added.items():
+        schema = schema.add(name, _KINDS[kind][0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for batch in batches:
+            made = f(*(c.to_pylist() for c in batch.columns[n:]))
+            new = [pa.array(v, _KINDS[k][1]) for v, k in zip(made, added.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *new], names=[*batch.schema.names[:n], *added])
+
+    return rows.mapInArrow(run, schema)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from siltstone.llm import mixing, sharding
+from siltstone.llm import decontamination, language, mixing, neardup, sharding
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
+    "op3_language_mixture": language.op3_language_mixture,
     "op4_source_schedule": mixing.op4_source_schedule,
+    "op6_order_minhash": neardup.op6_order_minhash,
+    "op10_benchmark_windows": decontamination.op10_benchmark_windows,
 }
 ORACLE = {
     "op4_source_schedule": mixing.OP4_SQL,
+    "op10_benchmark_windows": decontamination.OP10_SQL,
 }
