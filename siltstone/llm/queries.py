@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from siltstone.llm import decontamination, language, mixing, neardup, sharding
+from siltstone.llm import chat, decontamination, fingerprints, language, mixing, neardup, sharding
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
     "op3_language_mixture": language.op3_language_mixture,
     "op4_source_schedule": mixing.op4_source_schedule,
+    "op5_piecewise_hashes": fingerprints.op5_piecewise_hashes,
     "op6_order_minhash": neardup.op6_order_minhash,
+    "op8_template_compiler": chat.op8_template_compiler,
     "op10_benchmark_windows": decontamination.op10_benchmark_windows,
 }
 ORACLE = {
