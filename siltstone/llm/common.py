@@ -66,6 +66,8 @@ _KINDS = {
     "string": (T.StringType(), pa.string()),
     "binary": (T.BinaryType(), pa.binary()),
     "array<long>": (T.ArrayType(T.LongType()), pa.list_(pa.int64())),
+    "array<double>": (T.ArrayType(T.DoubleType()), pa.list_(pa.float64())),
+    "array<string>": (T.ArrayType(T.StringType()), pa.list_(pa.string())),
 }
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, decontamination, fingerprints, language, mixing, neardup, sharding
+from siltstone.llm import chat, decontamination, fingerprints, html_text, language, mixing, neardup, pii, sharding, urls
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
+    "op2_boosted_spans": pii.op2_boosted_spans,
     "op3_language_mixture": language.op3_language_mixture,
     "op4_source_schedule": mixing.op4_source_schedule,
     "op5_piecewise_hashes": fingerprints.op5_piecewise_hashes,
     "op6_order_minhash": neardup.op6_order_minhash,
+    "op7_url_language_models": urls.op7_url_language_models,
     "op8_template_compiler": chat.op8_template_compiler,
+    "op9_host_suffixes": html_text.op9_host_suffixes,
     "op10_benchmark_windows": decontamination.op10_benchmark_windows,
 }
 ORACLE = {
