@@ -32,6 +32,20 @@ def word_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def set_apart(docs: DataFrame, used: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """docs with every column but the used ones renamed, and the new name of each.
+
+    An operator that keeps all columns can then add its own under any name.
+    """
+    names = {c: c if c in used else f"_x{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+
+
+def put_back(df: DataFrame, names: dict[str, str], *added: str) -> DataFrame:
+    """The columns that `set_apart` renamed, under their names, and added ones behind them."""
+    return df.select(*(F.col(n).alias(c) for c, n in names.items() if c not in added), *added)
+
+
 def in_order(df: DataFrame, order: list[Column], name: str, value: str | None = None) -> DataFrame:
     """df with rank (0-based place in the order, gapless) and total (rows), staged.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import add_columns, table
+from siltstone.llm.common import add_columns, put_back, set_apart, table
 from siltstone.llm.words import WORD, normal, words
 
 WINDOW = 10
@@ -156,7 +156,8 @@ def contamination(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any benchmark window, with their columns."""
-    return searched(docs, items, docs.columns).where(F.size("_hits") == 0).select(*docs.columns)
+    own, names = set_apart(docs, ["text"])
+    return put_back(searched(own, items, own.columns).where(F.size("_hits") == 0), names)
 
 
 def op10_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import add_columns, small_batches, table
+from siltstone.llm.common import add_columns, put_back, set_apart, small_batches, table
 
 UNKNOWN = "und"
 BUCKETS = 4096
@@ -166,10 +166,9 @@ def predicted(docs: DataFrame, keep: Sequence[str], langs: list[str], model: np.
 def recognised(docs: DataFrame) -> DataFrame:
     """The documents whose main language reaches MIN_SHARE, with their columns."""
     langs, model = learn(docs)
-    own = docs.select(*(F.col(c).alias(f"_d{i}") for i, c in enumerate(docs.columns)), F.col("text").alias("text"))
-    kept = [f"_d{i}" for i in range(len(docs.columns))]
-    found = predicted(own, kept, langs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE))
-    return found.select(*(F.col(k).alias(c) for k, c in zip(kept, docs.columns, strict=True)))
+    own, names = set_apart(docs, ["text"])
+    found = predicted(own, list(names.values()), langs, model)
+    return put_back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE)), names)
 
 
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

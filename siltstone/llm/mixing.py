@@ -17,11 +17,11 @@ doc_id and size; an empty table gives an empty result. Other columns are ignored
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import in_order, table, word_text
+from siltstone.llm.common import in_order, put_back, set_apart, table, word_text
 from siltstone.sources.staging import stage
 
 WEIGHTS = (3, 1, 2)
@@ -33,6 +33,14 @@ SLOTS = 1 << SLOT_BITS
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def source_key() -> Column:
+    return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+
+
+def word_count() -> Column:
+    return F.regexp_count(word_text("text"), F.lit(WORD)).cast("long")
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and digest of every document.
 
@@ -41,8 +49,8 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
         "source",
-        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("_key"),
-        F.regexp_count(word_text("text"), F.lit(WORD)).cast("long").alias("size"),
+        source_key().alias("_key"),
+        word_count().alias("size"),
         F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_digest"),
     )
 
@@ -180,14 +188,11 @@ def mix(docs: DataFrame) -> DataFrame:
     copies = passes.groupBy("_uid", "doc_id", "_key", "size").agg(F.count("*").alias("_copies"))
     copies = copies.groupBy("doc_id", "_key", "size").agg(F.max("_copies").alias("_copies"))
     copies = copies.select(*(F.col(c).alias(f"_m_{c}") for c in copies.columns))
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    size = F.regexp_count(word_text("text"), F.lit(WORD)).cast("long")
-    found = docs.join(
-        copies,
-        F.col("doc_id").eqNullSafe(F.col("_m_doc_id")) & (key == F.col("_m__key")) & (size == F.col("_m_size")),
-    )
-    repeated = found.withColumn("_copy", F.explode(F.expr("sequence(1, _m__copies)")))
-    return repeated.select(*docs.columns)
+    own, names = set_apart(docs, ["doc_id", "source", "text"])
+    same = F.col("doc_id").eqNullSafe(F.col("_m_doc_id")) & (F.col("_own_key") == F.col("_m__key"))
+    own = own.withColumns({"_own_key": source_key(), "_own_size": word_count()})
+    found = own.join(copies, same & (F.col("_own_size") == F.col("_m_size")))
+    return put_back(found.withColumn("_copy", F.explode(F.expr("sequence(1, _m__copies)"))), names)
 
 
 OP4_SQL = r"""

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import add_columns, table, word_text
+from siltstone.llm.common import add_columns, put_back, set_apart, table, word_text
 from siltstone.llm.words import mixed, word_hashes
 from siltstone.sources.staging import stage
 
@@ -239,9 +239,10 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     found = classes(docs, least).where("_id = class_id")
     kept = found.groupBy("_id").agg(F.min(F.struct("_k1", "_k2")).alias("_k")).select("_id", "_k._k1", "_k._k2")
     kept = kept.select(F.col("_id").alias("_kept"), F.col("_k1").alias("_kept1"), F.col("_k2").alias("_kept2"))
-    own = docs.withColumns(_text_keys())
+    own, names = set_apart(docs, ["doc_id", "text"])
+    own = own.withColumns(_text_keys())
     same = (F.col("_id") == F.col("_kept")) & (F.col("_k1") == F.col("_kept1")) & (F.col("_k2") == F.col("_kept2"))
-    return own.join(kept, same).dropDuplicates(["_id", "_k1", "_k2"]).select(*docs.columns)
+    return put_back(own.join(kept, same).dropDuplicates(["_id", "_k1", "_k2"]), names)
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.common import in_order, table
+from siltstone.llm.common import in_order, put_back, set_apart, table
 from siltstone.sources.staging import stage
 
 SHARDS = 16
@@ -122,9 +122,11 @@ def shards(
 
     The statistics read a narrow table; the rows themselves are sorted and written once.
     """
-    sized = with_size(docs)
+    own, names = set_apart(docs, ["doc_id", "text", *dimensions])
+    sized = with_size(own)
     narrow = stage(sized.select(*dimensions), "dimensions").df
-    return cut_runs(sized.withColumn("curve", curve_column(narrow, dimensions, bits)), count)
+    rows = cut_runs(sized.withColumn("curve", curve_column(narrow, dimensions, bits)), count)
+    return put_back(rows, names, *ADDED)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
