@@ -47,7 +47,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         nargs="+",
         default=[],
         metavar="TABLE=COLUMN",
-        help="whole-number columns to read tables in slices by",
+        help="columns to read tables in slices by",
     )
     extract.add_argument("--slices", type=int, default=HASH_PARTITIONS)
     extract.add_argument("--out", required=True)

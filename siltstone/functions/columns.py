@@ -43,9 +43,15 @@ INFINITE_TEXT = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def lenient_number(df: DataFrame, name: str) -> Column:
-    """Number in a text or numeric column; anything unreadable becomes NULL."""
+    """Number in a text or numeric column; anything unreadable becomes NULL.
+
+    Whole numbers and decimals stay as they are: as doubles they would lose digits.
+    """
     c = F.col(name)
-    if not isinstance(df.schema[name].dataType, T.StringType):
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return c
+    if not isinstance(kind, T.StringType):
         return skip_nan(c)
     number = c.try_cast("double")
     in_range = F.abs(number) != float("inf")
@@ -54,7 +60,7 @@ def lenient_number(df: DataFrame, name: str) -> Column:
 
 def whole_count(df: DataFrame, name: str) -> Column:
     """Lenient number, NULL as 0, cut toward zero; infinity raises."""
-    return F.coalesce(lenient_number(df, name), F.lit(0.0)).cast("bigint")
+    return F.coalesce(lenient_number(df, name), F.lit(0)).cast("bigint")
 
 
 def skip_nan(c: Column) -> Column:
@@ -69,28 +75,6 @@ def amount(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-# Money is summed in whole units of a ten-thousandth.
-MONEY_UNITS = 10_000
-
-
-def money_units(df: DataFrame, name: str) -> Column:
-    """An amount in whole units, so that sums are exact and fast.
-
-    A sum of doubles varies in its last bits with the order of summing, and so with how
-    tasks were split or retried. Sums of whole numbers do not, and neither do the ranks
-    and segments that follow from them.
-    """
-    c = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.rint(skip_nan(c) * MONEY_UNITS).cast("bigint")
-    return (c.cast("decimal(38, 4)") * MONEY_UNITS).cast("bigint")
-
-
-def money_total(units: Column) -> Column:
-    """Sum of unit sums as a double. It is wider than a bigint: one key may hold very much."""
-    return F.sum(units.cast("decimal(38, 0)")).cast("double") / MONEY_UNITS
-
-
 def percent(part: Column, whole: Column) -> Column:
     """part / whole * 100, and 0 when there is no whole."""
     return F.coalesce(F.try_divide(part, whole) * 100, F.lit(0.0))

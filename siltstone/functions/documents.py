@@ -26,7 +26,7 @@ def required_field(doc: Column, path: str) -> Column:
     """Field as text; a document without the key fails the query."""
     present = F.try_variant_get(doc, path, "variant").isNotNull()
     return F.when(present, F.try_variant_get(doc, path, "string")).otherwise(
-        F.raise_error(F.concat(F.lit(f"no {path} in "), F.to_json(doc))).cast("string")
+        F.raise_error(F.lit(f"a document has no {path}")).cast("string")
     )
 
 

@@ -1,40 +1,16 @@
-"""Left outer join that keeps hot keys spread over tasks."""
+"""Left outer joins: with hot keys spread over tasks, and onto a side of unique keys."""
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-COPIES = "__copies"
-
-# A right-side key with at least this many rows is spread, with this many salts or a
-# multiple of them.
-HOT_ROWS = 1_000_000
-SALTS_PER_HOT_ROWS = 16
-
-# Longest key list held on the driver. A key outside it has fewer than 1/256 of the rows.
-MAX_HOT_KEYS = 256
-
-# Most tasks a hot key is spread over, and so most repeats of its left rows.
-MAX_SPREAD = 4_096
+SALTS = "__salts"
+MATCHED = "__matched"
 
-# Equal rows of a hot key travel as one row with a count, at most this many each.
-COPIES_PER_ROW = 1_000
-
-
-def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
-    """The keys with at least hot_rows rows and their counts, largest first."""
-    counts = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") >= hot_rows)
-    )
-    top = counts.orderBy(F.desc("rows"), key).limit(MAX_HOT_KEYS)
-    return {row[0]: row[1] for row in top.select(key, "rows").collect()}
+# Right rows of a key for each salt it gets.
+ROWS_PER_SALT = 1_000_000
 
 
 def left_join(
@@ -42,64 +18,68 @@ def left_join(
     right: DataFrame,
     key: str,
     spread_by: str,
-    unique_right: bool = False,
-    hot_rows: int = HOT_ROWS,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """left LEFT JOIN right USING (key), with the fan-out of repeated right keys.
 
-    Both sides carry a second join column, a hash of the key, which only a spread key
-    varies. (A constant would be folded away and leave the key alone to partition by.)
+    Spark cannot cut the right side of a left join, so a key gets a salt for every
+    rows_per_salt of its right rows, whatever their number: right rows are dealt out to the
+    salts by a hash of their columns, left rows are repeated once for each salt. A repeat that
+    meets no row of its salt is dropped, as the key has right rows under another salt.
 
-    Left rows with a NULL key match nothing; theirs is a hash of spread_by, so they do not
-    all go to one task. A key that is hot on the left only is split at run time by
-    Spark's own skew handling, which may cut the left side of a left join. A key that is
-    hot on the right cannot be cut that way, so its rows are salted here, with salts in
-    proportion to them, and its left rows are repeated once per salt.
+    Keys of one salt need no entry in the table of salts, so it has at most one row for every
+    rows_per_salt right rows, and that bound is what its broadcast rests on. A key that is
+    hot on the left only is cut by Spark's own skew handling. Left rows with a NULL key match
+    nothing; their salt is a hash of spread_by, so they do not all go to one task.
     """
-    hot = {} if unique_right else heavy_keys(right, key, hot_rows)
     k = F.col(key)
-    plain = F.xxhash64(k)
-    keyless = F.xxhash64(F.col(spread_by))
-    if not hot:
-        salted = left.withColumn(SALT, F.when(k.isNull(), keyless).otherwise(plain))
-        return salted.join(right.withColumn(SALT, plain), [key, SALT], "left").drop(SALT)
+    counts = right.where(k.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    salts = F.ceil(F.col("__rows") / rows_per_salt).cast("int")
+    hot = F.broadcast(counts.select(key, salts.alias(SALTS)).where(F.col(SALTS) > 1))
 
-    spread = {
-        value: min(MAX_SPREAD, rows * SALTS_PER_HOT_ROWS // hot_rows)
-        for value, rows in hot.items()
-    }
-    salts_of_key = F.create_map(*[F.lit(x) for pair in spread.items() for x in pair])[k]
-    is_hot = k.isin(list(hot))
-    every_salt = F.transform(
-        F.sequence(F.lit(0), salts_of_key - 1), lambda salt: F.xxhash64(k, salt)
+    repeated = left.join(hot, key, "left").withColumn(
+        SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - 1))
     )
-    salts = (
-        F.when(k.isNull(), F.array(keyless))
-        .when(is_hot, every_salt)
-        .otherwise(F.array(plain))
+    repeated = repeated.withColumn(
+        SALT, F.when(k.isNull(), F.xxhash64(F.col(spread_by))).otherwise(F.col(SALT).cast("long"))
     )
-    cold = right.where(~is_hot).withColumns({SALT: plain, COPIES: F.lit(1)})
-    pieces = _hot_pieces(right.where(is_hot), key, salts_of_key)
-    joined = left.withColumn(SALT, F.explode(salts)).join(
-        cold.unionByName(pieces), [key, SALT], "left"
+    # Text stands for a column of any type, also for those that have no hash of their own.
+    image = F.xxhash64(*[F.col(c).cast("string") for c in right.columns])
+    dealt = right.where(k.isNotNull()).join(hot, key, "left").withColumns(
+        {
+            SALT: F.coalesce(F.pmod(image, F.col(SALTS)), F.lit(0)).cast("long"),
+            MATCHED: F.lit(True),
+        }
     )
-    # A hot key has right rows under some salts for certain, so a repeat that met none is
-    # not an unmatched row but a surplus one.
-    matched = F.col(COPIES).isNotNull()
-    surplus = ~matched & F.coalesce(is_hot, F.lit(False))
-    repeat = F.sequence(F.lit(1), F.coalesce(F.col(COPIES), F.lit(1)))
-    return joined.where(~surplus).withColumn(COPIES, F.explode(repeat)).drop(SALT, COPIES)
+    joined = repeated.join(dealt.drop(SALTS), [key, SALT], "left")
+    kept = F.col(SALTS).isNull() | F.coalesce(F.col(MATCHED), F.lit(False))
+    return joined.where(kept).drop(SALT, SALTS, MATCHED)
 
 
-def _hot_pieces(rows: DataFrame, key: str, salts_of_key: Column) -> DataFrame:
-    """Hot rows with equal ones counted, long counts cut, and a salt on each piece."""
-    columns = [F.col(c) for c in rows.columns]
-    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__rows"))
-    pieces = F.ceil(F.col("__rows") / COPIES_PER_ROW).cast("bigint")
-    cut = counted.withColumn("__piece", F.explode(F.sequence(F.lit(1).cast("bigint"), pieces)))
-    before = (F.col("__piece") - 1) * COPIES_PER_ROW
-    copies = F.least(F.lit(COPIES_PER_ROW), F.col("__rows") - before).cast("int")
-    salt = F.pmod(F.xxhash64(*columns, F.col("__piece")), salts_of_key).cast("int")
-    return cut.withColumns({SALT: F.xxhash64(F.col(key), salt), COPIES: copies}).drop(
-        "__rows", "__piece"
+def join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left LEFT JOIN right USING (key), where right has each key once.
+
+    Both sides meet by the key alone, so a right side that is grouped by it stays where it
+    is. Left rows with a NULL key match nothing and are not moved.
+    """
+    added = {c: F.lit(None).cast(t) for c, t in right.dtypes if c != key}
+    keyed = left.where(F.col(key).isNotNull()).join(right, key, "left")
+    return keyed.unionByName(left.where(F.col(key).isNull()).withColumns(added))
+
+
+def one_per_key(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The key and columns of a side that must have each key once; a repeated key fails.
+
+    The check is part of the grouping, so nothing runs before the query does, and the
+    grouping leaves the side partitioned by the key for the join that follows.
+    """
+    counted = df.where(F.col(key).isNotNull()).groupBy(key)
+    grouped = counted.agg(
+        F.count(F.lit(1)).alias("__rows"), *[F.min(c).alias(c) for c in columns]
+    )
+    failure = F.raise_error(F.lit(f"{key} is repeated where each must be there once"))
+    once = F.col("__rows") == 1
+    return grouped.select(
+        key,
+        *[F.when(once, F.col(c)).otherwise(failure.cast(df.schema[c].dataType)).alias(c) for c in columns],
     )

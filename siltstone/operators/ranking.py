@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import floor
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many rows a group is ranked, or a quantile taken, in one task.
-ONE_TASK_ROWS = 1_000_000
-
-# Cut points per pass over a larger column, and the accuracy they are estimated with.
-CUTS = 255
-CUT_ACCURACY = 10_000
+from siltstone.operators.ordering import in_order
 
 
 def largest(df: DataFrame, value: str, tie_break: str, n: int = 10) -> DataFrame:
@@ -30,145 +25,50 @@ def by_rank(df: DataFrame, rank: str, tie_break: str) -> DataFrame:
     return df.orderBy(F.asc_nulls_last(rank), F.asc_nulls_last(tie_break))
 
 
-def _cut_points(df: DataFrame, column: str) -> list[float]:
-    """At most CUTS values of the column that split it into pieces of similar size."""
-    shares = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
-    found = df.agg(F.percentile_approx(column, shares, CUT_ACCURACY)).first()[0]
-    return sorted(set(found or []))
-
-
-def _cut_array(cuts: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(c)) for c in cuts])
-
-
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    shares: Sequence[float],
-    rows: int,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> list[float | None]:
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Interpolated quantiles of a double column, exact at any size.
 
-    df is read several times, so it should be a table or a staged frame. The built-in
-    percentile() holds every distinct value in one task, which is only done for a
-    counted, small column. A larger one is narrowed pass by pass: cut points estimated
-    from the data, exact counts between them, and on with the piece that holds the rank.
+    Equal values are counted before they move, and the distinct ones are sorted with running
+    counts. Two rows for each share come to the driver.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(
         "v IS NOT NULL AND NOT isnan(v)"
     )
-    if rows <= one_task_rows:
-        return list(values.agg(F.percentile("v", list(shares))).first()[0] or [None] * len(shares))
-    n = values.count()
-    return [_quantile(values, share, n, one_task_rows) for share in shares]
-
-
-def _quantile(values: DataFrame, share: float, n: int, few: int) -> float | None:
-    if n == 0:
-        return None
-    place = share * (n - 1)
-    k = floor(place)
-    low, upto = _value_at(values, k, min(few, 10_000))
-    if place == k or upto > k + 1:
-        return low
-    high = values.where(F.col("v") > low).agg(F.min("v")).first()[0]
-    return (k + 1 - place) * low + (place - k) * high
-
-
-def _value_at(values: DataFrame, k: int, few: int) -> tuple[float, int]:
-    """The value at position k in sort order, and how many rows are not above it."""
-    part, before = values, 0
-    while True:
-        cuts = _cut_points(part, "v")
-        array = _cut_array(cuts)
-        # Pieces in order: below the first cut, at it, between it and the second, ...
-        below = F.size(F.filter(array, lambda c: c < F.col("v")))
-        at_cut = F.array_contains(array, F.col("v")).cast("int")
-        counts = {
-            row["piece"]: row["rows"]
-            for row in part.groupBy((2 * below + at_cut).alias("piece"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .collect()
-        }
-        for piece in sorted(counts):
-            if before + counts[piece] > k:
-                break
-            before += counts[piece]
-        index, exact = divmod(piece, 2)
-        if exact:
-            return cuts[index], before + counts[piece]
-        if index > 0:
-            part = part.where(F.col("v") > cuts[index - 1])
-        if index < len(cuts):
-            part = part.where(F.col("v") < cuts[index])
-        if counts[piece] <= few:
-            rest = [row[0] for row in part.orderBy("v").limit(few).collect()]
-            value = rest[k - before]
-            return value, before + sum(1 for v in rest if v <= value)
-
-
-def rank_within(
-    df: DataFrame,
-    group: str,
-    value: str,
-    name: str,
-    rows: int,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("rows"))
+    sorted_counts = in_order(counts, [F.col("v")], "values", "rows")
+    n = sorted_counts.agg(F.max("whole")).first()[0]
+    if n is None:
+        return [None] * len(shares)
+    places = [share * (n - 1) for share in shares]
+    wanted = sorted({f(place) for place in places for f in (floor, ceil)})
+    holds = [(F.col("before") <= k) & (F.col("before") + F.col("rows") > k) for k in wanted]
+    found = sorted_counts.select(
+        "v", F.filter(F.array(*[F.when(h, F.lit(k)) for h, k in zip(holds, wanted, strict=True)]), lambda k: k.isNotNull()).alias("ks")
+    ).where(F.size("ks") > 0)
+    value_at = {k: row["v"] for row in found.collect() for k in row["ks"]}
+    out = []
+    for place in places:
+        k = floor(place)
+        low, high = value_at[k], value_at[ceil(place)]
+        out.append(low if place == k or low == high else (k + 1 - place) * low + (place - k) * high)
+    return out
+
+
+def rank_within(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """rank() by value, largest first, inside each group; exact at any group size.
 
-    df is read several times, so it should be a table or a staged frame. A window by
-    group alone puts a whole group in one task, which is only done for a counted, small
-    table. In a larger one the values are cut into ranges first: the rank is the number
-    of rows in the higher ranges, plus those with a higher value in the same range.
+    df is read twice, so it should be a table or a staged frame. Equal values are counted
+    before they move; the distinct ones are sorted over all groups with running counts, and a
+    value's rank is its count less that of its group's first.
     """
-    if rows <= one_task_rows:
-        window = Window.partitionBy(group).orderBy(F.desc(value))
-        return df.withColumn(name, F.rank().over(window).cast("int"))
-
-    cuts = _cut_points(df, value)
-    above = F.size(F.filter(_cut_array(cuts), lambda c: c > F.col(value)))
-    piece = F.when(F.col(value).isNull(), len(cuts) + 1).otherwise(above)
-
-    # One row per distinct value: a value shared by many rows is counted before it moves.
-    per_value = (
-        df.groupBy(group, value)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__piece", piece)
-    )
-    # At most len(cuts) + 2 rows per group.
-    higher = Window.partitionBy(group).orderBy("__piece").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    per_piece = (
-        df.groupBy(group, piece.alias("__piece"))
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .select(
-            F.col(group).alias("__group"),
-            F.col("__piece").alias("__at"),
-            F.coalesce(F.sum("__rows").over(higher), F.lit(0)).alias("__before"),
-        )
-    )
-    inside = (
-        Window.partitionBy(group, "__piece")
-        .orderBy(F.desc(value))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranks = (
-        per_value.join(
-            per_piece,
-            F.col(group).eqNullSafe(F.col("__group")) & (F.col("__piece") == F.col("__at")),
-        )
-        .withColumn(
-            name,
-            (1 + F.col("__before") + F.coalesce(F.sum("__rows").over(inside), F.lit(0))).cast(
-                "int"
-            ),
-        )
-        .select(
-            F.col(group).alias("__group"), F.col(value).alias("__value"), F.col(name)
-        )
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__rows"))
+    order = [F.asc_nulls_first(group), F.desc_nulls_last(value)]
+    placed = in_order(counts, order, "ranks", "__rows")
+    starts = placed.groupBy(F.col(group).alias("__of")).agg(F.min("before").alias("__start"))
+    placed = placed.join(starts, F.col(group).eqNullSafe(F.col("__of")))
+    rank = (1 + F.col("before") - F.col("__start")).cast("int")
+    ranks = placed.select(
+        F.col(group).alias("__group"), F.col(value).alias("__value"), rank.alias(name)
     )
     same = F.col(group).eqNullSafe(F.col("__group")) & F.col(value).eqNullSafe(F.col("__value"))
     return df.join(ranks, same, "left").drop("__group", "__value")

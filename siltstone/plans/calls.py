@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from siltstone import schemas
 from siltstone.functions.documents import collection, field_or, parse_document, required_field
 from siltstone.operators.aggregates import completion_counts, completion_share
+from siltstone.sources.partitions import write_table
 from siltstone.sources.text import write_csv
 
+log = logging.getLogger(__name__)
+
 # Fixed value: the status of a response that can be used.
 SUCCESS = 200
 
@@ -62,16 +66,26 @@ def organizations(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_outcomes(pages: DataFrame) -> DataFrame:
-    """Pages by outcome: used, refused by the service, or not readable as JSON."""
-    schemas.LANDED_PAGES.check(pages)
+def _outcome() -> Column:
     readable = parse_document(F.col("raw")).isNotNull()
-    outcome = (
+    return (
         F.when(F.coalesce(F.col("status_code") != SUCCESS, F.lit(True)), "refused")
         .when(readable, "used")
         .otherwise("unreadable")
     )
-    return pages.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+def page_outcomes(pages: DataFrame) -> DataFrame:
+    """Pages by outcome: used, refused by the service, or not readable as JSON."""
+    schemas.LANDED_PAGES.check(pages)
+    return pages.groupBy(_outcome().alias("outcome")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+def quarantine(pages: DataFrame) -> DataFrame:
+    """The pages that give no calls because they were refused or cannot be read, with the reason."""
+    schemas.LANDED_PAGES.check(pages)
+    found = pages.select("event_type", "status_code", "raw", _outcome().alias("outcome"))
+    return found.where("outcome <> 'used'")
 
 
 def _rate(counts: DataFrame, stamp: Column) -> DataFrame:
@@ -89,17 +103,19 @@ def completion_rate(calls: DataFrame, run_stamp: str) -> DataFrame:
 
 
 class CallFiles(NamedTuple):
-    """Folders written; None where there was nothing to write."""
+    """Folders written; None where there was nothing to write. rejected_pages is a count."""
 
     calls: str | None
     metrics: str | None
+    rejected: str | None
+    rejected_pages: int
 
 
 def export_calls(pages: DataFrame, out_root: str, run_stamp: str) -> CallFiles:
-    """Write the calls and their completion rate as CSV.
+    """Write the calls and their completion rate as CSV, and the quarantined pages as Parquet.
 
-    After a look at whether there is any call, the pages are read once: the two counts
-    behind the rate are taken while the calls are written.
+    The two counts behind the rate are taken while the calls are written. The rate is of the
+    pages that could be used; how many could not is returned, and which ones is written.
     """
     root = out_root.rstrip("/")
     seen = Observation()
@@ -111,5 +127,9 @@ def export_calls(pages: DataFrame, out_root: str, run_stamp: str) -> CallFiles:
     one_row = pages.sparkSession.range(1).select(
         *[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()]
     )
-    rate = _rate(one_row, F.lit(run_stamp))
-    return CallFiles(written, write_csv(rate, f"{root}/campaign_metrics_{run_stamp}"))
+    rate = write_csv(_rate(one_row, F.lit(run_stamp)), f"{root}/campaign_metrics_{run_stamp}")
+    rejected = f"{root}/rejected_pages_{run_stamp}"
+    rows = write_table(quarantine(pages), rejected)
+    if rows:
+        log.warning("%d pages were refused or could not be read: %s", rows, rejected)
+    return CallFiles(written, rate, rejected if rows else None, rows)

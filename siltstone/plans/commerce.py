@@ -3,10 +3,12 @@
 The reports fix the columns of these tables but nothing fixes how they are computed; the
 definitions here are this project's own.
 
-Each join meets a side that is grouped, and so partitioned, by the join key already, so a
-merge moves the other side only. The join with orders is hinted to be one: orders grow
-with their lines, and Spark would choose a broadcast by the size of compressed files, which says
-little of the size in memory.
+Decimal money is summed at its own scale, exactly. Money in doubles is summed as doubles, so its
+last bits depend on the order of summing; ranks and segments compare totals that were written
+once, and so fit the totals shown.
+
+Sides that must have each key once are checked as they are joined. No line is dropped: lines
+without a customer, item or order stay, with NULL where the other side would speak.
 """
 
 from __future__ import annotations
@@ -14,8 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.columns import amount, money_total, money_units
-from siltstone.operators.ranking import ONE_TASK_ROWS, exact_quantiles, rank_within
+from siltstone.functions.columns import amount
+from siltstone.operators.joins import one_per_key
+from siltstone.operators.ranking import exact_quantiles, rank_within
 from siltstone.sources.staging import stage
 
 
@@ -30,17 +33,17 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
     customer table joins the finished totals, one row per key on both sides.
     """
     per_order = orders.groupBy("customer_id", "order_id").agg(
-        F.sum(money_units(orders, "amount")).alias("units"),
+        F.sum(amount(orders, "amount")).alias("spend"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
     )
     per_customer = per_order.groupBy("customer_id").agg(
-        money_total(F.col("units")).alias("total_spend"),
+        F.sum("spend").cast("double").alias("total_spend"),
         F.count("order_id").alias("total_orders"),
         F.datediff(F.max("last_date"), F.min("first_date")).alias("customer_lifespan_days"),
     )
     return per_customer.join(
-        customers.select("customer_id", "currency"), "customer_id", "left"
+        one_per_key(customers, "customer_id", "currency"), "customer_id", "left"
     ).select(
         "customer_id",
         "total_spend",
@@ -54,11 +57,9 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def with_segments(
-    totals: DataFrame, rows: int, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def with_segments(totals: DataFrame) -> DataFrame:
     """High, Medium or Low by the tertile cut points of total_spend over all customers."""
-    low, high = exact_quantiles(totals, "total_spend", [1 / 3, 2 / 3], rows, one_task_rows)
+    low, high = exact_quantiles(totals, "total_spend", [1 / 3, 2 / 3])
     spend = F.col("total_spend")
     segment = (
         F.when(spend >= F.lit(high), "High")
@@ -68,29 +69,28 @@ def with_segments(
     return totals.withColumn("clv_segment", segment)
 
 
-def customer_lifetime_value(
-    orders: DataFrame, customers: DataFrame, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def customer_lifetime_value(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Customer totals with their segment. The totals are written once to the shared folder."""
-    totals = stage(customer_totals(orders, customers), "customer_totals")
-    return with_segments(totals.df, totals.rows, one_task_rows)
+    return with_segments(stage(customer_totals(orders, customers), "customer_totals").df)
 
 
 def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
     """Quantities added and removed per item and option.
 
-    option_lines: item_id, quantity, removed (boolean).
+    option_lines: item_id, quantity, removed (boolean; a NULL counts as added).
     menu: item_id, item_name, option_name, one row per item_id.
 
-    Lines are added up per item_id before they meet the menu.
+    Lines are added up per item_id before they meet the menu. Items that the menu lacks
+    are counted under NULL names.
     """
     quantity = amount(option_lines, "quantity")
+    removed = F.coalesce(F.col("removed"), F.lit(False))
     per_id = option_lines.groupBy("item_id").agg(
-        F.sum(F.when(~F.col("removed"), quantity)).alias("added"),
-        F.sum(F.when(F.col("removed"), quantity)).alias("gone"),
+        F.sum(F.when(~removed, quantity)).alias("added"),
+        F.sum(F.when(removed, quantity)).alias("gone"),
     )
     return (
-        per_id.join(menu.select("item_id", "item_name", "option_name"), "item_id")
+        per_id.join(one_per_key(menu, "item_id", "item_name", "option_name"), "item_id", "left")
         .groupBy("item_name", "option_name")
         .agg(
             F.coalesce(F.sum("added"), F.lit(0)).cast("bigint").alias("total_added_count"),
@@ -108,27 +108,30 @@ def location_totals(
     orders: order_id, order_date, one row per order.
     restaurants: restaurant_id, currency, one row per restaurant.
 
-    Each step counts what the step before has made distinct: lines become one row per
-    restaurant and order, these one row per restaurant and day, these one per restaurant.
-    So no step needs more than one distinct count, and a restaurant with very many lines
-    is spread by order and by day until only its days remain.
+    Lines meet their orders first: the grouping by order and restaurant that follows is
+    then partitioned by order already, so lines move once. Each step counts what the step
+    before has made distinct: lines become one row per restaurant and order, these one row
+    per restaurant and day, these one per restaurant. So no step needs more than one distinct
+    count, and a restaurant with very many lines is spread by order and by day until only its
+    days remain. Lines without an order, or of one without a date, count for revenue and
+    orders but for no day.
     """
-    per_order = order_lines.groupBy("order_id", "restaurant_id").agg(
-        F.sum(money_units(order_lines, "revenue")).alias("units")
+    lines = order_lines.select("order_id", "restaurant_id", amount(order_lines, "revenue").alias("revenue"))
+    dated = lines.join(one_per_key(orders, "order_id", "order_date"), "order_id", "left")
+    per_order = dated.groupBy("order_id", "restaurant_id").agg(
+        F.sum("revenue").alias("revenue"), F.min("order_date").cast("date").alias("day")
     )
-    per_day = (
-        per_order.join(orders.select("order_id", "order_date").hint("merge"), "order_id")
-        .groupBy("restaurant_id", F.col("order_date").cast("date").alias("day"))
-        .agg(F.sum("units").alias("units"), F.count("order_id").alias("orders"))
+    per_day = per_order.groupBy("restaurant_id", "day").agg(
+        F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders")
     )
     per_restaurant = per_day.groupBy("restaurant_id").agg(
-        money_total(F.col("units")).alias("total_revenue"),
+        F.sum("revenue").cast("double").alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
         F.count("day").alias("days"),
         F.count_distinct(F.date_trunc("week", "day")).alias("weeks"),
     )
     return per_restaurant.join(
-        restaurants.select("restaurant_id", "currency"), "restaurant_id", "left"
+        one_per_key(restaurants, "restaurant_id", "currency"), "restaurant_id", "left"
     ).select(
         "restaurant_id",
         "currency",
@@ -141,18 +144,13 @@ def location_totals(
 
 
 def top_performing_locations(
-    order_lines: DataFrame,
-    orders: DataFrame,
-    restaurants: DataFrame,
-    one_task_rows: int = ONE_TASK_ROWS,
+    order_lines: DataFrame, orders: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
     """Location totals ranked by revenue inside each currency.
 
     The totals are written once to the shared folder, so that the ranks compare the same
     sums that are shown.
     """
-    totals = stage(location_totals(order_lines, orders, restaurants), "location_totals")
-    ranked = rank_within(
-        totals.df, "currency", "total_revenue", "revenue_rank", totals.rows, one_task_rows
-    )
-    return ranked.select("revenue_rank", *totals.df.columns)
+    totals = stage(location_totals(order_lines, orders, restaurants), "location_totals").df
+    ranked = rank_within(totals, "currency", "total_revenue", "revenue_rank")
+    return ranked.select("revenue_rank", *totals.columns)

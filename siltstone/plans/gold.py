@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone import schemas
 from siltstone.functions.columns import default_url, rename
 from siltstone.operators.aggregates import earliest_known, known_values, merge_known
-from siltstone.operators.joins import HOT_ROWS, left_join
+from siltstone.operators.joins import ROWS_PER_SALT, join_unique, left_join
 
 VISITOR_ATTRIBUTES = ("ip", "country")
 
@@ -46,23 +46,24 @@ def fact_media(media_stats: DataFrame) -> DataFrame:
     return media_stats.select(*schemas.SILVER_MEDIA_STATS.required)
 
 
-def fact_visitor(events: DataFrame, visitors: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each event with the counts of its visitor; repeated visitor rows repeat the event."""
-    slim_events = events.select(
-        "visitor_key", "event_key", "percent_viewed", "pipeline_ingested_at_utc"
-    )
-    slim_visitors = visitors.select("visitor_key", "load_count", "play_count")
+def fact_visitor(
+    events: DataFrame, visitors: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Each event with the counts of its visitor; repeated visitor rows repeat the event.
+
+    schemas.FACT_VISITOR names the columns and where each comes from.
+    """
+    table, counts = schemas.FACT_VISITOR, schemas.VISITOR_COUNTS
+    key = table["visitor_id"]
+    of_event = [source for source in table.values() if source not in counts]
     joined = left_join(
-        slim_events, slim_visitors, "visitor_key", spread_by="event_key", hot_rows=hot_rows
-    )
-    return joined.select(
-        F.col("visitor_key").alias("visitor_id"),
-        F.col("event_key").alias("event_id"),
-        "percent_viewed",
-        "load_count",
-        "play_count",
-        "pipeline_ingested_at_utc",
+        events.select(of_event),
+        visitors.select(key, *counts),
+        key,
+        spread_by=table["event_id"],
+        rows_per_salt=rows_per_salt,
     )
+    return joined.select([F.col(source).alias(name) for name, source in table.items()])
 
 
 def media_details(media: DataFrame, events: DataFrame, base_url: str) -> DataFrame:
@@ -73,12 +74,12 @@ def media_details(media: DataFrame, events: DataFrame, base_url: str) -> DataFra
     if "url" in media.columns:
         raise ValueError("media_details already has a column 'url'")
     with_url = events.where(F.col("media_url").isNotNull())
-    first_urls = earliest_known(with_url, ["media_id"], ["media_url"], "received_at")
+    first_urls = earliest_known(
+        with_url, ["media_id"], ["media_url"], "received_at", values_repeat=True
+    )
     urls = rename(known_values(first_urls, ["media_url"]), "media_url", "url")
     renamed = rename(media, "hashed_id", "media_id")
     columns = renamed.columns
-    spread_by = next((c for c in columns if c != "media_id"), "media_id")
-    joined = left_join(renamed, urls, "media_id", spread_by=spread_by, unique_right=True)
-    return joined.select(
+    return join_unique(renamed, urls, "media_id").select(
         *columns, default_url(F.col("url"), F.col("media_id"), base_url).alias("url")
     )

@@ -5,17 +5,41 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 INGESTED_DATE = "ingested_date"
 
+# Fixed values, as are all column names below: columns of the visitor facts and their sources.
+FACT_VISITOR = {
+    "visitor_id": "visitor_key",
+    "event_id": "event_key",
+    "percent_viewed": "percent_viewed",
+    "load_count": "load_count",
+    "play_count": "play_count",
+    "pipeline_ingested_at_utc": "pipeline_ingested_at_utc",
+}
+
+# The columns of the visitor facts that come from the visitors.
+VISITOR_COUNTS = ("load_count", "play_count")
+
 
 @dataclass(frozen=True)
 class Contract:
-    """Columns a table must have, and those it may lack."""
+    """Columns a table must have, and those it may lack.
+
+    types, in DDL form, are given for tables that this project writes itself. Such a table is
+    read with them: a file that lacks a column gives NULL there, and a column of another type
+    fails the read.
+    """
 
     table: str
     required: tuple[str, ...]
     optional: tuple[str, ...] = ()
+    types: str = ""
+
+    @property
+    def schema(self) -> T.StructType | None:
+        return T.StructType.fromDDL(self.types) if self.types else None
 
     def check(self, df: DataFrame) -> DataFrame:
         missing = [c for c in self.required if c not in df.columns]
@@ -71,7 +95,13 @@ BRONZE_VISITORS = Contract(
     ("load_count", "play_count"),
 )
 
-SILVER_EVENTS = Contract("silver events", BRONZE_EVENTS.required)
+SILVER_EVENTS = Contract(
+    "silver events",
+    BRONZE_EVENTS.required,
+    types="event_key string, visitor_key string, media_id string, media_url string, "
+    "percent_viewed double, ip string, country string, received_at timestamp, "
+    "pipeline_ingested_at_utc timestamp, ingested_date date",
+)
 
 SILVER_MEDIA_DETAILS = Contract("silver media_details", ("hashed_id",))
 
@@ -91,7 +121,12 @@ SILVER_MEDIA_STATS = Contract(
 
 SILVER_VISITORS = Contract("silver visitors", ("visitor_key", "load_count", "play_count"))
 
-VISITOR_FIRST_SEEN = Contract("visitor_first_seen", ("visitor_key", "ip", "country"))
+VISITOR_FIRST_SEEN = Contract(
+    "visitor_first_seen",
+    ("visitor_key", "ip", "country"),
+    types="visitor_key string, ip struct<at: timestamp, value: string>, "
+    "country struct<at: timestamp, value: string>, ingested_date date",
+)
 
 LANDED_PAGES = Contract("landed pages", ("event_type", "status_code", "raw"))
 

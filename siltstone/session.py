@@ -38,6 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
+        _check_shared(spark, named.rstrip("/"))
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -46,6 +47,30 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+_checked: set[tuple[str, str]] = set()
+
+
+def _check_shared(spark: SparkSession, folder: str) -> None:
+    """Once an application, see that executors read what the driver put in a file: folder.
+
+    Other file systems are shared by nature, and in local mode there is one machine only.
+    """
+    app = spark.sparkContext.applicationId
+    is_file = folder.startswith("file:") or "://" not in folder
+    if (app, folder) in _checked or not is_file or spark.sparkContext.master.startswith("local["):
+        return
+    path = f"{folder}/siltstone/{app}/{uuid.uuid4().hex}/probe"
+    files, place = _files(spark, path)
+    files.create(place).close()
+    try:
+        spark.read.format("binaryFile").load([path] * 8).select("length").collect()  # 8 empty files
+    except Exception as error:
+        raise RuntimeError(f"spark.checkpoint.dir is not shared with the executors: {folder}") from error
+    finally:
+        files.delete(place, False)
+    _checked.add((app, folder))
+
+
 def _scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/siltstone/{spark.conf.get('spark.app.id')}"
 
@@ -55,7 +80,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application put below the shared folder, once nothing reads it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, _scratch_root(spark))

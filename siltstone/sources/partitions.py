@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.schemas import INGESTED_DATE, Contract
@@ -23,6 +23,13 @@ def partition_path(root: str, day: date) -> str:
     return f"{root.rstrip('/')}/{INGESTED_DATE}={day.isoformat()}"
 
 
+def _reader(spark: SparkSession, contract: Contract | None) -> DataFrameReader:
+    """A reader with the contract's schema, or else with the columns of all files."""
+    if contract and contract.schema:
+        return spark.read.schema(contract.schema)
+    return spark.read.option("mergeSchema", "true")
+
+
 def read_partition(
     spark: SparkSession, root: str, day: date, contract: Contract | None = None
 ) -> DataFrame:
@@ -31,7 +38,7 @@ def read_partition(
     Only that date's folder is listed, however many dates the table has, and a date that
     was never written raises PATH_NOT_FOUND instead of giving an empty table.
     """
-    df = spark.read.option("basePath", root).parquet(partition_path(root, day))
+    df = _reader(spark, contract).option("basePath", root).parquet(partition_path(root, day))
     df = df.withColumn(INGESTED_DATE, F.lit(day))
     return contract.check(df) if contract else df
 
@@ -41,13 +48,13 @@ def read_dates(
 ) -> DataFrame:
     """Several dates of a table; every one of them must exist."""
     paths = [partition_path(root, day) for day in days]
-    df = spark.read.option("basePath", root).parquet(*paths)
+    df = _reader(spark, contract).option("basePath", root).parquet(*paths)
     return contract.check(df) if contract else df
 
 
 def read_table(spark: SparkSession, root: str, contract: Contract | None = None) -> DataFrame:
     """All of a table, every date included."""
-    df = spark.read.parquet(root)
+    df = _reader(spark, contract).parquet(root)
     return contract.check(df) if contract else df
 
 

@@ -37,15 +37,44 @@ class ExtractFailed(Exception):
         self.status = status
 
 
-def hash_predicates(url: str, field: str, slices: int = HASH_PARTITIONS) -> list[str]:
+# How databases name a whole number made from any value; {column} is the quoted column.
+HASHES = {
+    "sqlserver": "CHECKSUM({column})",
+    "postgresql": "HASHTEXT(CAST({column} AS TEXT))",
+    "mysql": "CRC32({column})",
+    "oracle": "ORA_HASH({column})",
+}
+
+# Rows fetched in one round trip unless the properties say otherwise.
+FETCH_ROWS = 10_000
+
+
+def quoted(url: str, column: str) -> str:
+    """A column name as the database's own quoting writes it."""
+    if url.startswith("jdbc:sqlserver"):
+        return "[" + column.replace("]", "]]") + "]"
+    mark = "`" if url.startswith("jdbc:mysql") else '"'
+    return mark + column.replace(mark, mark * 2) + mark
+
+
+def hash_predicates(
+    url: str, field: str, slices: int = HASH_PARTITIONS, whole_numbers: bool = True
+) -> list[str]:
     """Conditions that put each row of a table in exactly one slice.
 
-    The remainder is taken before the sign is dropped, so the smallest integer does not
-    overflow; rows with a NULL key go with slice 0.
+    Whole numbers are their own hash; other columns take the database's. The remainder is
+    taken before the sign is dropped, so the smallest integer does not overflow; rows with a
+    NULL key go with slice 0.
     """
-    remainder = f"{field} % {slices}" if "sqlserver" in url else f"MOD({field}, {slices})"
+    column = value = quoted(url, field)
+    if not whole_numbers:
+        kind = url.split(":")[1]
+        if kind not in HASHES:
+            raise ValueError(f"no hash is known for {kind}; slice by a whole-number column")
+        value = HASHES[kind].format(column=column)
+    remainder = f"{value} % {slices}" if "sqlserver" in url else f"MOD({value}, {slices})"
     rest = [f"ABS({remainder}) = {i}" for i in range(1, slices)]
-    return [f"ABS({remainder}) = 0 OR {field} IS NULL", *rest]
+    return [f"ABS({remainder}) = 0 OR {column} IS NULL", *rest]
 
 
 def read_relational(
@@ -56,11 +85,16 @@ def read_relational(
     hash_field: str | None = None,
     slices: int = HASH_PARTITIONS,
 ) -> DataFrame:
-    """A database table over JDBC, in parallel slices if a whole-number column is named."""
-    options = dict(properties or {})
+    """A database table over JDBC, in parallel slices if a column is named.
+
+    Without one the table comes through one connection, as nothing says how to cut it.
+    """
+    options = {"fetchsize": str(FETCH_ROWS)} | dict(properties or {})
+    whole = spark.read.jdbc(url, table, properties=options)
     if hash_field is None:
-        return spark.read.jdbc(url, table, properties=options)
-    predicates = hash_predicates(url, hash_field, slices)
+        return whole
+    whole_numbers = isinstance(whole.schema[hash_field].dataType, T.IntegralType)
+    predicates = hash_predicates(url, hash_field, slices, whole_numbers)
     return spark.read.jdbc(url, table, predicates=predicates, properties=options)
 
 

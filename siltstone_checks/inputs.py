@@ -1,7 +1,8 @@
 """The layers' input tables, derived from the given ones by SQL that both engines read.
 
 {name} stands for a given table. Nulls, blanks and unreadable text are put in here, as
-the given tables have none. Every input is made from whole tables.
+the given tables have none, and keys are rewritten where rows are to match nothing. Every
+input is made from whole tables.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ SELECT CAST(event_id AS STRING) AS event_key,
        concat('m', regexp_extract(props, '[0-9]+', 0)) AS media_id,
        CASE event_type WHEN 'error' THEN NULL
                        WHEN 'signup' THEN ''
-                       ELSE concat('https://v.example/', CAST(event_id AS STRING)) END AS media_url,
+                       ELSE concat('https://v.example/', CAST(event_id % 3 AS STRING)) END AS media_url,
        value / 500 AS percent_viewed,
        CASE WHEN event_type = 'click' THEN NULL
             ELSE concat('10.0.0.', CAST(user_id AS STRING)) END AS ip,
@@ -28,15 +29,15 @@ SELECT CAST(event_id AS STRING) AS event_key,
 FROM {events}
 """
 
-# Users with one event of a high value; the others match no visitor.
+# Every fourth user bears another key and so matches no event.
 VISITORS = """
-SELECT CAST(user_id AS STRING) AS visitor_key,
+SELECT concat(CASE WHEN user_id % 4 = 0 THEN 'gone-' ELSE '' END, CAST(user_id AS STRING)) AS visitor_key,
        count(*) AS load_count,
        count(CASE WHEN event_type = 'view' THEN 1 END) AS play_count,
        CAST(min(ts) AS STRING) AS created_at,
        CASE WHEN user_id % 10 = 3 THEN 'never' ELSE CAST(max(ts) AS STRING) END AS last_active_at,
        CAST(max(ts) AS STRING) AS pipeline_ingested_at_utc
-FROM {events} GROUP BY user_id HAVING max(value) > 200
+FROM {events} GROUP BY user_id
 """
 
 # Several rows per visitor, and rows without a key, which must match nothing.
@@ -101,7 +102,7 @@ SELECT concat('type-', o_orderpriority) AS event_type,
        CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN '{{"collection":['
             ELSE concat(
               '{{"collection":[{{"uri":"call-', CAST(o_orderkey AS STRING),
-              '","event_type":"type-', o_orderpriority,
+              '","event_type":"  type-', o_orderpriority, chr(92), 'nsecond line ',
               '","start_time":"', CAST(CAST(o_orderdate AS DATE) AS STRING), 'T09:00:00Z"',
               CASE o_orderpriority WHEN '1-URGENT' THEN '' ELSE ',"end_time":null' END,
               ',"status":"',
@@ -133,7 +134,18 @@ FROM {customer}
 
 CLV_ORDERS = """
 SELECT o_custkey AS customer_id, o_orderkey AS order_id,
-       o_totalprice AS amount, CAST(o_orderdate AS DATE) AS order_date
+       CAST(o_totalprice AS DECIMAL(28, 8)) AS amount, CAST(o_orderdate AS DATE) AS order_date
+FROM {orders}
+"""
+
+# Amounts with digits far behind the point, and amounts that are very large.
+CLV_ORDERS_WIDE = """
+SELECT o_custkey AS customer_id, o_orderkey AS order_id,
+       CAST(o_totalprice AS DECIMAL(28, 8))
+         + CASE WHEN o_orderkey % 7 = 0 THEN CAST('0.00004' AS DECIMAL(28, 8))
+                WHEN o_custkey % 50 = 1 THEN CAST('1000000000000000' AS DECIMAL(28, 8))
+                ELSE CAST('0' AS DECIMAL(28, 8)) END AS amount,
+       CAST(o_orderdate AS DATE) AS order_date
 FROM {orders}
 """
 
@@ -141,8 +153,11 @@ CLV_CUSTOMERS = """
 SELECT c_custkey AS customer_id, c_mktsegment AS currency FROM {customer}
 """
 
+# Every fiftieth item is on no menu; the seventh line of an order has no flag.
 OPTION_LINES = """
-SELECT l_partkey AS item_id, l_quantity AS quantity, l_returnflag = 'R' AS removed FROM {lineitem}
+SELECT CASE WHEN l_partkey % 50 = 0 THEN -l_partkey ELSE l_partkey END AS item_id, l_quantity AS quantity,
+       CASE WHEN l_linenumber <> 7 THEN l_returnflag = 'R' END AS removed
+FROM {lineitem}
 """
 
 MENU = """
@@ -161,9 +176,22 @@ SELECT item_name, option_name,
 FROM {item_options}
 """
 
+# Lines of every fortieth order have no order row.
 ORDER_LINES = """
-SELECT l_orderkey AS order_id, l_suppkey AS restaurant_id,
-       l_extendedprice * (1 - l_discount) AS revenue
+SELECT CASE WHEN l_orderkey % 40 = 0 THEN -l_orderkey ELSE l_orderkey END AS order_id,
+       l_suppkey AS restaurant_id,
+       CAST(l_extendedprice AS DECIMAL(14, 2)) * CAST(1 - l_discount AS DECIMAL(5, 4)) AS revenue
+FROM {lineitem}
+"""
+
+# The same lines, with digits far behind the point and very large amounts.
+ORDER_LINES_WIDE = """
+SELECT CASE WHEN l_orderkey % 40 = 0 THEN -l_orderkey ELSE l_orderkey END AS order_id,
+       l_suppkey AS restaurant_id,
+       CAST(l_extendedprice AS DECIMAL(28, 8))
+         + CASE WHEN l_orderkey % 7 = 0 THEN CAST('0.00004' AS DECIMAL(28, 8))
+                WHEN l_suppkey % 5 = 0 THEN CAST('1000000000000000' AS DECIMAL(28, 8))
+                ELSE CAST('0' AS DECIMAL(28, 8)) END AS revenue
 FROM {lineitem}
 """
 
@@ -171,11 +199,19 @@ ORDER_DATES = """
 SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date FROM {orders}
 """
 
+# Every seventeenth restaurant has no row under its own number.
 RESTAURANTS = """
-SELECT s_suppkey AS restaurant_id, r_name AS currency
+SELECT CASE WHEN s_suppkey % 17 = 0 THEN -s_suppkey ELSE s_suppkey END AS restaurant_id, r_name AS currency
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
 """
 
+# A whole table with text that starts and ends in white space or holds line breaks and quotes.
+PADDED_CUSTOMERS = """
+SELECT *, concat('  ', c_name, ' ') AS padded, concat(chr(9), c_name, chr(9)) AS tabbed,
+       concat(c_name, chr(10), ' "', c_name, '"', chr(10)) AS several_lines
+FROM {customer}
+"""
+
 
 def derive(spark: SparkSession, sf_dir: str, sql: str, **frames: DataFrame) -> DataFrame:
     """An input as a DataFrame over the Parquet tables of sf_dir."""

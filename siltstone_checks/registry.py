@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from siltstone_checks import inputs
 from siltstone_checks.inputs import as_sql, derive
-from siltstone import session
-from siltstone.plans import calls, commerce, gold, reports, silver
+from siltstone import schemas, session
+from siltstone.functions.columns import run_stamp
+from siltstone.plans import calls, commerce, gold, jobs, reports, silver
 from siltstone.sources import partitions, relational, text
 from siltstone.sources.catalog import read_named
 from siltstone.sources.staging import stage
@@ -52,6 +53,24 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """A sorted report's rows with the place each has in it; for reports of few rows."""
+    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+
+
+_gold_paths: dict[tuple[str, str, str], str] = {}
+
+
+def gold_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A gold table, built by the first report of an application that asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _gold_paths or not session.exists(spark, _gold_paths[key]):
+        path = session.scratch_path(spark, name)
+        partitions.write_table(build(), path)
+        _gold_paths[key] = path
+    return partitions.read_table(spark, _gold_paths[key])
+
+
 # Silver
 
 SQL_EVENTS = as_sql(inputs.EVENTS)
@@ -166,9 +185,9 @@ def gold_fact_visitor_fanout(spark, sf_dir):
 
 @query(_sql_fact_visitor(as_sql(inputs.VISITORS_HOT)))
 def gold_fact_visitor_hot_key(spark, sf_dir):
-    """The join's way for a key that is hot among the visitors, taken from 100 rows on."""
+    """A key that is hot among the visitors, with a salt for every hundred of its rows."""
     visitors = derive(spark, sf_dir, inputs.VISITORS_HOT)
-    return gold.fact_visitor(_silver_events(spark, sf_dir), visitors, hot_rows=100)
+    return gold.fact_visitor(_silver_events(spark, sf_dir), visitors, rows_per_salt=100)
 
 
 @query(
@@ -208,6 +227,49 @@ def partition_overwrite_roundtrip(spark, sf_dir):
     return partitions.read_table(spark, root).select(*columns)
 
 
+@query(
+    f"""SELECT event_key, visitor_key, media_id, media_url, percent_viewed, ip,
+           CASE WHEN ingested_date <> DATE '{REWRITTEN_DAY}' THEN country END AS country,
+           received_at, pipeline_ingested_at_utc, ingested_date
+    FROM {SQL_SILVER_EVENTS}"""
+)
+def dates_with_an_added_column(spark, sf_dir):
+    """One date was written before the table had all its columns; the read keeps them."""
+    root = session.scratch_path(spark, "events")
+    events = _silver_events(spark, sf_dir)
+    partitions.write_dates(events.where(F.col("ingested_date") != F.lit(REWRITTEN_DAY)), root)
+    early = events.where(F.col("ingested_date") == F.lit(REWRITTEN_DAY)).drop("country")
+    partitions.write_partition(early, root, REWRITTEN_DAY)
+    return partitions.read_table(spark, root, schemas.SILVER_EVENTS)
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d_%H-%M-%S') AS stamp FROM events")
+def run_stamps(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.select("event_id", run_stamp(F.col("ts").cast("timestamp")).alias("stamp"))
+
+
+@query(
+    f"""SELECT 'silver_events' AS job, count(*) AS rows_in, count(*) AS rows_out,
+           'struct<event_key:string,visitor_key:string,media_id:string,media_url:string,percent_viewed:double,'
+           || 'ip:string,country:string,received_at:timestamp,pipeline_ingested_at_utc:timestamp>' AS "schema"
+    FROM {SQL_EVENTS} WHERE ingested_date = DATE '{REWRITTEN_DAY}'
+    UNION ALL
+    SELECT 'dim_visitor', count(*), count(DISTINCT visitor_key),
+           'struct<visitor_id:string,ip:string,country:string>'
+    FROM {SQL_EVENTS} WHERE ingested_date = DATE '{REWRITTEN_DAY}'"""
+)
+def job_reports(spark, sf_dir):
+    """What two jobs say of a run over one date of a lake made from the events."""
+    root = session.scratch_path(spark, "lake")
+    events = derive(spark, sf_dir, inputs.EVENTS)
+    of_day = events.where(F.col("ingested_date") == F.lit(REWRITTEN_DAY))
+    partitions.write_partition(of_day, f"{root}/bronze/events", REWRITTEN_DAY)
+    found = [jobs.run(spark, name, root, REWRITTEN_DAY) for name in ("silver_events", "dim_visitor")]
+    rows = [(r.job, sum(r.rows_in.values()), r.rows_out, r.schema) for r in found]
+    return spark.createDataFrame(rows, "job string, rows_in long, rows_out long, schema string")
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus <> 'P'")
 def table_overwrite_roundtrip(spark, sf_dir):
     """A whole table is written, then replaced by other rows."""
@@ -218,9 +280,9 @@ def table_overwrite_roundtrip(spark, sf_dir):
     return partitions.read_table(spark, root)
 
 
-@query("SELECT * FROM customer")
+@query(f"SELECT * FROM {as_sql(inputs.PADDED_CUSTOMERS)}")
 def csv_roundtrip(spark, sf_dir):
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customer = derive(spark, sf_dir, inputs.PADDED_CUSTOMERS)
     path = text.write_csv(customer, session.scratch_path(spark, "customer"))
     return text.read_csv(spark, path, customer.schema)
 
@@ -256,7 +318,8 @@ SQL_USED_ORDERS = """(
 SELECT * FROM orders WHERE o_orderpriority <> '5-LOW'
   AND NOT (o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P'))"""
 SQL_CALLS = f"""(
-SELECT 'call-' || o_orderkey AS event_id, 'type-' || o_orderpriority AS event_type,
+SELECT 'call-' || o_orderkey AS event_id,
+       '  type-' || o_orderpriority || chr(10) || 'second line ' AS event_type,
        strftime(o_orderdate, '%Y-%m-%dT09:00:00Z') AS start_time,
        CASE o_orderpriority WHEN '1-URGENT' THEN '' END AS end_time,
        CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'active' ELSE 'canceled' END AS status,
@@ -347,49 +410,85 @@ def calls_export_metrics(spark, sf_dir):
     return text.read_csv(spark, written.metrics, CSV_RATE)
 
 
+@query(
+    f"""SELECT event_type, status_code, raw,
+           CASE WHEN status_code <> 200 THEN 'refused' ELSE 'unreadable' END AS outcome
+    FROM {as_sql(inputs.CALL_PAGES)} WHERE status_code <> 200 OR raw = '{{"collection":['"""
+)
+def calls_quarantine(spark, sf_dir):
+    """The pages that the export set apart, as it wrote them."""
+    root = session.scratch_path(spark, "calls")
+    written = calls.export_calls(_call_pages(spark, sf_dir), root, RUN_STAMP)
+    return partitions.read_table(spark, written.rejected)
+
+
+@query(
+    f"""SELECT '{RUN_STAMP}' AS "timestamp", count(*) FILTER (o_orderkey IS NULL) AS total_scheduled_calls,
+           count(*) FILTER (o_orderkey IS NULL) AS completed_calls,
+           CAST(0 AS DOUBLE) AS completed_calls_percentage
+    FROM orders"""
+)
+def calls_export_of_nothing(spark, sf_dir):
+    """Every page was refused: no calls file is left, and the rate is 0."""
+    root = session.scratch_path(spark, "calls")
+    refused = _call_pages(spark, sf_dir).withColumn("status_code", F.lit(500))
+    written = calls.export_calls(refused, root, RUN_STAMP)
+    if written.calls is not None:
+        raise AssertionError("a file of no calls was written")
+    return text.read_csv(spark, written.metrics, CSV_RATE)
+
+
 # Customer lifetime value
 
-SQL_CLV_TOTALS = """(
-SELECT o_custkey AS customer_id, c_mktsegment AS currency,
-       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 4))) AS DOUBLE) AS total_spend,
-       count(DISTINCT o_orderkey) AS total_orders,
-       date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))
-           AS customer_lifespan_days
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
-SQL_CLV = f"""(
+def _sql_clv_totals(orders: str) -> str:
+    # By way of text, a decimal of any size becomes the nearest double.
+    return f"""(
+SELECT customer_id, c_mktsegment AS currency,
+       CAST(CAST(sum(amount) AS VARCHAR) AS DOUBLE) AS total_spend,
+       count(DISTINCT order_id) AS total_orders,
+       date_diff('day', min(order_date), max(order_date)) AS customer_lifespan_days
+FROM {as_sql(orders)} LEFT JOIN customer ON customer_id = c_custkey GROUP BY 1, 2)"""
+
+
+def _sql_clv(totals: str) -> str:
+    return f"""(
 SELECT customer_id, total_spend, total_spend / total_orders AS avg_order_value, total_orders,
        CAST(customer_lifespan_days AS INTEGER) AS customer_lifespan_days,
        CASE WHEN total_orders > 1
             THEN customer_lifespan_days / CAST(total_orders - 1 AS DOUBLE) END
            AS avg_days_between_orders,
        currency,
-       CASE WHEN total_spend >= (SELECT quantile_cont(total_spend, 2.0 / 3) FROM {SQL_CLV_TOTALS})
+       CASE WHEN total_spend >= (SELECT quantile_cont(total_spend, 2.0 / 3) FROM {totals})
             THEN 'High'
-            WHEN total_spend >= (SELECT quantile_cont(total_spend, 1.0 / 3) FROM {SQL_CLV_TOTALS})
+            WHEN total_spend >= (SELECT quantile_cont(total_spend, 1.0 / 3) FROM {totals})
             THEN 'Medium' ELSE 'Low' END AS clv_segment
-FROM {SQL_CLV_TOTALS})"""
+FROM {totals})"""
+
 
+SQL_CLV = _sql_clv(_sql_clv_totals(inputs.CLV_ORDERS))
 
-def _clv_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        derive(spark, sf_dir, inputs.CLV_ORDERS),
-        derive(spark, sf_dir, inputs.CLV_CUSTOMERS),
+
+def _clv_from(spark: SparkSession, sf_dir: str, orders: str) -> DataFrame:
+    return commerce.customer_lifetime_value(
+        derive(spark, sf_dir, orders), derive(spark, sf_dir, inputs.CLV_CUSTOMERS)
     )
 
 
-def _clv(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
-    return commerce.customer_lifetime_value(*_clv_inputs(spark, sf_dir), **options)
+def _clv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table that the reports read."""
+    return gold_table(spark, sf_dir, "clv", lambda: _clv_from(spark, sf_dir, inputs.CLV_ORDERS))
 
 
-@query(f"SELECT * FROM {SQL_CLV}")
+@query(f"SELECT * FROM {_sql_clv(_sql_clv_totals(inputs.CLV_ORDERS_WIDE))}")
 def clv_table(spark, sf_dir):
-    return _clv(spark, sf_dir)
+    """Amounts of many decimals and of very many digits among the orders."""
+    return _clv_from(spark, sf_dir, inputs.CLV_ORDERS_WIDE)
 
 
 @query(f"SELECT * FROM {SQL_CLV}")
 def clv_table_narrowed(spark, sf_dir):
-    """The cut points' way for tables too large for one task, taken from 100 rows on."""
-    return _clv(spark, sf_dir, one_task_rows=100)
+    """The table of plain amounts, which the reports read."""
+    return _clv_from(spark, sf_dir, inputs.CLV_ORDERS)
 
 
 @query(
@@ -399,8 +498,7 @@ def clv_table_narrowed(spark, sf_dir):
     FROM {SQL_CLV}"""
 )
 def clv_kpis(spark, sf_dir):
-    # No segment is asked for, so none is computed.
-    kpis = reports.clv_kpis(commerce.customer_totals(*_clv_inputs(spark, sf_dir)))
+    kpis = reports.clv_kpis(_clv(spark, sf_dir))
     return rounded(kpis, total_revenue=2, avg_order_value=4, avg_customer_lifespan_days=4)
 
 
@@ -420,13 +518,21 @@ def clv_segment_means(spark, sf_dir):
     return rounded(means, avg_spend=4, avg_orders=4, avg_days=4)
 
 
+@query(
+    f"""SELECT clv_segment, row_number() OVER (ORDER BY avg(total_spend) DESC, clv_segment) - 1 AS "position"
+    FROM {SQL_CLV} GROUP BY 1"""
+)
+def clv_segment_means_order(spark, sf_dir):
+    """The order in which the means are shown."""
+    return with_position(reports.clv_segment_means(_clv(spark, sf_dir)).select("clv_segment"))
+
+
 @query(
     f"""SELECT currency, round(sum(total_spend), 2) AS total_revenue
     FROM {SQL_CLV} WHERE currency IS NOT NULL GROUP BY 1"""
 )
 def clv_revenue_by_currency(spark, sf_dir):
-    totals = commerce.customer_totals(*_clv_inputs(spark, sf_dir))
-    return rounded(reports.clv_revenue_by_currency(totals), total_revenue=2)
+    return rounded(reports.clv_revenue_by_currency(_clv(spark, sf_dir)), total_revenue=2)
 
 
 @query(f"SELECT DISTINCT clv_segment FROM {SQL_CLV}")
@@ -441,11 +547,12 @@ def clv_filtered(spark, sf_dir):
 
 # Item options
 
-SQL_OPTIONS = """(
-SELECT p_name AS item_name, p_brand AS option_name,
-       CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_added_count,
-       CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_removed_count
-FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)"""
+SQL_OPTIONS = f"""(
+SELECT item_name, option_name,
+       CAST(sum(CASE WHEN coalesce(removed, false) THEN 0 ELSE quantity END) AS BIGINT) AS total_added_count,
+       CAST(sum(CASE WHEN coalesce(removed, false) THEN quantity ELSE 0 END) AS BIGINT) AS total_removed_count
+FROM {as_sql(inputs.OPTION_LINES)} l LEFT JOIN {as_sql(inputs.MENU)} m ON l.item_id = m.item_id
+GROUP BY 1, 2)"""
 SQL_CLEAN = f"""(
 SELECT item_name, option_name,
        CAST(trunc(CASE WHEN total_added_count IS NULL OR total_added_count IN ('x', 'nan', '1d') THEN 0
@@ -454,12 +561,17 @@ SELECT item_name, option_name,
 FROM {as_sql(inputs.ITEM_OPTIONS_TEXT, item_options=SQL_OPTIONS)})"""
 
 
-def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _built_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commerce.item_options(
         derive(spark, sf_dir, inputs.OPTION_LINES), derive(spark, sf_dir, inputs.MENU)
     )
 
 
+def _options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table that the reports read."""
+    return gold_table(spark, sf_dir, "options", lambda: _built_options(spark, sf_dir))
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     messy = derive(
         spark, sf_dir, inputs.ITEM_OPTIONS_TEXT, item_options=_options(spark, sf_dir)
@@ -467,14 +579,9 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.item_options_clean(messy)
 
 
-def _clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written first, as choosing the default item reads it a second time."""
-    return stage(_clean(spark, sf_dir), "item_options").df
-
-
 @query(f"SELECT * FROM {SQL_OPTIONS}")
 def item_options_table(spark, sf_dir):
-    return _options(spark, sf_dir)
+    return _built_options(spark, sf_dir)
 
 
 @query(f"SELECT * FROM {SQL_CLEAN}")
@@ -497,12 +604,21 @@ def item_names(spark, sf_dir):
     return reports.item_names(_clean(spark, sf_dir))
 
 
+@query(
+    f"""SELECT item_name, row_number() OVER (ORDER BY item_name) - 1 AS "position"
+    FROM (SELECT DISTINCT item_name FROM {SQL_CLEAN} WHERE item_name IS NOT NULL)"""
+)
+def item_names_order(spark, sf_dir):
+    """The order in which the items are listed."""
+    return with_position(reports.item_names(_clean(spark, sf_dir)))
+
+
 SQL_FIRST_ITEM = f"item_name = (SELECT min(item_name) FROM {SQL_CLEAN})"
 
 
 @query(f"SELECT * FROM {SQL_CLEAN} WHERE {SQL_FIRST_ITEM}")
 def item_options_for_item(spark, sf_dir):
-    return reports.item_options_for_item(_clean_table(spark, sf_dir))
+    return reports.item_options_for_item(_clean(spark, sf_dir))
 
 
 @query(
@@ -510,7 +626,7 @@ def item_options_for_item(spark, sf_dir):
     WHERE {SQL_FIRST_ITEM} ORDER BY total_added_count DESC, option_name LIMIT 10"""
 )
 def item_top_added(spark, sf_dir):
-    return reports.item_top_added(_clean_table(spark, sf_dir))
+    return reports.item_top_added(_clean(spark, sf_dir))
 
 
 @query(
@@ -518,12 +634,12 @@ def item_top_added(spark, sf_dir):
     WHERE {SQL_FIRST_ITEM} ORDER BY total_removed_count DESC, option_name LIMIT 10"""
 )
 def item_top_removed(spark, sf_dir):
-    return reports.item_top_removed(_clean_table(spark, sf_dir))
+    return reports.item_top_removed(_clean(spark, sf_dir))
 
 
 def _sql_options_top(count: str) -> str:
     return f"""SELECT option_name, CAST(sum({count}) AS BIGINT) AS {count} FROM {SQL_CLEAN}
-    GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
+    WHERE option_name IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 
 
 @query(_sql_options_top("total_added_count"))
@@ -538,39 +654,61 @@ def options_top_removed(spark, sf_dir):
 
 # Top performing locations
 
-SQL_LOCATIONS = f"""(
+def _sql_locations(lines: str) -> str:
+    return f"""(
 SELECT CAST(rank() OVER (PARTITION BY currency ORDER BY total_revenue DESC) AS INTEGER) AS revenue_rank,
        restaurant_id, currency, total_revenue, total_revenue / total_orders AS avg_order_value,
-       total_orders, total_orders / CAST(days AS DOUBLE) AS avg_daily_orders,
-       total_orders / CAST(weeks AS DOUBLE) AS avg_weekly_orders
-FROM (SELECT l.restaurant_id, currency, CAST(sum(CAST(revenue AS DECIMAL(18, 4))) AS DOUBLE) AS total_revenue,
+       total_orders, total_orders / nullif(CAST(days AS DOUBLE), 0) AS avg_daily_orders,
+       total_orders / nullif(CAST(weeks AS DOUBLE), 0) AS avg_weekly_orders
+FROM (SELECT l.restaurant_id, currency, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS total_revenue,
              count(DISTINCT l.order_id) AS total_orders, count(DISTINCT order_date) AS days,
              count(DISTINCT date_trunc('week', order_date)) AS weeks
-      FROM {as_sql(inputs.ORDER_LINES)} l
-      JOIN {as_sql(inputs.ORDER_DATES)} o ON l.order_id = o.order_id
-      JOIN {as_sql(inputs.RESTAURANTS)} r ON l.restaurant_id = r.restaurant_id
+      FROM {as_sql(lines)} l
+      LEFT JOIN {as_sql(inputs.ORDER_DATES)} o ON l.order_id = o.order_id
+      LEFT JOIN {as_sql(inputs.RESTAURANTS)} r ON l.restaurant_id = r.restaurant_id
       GROUP BY 1, 2))"""
+
+
+SQL_LOCATIONS = _sql_locations(inputs.ORDER_LINES)
 SQL_FIRST_CURRENCY = f"currency = (SELECT min(r_name) FROM {as_sql('SELECT * FROM region')})"
 
 
-def _locations(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
+def _locations_from(spark: SparkSession, sf_dir: str, lines: str) -> DataFrame:
     return commerce.top_performing_locations(
-        derive(spark, sf_dir, inputs.ORDER_LINES),
+        derive(spark, sf_dir, lines),
         derive(spark, sf_dir, inputs.ORDER_DATES),
         derive(spark, sf_dir, inputs.RESTAURANTS),
-        **options,
     )
 
 
-@query(f"SELECT * FROM {SQL_LOCATIONS}")
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold table that the reports read."""
+    return gold_table(
+        spark, sf_dir, "locations", lambda: _locations_from(spark, sf_dir, inputs.ORDER_LINES)
+    )
+
+
+@query(f"SELECT * FROM {_sql_locations(inputs.ORDER_LINES_WIDE)}")
 def locations_table(spark, sf_dir):
-    return _locations(spark, sf_dir)
+    """Amounts of many decimals and of very many digits among the lines."""
+    return _locations_from(spark, sf_dir, inputs.ORDER_LINES_WIDE)
 
 
 @query(f"SELECT * FROM {SQL_LOCATIONS}")
 def locations_table_ranged(spark, sf_dir):
-    """The ranks' way for tables too large for one task, taken from 10 rows on."""
-    return _locations(spark, sf_dir, one_task_rows=10)
+    """The table of plain amounts, which the reports read."""
+    return _locations_from(spark, sf_dir, inputs.ORDER_LINES)
+
+
+@query(
+    f"""SELECT revenue_rank, restaurant_id,
+           row_number() OVER (ORDER BY revenue_rank, restaurant_id) - 1 AS "position"
+    FROM {SQL_LOCATIONS} WHERE currency = 'ASIA'"""
+)
+def locations_ranking_order(spark, sf_dir):
+    """The order in which the ranking is shown."""
+    ranking = reports.locations_ranking(_locations(spark, sf_dir), "ASIA")
+    return with_position(ranking.select("revenue_rank", "restaurant_id"))
 
 
 @query(f"SELECT DISTINCT currency FROM {SQL_LOCATIONS}")

@@ -94,7 +94,7 @@ def test_pages_without_usable_content(spark):
 def test_identifiers(spark):
     df = pages(spark, '{"collection":[{"uri":"a"},{"uri":"b"}]}', '{"collection":[{"name":"x"}]}')
     assert rows(calls.identifiers(df, strict=False)) == [("",), ("a",), ("b",)]
-    with pytest.raises(PySparkException, match="no \\$.uri in"):
+    with pytest.raises(PySparkException, match="a document has no \\$.uri"):
         calls.identifiers(df).collect()
 
 
@@ -135,6 +135,23 @@ def test_export_writes_both_files_in_one_pass(spark, tmp_path):
     ]
 
 
+def test_text_keeps_its_white_space(spark, tmp_path):
+    texts = ["  lead", "trail  ", "\ttab\t", " two\n lines ", 'a "q" , b']
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int")
+    path = text.write_csv(df, str(tmp_path / "padded"))
+    assert rows(text.read_csv(spark, path, df.schema)) == rows(df)
+
+
+def test_export_sets_rejected_pages_apart(spark, tmp_path):
+    good, bad = '{"collection":[{"uri":"a"}]}', "not json"
+    df = pages(spark, good, bad).union(pages(spark, good, status=503))
+    written = calls.export_calls(df, str(tmp_path), "s")
+    assert written.rejected_pages == 2
+    found = spark.read.parquet(written.rejected).select("raw", "status_code", "outcome")
+    assert rows(found) == [("not json", 200, "unreadable"), (good, 503, "refused")]
+    assert calls.export_calls(pages(spark, good), str(tmp_path), "t").rejected is None
+
+
 def test_export_without_calls_writes_only_metrics(spark, tmp_path):
     written = calls.export_calls(pages(spark, "{}"), str(tmp_path), "s")
     assert written.calls is None and not (tmp_path / "scheduled_calls_s").exists()

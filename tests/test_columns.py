@@ -58,6 +58,10 @@ def test_whole_counts(spark):
     assert _apply(df, C.whole_count(df, "t")) == [3, -3, 0, 0, 12, 0, 0, 1000, 0]
     numbers = spark.createDataFrame([(0, 2.7), (1, None), (2, float("nan"))], "i int, t double")
     assert _apply(numbers, C.whole_count(numbers, "t")) == [2, 0, 0]
+    whole = spark.createDataFrame([(0, 2**53 + 1), (1, None)], "i int, t bigint")
+    assert _apply(whole, C.whole_count(whole, "t")) == [2**53 + 1, 0]
+    exact = whole.select("i", (F.col("t").cast("decimal(20,0)") + F.lit(0.5).cast("decimal(2,1)")).alias("t"))
+    assert _apply(exact, C.whole_count(exact, "t")) == [2**53 + 1, 0]
 
 
 # Texts near the edge of what is a number.

@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from siltstone_checks import inputs
@@ -70,28 +71,59 @@ def test_customer_totals(spark):
     assert got == [(1, 6.3, 6.3 / 3, 3, 8, 4.0, "EUR"), (2, 3.0, 3.0, 1, 0, None, None)]
 
 
-def test_segments_same_with_narrowed_cut_points(spark):
+def test_money_is_summed_at_its_own_scale(spark):
+    small = [(1, i, Decimal("0.00004"), date(2024, 1, 1)) for i in range(3)]
+    large = [(2, 9, Decimal("1000000000000000.00000001"), date(2024, 1, 1))] * 2
+    orders = spark.createDataFrame(
+        small + large, "customer_id int, order_id int, amount decimal(28,8), order_date date"
+    )
+    who = spark.createDataFrame([(1, "EUR"), (2, "EUR")], "customer_id int, currency string")
+    assert [r[1] for r in rows(commerce.customer_totals(orders, who))] == [0.00012, 2e15]
+    doubles = orders.withColumn("amount", F.col("amount").cast("double"))
+    got = [r[1] for r in rows(commerce.customer_totals(doubles, who))]
+    assert got == pytest.approx([0.00012, 2e15], rel=1e-15)
+
+
+def test_segments_have_all_names(spark):
     orders, who = (derive(spark, SMALL, s) for s in (inputs.CLV_ORDERS, inputs.CLV_CUSTOMERS))
     direct = commerce.customer_lifetime_value(orders, who)
-    narrowed = commerce.customer_lifetime_value(orders, who, one_task_rows=10)
-    assert rows(narrowed) == rows(direct)
     assert {r[0] for r in reports.clv_segments(direct).collect()} == {"High", "Medium", "Low"}
     assert "Window" not in plan(direct)
 
 
+def test_a_repeated_dimension_key_fails(spark):
+    orders = spark.createDataFrame(
+        [(1, 10, 5.0, date(2024, 1, 1))], "customer_id int, order_id int, amount double, order_date date"
+    )
+    who = spark.createDataFrame([(1, "EUR"), (1, "USD")], "customer_id int, currency string")
+    with pytest.raises(PySparkException, match="customer_id is repeated"):
+        commerce.customer_totals(orders, who).collect()
+
+
 def test_segments_of_no_customers(spark):
     orders, who = (derive(spark, SMALL, s) for s in (inputs.CLV_ORDERS, inputs.CLV_CUSTOMERS))
     assert commerce.customer_lifetime_value(orders.where("1 = 0"), who).count() == 0
 
 
-def test_locations_same_with_ranged_ranks(spark):
-    tables = [
-        derive(spark, SMALL, s)
-        for s in (inputs.ORDER_LINES, inputs.ORDER_DATES, inputs.RESTAURANTS)
+def test_lines_without_an_order_keep_their_revenue(spark):
+    lines = spark.createDataFrame(
+        [(1, 7, 2.0), (99, 7, 3.0), (99, 8, 4.0)], "order_id int, restaurant_id int, revenue double"
+    )
+    dates = spark.createDataFrame([(1, date(2024, 1, 1))], "order_id int, order_date date")
+    who = spark.createDataFrame([(7, "EUR")], "restaurant_id int, currency string")
+    assert rows(commerce.location_totals(lines, dates, who)) == [
+        (7, "EUR", 5.0, 2.5, 2, 2.0, 2.0),
+        (8, None, 4.0, 4.0, 1, None, None),
     ]
-    direct = commerce.top_performing_locations(*tables)
-    ranged = commerce.top_performing_locations(*tables, one_task_rows=2)
-    assert rows(ranged) == rows(direct)
+
+
+def test_lines_of_locations_move_once(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    lines, dates, places = (
+        derive(spark, SMALL, sql) for sql in (inputs.ORDER_LINES, inputs.ORDER_DATES, inputs.RESTAURANTS)
+    )
+    text = plan(commerce.location_totals(lines, dates, places))
+    assert text.count("hashpartitioning(order_id") == 2  # the lines and the orders, once each
 
 
 def test_location_cadence(spark):
@@ -155,7 +187,14 @@ def test_item_options(spark):
         [(1, "tea", "milk"), (2, "tea", "milk"), (3, "tea", "sugar")],
         "item_id int, item_name string, option_name string",
     )
-    assert rows(commerce.item_options(lines, menu)) == [("tea", "milk", 7, 3), ("tea", "sugar", 1, 0)]
+    more = spark.createDataFrame(
+        [(3, 4.0, None), (9, 2.0, False), (9, 1.0, True)], "item_id int, quantity double, removed boolean"
+    )
+    assert rows(commerce.item_options(lines.union(more), menu)) == [
+        ("tea", "milk", 7, 3),
+        ("tea", "sugar", 5, 0),
+        (None, None, 2, 1),
+    ]
 
 
 def test_item_reports(spark):

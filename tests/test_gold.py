@@ -111,7 +111,7 @@ def test_hot_visitor_rows_give_the_same_facts(spark):
         [("v", i % 3, 1) for i in range(50)] + [("w", 1, 1)],
         "visitor_key string, load_count int, play_count int",
     )
-    assert rows(gold.fact_visitor(df, visitors, hot_rows=10)) == rows(
+    assert rows(gold.fact_visitor(df, visitors, rows_per_salt=10)) == rows(
         gold.fact_visitor(df, visitors)
     )
 

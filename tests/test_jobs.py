@@ -163,14 +163,14 @@ def test_command_line_extract_and_calls(spark, tmp_path):
     spark.range(5).write.jdbc(url, "APP.date_dim", properties=json.loads(login.read_text()))
     base = ["extract", "--url", url, "--properties", str(login), "--schema", "APP"]
     out = str(tmp_path / "bronze")
-    main([*base, "--tables", "date_dim", "--hash_field", 'date_dim="id"', "--slices", "3", "--out", out])
+    main([*base, "--tables", "date_dim", "--hash_field", "date_dim=id", "--slices", "3", "--out", out])
     assert P.read_table(spark, f"{tmp_path}/bronze/date_dim").count() == 5
     with pytest.raises(ExtractFailed, match="order_items"):
         main([*base, "--out", str(tmp_path / "bronze")])
     derive(spark, SMALL, inputs.CALL_PAGES).write.parquet(f"{tmp_path}/pages")
     main(["export_calls", "--pages", f"{tmp_path}/pages", "--out", f"{tmp_path}/calls"])
     names = sorted(p.name[:16] for p in (tmp_path / "calls").iterdir())
-    assert names == ["campaign_metrics", "scheduled_calls_"]
+    assert names == ["campaign_metrics", "rejected_pages_2", "scheduled_calls_"]
 
 
 def test_command_line(spark, lake):

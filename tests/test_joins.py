@@ -1,10 +1,10 @@
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from siltstone.operators import joins
-from siltstone.operators.joins import heavy_keys, left_join
+from siltstone.operators.joins import join_unique, left_join, one_per_key
 from tests.conftest import plan, rows
 
 
@@ -22,37 +22,56 @@ def sides(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 30, 10_000])
-@pytest.mark.parametrize("copies_per_row", [1, 7, 1000])
-def test_left_join_equals_the_plain_join(sides, monkeypatch, hot_rows, copies_per_row):
+@pytest.mark.parametrize("rows_per_salt", [1, 2, 30, 10_000])
+def test_left_join_equals_the_plain_join(sides, rows_per_salt):
     left, right = sides
-    monkeypatch.setattr(joins, "MAX_SPREAD", 5)
-    monkeypatch.setattr(joins, "COPIES_PER_ROW", copies_per_row)
     expected = left.join(right, "k", "left").select("k", "e", "n")
-    got = left_join(left, right, "k", "e", hot_rows=hot_rows).select("k", "e", "n")
+    got = left_join(left, right, "k", "e", rows_per_salt).select("k", "e", "n")
     assert rows(got) == rows(expected)
 
 
-def test_unlisted_hot_keys_still_join(sides, monkeypatch):
-    """Keys past the driver's list take the plain way, with the same result."""
-    left, right = sides
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
-    got = left_join(left, right, "k", "e", hot_rows=1).select("k", "e", "n")
-    assert rows(got) == rows(left.join(right, "k", "left").select("k", "e", "n"))
-
-
 def test_empty_sides(sides):
     left, right = sides
     none = right.where("1 = 0")
-    got = left_join(left, none, "k", "e", hot_rows=1).select("k", "e", "n")
+    got = left_join(left, none, "k", "e", 1).select("k", "e", "n")
     assert rows(got) == rows(left.select("k", "e", F.lit(None).cast("int")))
-    assert left_join(left.where("1 = 0"), right, "k", "e", hot_rows=1).count() == 0
+    assert left_join(left.where("1 = 0"), right, "k", "e", 1).count() == 0
 
 
-def test_heavy_keys_counts_and_orders(sides):
-    _, right = sides
-    assert list(heavy_keys(right, "k", 2).items()) == [("a", 37), ("b", 2), ("e", 2)]
-    assert heavy_keys(right, "k", 38) == {}
+@pytest.mark.parametrize("rows_per_salt", [1, 1000])
+def test_right_values_come_out_as_they_are(spark, rows_per_salt):
+    left = spark.createDataFrame([("a", "e1"), ("b", "e2")], "k string, e string")
+    right = spark.createDataFrame(
+        [("a", -0.0, {"x": 1}), ("a", 0.0, {"x": 1}), ("a", float("nan"), None), ("a", None, {})],
+        "k string, v double, m map<string,int>",
+    )
+    got = left_join(left, right, "k", "e", rows_per_salt).select("k", "v", "m").collect()
+    plain = [("a", -0.0, {"x": 1}), ("a", 0.0, {"x": 1}), ("a", float("nan"), None), ("a", None, {}), ("b", None, None)]
+    assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, plain))
+
+
+def test_no_job_runs_before_the_action(spark, sides):
+    left, right = sides
+    jobs = spark._jsc.sc().dagScheduler().numTotalJobs()
+    left_join(left, right, "k", "e", 1)
+    assert spark._jsc.sc().dagScheduler().numTotalJobs() == jobs
+
+
+def test_join_unique_keeps_null_keys_and_moves_the_grouped_side_once(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    left = spark.createDataFrame([("a", 1), (None, 2), ("z", 3)], "k string, n int")
+    right = spark.createDataFrame([("a", 5), ("a", 6), ("b", 7)], "k string, v int")
+    joined = join_unique(left, right.groupBy("k").agg(F.min("v").alias("v")), "k")
+    assert rows(joined.select("k", "n", "v")) == [("a", 1, 5), ("z", 3, None), (None, 2, None)]
+    assert plan(joined).count("Exchange hashpartitioning") == 2
+
+
+def test_one_per_key(spark):
+    once = spark.createDataFrame([(1, "x"), (2, None), (None, "y"), (None, "z")], "k int, v string")
+    assert rows(one_per_key(once, "k", "v")) == [(1, "x"), (2, None)]
+    twice = spark.createDataFrame([(1, "x"), (1, "x")], "k int, v string")
+    with pytest.raises(PySparkException, match="k is repeated"):
+        one_per_key(twice, "k", "v").collect()
 
 
 def test_null_keys_are_spread(spark, with_conf):

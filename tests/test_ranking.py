@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from siltstone.operators import ranking
+from siltstone.operators.ordering import in_order
 from siltstone.operators.ranking import exact_quantiles, largest, rank_within
 from tests.conftest import plan, rows
 
@@ -19,42 +21,56 @@ def _values(kind):
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "skewed", "equal"])
-def test_narrowed_quantiles_equal_percentile(spark, monkeypatch, kind):
-    monkeypatch.setattr(ranking, "CUTS", 7)
+def test_quantiles_equal_percentile(spark, kind):
     values = _values(kind)
-    df = spark.createDataFrame([(v,) for v in values] + [(None,), (None,)], "x double")
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
     shares = [0.0, 1 / 3, 0.5, 2 / 3, 0.999, 1.0]
-    direct = exact_quantiles(df, "x", shares, len(values))
-    narrowed = exact_quantiles(df, "x", shares, len(values), one_task_rows=20)
-    assert narrowed == pytest.approx(direct, rel=1e-15)
+    direct = df.where("NOT isnan(x)").agg(F.percentile("x", shares)).first()[0]
+    assert exact_quantiles(df, "x", shares) == pytest.approx(direct, rel=1e-15)
 
 
 def test_quantiles_of_nothing(spark):
-    none = spark.createDataFrame([], "x double")
-    assert exact_quantiles(none, "x", [0.5], 0) == [None]
-    assert exact_quantiles(none, "x", [0.5, 0.6], 100, one_task_rows=10) == [None, None]
+    assert exact_quantiles(spark.createDataFrame([], "x double"), "x", [0.5, 0.6]) == [None, None]
+    none = spark.createDataFrame([(None,)], "x double")
+    assert exact_quantiles(none, "x", [0.5]) == [None]
+    one = spark.createDataFrame([(2.5,)], "x double")
+    assert exact_quantiles(one, "x", [0.0, 0.3, 1.0]) == [2.5, 2.5, 2.5]
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "skewed", "equal"])
-def test_ranks_in_ranges_equal_the_window(spark, monkeypatch, kind):
-    monkeypatch.setattr(ranking, "CUTS", 7)
+def test_ranks_equal_the_window(spark, kind):
     rng = random.Random(5)
+    odd = [None, float("nan"), float("inf"), -0.0, 0.0]
     data = [
-        (i, rng.choice(["EUR", "EUR", "USD", None]), v if rng.random() > 0.05 else None)
+        (i, rng.choice(["EUR", "EUR", "USD", None]), v if rng.random() > 0.05 else rng.choice(odd))
         for i, v in enumerate(_values(kind))
     ]
     df = spark.createDataFrame(data, "id int, currency string, x double")
-    plain = rank_within(df, "currency", "x", "rank", len(data))
-    ranged = rank_within(df, "currency", "x", "rank", len(data), one_task_rows=100)
-    assert rows(ranged) == rows(plain)
-    assert ranged.columns == plain.columns
+    window = Window.partitionBy("currency").orderBy(F.desc("x"))
+    plain = df.withColumn("rank", F.rank().over(window).cast("int"))
+    ranked = rank_within(df, "currency", "x", "rank")
+    assert list(map(repr, rows(ranked))) == list(map(repr, rows(plain)))
+    assert ranked.columns == plain.columns
 
 
-def test_ranged_ranks_have_no_window_over_a_whole_group(spark):
+def test_ranks_have_no_window_over_a_whole_group(spark):
     df = spark.createDataFrame([(i, "EUR", float(i % 97)) for i in range(500)], "id int, c string, x double")
-    text = plan(rank_within(df, "c", "x", "rank", 500, one_task_rows=10))
+    text = plan(rank_within(df, "c", "x", "rank"))
     assert "rank(" not in text
-    assert "SinglePartition" not in text
+    windows = [line for line in text.splitlines() if "windowspecdefinition" in line]
+    assert windows and all("c#" not in line.split("windowspecdefinition")[1] for line in windows)
+
+
+def test_running_sums_over_all_rows(spark):
+    rng = random.Random(9)
+    data = [(i, rng.choice("abc"), rng.randrange(10)) for i in range(2000)]
+    df = spark.createDataFrame(data, "i int, g string, n long").repartition(7)
+    got = in_order(df, [F.col("g"), F.col("i")], "t", "n").orderBy("rank").collect()
+    expected, total = sorted(data, key=lambda r: (r[1], r[0])), 0
+    for place, (row, want) in enumerate(zip(got, expected, strict=True)):
+        assert (row.i, row.rank, row.before, row.total) == (want[0], place, total, 2000)
+        total += want[2]
+    assert {r.whole for r in got} == {total}
 
 
 def test_largest_breaks_ties_and_takes_top_k(spark):
@@ -69,6 +85,6 @@ def test_largest_breaks_ties_and_takes_top_k(spark):
 
 def test_rank_ties_share_a_rank(spark):
     df = spark.createDataFrame([("x", 3.0), ("x", 3.0), ("x", 1.0)], "g string, v double")
-    ranks = rank_within(df, "g", "v", "r", 3).select("v", "r")
+    ranks = rank_within(df, "g", "v", "r").select("v", "r")
     assert rows(ranks) == [(1.0, 3), (3.0, 1), (3.0, 1)]
     assert dict(ranks.dtypes)["r"] == "int"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from siltstone.schemas import INGESTED_DATE, SILVER_VISITORS, TOP_PERFORMING_LOCATIONS
+from siltstone.schemas import INGESTED_DATE, SILVER_VISITORS, Contract, TOP_PERFORMING_LOCATIONS
 from siltstone.session import shared_dir
 from siltstone.sources import partitions as P
 from siltstone.sources import relational as R
@@ -89,6 +89,18 @@ def test_whole_table_is_replaced(spark, tmp_path):
         P.read_table(spark, root, SILVER_VISITORS)
 
 
+def test_a_column_added_later_is_kept(spark, tmp_path):
+    root = str(tmp_path / "t")
+    P.write_partition(frame(spark, ("a", 1)), root, D1)
+    P.write_partition(frame(spark, ("b", 2)).withColumn("x", F.lit("new")), root, D2)
+    assert rows(P.read_table(spark, root).select("k", "x")) == [("a", None), ("b", "new")]
+    typed = Contract("t", ("k",), types="k string, n int, x string, y double, ingested_date date")
+    assert rows(P.read_table(spark, root, typed)) == [
+        ("a", 1, None, None, D1),
+        ("b", 2, "new", None, D2),
+    ]
+
+
 def test_run_date(spark):
     assert P.run_date("2024-02-29") == date(2024, 2, 29)
     assert P.run_date() == datetime.now(timezone.utc).date()
@@ -137,17 +149,21 @@ def test_whole_table_extract(spark, database):
 
 
 def test_hash_slices_read_each_row_once(spark, database):
-    sliced = R.read_relational(spark, database, "order_items", DRIVER, hash_field='"k"')
+    sliced = R.read_relational(spark, database, "order_items", DRIVER, hash_field="k")
     assert sliced.rdd.getNumPartitions() == R.HASH_PARTITIONS
     assert rows(sliced) == rows(R.read_relational(spark, database, "order_items", DRIVER))
 
 
 def test_hash_conditions_by_dialect():
-    assert R.hash_predicates("jdbc:sqlserver://h", "id", 2) == [
-        "ABS(id % 2) = 0 OR id IS NULL",
-        "ABS(id % 2) = 1",
+    assert R.hash_predicates("jdbc:sqlserver://h", "an id", 2) == [
+        "ABS([an id] % 2) = 0 OR [an id] IS NULL",
+        "ABS([an id] % 2) = 1",
     ]
-    assert R.hash_predicates("jdbc:postgresql://h", "id", 1) == ["ABS(MOD(id, 1)) = 0 OR id IS NULL"]
+    assert R.hash_predicates("jdbc:postgresql://h", "id", 1) == ['ABS(MOD("id", 1)) = 0 OR "id" IS NULL']
+    text = R.hash_predicates("jdbc:postgresql://h", "code", 2, whole_numbers=False)
+    assert text[1] == 'ABS(MOD(HASHTEXT(CAST("code" AS TEXT)), 2)) = 1'
+    with pytest.raises(ValueError, match="no hash is known for derby"):
+        R.hash_predicates("jdbc:derby:memory:x", "v", 2, whole_numbers=False)
 
 
 def test_one_failing_table_does_not_stop_the_rest(spark, database, tmp_path):
