@@ -1,4 +1,4 @@
-"""What several of the text operators share: reading, batches, ranks over sorted rows."""
+"""What several of the text operators share: reading, batches, columns set apart."""
 
 from __future__ import annotations
 
@@ -8,15 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
-
-from siltstone.sources.staging import stage
 
 #: Rows of an Arrow batch; texts may be long, so far fewer than Spark's default.
 BATCH_ROWS = 256
 
-_ROW_BITS = 33  # monotonically_increasing_id: the partition above, the row's place below
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,33 +41,6 @@ def put_back(df: DataFrame, names: dict[str, str], *added: str) -> DataFrame:
     return df.select(*(F.col(n).alias(c) for c, n in names.items() if c not in added), *added)
 
 
-def in_order(df: DataFrame, order: list[Column], name: str, value: str | None = None) -> DataFrame:
-    """df with rank (0-based place in the order, gapless) and total (rows), staged.
-
-    With a value column (long, not null) also before, the sum of the values of all earlier
-    rows, and whole, the sum of all. Spark sorts by range, so no key gathers in one task;
-    a row's place is its place in its own file plus the rows of the files before it, and
-    only one number or two a file are added up in one task.
-    """
-    at = F.col("_at")
-    rows = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), name).df
-    rows = rows.withColumns({"_file": F.shiftright(at, _ROW_BITS), "_row": at.bitwiseAND((1 << _ROW_BITS) - 1)})
-    sums = [F.count("*").alias("_n")] + ([F.sum(value).alias("_v")] if value else [])
-    files = rows.groupBy("_file").agg(*sums)
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    parts = {"_first": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "total": F.sum("_n").over(every)}
-    if value:
-        parts |= {"_sum": F.coalesce(F.sum("_v").over(earlier), F.lit(0)), "whole": F.sum("_v").over(every)}
-    # One row for each file of the staged table: its size has the bound of the partition count.
-    files = F.broadcast(files.withColumns(parts).drop("_n", "_v"))
-    rows = rows.join(files, "_file").withColumn("rank", F.col("_first") + F.col("_row"))
-    if value:
-        inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumn("before", F.col("_sum") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return rows.drop("_at", "_file", "_row", "_first", "_sum")
-
-
 _KINDS = {
     "long": (T.LongType(), pa.int64()),
     "double": (T.DoubleType(), pa.float64()),

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.llm.common import in_order, put_back, set_apart, table, word_text
+from siltstone.llm.common import put_back, set_apart, table, word_text
+from siltstone.operators.ordering import in_order
 from siltstone.sources.staging import stage
 
 WEIGHTS = (3, 1, 2)

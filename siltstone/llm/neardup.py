@@ -17,8 +17,9 @@ chance of about 0.00003.
 
 Defined cases: a null text counts as an empty one; texts without words are copies only of
 equal texts; a text of fewer words than a k-mer has one k-mer, all its words; rows with one
-doc_id are one document; a row without doc_id gets a negative id from its text; repeated
-rows have a row each; an empty table gives an empty result.
+doc_id are one document; a row without doc_id gets an id from its text, from 2**62 on, so
+that rows with one lead their classes; repeated rows have a row each; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -140,7 +141,7 @@ def _text_keys() -> dict[str, Column]:
     """Two 64-bit hashes of the text, and the row's id."""
     text = word_text("text")
     one, two = F.xxhash64(text), F.xxhash64(F.lit("again"), text)
-    nameless = -1 - F.pmod(F.xxhash64(text), F.lit(1 << 62))
+    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
     return {"_k1": one, "_k2": two, "_id": F.coalesce(F.col("doc_id").cast("long"), nameless)}
 
 
@@ -152,8 +153,8 @@ def _bucketed(docs: DataFrame) -> DataFrame:
 
         return keys
 
-    narrow = docs.select("text", *(c.alias(n) for n, c in _text_keys().items()))
-    return add_columns(narrow, ["_id", "_k1", "_k2"], [F.col("text")], make, {"_keys": "array<long>"})
+    narrow = docs.select("doc_id", "text", *(c.alias(n) for n, c in _text_keys().items()))
+    return add_columns(narrow, ["doc_id", "_id", "_k1", "_k2"], [F.col("text")], make, {"_keys": "array<long>"})
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
@@ -213,7 +214,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row for each row of docs: _id, _k1, _k2, class_id and n_links.
+    """One row for each row of docs: doc_id, _id, _k1, _k2, class_id and n_links.
 
     class_id is the smallest id of the class, n_links the number of other texts that the
     row's text is linked with directly.
@@ -229,9 +230,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     ends = links.select(F.col("_node").alias("_node")).union(links.select("_hub"))
     found = found.join(ends.groupBy("_node").agg(F.count("*").alias("n_links")), "_node")
     out = rows.drop("_keys").join(found, "_node", "left")
-    return out.select(
-        "_id", "_k1", "_k2", F.coalesce("_class", "_node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-    )
+    class_id = F.coalesce("_class", "_node").alias("class_id")
+    return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -248,4 +248,4 @@ def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near copies of every document."""
     found = classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select(F.when(F.col("_id") >= 0, F.col("_id")).alias("doc_id"), "class_id", "n_links")
+    return found.select("doc_id", "class_id", "n_links")

@@ -62,7 +62,7 @@ _CUES = (
     re.compile(r"phone|tel\b|call|fax|mobile", re.I),
 )
 _COUNTER_CUE = re.compile(r"token|key|version|licen[cs]e|hash|page|\bid\b", re.I)
-FEATURES = 21
+FEATURES = 19
 
 
 def luhn(digits: str) -> bool:
@@ -133,8 +133,12 @@ def _side(c: str) -> float:
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
-    """Format of a span and what stands around it."""
-    span, before = text[start:end], text[max(0, start - 24) : start]
+    """Format of a span and what stands around it.
+
+    The plus and the @ are left out: every example of the base forms has them, and the
+    looser forms, which are to be judged by the rest, do not.
+    """
+    span, before = text[start:end].lstrip("+"), text[max(0, start - 24) : start]
     groups = [len(g) for g in _GROUP.findall(span)]
     digits = _digits(span)
     own = [0.0] * 4
@@ -147,8 +151,6 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         float(min(len(groups), 50)),
         float(min(max(groups, default=0), 50)),
         float(min(min(groups, default=0), 50)),
-        float(span.startswith("+")),
-        float("@" in span),
         float(span.count(".")),
         float(1 < len(digits) < 100 and luhn(digits)),
         float(all(map(_fits_byte, _GROUP.findall(span)))),
@@ -187,6 +189,7 @@ def proposals(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
     for kind, start, end in loose_forms(text):
         if not taken.meets(start, end):
             spans.append((kind, start, end, -1))
+    taken = _Taken([(start, kind, end) for kind, start, end, label in spans if label])
     for m in _NUMBER.finditer(text):
         if not taken.meets(m.start(), m.end()):
             kind = 1 if m[0].count(".") > 1 else 2 if len(m[0]) > 11 else 3

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.common import in_order, put_back, set_apart, table
+from siltstone.llm.common import put_back, set_apart, table
+from siltstone.operators.ordering import in_order
 from siltstone.sources.staging import stage
 
 SHARDS = 16

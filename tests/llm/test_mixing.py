@@ -1,0 +1,118 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.llm import mixing as M
+from siltstone.llm.common import table
+from siltstone.sources.staging import stage
+from tests.conftest import SMALL
+from tests.llm.conftest import ODD_DOCS
+
+
+def _brute(docs):
+    """Targets by sharing the excess out again and again, then words by the cut of each pass."""
+    rows = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), n) for n, (i, t, s) in enumerate(docs)]
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(r[2] for r in rows if r[1] == s) for s in sources}
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sources)}
+    target, free, left = dict.fromkeys(sources, 0.0), set(sources), 1.5 * sum(size.values())
+    while free:
+        whole = sum(weight[s] for s in free)
+        over = {s for s in free if left * weight[s] / whole >= 2 * size[s]}
+        if not over:
+            target.update({s: left * weight[s] / whole for s in free})
+            break
+        for s in over:
+            target[s] = 2.0 * size[s]
+            left -= target[s]
+        free -= over
+    out = []
+    for s in sources:
+        start, quota = 0, int(target[s])
+        own = sorted(
+            (hashlib.md5(f"mix:{'' if i is None else i}".encode()).hexdigest(), i is not None, i or 0, n)
+            for i, z, n, _ in rows
+            if z == s
+        )
+        for _, known, i, n in own:
+            taken = sum(max(0, min(start + n, cut) - start) for cut in (min(quota, size[s]), max(0, quota - size[s])))
+            out.append((i if known else None, n, size[s], target[s], taken))
+            start += n
+    return sorted(out, key=repr)
+
+
+def test_words_taken_equal_the_sql(spark, duck):
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    got = M.op4_source_schedule(spark, SMALL).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(duck.sql(M.OP4_SQL).project(", ".join(columns)).fetchall())
+
+
+def test_odd_rows_equal_brute_force(spark, odd_dir):
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    got = sorted(map(tuple, M.op4_source_schedule(spark, odd_dir).select(columns).collect()), key=repr)
+    expected = _brute([(i, t, s) for i, t, _, s, _ in ODD_DOCS])
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in expected]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in expected])
+
+
+def test_sources_end_at_their_targets_and_reruns_agree(spark):
+    one = M.op4_source_schedule(spark, SMALL)
+    ends = table(spark, SMALL, "documents").select("doc_id", "source").join(one, "doc_id")
+    for r in ends.groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect():
+        assert 0 <= r.target - r.taken < 1
+    assert one.where("taken > 2 * size").count() == 0
+    again = M.op4_source_schedule(spark, SMALL)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_places_are_low_discrepancy_points(spark):
+    """Ranks count a source's earlier places, and every stretch holds the sources by their shares."""
+    rows = stage(M.sized(table(spark, SMALL, "documents")), "t").df
+    sources = stage(M.targets(rows), "t").df
+    places = sorted(M.schedule(sources).collect(), key=lambda r: r.place)
+    assert len({r.place for r in places}) == len(places)
+    seen = {}
+    for r in places:
+        n = seen.setdefault(r._key, [0])
+        assert (r["pass"], r.block) == divmod(n[0], r_blocks(r, sources_by_key(sources)))
+        n[0] += 1
+    share = {r._key: r._quota for r in sources.collect()}
+    whole = sum(share.values())
+    for end in (500, 1000, 2000, 4000):
+        counts = {}
+        for r in places:
+            if r.place < M.SLOTS * end // 4000:
+                counts[r._key] = counts.get(r._key, 0) + 1
+        total = sum(counts.values())
+        for key, n in counts.items():
+            assert abs(n - total * share[key] / whole) < 20
+
+
+def sources_by_key(sources, cache={}):  # noqa: B006
+    if id(sources) not in cache:
+        cache[id(sources)] = {r._key: r for r in sources.collect()}
+    return cache[id(sources)]
+
+
+def r_blocks(r, by_key):
+    return -(-by_key[r._key].source_size // r._block)
+
+
+def test_mix_keeps_columns_and_repeats_documents(spark, odd_dir):
+    docs = table(spark, SMALL, "documents")
+    mixed = M.mix(docs)
+    assert mixed.columns == docs.columns
+    assert {n for (_, n) in mixed.groupBy("doc_id").count().collect()} <= {1, 2}
+    taken = M.op4_source_schedule(spark, SMALL).agg(F.sum("taken")).first()[0]
+    words = M.sized(mixed).agg(F.sum("size")).first()[0]
+    assert abs(words - taken) / taken < 0.05
+    odd = table(spark, odd_dir, "documents")
+    assert M.mix(odd).columns == odd.columns
+    assert M.mix(odd).where("rank <> 7 OR size <> 7 OR text IS NULL").count() == 0
+
+
+def test_nothing(spark, empty_dir):
+    assert M.op4_source_schedule(spark, empty_dir).count() == 0
+    assert M.mix(table(spark, empty_dir, "documents")).count() == 0

@@ -1,0 +1,115 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from siltstone.llm import neardup as N
+from siltstone.llm.common import table
+from siltstone.llm.words import word_hashes, words
+from tests.llm.conftest import LONG, near_classes
+from tests.llm.conftest import words as plain_words
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def test_classes_equal_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in table(spark, MIDDLE, "documents").collect()]
+    got = {r.doc_id: r.class_id for r in N.op6_order_minhash(spark, MIDDLE).collect()}
+    assert got == near_classes(docs)
+
+
+def _aligned(a, b):
+    """Longest common subsequence by the plain table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(row[j], before[j + 1]))
+    return row[-1]
+
+
+def test_banded_alignment_equals_the_table():
+    rng = random.Random(2)
+    for _ in range(300):
+        base = rng.sample(range(1000), rng.randrange(1, 60))
+        other = [x if rng.random() > 0.06 else 1000 + rng.randrange(1000) for x in base]
+        if rng.random() < 0.3:
+            i = rng.randrange(len(other))
+            other = other[i:] + other[:i]
+        other = list(dict.fromkeys(x for x in other if rng.random() > 0.03)) or [5000]
+        m = _aligned(base, other)
+        exact = m / (len(base) + len(other) - m)
+        got = N.similarity(np.array(base, np.uint32), np.array(other, np.uint32))
+        assert got == (exact if exact >= 0.8 else 0.0)
+
+
+def test_repeated_kmers_are_told_apart():
+    assert len(set(N.kmers("a b c d e " * 50).tolist())) == 246
+    twice, more = N.kmers("a b c d e " * 50), N.kmers("a b c d e " * 51)
+    assert N.similarity(twice, more) > 0.95
+    assert N.similarity(twice, N.kmers("f g h i j " * 50)) == 0
+
+
+def test_sketches_of_long_texts_go_by_parts(monkeypatch):
+    found = N.kmers(" ".join(f"w{i % 700}x{i}" for i in range(5000)))
+    whole = N.sketch(found)
+    monkeypatch.setattr(N, "_CHUNK", 333)
+    assert (N.sketch(found) == whole).all()
+    monkeypatch.setattr(N, "_CHUNK", 4995)  # the last part is one k-mer
+    assert (N.sketch(found) == whole).all()
+
+
+def test_word_hashes_tell_words_apart(monkeypatch):
+    text = "One two, one-TWO été " + LONG[:50_000] + "\ud800 end"
+    import siltstone.llm.words as W
+
+    whole = word_hashes(text)
+    assert len(whole) == len(words(text)) == len(plain_words(text))
+    assert len(set(whole.tolist())) == len(set(words(text)))
+    monkeypatch.setattr(W, "_SEGMENT", 1000)
+    assert (word_hashes(text) == whole).all()
+    monkeypatch.setattr(W, "_SEGMENT", 1 << 20)
+    assert len(word_hashes("x" * 3_000_000 + " y")) == 2
+
+
+def test_odd_rows(spark, odd_dir):
+    got = {(r.doc_id, r.class_id) for r in N.op6_order_minhash(spark, odd_dir).collect()}
+    classes = dict(got)
+    assert classes[1] == classes[2] == classes[10] == 1
+    assert classes[3] == classes[4] and classes[5] == 5 and classes[7] == 7 and classes[8] == 8
+    assert N.op6_order_minhash(spark, odd_dir).count() == 14
+    docs = table(spark, odd_dir, "documents")
+    kept = N.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.where("_id <> 7").count() == 0
+    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert ids == sorted([1, 3, 5, 6, 7, 8, 9, 11, None], key=repr)  # the null text is a copy of the empty one
+
+
+def test_large_groups_of_copies_make_few_pairs(spark):
+    """A third of the rows near copies of one text, all different: pairs grow with the rows only."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    docs = []
+    for i in range(600):
+        own = list(base) if i % 3 == 0 else [f"v{rng.randrange(10_000)}" for _ in range(200)]
+        if i:
+            own[rng.randrange(200)] = f"x{i}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = N.stage(N._bucketed(df), "b").df
+    rows = rows.withColumn("_node", F.col("_id"))
+    assert N._candidates(rows).count() < 200 * (N.WIDE + N.NARROW)
+    got = {r._id: r.class_id for r in N.classes(df).collect()}
+    assert got == near_classes(docs)
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "_node long, _hub long")
+    got = {r._node: r._class for r in N.components(links).collect()}
+    assert got == {i: 0 for i in range(41)} | {90: 90, 95: 90, 100: 90}
+
+
+def test_nothing(spark, empty_dir):
+    assert N.op6_order_minhash(spark, empty_dir).count() == 0
+    assert N.one_of_each(table(spark, empty_dir, "documents")).count() == 0
