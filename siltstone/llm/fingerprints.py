@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,7 +110,7 @@ def likeness(a: str, b: str) -> float:
     return 1 - edit_distance(one, two) / longest if longest else 0.0
 
 
-def _with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+def _with_next(docs: DataFrame) -> DataFrame:
     """Texts dealt out by ranges of doc_id, each range followed by the first row of the next.
 
     Only the ranges' ends and their first rows pass through the driver, some for each shuffle
@@ -119,18 +120,25 @@ def _with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), word_text("text").alias("text"))
     rows = rows.withColumn("_hash", F.xxhash64("text"))
-    at = [k / (tasks * BUCKETS_A_TASK) for k in range(1, tasks * BUCKETS_A_TASK)]
-    edges = sorted(set(docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), at, 100_000)).first()[0] or []))
-    edges_column = F.array(*map(F.lit, edges)) if edges else F.array().cast("array<long>")
-    # edges up to the id: a binary search would not be faster in an expression
-    place = F.size(F.filter(edges_column, lambda e: e <= F.col("doc_id")))
-    rows = rows.withColumn("_range", F.when(F.col("doc_id").isNull(), len(edges)).otherwise(place))
+    ranges = tasks * BUCKETS_A_TASK
+    at = [k / ranges for k in range(1, ranges)]
+    # The sketch behind the quantiles takes memory by its accuracy, not by the rows.
+    quantiles = F.percentile_approx(F.col("doc_id").cast("long"), at, 20 * ranges)
+    edges = np.unique(np.array(docs.agg(quantiles).first()[0] or [], dtype=np.int64))
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="right").astype(np.int32))
+
+    own_range = place(F.coalesce(F.col("doc_id"), F.lit(0)))
+    rows = rows.withColumn("_range", F.when(F.col("doc_id").isNull(), len(edges)).otherwise(own_range))
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash")
     firsts = rows.groupBy("_range").agg(F.min(key).alias("first")).orderBy("_range").collect()
     heads = [
         (r["first"]["doc_id"], r["first"]["_hash"], firsts[i - 1]["_range"]) for i, r in enumerate(firsts)
     ]
-    heads = F.broadcast(spark.createDataFrame(heads, "_head long, _head_hash long, _before int"))  # a row a range
+    # One row for each range.
+    heads = F.broadcast(spark.createDataFrame(heads, "_head long, _head_hash long, _before int"))
     same = F.col("doc_id").eqNullSafe(F.col("_head")) & (F.col("_hash") == F.col("_head_hash"))
     own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("tail"))
     also = F.struct(F.col("_before").alias("range"), F.lit(True).alias("tail"))
@@ -138,7 +146,7 @@ def _with_next(docs: DataFrame) -> tuple[DataFrame, int]:
     rows = rows.join(heads, same, "left").withColumn("_at", F.explode(places))
     rows = rows.select(F.col("_at.range").alias("_range"), F.col("_at.tail").alias("_tail"), "doc_id", "_hash", "text")
     rows = rows.repartition(tasks, "_range")
-    return rows.sortWithinPartitions("_range", "_tail", F.col("doc_id").asc_nulls_last(), "_hash"), tasks
+    return rows.sortWithinPartitions("_range", "_tail", F.col("doc_id").asc_nulls_last(), "_hash")
 
 
 _RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -170,8 +178,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compared_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
     small_batches(docs.sparkSession)
-    rows, _ = _with_next(docs)
-    return rows.select("_tail", "doc_id", "text").mapInArrow(_compared, _RESULT)
+    return _with_next(docs).select("_tail", "doc_id", "text").mapInArrow(_compared, _RESULT)
 
 
 def op5_piecewise_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
