@@ -27,9 +27,9 @@ VISITOR_COUNTS = ("load_count", "play_count")
 class Contract:
     """Columns a table must have, and those it may lack.
 
-    types, in DDL form, are given for tables that this project writes itself. Such a table is
-    read with them: a file that lacks a column gives NULL there, and a column of another type
-    fails the read.
+    types, in DDL form, are given for tables that this project writes itself. Several dates of
+    such a table are read with them: a file that lacks a column gives NULL there, and a column
+    of another type fails the read.
     """
 
     table: str
@@ -45,6 +45,10 @@ class Contract:
         missing = [c for c in self.required if c not in df.columns]
         if missing:
             raise ValueError(f"{self.table}: missing columns {missing}; found {df.columns}")
+        wanted = {f.name: f.dataType.simpleString() for f in self.schema or ()}
+        other = {c: t for c, t in df.dtypes if wanted.get(c, t) != t}
+        if other:
+            raise ValueError(f"{self.table}: columns of another type: {other}")
         return df
 
 

@@ -101,6 +101,16 @@ def test_a_column_added_later_is_kept(spark, tmp_path):
     ]
 
 
+def test_a_date_of_other_types_is_refused(spark, tmp_path):
+    root = str(tmp_path / "t")
+    P.write_partition(frame(spark, ("a", 1)), root, D1)
+    typed = Contract("t", ("k",), types="k string, n string, ingested_date date")
+    with pytest.raises(ValueError, match="t: columns of another type: {'n': 'int'}"):
+        P.read_partition(spark, root, D1, typed)
+    with pytest.raises(ValueError, match="t: missing columns"):
+        P.read_partition(spark, root, D1, Contract("t", ("z",), types="z int"))
+
+
 def test_run_date(spark):
     assert P.run_date("2024-02-29") == date(2024, 2, 29)
     assert P.run_date() == datetime.now(timezone.utc).date()
