@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import small_batches, table
+from siltstone.llm.common import BATCH_ROWS, ready_python, table
 from siltstone.llm.templates import compile_template
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "[/TURN]")
@@ -129,65 +129,71 @@ def _turns(rows: Iterator[tuple], ended: Callable[[], None]) -> Iterator[dict]:
 
 
 def formatted(rows: DataFrame, source: str = TEMPLATE) -> DataFrame:
-    """Pieces of the formatted conversations: conv_id, piece (0, 1, ...), text, learned, start."""
-    small_batches(rows.sparkSession)
+    """Pieces of the formatted conversations: conv_id, piece (0, 1, ...), text, learned, start.
+
+    The pieces of one conversation are held until it ends; `read_back` holds one turn.
+    """
+    ready_python(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = compile_template(source, escape=escape)
         for conv_id, own in groupby(_rows(batches), key=lambda r: r[0]):
             pieces: list[tuple[str, bool]] = []
-            ready: list[pa.RecordBatch] = []
-            state = [0, 0]
-
-            def flush(conv_id=conv_id, pieces=pieces, ready=ready, state=state) -> None:
-                starts = []
-                for text, _ in pieces:
-                    starts.append(state[1])
-                    state[1] += len(text)
-                n = len(pieces)
-                ready.append(
-                    pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([conv_id] * n, pa.int64()),
-                            pa.array(range(state[0], state[0] + n), pa.int64()),
-                            pa.array([p[0] for p in pieces], pa.string()),
-                            pa.array([p[1] for p in pieces], pa.bool_()),
-                            pa.array(starts, pa.int64()),
-                        ],
-                        names=["conv_id", "piece", "text", "learned", "start"],
-                    )
-                )
-                state[0] += n
-                pieces.clear()
 
-            template({"turns": _turns(own, lambda: None)}, lambda t, learned, p=pieces: p.append((t, learned)) if t else None)
-            flush()
-            yield from ready
+            def receive(text: str, learned: bool, pieces=pieces) -> None:
+                if text:
+                    pieces.append((text, learned))
+
+            template({"turns": _turns(own, lambda: None)}, receive)
+            at = 0
+            for first in range(0, len(pieces), BATCH_ROWS):
+                texts, learned = zip(*pieces[first : first + BATCH_ROWS], strict=True)
+                starts = [at]
+                for text in texts:
+                    starts.append(starts[-1] + len(text))
+                at = starts.pop()
+                n = len(texts)
+                columns = [
+                    pa.array([conv_id] * n, pa.int64()),
+                    pa.array(range(first, first + n), pa.int64()),
+                    pa.array(texts, pa.string()),
+                    pa.array(learned, pa.bool_()),
+                    pa.array(starts, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    columns, names=["conv_id", "piece", "text", "learned", "start"]
+                )
 
-    return sorted_turns(rows).mapInArrow(run, "conv_id long, piece long, text string, learned boolean, start long")
+    schema = "conv_id long, piece long, text string, learned boolean, start long"
+    return sorted_turns(rows).mapInArrow(run, schema)
 
 
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 _RESULT = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(zip(*rows, strict=True), _TYPES, strict=True)
+    names = [c.split()[0] for c in _RESULT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=names)
+
+
 def read_back(rows: DataFrame, source: str = TEMPLATE) -> DataFrame:
     """Every conversation formatted, and what its formatted text says when it is read back."""
-    small_batches(rows.sparkSession)
+    ready_python(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         template = compile_template(source, escape=escape)
-        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        names = [c.split()[0] for c in _RESULT.split(", ")]
         out: list[tuple] = []
         for conv_id, own in groupby(_rows(batches), key=lambda r: r[0]):
             reader = _Reader()
             template({"turns": _turns(own, reader.turn_ended)}, reader)
             out.append((conv_id, *reader.row()))
-            if len(out) == 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+            if len(out) == BATCH_ROWS:
+                yield _batch(out)
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+            yield _batch(out)
 
     return sorted_turns(rows).mapInArrow(run, _RESULT)
 

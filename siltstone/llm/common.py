@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import siltstone
+
 #: Rows of an Arrow batch; texts may be long, so far fewer than Spark's default.
 BATCH_ROWS = 256
 
@@ -17,9 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep what a Python worker holds of a text table at a time small."""
+_shipped: set[str] = set()
+
+
+def ready_python(spark: SparkSession) -> None:
+    """Get Python workers ready: small batches of a text table, and this package's code.
+
+    Workers import the functions they run. On a cluster they have the package only if it is
+    sent to them, which is done once an application; Spark keeps it for executors that come later.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(siltstone.__file__).parent
+        place = Path(tempfile.mkdtemp(prefix="siltstone-code-")).resolve() / "siltstone.zip"
+        with zipfile.ZipFile(place, "w") as packed:
+            for source in sorted(package.rglob("*.py")):
+                packed.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(place))
+        _shipped.add(app)
 
 
 def word_text(text: str | Column) -> Column:
@@ -65,7 +86,7 @@ def add_columns(
     make runs once a task; what it returns gets the input columns of a batch as lists and
     returns the added columns as lists. Kept columns pass through untouched.
     """
-    small_batches(df.sparkSession)
+    ready_python(df.sparkSession)
     n = len(keep)
     rows = df.select(*keep, *(c.alias(f"_in{i}") for i, c in enumerate(inputs)))
     schema = T.StructType(list(rows.schema)[:n])

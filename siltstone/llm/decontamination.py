@@ -70,7 +70,10 @@ def _automaton(patterns: Sequence[tuple[str, tuple[str, ...]]]) -> ahocorasick.A
     return found
 
 
-def scan(docs: DataFrame, keep: Sequence[str], patterns: list[tuple[str, tuple[str, ...]]], first: bool) -> DataFrame:
+Patterns = list[tuple[str, tuple[str, ...]]]
+
+
+def scan(docs: DataFrame, keep: Sequence[str], patterns: Patterns, first: bool) -> DataFrame:
     """docs with _hits, word ranges [from, to, ...], and _items, the ids of items found.
 
     Later scans add to what earlier ones found.
@@ -97,8 +100,11 @@ def scan(docs: DataFrame, keep: Sequence[str], patterns: list[tuple[str, tuple[s
 
         return find
 
-    before = [F.lit(None).cast("array<long>"), F.lit(None).cast("string")] if first else [F.col("_hits"), F.col("_items")]
-    return add_columns(docs, keep, [F.col("text"), *before], make, {"_hits": "array<long>", "_items": "string"})
+    before = [F.col("_hits"), F.col("_items")]
+    if first:
+        before = [F.lit(None).cast("array<long>"), F.lit(None).cast("string")]
+    added = {"_hits": "array<long>", "_items": "string"}
+    return add_columns(docs, keep, [F.col("text"), *before], make, added)
 
 
 def _merged(ranges: list[int]) -> list[tuple[int, int]]:
@@ -112,16 +118,24 @@ def _merged(ranges: list[int]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def searched(docs: DataFrame, items: DataFrame, keep: Sequence[str], width: int = WINDOW, limit: int = MAX_WINDOWS) -> DataFrame:
+def searched(
+    docs: DataFrame,
+    items: DataFrame,
+    keep: Sequence[str],
+    width: int = WINDOW,
+    limit: int = MAX_WINDOWS,
+) -> DataFrame:
     """The kept columns, text, _hits and _items of every document."""
     found = windows(items, width)
     n = found.count()
     groups = max(1, -(-n // limit))
-    docs = docs.select(*dict.fromkeys([*keep, "text"]))
+    kept = list(dict.fromkeys([*keep, "text"]))
+    docs = docs.select(*kept)
     for group in range(groups):
-        part = found if groups == 1 else found.where(F.pmod(F.xxhash64("pattern"), F.lit(groups)) == group)
-        patterns = [(bytes(r["pattern"]).decode("latin-1"), tuple(r["items"])) for r in part.collect()]  # limit rows or so
-        docs = scan(docs, list(dict.fromkeys([*keep, "text"])), patterns, first=group == 0)
+        part = found.where(F.pmod(F.xxhash64("pattern"), F.lit(groups)) == group)
+        rows = part.collect()  # about limit rows, as the hash shares them out
+        patterns = [(bytes(r["pattern"]).decode("latin-1"), tuple(r["items"])) for r in rows]
+        docs = scan(docs, kept, patterns, first=group == 0)
     return docs
 
 
@@ -148,10 +162,11 @@ def contamination(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc
 
     hit_spans has the code points start:end of every run of hit words in the original text.
     """
-    added = {"n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}
+    added = dict.fromkeys(["n_words", "n_hit", "n_items"], "long")
+    added |= {"items_sha256": "string", "contaminated": "boolean", "hit_spans": "string"}
     found = searched(docs, items, keep)
     columns = [F.coalesce(F.col("text"), F.lit("")), F.col("_hits"), F.col("_items")]
-    return add_columns(found, list(keep), columns, _digest, added | {"hit_spans": "string"})
+    return add_columns(found, list(keep), columns, _digest, added)
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import small_batches, table, word_text
+from siltstone.llm.common import ready_python, table, word_text
 from siltstone.llm.words import encoded
 
 LEAST_BITS = 0
@@ -149,7 +149,10 @@ def _with_next(docs: DataFrame) -> DataFrame:
     return rows.sortWithinPartitions("_range", "_tail", F.col("doc_id").asc_nulls_last(), "_hash")
 
 
-_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double"
+)
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 edited = before[: n - n // 2] + text[: n // 2]
                 changed = fingerprint(edited)
                 sha = hashlib.sha256(encoded(edited)).hexdigest()
-                out.append((before_id, n, sha, before_own, changed, likeness(before_own, changed), likeness(before_own, own)))
+                near_edited, near_next = likeness(before_own, changed), likeness(before_own, own)
+                out.append((before_id, n, sha, before_own, changed, near_edited, near_next))
             open_row = None if tail else (doc_id, text, own)
         columns = list(zip(*out, strict=True)) or [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
@@ -177,7 +181,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def compared_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
-    small_batches(docs.sparkSession)
+    ready_python(docs.sparkSession)
     return _with_next(docs).select("_tail", "doc_id", "text").mapInArrow(_compared, _RESULT)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import add_columns, put_back, set_apart, small_batches, table
+from siltstone.llm.common import add_columns, put_back, ready_python, set_apart, table
 
 UNKNOWN = "und"
 BUCKETS = 4096
@@ -64,7 +64,7 @@ def held_out() -> Column:
 
 def learn(docs: DataFrame, limit: int = MAX_DOCS) -> tuple[list[str], np.ndarray]:
     """The languages by code point and their trigram probabilities, a column each."""
-    small_batches(docs.sparkSession)
+    ready_python(docs.sparkSession)
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:

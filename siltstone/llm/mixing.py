@@ -126,12 +126,14 @@ def schedule(sources: DataFrame) -> DataFrame:
         }
     )
     blocks = "((source_size + _block - 1) div _block)"
-    needed = f"if(_quota <= source_size, (_quota + _block - 1) div _block, {blocks} + (_quota - source_size + _block - 1) div _block)"
+    again = f"{blocks} + (_quota - source_size + _block - 1) div _block"
+    needed = f"if(_quota <= source_size, (_quota + _block - 1) div _block, {again})"
     ends = ends.withColumns({"_blocks": F.expr(blocks), "_needed": F.expr(needed)})
     places = ends.withColumn("_j", F.explode(F.expr("sequence(0, greatest(_b - _a, _needed) - 1)")))
+    reverse = f"cast(conv(reverse(lpad(bin(_number), {SLOT_BITS}, '0')), 2, 10) as bigint)"
     places = places.withColumn("_number", F.col("_a") + F.col("_j")).withColumns(
         {
-            "place": F.expr(f"if(_j < _b - _a, cast(conv(reverse(lpad(bin(_number), {SLOT_BITS}, '0')), 2, 10) as bigint), {SLOTS} + _j)"),
+            "place": F.expr(f"if(_j < _b - _a, {reverse}, {SLOTS} + _j)"),
             "rank": F.expr(f"if(_j < _b - _a, {_rank('_number')}, _j)"),
         }
     )

@@ -180,7 +180,8 @@ def _aligned(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, least: float)
 
     def make_similarity() -> Callable:
         def compare(left, right):
-            return ([similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), least) for a, b in zip(left, right, strict=True)],)
+            sides = ([np.frombuffer(k, np.uint32) for k in side] for side in (left, right))
+            return ([similarity(a, b, least) for a, b in zip(*sides, strict=True)],)
 
         return compare
 
@@ -204,7 +205,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = both.join(labels.withColumnRenamed("_node", "_to"), "_to")
         near = near.groupBy(F.col("_from").alias("_node")).agg(F.min("_class").alias("_near"))
-        lower = labels.join(near, "_node").select("_node", F.col("_class").alias("_was"), F.least("_class", "_near").alias("_class"))
+        lower = labels.join(near, "_node").select(
+            "_node", F.col("_class").alias("_was"), F.least("_class", "_near").alias("_class")
+        )
         jump = lower.select(F.col("_node").alias("_class"), F.col("_class").alias("_jump"))
         lower = lower.join(jump, "_class").select("_node", "_was", F.least("_class", "_jump").alias("_class"))
         lower = stage(lower, "labels").df

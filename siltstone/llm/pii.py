@@ -48,7 +48,10 @@ _GROUP = re.compile(r"[0-9]++")
 _LOOSE_PHONE = re.compile(
     r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"
 )
-_LOOSE_CARD = re.compile(r"(?<![0-9.])[0-9]{4}([\x20./-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{13}(?![0-9])")
+_LOOSE_CARD = re.compile(
+    r"(?<![0-9.])[0-9]{4}([\x20./-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"
+    r"|(?<![0-9])[0-9]{13}(?![0-9])"
+)
 _LOOSE_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 _AT = re.compile(r"\x20?(?:[\[(]at[\])]|@)\x20?")
 _BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
@@ -222,7 +225,8 @@ def _proposed() -> Callable:
             base, spans = proposals(text)
             counts = [sum(s[1] == k for s in base) for k in range(len(KINDS))]
             values = [v for kind, start, end, _ in spans for v in features(text, kind, start, end)]
-            out.append((*counts, joined(base), *map(list, zip(*spans, strict=True)), values) if spans else (*counts, "", [], [], [], [], []))
+            columns = list(map(list, zip(*spans, strict=True))) or [[], [], [], []]
+            out.append((*counts, joined(base), *columns, values))
         return list(zip(*out, strict=True)) if out else [()] * 10
 
     return propose
@@ -282,7 +286,8 @@ def found(docs: DataFrame) -> DataFrame:
 
         return merge
 
-    return add_columns(rows, ["doc_id", *counts], [F.col("_base"), F.col("_added")], make, {"base_sha256": "string", "spans": "string"})
+    both, digests = [F.col("_base"), F.col("_added")], {"base_sha256": "string", "spans": "string"}
+    return add_columns(rows, ["doc_id", *counts], both, make, digests)
 
 
 def _additions(spans: DataFrame) -> DataFrame | None:
@@ -290,7 +295,8 @@ def _additions(spans: DataFrame) -> DataFrame | None:
     examples = spans.where("_label >= 0")
     n = examples.count()
     unit = F.pmod(F.xxhash64("_uid", "_kind", "_start"), F.lit(1 << 30))
-    sample = examples.withColumn("_unit", unit).where(F.col("_unit") < int((1 << 30) * min(1.0, MAX_EXAMPLES / max(n, 1))))
+    share = int((1 << 30) * min(1.0, MAX_EXAMPLES / max(n, 1)))
+    sample = examples.withColumn("_unit", unit).where(F.col("_unit") < share)
     sample = stage(sample.withColumn("label", F.col("_label").cast("double")), "examples").df
     seen = F.pmod(F.xxhash64("_unit"), F.lit(HELD_OUT)) != 0
     training = sample.where(seen)
@@ -300,7 +306,8 @@ def _additions(spans: DataFrame) -> DataFrame | None:
     # A bounded sample: a few partitions spare the trees' many short jobs their overhead.
     model = trees.fit(training.select(array_to_vector("features").alias("features"), "label").coalesce(2))
     shown: dict[int, list[tuple[float, int]]] = {}
-    for r in _scored(sample.where(~seen), model).select("_kind", "score", "_label").collect():  # MAX_EXAMPLES rows at most
+    unseen = _scored(sample.where(~seen), model).select("_kind", "score", "_label")
+    for r in unseen.collect():  # about MAX_EXAMPLES / HELD_OUT rows
         shown.setdefault(r["_kind"], []).append((r["score"], r["_label"]))
     limits = {kind: t for kind, own in shown.items() if (t := _threshold(own)) is not None}
     if not limits:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.common import put_back, set_apart, table
+from siltstone.llm.common import put_back, ready_python, set_apart, table
 from siltstone.operators.ordering import in_order
 from siltstone.sources.staging import stage
 
@@ -82,6 +82,7 @@ def cuts(df: DataFrame, dimension: str, bits: int) -> list:
 
 def curve_column(df: DataFrame, dimensions: Sequence[str], bits: int) -> Column:
     """A row's index on the curve; the cut points are a few values of each dimension."""
+    ready_python(df.sparkSession)
     edges = [cuts(df, d, bits) for d in dimensions]
 
     def place(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

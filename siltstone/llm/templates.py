@@ -32,7 +32,10 @@ FILTERS: dict[str, Callable[[Any], Any]] = {
 }
 
 _TAG = re.compile(r"(\{\{.*?\}\}|\{%.*?%\})", re.S)
-_TOKEN = re.compile(r"""\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|([A-Za-z_]\w*)|(==|!=|<=|>=|[<>+|.()])|(\S))""")
+_TOKEN = re.compile(
+    r"""\s*(?:(\d+)|('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|([A-Za-z_]\w*)"""
+    r"""|(==|!=|<=|>=|[<>+|.()])|(\S))"""
+)
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 _CONSTANTS = {"true": True, "false": False, "none": None}
 _BINARY: dict[str, Callable[[Any, Any], Any]] = {

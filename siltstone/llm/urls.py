@@ -67,7 +67,8 @@ def with_rule(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     for rule in sorted(rules, key=lambda r: len(r.host + r.path)):  # the longest last, over the others
         fits = (F.col("host") == rule.host) | F.col("host").endswith(f".{rule.host}")
         fits &= F.col("path").startswith(rule.path)
-        name, verdict = F.when(fits, rule.host + rule.path).otherwise(name), F.when(fits, rule.verdict).otherwise(verdict)
+        name = F.when(fits, rule.host + rule.path).otherwise(name)
+        verdict = F.when(fits, rule.verdict).otherwise(verdict)
     return rows.withColumns({"rule": name, "_ruled": verdict})
 
 
@@ -82,7 +83,8 @@ def _grams(texts: DataFrame) -> DataFrame:
     rows = texts.withColumn("_chars", padded)
     at = F.explode(F.expr(f"sequence(1, size(_chars) - {ORDER})"))
     rows = rows.withColumn("_at", at)
-    return rows.withColumn("_gram", F.array_join(F.slice("_chars", F.col("_at"), F.lit(ORDER + 1)), "")).drop("_chars", "_at")
+    gram = F.array_join(F.slice("_chars", F.col("_at"), F.lit(ORDER + 1)), "")
+    return rows.withColumn("_gram", gram).drop("_chars", "_at")
 
 
 def _ratios(counts: DataFrame, grams: DataFrame) -> DataFrame:
@@ -95,7 +97,8 @@ def _ratios(counts: DataFrame, grams: DataFrame) -> DataFrame:
     for c in classes:
         rows = rows.withColumn(f"_p_{c}", F.lit(1.0 / SYMBOLS))
     for order in range(ORDER + 1):
-        suffix, context = F.substring("_gram", ORDER + 1 - order, order + 1), F.substring("_gram", ORDER + 1 - order, order)
+        suffix = F.substring("_gram", ORDER + 1 - order, order + 1)
+        context = F.substring("_gram", ORDER + 1 - order, order)
         of_order = counts.groupBy(suffix.alias("_s")).agg(*(F.sum(f"_n_{c}").alias(f"_n_{c}") for c in classes))
         rows = rows.withColumns({"_s": suffix, "_c": context}).join(of_order, "_s", "left")
         sums = [F.sum(f"_n_{c}").alias(f"_all_{c}") for c in classes] + [
@@ -139,12 +142,14 @@ def scored(rows: DataFrame) -> tuple[DataFrame, float | None]:
         F.count_if(F.col("_label") == "allow").alias("_allow"), F.count_if(F.col("_label") == "block").alias("_block")
     )
     held = F.pmod(F.xxhash64(F.lit("held"), "_text"), F.lit(HELD_OUT)) == 0
-    label = F.when(F.col("_allow") + F.col("_block") > 0, F.when(F.col("_allow") >= F.col("_block"), "allow").otherwise("block"))
+    more = F.when(F.col("_allow") >= F.col("_block"), "allow").otherwise("block")
+    label = F.when(F.col("_allow") + F.col("_block") > 0, more)
     texts = stage(texts.withColumns({"_label": label, "_held": held}), "texts").df
     grams = _grams(texts)
     learned = F.when(F.col("_held"), 0)
     counts = grams.groupBy("_gram").agg(
-        F.sum(learned.otherwise(F.col("_allow"))).alias("_n_allow"), F.sum(learned.otherwise(F.col("_block"))).alias("_n_block")
+        F.sum(learned.otherwise(F.col("_allow"))).alias("_n_allow"),
+        F.sum(learned.otherwise(F.col("_block"))).alias("_n_block"),
     )
     counts = stage(counts, "counts").df
     ratios = _ratios(counts.where("_n_allow + _n_block > 0"), counts.select("_gram"))
