@@ -42,9 +42,9 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list
     places = [share * (n - 1) for share in shares]
     wanted = sorted({f(place) for place in places for f in (floor, ceil)})
     holds = [(F.col("before") <= k) & (F.col("before") + F.col("rows") > k) for k in wanted]
-    found = sorted_counts.select(
-        "v", F.filter(F.array(*[F.when(h, F.lit(k)) for h, k in zip(holds, wanted, strict=True)]), lambda k: k.isNotNull()).alias("ks")
-    ).where(F.size("ks") > 0)
+    places_held = F.array(*[F.when(h, F.lit(k)) for h, k in zip(holds, wanted, strict=True)])
+    found = sorted_counts.select("v", F.array_compact(places_held).alias("ks"))
+    found = found.where(F.size("ks") > 0)
     value_at = {k: row["v"] for row in found.collect() for k in row["ks"]}
     out = []
     for place in places:
