@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from siltstone.llm import decontamination as D
 from siltstone.llm.common import table
@@ -43,7 +44,7 @@ def test_odd_rows_equal_brute_force(spark, odd_dir):
 
 def test_several_automata_find_the_same(spark):
     docs, items = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
-    n = D.windows(items).count()
+    n = sum(len(r.pattern) for r in D.blocks(items).collect())
     split = D.searched(docs, items, ["doc_id"], limit=n // 3)
     whole = D.searched(docs, items, ["doc_id"])
     def show(df):
@@ -71,3 +72,25 @@ def test_clean_documents_stay_with_their_columns(spark, odd_dir, empty_dir):
     )
     assert D.clean(docs, table(spark, empty_dir, "benchmark")).count() == docs.count()
     assert D.op10_benchmark_windows(spark, empty_dir).count() == 0
+
+
+def test_windows_in_repetitive_texts_equal_brute_force(spark):
+    rng = random.Random(5)
+
+    def text(n):
+        return " ".join(rng.choice("abc") for _ in range(n))
+
+    for width in (1, 2, 3, 6):
+        items = [(i, text(rng.choice([1, 2, 3, 5, 6, 7, 20]))) for i in range(12)]
+        docs = [(i, text(rng.choice([1, 2, 5, 9, 40]))) for i in range(40)]
+        made = spark.createDataFrame(items, "item_id long, text string")
+        got = D.searched(spark.createDataFrame(docs, "doc_id long, text string"), made, ["doc_id"], width)
+        found = []
+        for r in got.collect():
+            hit = {k for a, b in D._merged(r._hits) for k in range(a, b)}
+            found.append((r.doc_id, len(words(r.text)), len(hit), *_named(D._ids(r._items)), bool(hit)))
+        assert sorted(found, key=repr) == _brute(docs, items, width)
+
+
+def _named(ids):
+    return len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
