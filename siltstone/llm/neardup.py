@@ -4,10 +4,11 @@ The k-mers of a document are its runs of SHINGLE words, labelled with their occu
 that every labelled k-mer is there once. Each of ELEMENTS permutations picks the KEPT
 smallest labelled k-mers and keeps them in text order; documents whose words agree in order
 agree in many such elements. WIDE groups of 2 and NARROW groups of 4 elements are bucket
-keys. Every text in a bucket is a candidate with the bucket's smallest one, so that a bucket
-of n texts gives n - 1 candidates; the narrow buckets link texts whose wide buckets are led
-by a stranger. Candidates are verified by a banded alignment of the labelled k-mers: as each
-is there once, the longest common subsequence within the band is a longest increasing one.
+keys. Every text in a bucket is a candidate with the bucket's smallest and largest one, so
+that a bucket of n texts gives 2 n - 3 candidates, all its pairs if n is 3 or less; the narrow
+buckets link texts whose wide buckets have strangers at both ends. Candidates are verified by
+a banded alignment of the labelled k-mers: as each is there once, the longest common
+subsequence within the band is a longest increasing one.
 Similarity is the share of aligned k-mers among all of both texts, the Jaccard index that
 also asks for order; pairs of SIMILARITY or more are linked, and connected texts form a class.
 
@@ -158,11 +159,12 @@ def _bucketed(docs: DataFrame) -> DataFrame:
 
 
 def _candidates(rows: DataFrame) -> DataFrame:
-    """Pairs (_node, _hub): every text of a bucket with the smallest one of the bucket."""
+    """Pairs (_node, _hub): every text of a bucket with the smallest and the largest one of the bucket."""
     members = rows.where("_id = _node").select("_node", F.explode("_keys").alias("_key"))
-    hubs = members.groupBy("_key").agg(F.min("_node").alias("_hub"), F.max("_node").alias("_far"))
-    hubs = hubs.where("_hub < _far").drop("_far")
-    return members.join(hubs, "_key").where("_node <> _hub").select("_node", "_hub").distinct()
+    ends = members.groupBy("_key").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
+    met = members.join(ends.where("_low < _high"), "_key")
+    met = met.select("_node", F.explode(F.array("_low", "_high")).alias("_end")).where("_node <> _end")
+    return met.select(F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")).distinct()
 
 
 def _aligned(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -219,8 +221,8 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row for each row of docs: doc_id, _id, _k1, _k2, class_id and n_links.
 
-    class_id is the smallest id of the class, n_links the number of other texts that the
-    row's text is linked with directly.
+    class_id is the smallest id of the class, n_links the number of candidates that the row's
+    text was found similar to.
     """
     rows = stage(_bucketed(docs), "buckets").df
     nodes = rows.groupBy("_k1", "_k2").agg(F.min("_id").alias("_node"))

@@ -113,3 +113,10 @@ def test_components_of_a_long_chain(spark):
 def test_nothing(spark, empty_dir):
     assert N.op6_order_minhash(spark, empty_dir).count() == 0
     assert N.one_of_each(table(spark, empty_dir, "documents")).count() == 0
+
+
+def test_a_bucket_meets_at_both_of_its_ends(spark):
+    rows = [(n, n, [7]) for n in (1, 2, 3)] + [(n, n, [8]) for n in (4, 5, 6, 9)] + [(10, 10, [11]), (12, 10, [7])]
+    got = N._candidates(spark.createDataFrame(rows, "_id long, _node long, _keys array<long>"))
+    found = {(r._node, r._hub) for r in got.collect()}
+    assert found == {(2, 1), (3, 1), (3, 2), (5, 4), (6, 4), (9, 4), (9, 5), (9, 6)}
