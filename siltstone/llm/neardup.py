@@ -5,10 +5,18 @@ that every labelled k-mer is there once. Each of ELEMENTS permutations picks the
 smallest labelled k-mers and keeps them in text order; documents whose words agree in order
 agree in many such elements. WIDE groups of 2 and NARROW groups of 4 elements are bucket
 keys. Every text in a bucket is a candidate with the bucket's smallest and largest one, so
-that a bucket of n texts gives 2 n - 3 candidates, all its pairs if n is 3 or less; the narrow
-buckets link texts whose wide buckets have strangers at both ends. Candidates are verified by
-a banded alignment of the labelled k-mers: as each is there once, the longest common
-subsequence within the band is a longest increasing one.
+that a bucket of n texts gives 2 n - 3 candidates, all its pairs if n is 3 or less. Candidates
+are verified by a banded alignment of the labelled k-mers: as each is there once, the longest
+common subsequence within the band is a longest increasing one.
+
+A larger bucket whose texts are all of one class by then is done. The texts of the others are
+crowded, and searched by their rarest k-mers: of texts of n and m k-mers that share c or more,
+the n - c + 1 rarest of one and the m - c + 1 rarest of the other have one in common, whatever
+the order of rarity. Lengths go by classes two in a hundred wide, so that c is close to what a
+pair needs and a template that many strangers share does not count among the rarest. Texts of
+different classes with a common rare k-mer are candidates too. So any two similar texts that
+share a bucket end in one class.
+
 Similarity is the share of aligned k-mers among all of both texts, the Jaccard index that
 also asks for order; pairs of SIMILARITY or more are linked, and connected texts form a class.
 
@@ -25,6 +33,7 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Callable
 
@@ -43,12 +52,25 @@ WIDE = 20
 NARROW = 10
 ELEMENTS = 2 * WIDE
 
+RARITY = 1 << 21  # counters of k-mers; k-mers that share one only look less rare
+
 _CHUNK = 1 << 14
 _SEEDS = mixed(np.arange(1, ELEMENTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mixed(_SEEDS) | np.uint64(1)
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+def _length_classes() -> np.ndarray:
+    """Where the classes of lengths begin."""
+    starts = [0]
+    while starts[-1] < 1 << 40:
+        starts.append(starts[-1] + max(1, starts[-1] // 50))
+    return np.array(starts)
+
+
+_LENGTHS = _length_classes()
+
+
 def kmers(text: str | None) -> np.ndarray:
     """The labelled k-mers of a text in order, each there once."""
     words = word_hashes(text)
@@ -167,18 +189,20 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return met.select(F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")).distinct()
 
 
-def _aligned(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The pairs whose alignment reaches the least similarity, with it."""
-    ends = pairs.select(F.col("_node").alias("_id")).union(pairs.select("_hub")).distinct()
-    ends = ends.join(nodes, "_id")
+def _kmers_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """_id and _kmers, the labelled k-mers of the texts of some nodes, staged."""
 
     def make_kmers() -> Callable:
         return lambda texts: ([(kmers(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts],)
 
     texts = docs.select("text", *(c.alias(n) for n, c in _text_keys().items()))
-    texts = texts.join(ends, ["_id", "_k1", "_k2"])
+    texts = texts.join(nodes, ["_id", "_k1", "_k2"])
     texts = add_columns(texts, ["_id"], [F.col("text")], make_kmers, {"_kmers": "binary"})
-    texts = stage(texts.dropDuplicates(["_id"]), "kmers").df
+    return stage(texts.dropDuplicates(["_id"]), "kmers").df
+
+
+def _aligned(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs whose alignment reaches the least similarity, with it."""
 
     def make_similarity() -> Callable:
         def compare(left, right):
@@ -194,6 +218,72 @@ def _aligned(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, least: float)
     return made.where(F.col("similarity") >= least)
 
 
+def _crowded(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """_node and _class of the texts in buckets of more than three texts that are not of one class."""
+    members = rows.where("_id = _node").select("_node", "_keys").join(found, "_node", "left")
+    members = members.select("_node", F.coalesce("_class", "_node").alias("_class"), F.explode("_keys").alias("_key"))
+    buckets = members.groupBy("_key").agg(
+        F.count("*").alias("_n"), F.min("_class").alias("_low"), F.max("_class").alias("_high")
+    )
+    members = members.join(buckets.where("_n > 3 AND _low < _high").select("_key"), "_key")
+    return members.select("_node", "_class").distinct()
+
+
+def rare_keys(found: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """Keys that a text has in common with any text similar to it, for every class of lengths.
+
+    counts holds how often the k-mers of a counter are there; k-mers that are there once give
+    no key, as no other text has them.
+    """
+    n = len(found)
+    if not n:
+        return np.zeros(0, dtype=np.uint64)
+    ranked = np.unique(found)
+    often = counts[ranked & np.uint32(len(counts) - 1)]
+    order = np.lexsort((ranked, often))
+    ranked, shared = ranked[order].astype(np.uint64), often[order] > 1
+    low, high = math.ceil(least * n - 1e-9), math.floor(n / least + 1e-9)
+    own, first, last = (np.searchsorted(_LENGTHS, [n, low, high], side="right") - 1).tolist()
+    out = []
+    for other in range(first, last + 1):
+        needed = math.ceil(least / (1 + least) * (n + max(low, int(_LENGTHS[other]))) - 1e-9)
+        size = max(0, n - needed + 1)
+        classes_of_both = np.uint64(min(own, other) << 16 | max(own, other))
+        out.append(mixed(mixed(ranked[:size][shared[:size]]) + classes_of_both))
+    return np.concatenate(out)
+
+
+def _rare_candidates(crowded: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (_node, _hub) of crowded texts of different classes that have a rare k-mer in common."""
+
+    def make_counters() -> Callable:
+        def counters(found):
+            slots = (np.unique(np.frombuffer(k, np.uint32)) & np.uint32(RARITY - 1) for k in found)
+            return ([own.astype(np.int64).tolist() for own in slots],)
+
+        return counters
+
+    slots = add_columns(texts.select("_id", "_kmers"), ["_id"], [F.col("_kmers")], make_counters, {"_slots": "array<long>"})
+    slots = slots.select(F.explode("_slots").alias("_slot")).groupBy("_slot").agg(F.count("*").alias("_n"))
+    seen = slots.where("_n > 1").toArrow()  # at most a row for each counter
+    counts = np.ones(RARITY, dtype=np.uint32)
+    counts[seen["_slot"].to_numpy()] = np.minimum(seen["_n"].to_numpy(), 0xFFFFFFFF)
+
+    def make_keys() -> Callable:
+        return lambda found: ([rare_keys(np.frombuffer(k, np.uint32), counts, least).view(np.int64).tolist() for k in found],)
+
+    keyed = add_columns(texts.select("_id", "_kmers"), ["_id"], [F.col("_kmers")], make_keys, {"_keys": "array<long>"})
+    keyed = keyed.withColumnRenamed("_id", "_node").join(crowded, "_node")
+    keyed = stage(keyed.select("_node", "_class", F.explode("_keys").alias("_key")), "rare").df
+    # Texts of a key's largest class meet those of its other classes only.
+    sizes = keyed.groupBy("_key", "_class").agg(F.count("*").alias("_n"))
+    mixed_keys = sizes.groupBy("_key").agg(F.max_by("_class", "_n").alias("_main"), F.count("*").alias("_kinds"))
+    keyed = keyed.join(mixed_keys.where("_kinds > 1").select("_key", "_main"), "_key")
+    others = keyed.where("_class <> _main").select("_key", F.col("_node").alias("_end"), F.col("_class").alias("_other"))
+    met = keyed.join(others, "_key").where("_class <> _other")
+    return met.select(F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """_node and _class, the smallest node it is connected with, for every node of the links.
 
@@ -230,10 +320,25 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     rows = rows.join(nodes, ["_k1", "_k2"])
     pairs = stage(_candidates(rows), "candidates").df
     named = nodes.groupBy(F.col("_node").alias("_id")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"))
-    links = stage(_aligned(docs, pairs, named.select("_id", "_k._k1", "_k._k2"), least), "links").df
+    named = named.select("_id", "_k._k1", "_k._k2")
+    ends = pairs.select(F.col("_node").alias("_id")).union(pairs.select("_hub")).distinct()
+    links = stage(_aligned(pairs, _kmers_of(docs, named.join(ends, "_id")), least), "links").df
     found = components(links)
+    crowded = stage(_crowded(rows, found), "crowded").df
+    if not crowded.isEmpty():
+        texts = _kmers_of(docs, named.join(crowded.select(F.col("_node").alias("_id")), "_id"))
+        more = _rare_candidates(crowded, texts, least).join(pairs, ["_node", "_hub"], "left_anti")
+        more = stage(_aligned(stage(more, "candidates").df, texts, least), "links").df
+        hubs = crowded.select(F.col("_node").alias("_hub"), F.col("_class").alias("_hub_class"))
+        between = more.join(crowded, "_node").join(hubs, "_hub")
+        wider = components(between.select(F.col("_class").alias("_node"), F.col("_hub_class").alias("_hub")).distinct())
+        wider = wider.select(F.col("_node").alias("_was"), F.col("_class").alias("_wider"))
+        every = found.select("_node", "_class").unionByName(crowded).distinct()
+        found = every.join(wider, F.col("_class") == F.col("_was"), "left")
+        found = found.select("_node", F.coalesce("_wider", "_class").alias("_class"))
+        links = links.unionByName(more)
     ends = links.select(F.col("_node").alias("_node")).union(links.select("_hub"))
-    found = found.join(ends.groupBy("_node").agg(F.count("*").alias("n_links")), "_node")
+    found = found.join(ends.groupBy("_node").agg(F.count("*").alias("n_links")), "_node", "left")
     out = rows.drop("_keys").join(found, "_node", "left")
     class_id = F.coalesce("_class", "_node").alias("class_id")
     return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("n_links", F.lit(0)).alias("n_links"))

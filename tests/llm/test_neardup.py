@@ -120,3 +120,49 @@ def test_a_bucket_meets_at_both_of_its_ends(spark):
     got = N._candidates(spark.createDataFrame(rows, "_id long, _node long, _keys array<long>"))
     found = {(r._node, r._hub) for r in got.collect()}
     assert found == {(2, 1), (3, 1), (3, 2), (5, 4), (6, 4), (9, 4), (9, 5), (9, 6)}
+
+
+def _classes(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    return {r._id: r.class_id for r in N.classes(df).collect()}
+
+
+def test_near_pairs_on_a_shared_template(spark):
+    """Strangers with 85 of 100 k-mers in common, and pairs that share 5 or 3 more."""
+    template = [f"t{i}" for i in range(90)]
+    docs = []
+    for i in range(120):
+        shared, more = (85, 5) if i % 2 else (86, 3)
+        for j in range(2):
+            own = [f"p{i}x{k}" for k in range(more)] + [f"o{i}x{j}x{k}" for k in range(100 - shared - more)]
+            docs.append((2 * i + j, " ".join(template[: shared + 4] + own)))
+    got = _classes(spark, docs)
+    assert got == near_classes(docs)
+    assert len(set(got.values())) == 120
+
+
+def test_texts_near_one_member_of_a_large_group(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    docs, members = [], []
+    for i in range(300):
+        own = list(base)
+        own[rng.randrange(10, 190)] = f"x{i}"
+        members.append(own)
+        docs.append((1000 + i, " ".join(own)))
+    for i in range(0, 300, 5):
+        own = list(members[i])
+        for k in (5, 55, 105, 155):
+            own[k + rng.randrange(20)] = f"y{i}x{k}"
+        docs.append((i, " ".join(own)))
+    assert _classes(spark, docs) == near_classes(docs)
+
+
+def test_similar_texts_have_a_rare_key_in_common():
+    rng = random.Random(6)
+    counts = np.full(N.RARITY, 2, np.uint32)
+    for _ in range(500):
+        a = np.array(rng.sample(range(1 << 31), rng.randrange(1, 300)), np.uint32)
+        b = np.array([x for x in a if rng.random() > 0.1] + rng.sample(range(1 << 31), rng.randrange(len(a) // 10 + 1)), np.uint32)
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            assert set(N.rare_keys(a, counts, 0.8).tolist()) & set(N.rare_keys(b, counts, 0.8).tolist())
