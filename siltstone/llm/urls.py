@@ -5,13 +5,14 @@ to ORDER characters. Orders are interpolated with weights from the number of dif
 characters seen after a context (Witten-Bell), down to a uniform one. The mean
 log-likelihood difference of a URL's characters is its score, and the threshold between the
 classes is calibrated on labelled URLs that the models have not seen. Rules that fit a URL
-decide it and label the URLs the models learn from.
+decide it and label the URLs the models learn from. Rules see host and path; the models learn
+from and score the whole URL, with its scheme, query and fragment, as it is written.
 
 Counts, models and scores are DataFrames: the models grow with the corpus, so they are joined
 by n-gram and not sent to every executor.
 
-Defined cases: a URL that is null or has no :// has an empty host and path, no rule, and is
-judged as an empty URL; without URLs of both labels, seen and held out, the method allows;
+Defined cases: a URL that is null or has no :// has an empty host and path and no rule; a null
+URL is judged as an empty one; without URLs of both labels, seen and held out, the method allows;
 repeated rows have a row each; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -163,7 +164,7 @@ def scored(rows: DataFrame) -> tuple[DataFrame, float | None]:
 
 def judged(pages: DataFrame, keep: tuple[str, ...] = ("page_id",), rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The kept columns with host, path, rule, verdict and score."""
-    rows = with_rule(pages.select(*keep, "url"), rules).withColumn("_text", F.concat("host", "path"))
+    rows = with_rule(pages.select(*keep, "url"), rules).withColumn("_text", F.coalesce("url", F.lit("")))
     scores, threshold = scored(rows.select("_text", F.col("_ruled").alias("_label")))
     own = F.lit("allow") if threshold is None else F.when(F.col("score") >= threshold, "allow").otherwise("block")
     rows = rows.join(scores, "_text").withColumn("verdict", F.coalesce("_ruled", own))

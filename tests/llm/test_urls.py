@@ -104,3 +104,17 @@ def test_without_examples_all_is_allowed(spark, empty_dir):
     df = spark.createDataFrame([(1, "http://a.example.com/x")], "page_id long, url string")
     assert U.judged(df).first().verdict == "allow"
     assert U.op7_url_language_models(spark, empty_dir).count() == 0
+
+
+def test_queries_fragments_and_schemes_are_judged(spark):
+    """URLs without a rule that differ from each other only behind the path, or have no ://."""
+    said = {"allow": ["?u=news", "#news"], "block": ["?u=free-bets", "#free-bets"]}
+    ruled = {"allow": "http://a.example.net/en/go", "block": "http://a.net/go"}
+    rows = [(f"{v}{i}", f"{ruled[v]}{said[v][i % 2]}{i}") for v in ruled for i in range(60)]
+    more = [f"http://a.com/go{end}" for v in said for end in said[v]] + ["go?u=news", "go?u=free-bets"]
+    rows += [(url, url) for url in more] + [("null", None), ("empty", "")]
+    got = {r.page_id: r for r in U.judged(spark.createDataFrame(rows, "page_id string, url string")).collect()}
+    assert [got[url].verdict for url in more] == ["allow", "allow", "block", "block", "allow", "block"]
+    assert len({got[url].score for url in more}) == len(more)
+    assert got["null"].score == got["empty"].score
+    assert all(got[url].path == "/go" for url in more[:4])
