@@ -7,10 +7,12 @@ format and context score them above a threshold. The trees learn from the corpus
 forms that pass are examples, base forms that fail and other numbers are counterexamples. The
 thresholds are calibrated on examples that the trees have not seen, a kind each.
 
-Training takes at most about MAX_EXAMPLES examples, chosen by a hash of where they stand.
+Training takes at most about MAX_EXAMPLES examples, as many of every kind and label, chosen by
+a hash of where they stand. Calibration takes all that are held out, as histograms of scores.
 
-Defined cases: a null text is empty; a table without both sorts of examples, or a kind without
-enough of them to calibrate, adds nothing to the base spans; overlapping additions go by
+Defined cases: a null text is empty; a table without both sorts of examples adds nothing to the
+base spans, nor does a kind whose held-out examples never reach the wanted precision; a kind with
+fewer than LEAST_SHOWN of them to show it has the threshold FALLBACK; overlapping additions go by
 score, then place; repeated rows have a row each; other columns are ignored.
 """
 
@@ -34,6 +36,8 @@ MAX_EXAMPLES = 20_000
 HELD_OUT = 4  # one example in so many
 PRECISION = 0.99
 LEAST_SHOWN = 20  # held-out examples of a kind that calibration needs
+FALLBACK = 0.9  # threshold of a kind with fewer
+BINS = 1000  # of a histogram of scores
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -232,15 +236,19 @@ def _proposed() -> Callable:
     return propose
 
 
-def _threshold(shown: list[tuple[float, int]]) -> float | None:
-    """The lowest score from which on the examples reach the wanted precision."""
-    if sum(label for _, label in shown) < LEAST_SHOWN:
-        return None
-    best, right = None, 0
-    for n, (score, label) in enumerate(sorted(shown, reverse=True), start=1):
-        right += label
-        if right >= PRECISION * n and label:
-            best = score
+def _threshold(shown: list[tuple[int, int, int]]) -> float | None:
+    """The lowest score from which on the examples reach the wanted precision.
+
+    shown: bin of the score, examples and counterexamples in it.
+    """
+    if sum(right for _, right, _ in shown) < LEAST_SHOWN:
+        return FALLBACK
+    best, right, every = None, 0, 0
+    for at, examples, others in sorted(shown, reverse=True):
+        right += examples
+        every += examples + others
+        if right >= PRECISION * every and examples:
+            best = at / BINS
     return max(best, 0.5) if best is not None else None
 
 
@@ -293,22 +301,31 @@ def found(docs: DataFrame) -> DataFrame:
 def _additions(spans: DataFrame) -> DataFrame | None:
     """Open spans that score above their kind's threshold: _uid and _span (best first)."""
     examples = spans.where("_label >= 0")
-    n = examples.count()
     unit = F.pmod(F.xxhash64("_uid", "_kind", "_start"), F.lit(1 << 30))
-    share = int((1 << 30) * min(1.0, MAX_EXAMPLES / max(n, 1)))
-    sample = examples.withColumn("_unit", unit).where(F.col("_unit") < share)
-    sample = stage(sample.withColumn("label", F.col("_label").cast("double")), "examples").df
+    examples = examples.withColumn("_unit", unit).withColumn("label", F.col("_label").cast("double"))
     seen = F.pmod(F.xxhash64("_unit"), F.lit(HELD_OUT)) != 0
-    training = sample.where(seen)
+    # A row for each kind and label.
+    sizes = examples.where(seen).groupBy("_kind", "_label").agg(F.count("*").alias("n")).collect()
+    if len({r["_label"] for r in sizes}) < 2:
+        return None
+    chosen: Column = F.lit(False)
+    for r in sizes:
+        share = int((1 << 30) * min(1.0, MAX_EXAMPLES / (2 * len(KINDS)) / r["n"]))
+        chosen |= (F.col("_kind") == r["_kind"]) & (F.col("_label") == r["_label"]) & (F.col("_unit") < share)
+    training = stage(examples.where(seen & chosen).select("features", "label"), "examples").df
     if training.select("label").distinct().count() < 2:
         return None
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=12, maxDepth=3, stepSize=0.3, seed=7)
     # A bounded sample: a few partitions spare the trees' many short jobs their overhead.
     model = trees.fit(training.select(array_to_vector("features").alias("features"), "label").coalesce(2))
-    shown: dict[int, list[tuple[float, int]]] = {}
-    unseen = _scored(sample.where(~seen), model).select("_kind", "score", "_label")
-    for r in unseen.collect():  # about MAX_EXAMPLES / HELD_OUT rows
-        shown.setdefault(r["_kind"], []).append((r["score"], r["_label"]))
+    at = F.floor(F.col("score") * BINS).cast("int").alias("_bin")
+    unseen = _scored(examples.where(~seen), model).select("_kind", "_label", at)
+    unseen = unseen.groupBy("_kind", "_bin").agg(
+        F.count_if(F.col("_label") == 1).alias("right"), F.count_if(F.col("_label") == 0).alias("wrong")
+    )
+    shown: dict[int, list[tuple[int, int, int]]] = {kind: [] for kind in range(len(KINDS))}
+    for r in unseen.collect():  # at most a row for each kind and bin
+        shown[r["_kind"]].append((r["_bin"], r["right"], r["wrong"]))
     limits = {kind: t for kind, own in shown.items() if (t := _threshold(own)) is not None}
     if not limits:
         return None

@@ -111,3 +111,33 @@ def test_very_long_runs_take_linear_time():
 
 def test_nothing(spark, empty_dir):
     assert I.op2_boosted_spans(spark, empty_dir).count() == 0
+
+
+def _numbers(rng):
+    def number():
+        return f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+
+    def plain():
+        return f"version {rng.randrange(9)}.{rng.randrange(99)} of page {rng.randrange(9999)}"
+
+    return number, plain
+
+
+def _share_found(spark, marked, plain_docs, numbers_each):
+    """Share of phones without a plus that are found; none of the plain numbers may be."""
+    rng = random.Random(9)
+    number, plain = _numbers(rng)
+    texts = [f"call +1 {number()} today" for _ in range(marked)] + [f"call {number()} now" for _ in range(50)]
+    texts += [" ".join(plain() for _ in range(numbers_each)) for _ in range(plain_docs)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.spans for r in I.found(df).collect()}
+    assert all(rows[i] for i in range(marked)) and not any(rows[i] for i in range(marked + 50, len(texts)))
+    return sum(bool(rows[i]) for i in range(marked, marked + 50)) / 50
+
+
+def test_a_rare_kind_among_many_numbers_keeps_its_threshold(spark):
+    assert _share_found(spark, 160, 200, 250) > 0.9  # 160 phones among 100,000 numbers
+
+
+def test_a_kind_with_few_examples_has_a_threshold(spark):
+    assert _share_found(spark, 40, 40, 2) > 0.9
