@@ -13,6 +13,7 @@ from siltstone_checks import inputs
 from siltstone_checks.inputs import as_sql, derive
 from siltstone import schemas, session
 from siltstone.functions.columns import run_stamp
+from siltstone.operators.ordering import in_order
 from siltstone.plans import calls, commerce, gold, jobs, reports, silver
 from siltstone.sources import partitions, relational, text
 from siltstone.sources.catalog import read_named
@@ -54,8 +55,10 @@ def rounded(df: DataFrame, **digits: int) -> DataFrame:
 
 
 def with_position(df: DataFrame) -> DataFrame:
-    """A sorted report's rows with the place each has in it; for reports of few rows."""
-    return df.coalesce(1).withColumn("position", F.monotonically_increasing_id())
+    """A sorted report's rows with the place each has in it, in the order they come in."""
+    rows = stage(df.withColumn("__came", F.monotonically_increasing_id()), "report").df
+    placed = in_order(rows, [F.col("__came")], "positions")
+    return placed.withColumnRenamed("rank", "position").drop("__came", "total")
 
 
 _gold_paths: dict[tuple[str, str, str], str] = {}

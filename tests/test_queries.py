@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
-from siltstone_checks.registry import ORACLE, QUERIES
+from siltstone_checks.registry import ORACLE, QUERIES, with_position
 from tests.conftest import SMALL
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -64,3 +64,10 @@ def test_library_keeps_work_on_spark():
             continue
         names = {n.attr for n in ast.walk(ast.parse(path.read_text())) if isinstance(n, ast.Attribute)}
         assert not names & banned, path
+
+
+def test_positions_do_not_gather_in_one_task(spark):
+    df = spark.range(0, 1000, 1, 8).orderBy("id", ascending=False)
+    placed = with_position(df)
+    assert "Coalesce" not in placed._jdf.queryExecution().toString()
+    assert sorted(map(tuple, placed.select("position", "id").collect())) == [(i, 999 - i) for i in range(1000)]
