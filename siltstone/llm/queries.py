@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, decontamination, fingerprints, html_text, language, mixing, neardup, pii, sharding, urls
+from siltstone.llm import chat, decontamination, fingerprints, html_text, language, merkle, mixing, neardup, pii, sharding, urls
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_template_compiler": chat.op8_template_compiler,
     "op9_host_suffixes": html_text.op9_host_suffixes,
     "op10_benchmark_windows": decontamination.op10_benchmark_windows,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 ORACLE = {
     "op4_source_schedule": mixing.OP4_SQL,
