@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import chat, decontamination, fingerprints, html_text, language, merkle, mixing, neardup, neighbours, pii, sharding, urls
+from siltstone.llm import audit, chat, decontamination, fingerprints, html_text, language, merkle, mixing, neardup, neighbours, pii, sharding, urls
 
 QUERIES = {
     "op1_hilbert_shards": sharding.op1_hilbert_shards,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_host_suffixes": html_text.op9_host_suffixes,
     "op10_benchmark_windows": decontamination.op10_benchmark_windows,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_filter_audit": audit.op12_filter_audit,
     "op13_block_neighbours": neighbours.op13_block_neighbours,
 }
 ORACLE = {
     "op4_source_schedule": mixing.OP4_SQL,
     "op10_benchmark_windows": decontamination.OP10_SQL,
+    "op12_filter_audit": audit.OP12_SQL,
     "op13_block_neighbours": neighbours.OP13_SQL,
 }

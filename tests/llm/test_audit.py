@@ -1,0 +1,112 @@
+import re
+from itertools import permutations
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.llm import audit as A
+from siltstone.llm.common import table
+from tests.conftest import SMALL
+from tests.llm.conftest import DOCS, ODD_DOCS
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def plain(docs, labels):
+    """The contract, a document and an order at a time."""
+    first = {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    good = {i for i, q, _ in labels if i is not None and q == 1}
+    toxic = {i for i, _, x in labels if i is not None and x == 1}
+    out = {}
+    for i, t, lang in docs:
+        text = t or ""
+        words = re.findall("[^\x20\x09-\x0d]+", text)
+        failed = {
+            "A": len(words) < 100,
+            "B": 100 * len(set(words)) < 80 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 10 * len(text),
+            "D": bool(re.search("[#$%&*|]", text)),
+            "E": i is not None and i > first[text],
+        }
+        fails = [f for f in "ABCDE" if failed[f]]
+        for order in map("".join, permutations("ABCDE")):
+            there = True
+            for step, f in enumerate(order, 1):
+                row = out.setdefault((lang or "", order, step), [0] * 7)
+                row[2] += failed[f] and not there
+                row[3] += fails == [f]
+                if failed[f] and there:
+                    there = False
+                    row[1] += 1
+                    row[4] += i in good
+                    row[5] += i in toxic
+                row[0] += there
+    shapley = {}
+    for (part, order, step), row in out.items():
+        shapley[part, order[step - 1]] = shapley.get((part, order[step - 1]), 0) + row[1]
+    return sorted((*k, *v[:6], shapley[k[0], k[1][k[2] - 1]]) for k, v in out.items())
+
+
+def found(df):
+    columns = "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley".split()
+    return sorted(tuple(r) for r in df.select(*columns).collect())
+
+
+@pytest.mark.parametrize("folder", [SMALL, MIDDLE])
+def test_all_documents(spark, folder):
+    docs = [(r.doc_id, r.text, r.lang) for r in table(spark, folder, "documents").collect()]
+    labels = [tuple(r) for r in table(spark, folder, "labels").collect()]
+    got = found(A.op12_filter_audit(spark, folder))
+    assert got == plain(docs, labels)
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    assert sorted(con.sql(A.OP12_SQL).fetchall()) == got
+
+
+LABELS = [(1, 1, 0), (2, 0, 1), (2, 1, 0), (2, 1, 1), (4, None, 1), (None, 1, 1), (99, 1, 1)]
+
+
+def test_odd_rows(spark, odd_dir):
+    labels = spark.createDataFrame([(*r, 7) for r in LABELS], "doc_id long, quality int, toxic int, part long")
+    got = found(A.audit(table(spark, odd_dir, "documents"), labels))
+    assert got == plain([(i, t, lang) for i, t, lang, *_ in ODD_DOCS], LABELS)
+
+
+def test_one_text_in_a_third_of_the_rows(spark):
+    docs = [(i if i % 5 else None, "one text & more" if i % 3 == 0 else f"text {i // 2}", "en", None, None) for i in range(900)]
+    docs += [(7, "another text of seven", "de", None, None), (7, "one text & more", "de", None, None)]
+    df = spark.createDataFrame(docs, DOCS)
+    labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
+    assert found(A.audit(df, labels)) == plain([d[:3] for d in docs], LABELS)
+
+
+def test_the_sketch_clears_no_repeat_and_most_unique_texts(spark):
+    values = [*range(20_000), *range(0, 20_000, 10)]
+    df = spark.range(len(values)).select(F.xxhash64(F.array(*map(F.lit, [0]))[0] + F.col("id") % 20_000).alias("_hash"))
+    cells = A.cells_for(len(values))
+    bits = A.sketch(df, cells)
+    hashes = np.array([r._hash for r in df.collect()])
+    at = A.cells_of(hashes, cells)
+    marked = (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=1)
+    _, where, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    assert marked[times[where] > 1].all()
+    assert marked[times[where] == 1].mean() < 0.02
+
+
+def test_a_sketch_too_small_for_the_table_changes_nothing(spark, monkeypatch):
+    docs = [(i, f"text {i // 2}", "en", None, None) for i in range(400)]
+    df = spark.createDataFrame(docs, DOCS)
+    labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(A, "MOST", 64)
+    assert found(A.audit(df, labels)) == plain([d[:3] for d in docs], LABELS)
+
+
+def test_nothing(spark, empty_dir):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert A.audit(table(spark, empty_dir, "documents"), labels).count() == 0
