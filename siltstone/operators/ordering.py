@@ -46,3 +46,8 @@ def in_order(df: DataFrame, order: list[Column], name: str, value: str | None =
         own = F.coalesce(F.sum(value).over(inside), F.lit(0))
         rows = rows.withColumn("before", F.col("__sum") + own)
     return rows.drop("__at", "__part", "__row", "__first", "__sum")
+
+
+def spread(df: DataFrame) -> Column:
+    """A last sort column by which rows that are equal in the others are shared out over ranges."""
+    return F.xxhash64(*df.columns)

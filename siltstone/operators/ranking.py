@@ -8,7 +8,7 @@ from math import ceil, floor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.operators.ordering import in_order
+from siltstone.operators.ordering import in_order, spread
 
 
 def largest(df: DataFrame, value: str, tie_break: str, n: int = 10) -> DataFrame:
@@ -25,27 +25,20 @@ def by_rank(df: DataFrame, rank: str, tie_break: str) -> DataFrame:
     return df.orderBy(F.asc_nulls_last(rank), F.asc_nulls_last(tie_break))
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+def sorted_quantiles(placed: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Interpolated quantiles of a double column, exact at any size.
 
-    Equal values are counted before they move, and the distinct ones are sorted with running
-    counts. Two rows for each share come to the driver.
+    placed is what in_order made of a table sorted by the column, NULLs last; NaN sorts behind
+    all numbers, so the numbers have the first places. Two rows for each share come to the driver.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).where(
-        "v IS NOT NULL AND NOT isnan(v)"
-    )
-    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("rows"))
-    sorted_counts = in_order(counts, [F.col("v")], "values", "rows")
-    n = sorted_counts.agg(F.max("whole")).first()[0]
-    if n is None:
+    known = F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+    n = placed.where(known).count()
+    if n == 0:
         return [None] * len(shares)
     places = [share * (n - 1) for share in shares]
     wanted = sorted({f(place) for place in places for f in (floor, ceil)})
-    holds = [(F.col("before") <= k) & (F.col("before") + F.col("rows") > k) for k in wanted]
-    places_held = F.array(*[F.when(h, F.lit(k)) for h, k in zip(holds, wanted, strict=True)])
-    found = sorted_counts.select("v", F.array_compact(places_held).alias("ks"))
-    found = found.where(F.size("ks") > 0)
-    value_at = {k: row["v"] for row in found.collect() for k in row["ks"]}
+    found = placed.where(F.col("rank").isin(wanted)).select("rank", F.col(column).cast("double").alias("v"))
+    value_at = {row["rank"]: row["v"] for row in found.collect()}
     out = []
     for place in places:
         k = floor(place)
@@ -54,21 +47,24 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list
     return out
 
 
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
+    """Interpolated quantiles of a double column, exact at any size; the column is written sorted."""
+    values = df.select(column)
+    return sorted_quantiles(in_order(values, [F.asc_nulls_last(column)], "values"), column, shares)
+
+
 def rank_within(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
     """rank() by value, largest first, inside each group; exact at any group size.
 
-    df is read twice, so it should be a table or a staged frame. Equal values are counted
-    before they move; the distinct ones are sorted over all groups with running counts, and a
-    value's rank is its count less that of its group's first.
+    df is written once, sorted by group and value over all groups; rows of one value are shared
+    out by a hash. A row's rank is the first place of its value less that of its group.
     """
-    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__rows"))
-    order = [F.asc_nulls_first(group), F.desc_nulls_last(value)]
-    placed = in_order(counts, order, "ranks", "__rows")
-    starts = placed.groupBy(F.col(group).alias("__of")).agg(F.min("before").alias("__start"))
-    placed = placed.join(starts, F.col(group).eqNullSafe(F.col("__of")))
-    rank = (1 + F.col("before") - F.col("__start")).cast("int")
-    ranks = placed.select(
-        F.col(group).alias("__group"), F.col(value).alias("__value"), rank.alias(name)
-    )
+    columns = df.columns
+    order = [F.asc_nulls_first(group), F.desc_nulls_last(value), spread(df)]
+    placed = in_order(df, order, "ranks").withColumnRenamed("rank", "__rank").drop("total")
+    firsts = placed.groupBy(F.col(group).alias("__group"), F.col(value).alias("__value")).agg(F.min("__rank").alias("__first"))
+    starts = firsts.groupBy(F.col("__group").alias("__of")).agg(F.min("__first").alias("__start"))
+    ranks = firsts.join(starts, F.col("__group").eqNullSafe(F.col("__of")))
+    ranks = ranks.select("__group", "__value", (1 + F.col("__first") - F.col("__start")).cast("int").alias(name))
     same = F.col(group).eqNullSafe(F.col("__group")) & F.col(value).eqNullSafe(F.col("__value"))
-    return df.join(ranks, same, "left").drop("__group", "__value")
+    return placed.join(ranks, same, "left").select(*columns, name)

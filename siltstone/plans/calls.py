@@ -12,6 +12,7 @@ from siltstone import schemas
 from siltstone.functions.documents import collection, field_or, parse_document, required_field
 from siltstone.operators.aggregates import completion_counts, completion_share
 from siltstone.sources.partitions import write_table
+from siltstone.sources.staging import stage
 from siltstone.sources.text import write_csv
 
 log = logging.getLogger(__name__)
@@ -111,15 +112,43 @@ class CallFiles(NamedTuple):
     rejected_pages: int
 
 
+def read_pages(pages: DataFrame) -> DataFrame:
+    """Calls and page outcomes, every page parsed once.
+
+    A row for each call of a usable page, and one for each page without calls. outcome is that of
+    the page; is_call tells the two apart; raw is kept of pages that could not be used.
+    """
+    schemas.LANDED_PAGES.check(pages)
+    document = F.when(F.col("status_code") == SUCCESS, parse_document(F.col("raw")))
+    read = pages.select("event_type", "status_code", "raw", document.alias("__document"))
+    refused = F.coalesce(F.col("status_code") != SUCCESS, F.lit(True))
+    outcome = F.when(refused, "refused").when(F.col("__document").isNotNull(), "used").otherwise("unreadable")
+    read = read.select(
+        F.col("event_type").alias("__of"),
+        "status_code",
+        F.when(outcome != "used", F.col("raw")).alias("raw"),
+        outcome.alias("outcome"),
+        F.posexplode_outer(collection(F.col("__document"))).alias("__place", "__element"),
+    )
+    is_call = F.col("__place").isNotNull()
+    fields = [
+        F.when(is_call, field_or(F.col("__element"), path, default)).alias(name)
+        for name, path, default in CALL_FIELDS
+    ]
+    return read.select("__of", "status_code", "raw", "outcome", is_call.alias("is_call"), *fields)
+
+
 def export_calls(pages: DataFrame, out_root: str, run_stamp: str) -> CallFiles:
     """Write the calls and their completion rate as CSV, and the quarantined pages as Parquet.
 
-    The two counts behind the rate are taken while the calls are written. The rate is of the
-    pages that could be used; how many could not is returned, and which ones is written.
+    The pages are parsed once, into typed columns in the shared folder, which all outputs are
+    read from. The two counts behind the rate are taken while the calls are written. The rate is of
+    the pages that could be used; how many could not is returned, and which ones is written.
     """
     root = out_root.rstrip("/")
     seen = Observation()
-    calls = flatten_calls(pages)
+    read = stage(read_pages(pages), "pages").df
+    calls = read.where("is_call").select(*(name for name, _, _ in CALL_FIELDS))
     written = write_csv(
         calls, f"{root}/scheduled_calls_{run_stamp}", seen=seen, metrics=completion_counts()
     )
@@ -129,7 +158,8 @@ def export_calls(pages: DataFrame, out_root: str, run_stamp: str) -> CallFiles:
     )
     rate = write_csv(_rate(one_row, F.lit(run_stamp)), f"{root}/campaign_metrics_{run_stamp}")
     rejected = f"{root}/rejected_pages_{run_stamp}"
-    rows = write_table(quarantine(pages), rejected)
+    unused = read.where("outcome <> 'used'")
+    rows = write_table(unused.select(F.col("__of").alias("event_type"), "status_code", "raw", "outcome"), rejected)
     if rows:
         log.warning("%d pages were refused or could not be read: %s", rows, rejected)
     return CallFiles(written, rate, rejected if rows else None, rows)

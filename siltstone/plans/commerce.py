@@ -13,13 +13,13 @@ without a customer, item or order stay, with NULL where the other side would spe
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.columns import amount
 from siltstone.operators.joins import one_per_key
-from siltstone.operators.ranking import exact_quantiles, rank_within
-from siltstone.sources.staging import stage
+from siltstone.operators.ordering import in_order, spread
+from siltstone.operators.ranking import rank_within, sorted_quantiles
 
 
 def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -58,20 +58,26 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def with_segments(totals: DataFrame) -> DataFrame:
-    """High, Medium or Low by the tertile cut points of total_spend over all customers."""
-    low, high = exact_quantiles(totals, "total_spend", [1 / 3, 2 / 3])
+    """High, Medium or Low by the tertile cut points of total_spend over all customers.
+
+    The totals are written once to the shared folder, sorted by spend, which is what the cut
+    points are read from.
+    """
+    columns = totals.columns
+    placed = in_order(totals, [F.asc_nulls_last("total_spend"), spread(totals)], "customer_totals")
+    low, high = sorted_quantiles(placed, "total_spend", [1 / 3, 2 / 3])
     spend = F.col("total_spend")
     segment = (
         F.when(spend >= F.lit(high), "High")
         .when(spend >= F.lit(low), "Medium")
         .when(spend.isNotNull(), "Low")
     )
-    return totals.withColumn("clv_segment", segment)
+    return placed.select(*columns, segment.alias("clv_segment"))
 
 
 def customer_lifetime_value(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer totals with their segment. The totals are written once to the shared folder."""
-    return with_segments(stage(customer_totals(orders, customers), "customer_totals").df)
+    """Customer totals with their segment."""
+    return with_segments(customer_totals(orders, customers))
 
 
 def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
@@ -81,7 +87,8 @@ def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
     menu: item_id, item_name, option_name, one row per item_id.
 
     Lines are added up per item_id before they meet the menu. Items that the menu lacks
-    are counted under NULL names.
+    are counted under NULL names. Quantities may be of any numeric type, but must add up to whole
+    numbers.
     """
     quantity = amount(option_lines, "quantity")
     removed = F.coalesce(F.col("removed"), F.lit(False))
@@ -93,12 +100,19 @@ def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
         per_id.join(one_per_key(menu, "item_id", "item_name", "option_name"), "item_id", "left")
         .groupBy("item_name", "option_name")
         .agg(
-            F.coalesce(F.sum("added"), F.lit(0)).cast("bigint").alias("total_added_count"),
-            F.coalesce(F.sum("gone"), F.lit(0)).cast("bigint").alias("total_removed_count"),
+            _whole(F.sum("added"), "added").alias("total_added_count"),
+            _whole(F.sum("gone"), "removed").alias("total_removed_count"),
         )
     )
 
 
+def _whole(total: Column, what: str) -> Column:
+    """A sum of quantities as a count; one with a fraction is no count and fails the query."""
+    count = F.coalesce(total, F.lit(0))
+    failure = F.raise_error(F.lit(f"quantities {what} do not add up to a whole number"))
+    return F.when(count == F.floor(count), count.cast("bigint")).otherwise(failure.cast("bigint"))
+
+
 def location_totals(
     order_lines: DataFrame, orders: DataFrame, restaurants: DataFrame
 ) -> DataFrame:
@@ -109,27 +123,41 @@ def location_totals(
     restaurants: restaurant_id, currency, one row per restaurant.
 
     Lines meet their orders first: the grouping by order and restaurant that follows is
-    then partitioned by order already, so lines move once. Each step counts what the step
-    before has made distinct: lines become one row per restaurant and order, these one row
-    per restaurant and day, these one per restaurant. So no step needs more than one distinct
-    count, and a restaurant with very many lines is spread by order and by day until only its
-    days remain. Lines without an order, or of one without a date, count for revenue and
-    orders but for no day.
+    then partitioned by order already, so lines move once. Each step makes distinct what the
+    next one counts: lines become one row per restaurant and order, these one per restaurant
+    and week with the week's days as bits, these one per restaurant. The bits are exact and
+    merge by OR, so no step needs a distinct count, and a restaurant with very many lines is
+    spread by order and by week until only its weeks remain. Lines without an order, or of one
+    without a date, count for revenue and orders but for no day.
     """
     lines = order_lines.select("order_id", "restaurant_id", amount(order_lines, "revenue").alias("revenue"))
     dated = lines.join(one_per_key(orders, "order_id", "order_date"), "order_id", "left")
     per_order = dated.groupBy("order_id", "restaurant_id").agg(
         F.sum("revenue").alias("revenue"), F.min("order_date").cast("date").alias("day")
     )
-    per_day = per_order.groupBy("restaurant_id", "day").agg(
-        F.sum("revenue").alias("revenue"), F.count("order_id").alias("orders")
+    return _with_currency(_per_restaurant(_per_week(per_order)), restaurants)
+
+
+def _per_week(per_order: DataFrame) -> DataFrame:
+    """Revenue, orders and days (as bits) of every restaurant and week."""
+    week = F.date_trunc("week", "day").cast("date").alias("week")
+    return per_order.groupBy("restaurant_id", week).agg(
+        F.sum("revenue").alias("revenue"),
+        F.count("order_id").alias("orders"),
+        F.bit_or(F.expr("shiftleft(1, weekday(day))")).alias("days"),
     )
-    per_restaurant = per_day.groupBy("restaurant_id").agg(
+
+
+def _per_restaurant(per_week: DataFrame) -> DataFrame:
+    return per_week.groupBy("restaurant_id").agg(
         F.sum("revenue").cast("double").alias("total_revenue"),
         F.sum("orders").alias("total_orders"),
-        F.count("day").alias("days"),
-        F.count_distinct(F.date_trunc("week", "day")).alias("weeks"),
+        F.sum(F.bit_count("days")).alias("days"),
+        F.count("week").alias("weeks"),
     )
+
+
+def _with_currency(per_restaurant: DataFrame, restaurants: DataFrame) -> DataFrame:
     return per_restaurant.join(
         one_per_key(restaurants, "restaurant_id", "currency"), "restaurant_id", "left"
     ).select(
@@ -148,9 +176,9 @@ def top_performing_locations(
 ) -> DataFrame:
     """Location totals ranked by revenue inside each currency.
 
-    The totals are written once to the shared folder, so that the ranks compare the same
-    sums that are shown.
+    The totals are written once to the shared folder, in the order of their ranks, so that the
+    ranks compare the same sums that are shown.
     """
-    totals = stage(location_totals(order_lines, orders, restaurants), "location_totals").df
+    totals = location_totals(order_lines, orders, restaurants)
     ranked = rank_within(totals, "currency", "total_revenue", "revenue_rank")
     return ranked.select("revenue_rank", *totals.columns)

@@ -714,7 +714,7 @@ def locations_ranking_order(spark, sf_dir):
     return with_position(ranking.select("revenue_rank", "restaurant_id"))
 
 
-@query(f"SELECT DISTINCT currency FROM {SQL_LOCATIONS}")
+@query(f"SELECT DISTINCT currency FROM {SQL_LOCATIONS} WHERE currency IS NOT NULL")
 def location_currencies(spark, sf_dir):
     return reports.location_currencies(_locations(spark, sf_dir))
 

@@ -4,10 +4,12 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
+from siltstone.functions.documents import parse_document
 from siltstone.plans import calls
 from siltstone.sources import text
+from siltstone.sources.staging import stage
 from siltstone_checks.registry import CSV_CALLS, CSV_RATE
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def pages(spark, *raw, status=200):
@@ -165,3 +167,31 @@ def test_csv_text_is_plain(spark, tmp_path):
     assert part.read_text() == 'a,b,c\n"say ""hi""",,\n'
     assert path == str(tmp_path / "out")
     assert text.write_csv(df.where("1 = 0"), str(tmp_path / "none")) is None
+
+
+def test_export_parses_every_page_once(spark, tmp_path, monkeypatch):
+    """One parse goes into the staged pages, and all outputs are read from those."""
+    pages = spark.createDataFrame(
+        [
+            ("a", 200, '{"collection":[{"uri":"u1","status":"completed"},null,{}]}'),
+            ("b", 200, '{"collection":[]}'),
+            ("c", 200, "{"),
+            ("d", 500, '{"collection":[{"uri":"u2"}]}'),
+            ("e", None, None),
+            ("f", 200, '{"other":1}'),
+        ],
+        "event_type string, status_code int, raw string",
+    )
+    read = calls.read_pages(pages)
+    found = read.where("is_call").drop("__of", "status_code", "raw", "outcome", "is_call")
+    assert rows(found) == rows(calls.flatten_calls(pages))
+    unused = read.where("outcome <> 'used'").select("__of", "status_code", "raw", "outcome")
+    assert rows(unused) == rows(calls.quarantine(pages))
+    parses, staged = [], []
+    monkeypatch.setattr(calls, "parse_document", lambda raw: parses.append(raw) or parse_document(raw))
+    monkeypatch.setattr(calls, "stage", lambda df, name: staged.append(plan(df)) or stage(df, name))
+    written = calls.export_calls(pages, str(tmp_path / "out"), "stamp")
+    assert len(parses) == len(staged) == 1
+    assert sum("parse_json" in line or "parseJson" in line for line in staged[0].splitlines()) == 1
+    assert rows(spark.read.parquet(written.rejected)) == rows(calls.quarantine(pages))
+    assert text.read_csv(spark, written.calls, CSV_CALLS).count() == 3

@@ -197,6 +197,24 @@ def test_item_options(spark):
     ]
 
 
+def test_quantities_that_make_no_whole_count_fail(spark):
+    lines = spark.createDataFrame([(1, 0.5, False), (1, 0.5, False)], "item_id int, quantity double, removed boolean")
+    menu = spark.createDataFrame([(1, "tea", "milk")], "item_id int, item_name string, option_name string")
+    assert rows(commerce.item_options(lines, menu)) == [("tea", "milk", 1, 0)]
+    with pytest.raises(PySparkException, match="whole number"):
+        commerce.item_options(lines.withColumn("quantity", F.lit(0.3)), menu).collect()
+
+
+def test_days_and_weeks_need_no_distinct_count(spark, with_conf):
+    with_conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    lines, dates, places = (
+        derive(spark, SMALL, sql) for sql in (inputs.ORDER_LINES, inputs.ORDER_DATES, inputs.RESTAURANTS)
+    )
+    text = plan(commerce.location_totals(lines, dates, places))
+    assert "distinct" not in text and "Expand" not in text
+    assert text.count("Exchange hashpartitioning(restaurant_id#") <= 3  # weeks, totals and the restaurants
+
+
 def test_item_reports(spark):
     options = spark.createDataFrame(
         [

@@ -72,6 +72,9 @@ def test_one_per_key(spark):
     twice = spark.createDataFrame([(1, "x"), (1, "x")], "k int, v string")
     with pytest.raises(PySparkException, match="k is repeated"):
         one_per_key(twice, "k", "v").collect()
+    left = spark.createDataFrame([(1, 5)], "k int, n int")
+    with pytest.raises(PySparkException, match="k is repeated"):
+        left.join(one_per_key(twice, "k", "v"), "k", "left").select("k", "n").count()
 
 
 def test_null_keys_are_spread(spark, with_conf):

@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from siltstone_checks.registry import ORACLE, QUERIES, with_position
-from tests.conftest import SMALL
 
 ROOT = Path(__file__).resolve().parent.parent
+#: Large enough for NULLs and misses in every derived input.
+MIDDLE = "/root/testdata/sf0.01"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 SPARK_TYPES = {
     "BIGINT": "bigint",
@@ -27,13 +28,13 @@ SPARK_TYPES = {
 def duck():
     con = duckdb.connect()
     for table in TABLES:
-        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{MIDDLE}/{table}.parquet'")
     return con
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    df = QUERIES[name](spark, SMALL)
+    df = QUERIES[name](spark, MIDDLE)
     answer = duck.sql(ORACLE[name])
     order = sorted(answer.columns)
     assert sorted(df.columns) == order
