@@ -60,7 +60,7 @@ def _check_shared(spark: SparkSession, folder: str) -> None:
     if (app, folder) in _checked or not is_file or spark.sparkContext.master.startswith("local["):
         return
     path = f"{folder}/siltstone/{app}/{uuid.uuid4().hex}/probe"
-    files, place = _files(spark, path)
+    files, place = file_system(spark, path)
     files.create(place).close()
     try:
         spark.read.format("binaryFile").load([path] * 8).select("length").collect()  # 8 empty files
@@ -80,18 +80,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, place = _files(spark, path)
+    files, place = file_system(spark, path)
     return files.exists(place)
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    files, place = _files(spark, path)
+    files, place = file_system(spark, path)
     files.delete(place, True)
 
 

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.schemas import INGESTED_DATE, Contract
+from siltstone.sources import schema_history
 
 
 def run_date(text: str | None = None) -> date:
@@ -23,13 +24,6 @@ def partition_path(root: str, day: date) -> str:
     return f"{root.rstrip('/')}/{INGESTED_DATE}={day.isoformat()}"
 
 
-def _reader(spark: SparkSession, contract: Contract | None) -> DataFrameReader:
-    """A reader with the contract's schema, or else with the columns of all files."""
-    if contract and contract.schema:
-        return spark.read.schema(contract.schema)
-    return spark.read.option("mergeSchema", "true")
-
-
 def read_partition(
     spark: SparkSession, root: str, day: date, contract: Contract | None = None
 ) -> DataFrame:
@@ -49,21 +43,31 @@ def read_dates(
     spark: SparkSession, root: str, days: Sequence[date], contract: Contract | None = None
 ) -> DataFrame:
     """Several dates of a table; every one of them must exist."""
-    paths = [partition_path(root, day) for day in days]
-    df = _reader(spark, contract).option("basePath", root).parquet(*paths)
+    folders = [partition_path(root, day) for day in days]
+    df = schema_history.read_dated(spark, root, folders, contract)
+    if df is None:  # no date has a file
+        df = spark.read.option("basePath", root).parquet(*folders)
     return contract.check(df) if contract else df
 
 
 def read_table(spark: SparkSession, root: str, contract: Contract | None = None) -> DataFrame:
-    """All of a table, every date included."""
-    df = _reader(spark, contract).parquet(root)
+    """All of a table, every date included.
+
+    Dates are read with the schemas they were written with: a column that a date lacks is
+    NULL there, and a narrower number is widened to the widest of the dates or to the
+    contract's type. Types that no wider one holds fail the read.
+    """
+    folders = schema_history.date_folders(spark, root)
+    df = schema_history.read_dated(spark, root, folders, contract) if folders else None
+    if df is None:
+        df = schema_history.read_undated(spark, root)
     return contract.check(df) if contract else df
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with a row counter that fills while the frame is written."""
+def counted(df: DataFrame, *more: Column) -> tuple[DataFrame, Observation]:
+    """The frame with a row counter, and other metrics, that fill while the frame is written."""
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *more), seen
 
 
 def rows_seen(seen: Observation) -> int:
@@ -100,6 +104,7 @@ def write_partition(df: DataFrame, root: str, day: date) -> int:
     if rows == 0:
         empty = df.sparkSession.createDataFrame([], df.drop(INGESTED_DATE).schema)
         empty.write.mode("overwrite").parquet(partition_path(root, day))
+    schema_history.record(df.sparkSession, partition_path(root, day), df.drop(INGESTED_DATE).schema)
     return rows
 
 
@@ -109,18 +114,23 @@ def write_dates(df: DataFrame, root: str) -> int:
     The rebalance gathers each date in files of the advised size: a large date is split
     over tasks, small ones do not leave one file per task.
     """
-    dated, seen = counted(df.hint("rebalance", INGESTED_DATE))
+    dated, seen = counted(df.hint("rebalance", INGESTED_DATE), F.collect_set(INGESTED_DATE).alias("days"))
     (
         dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(INGESTED_DATE)
         .parquet(root)
     )
-    return rows_seen(seen)
+    rows = rows_seen(seen)
+    for day in seen.get["days"] if rows else ():
+        schema_history.record(df.sparkSession, partition_path(root, day), df.drop(INGESTED_DATE).schema)
+    return rows
 
 
-def write_table(df: DataFrame, root: str) -> int:
+def write_table(df: DataFrame, root: str, recorded: bool = True) -> int:
     """Replace a whole unpartitioned table and return the rows written."""
     checked, seen = counted(df)
     checked.write.mode("overwrite").parquet(root)
+    if recorded:
+        schema_history.record(df.sparkSession, root, df.schema)
     return rows_seen(seen)

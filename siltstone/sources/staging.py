@@ -24,5 +24,5 @@ def stage(df: DataFrame, name: str) -> Staged:
     executor costs a re-read of files rather than a re-run of the plan above them.
     """
     path = scratch_path(df.sparkSession, name)
-    rows = write_table(df, path)
+    rows = write_table(df, path, recorded=False)
     return Staged(df.sparkSession.read.schema(df.schema).parquet(path), rows)

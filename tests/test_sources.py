@@ -3,11 +3,13 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.schemas import INGESTED_DATE, SILVER_VISITORS, Contract, TOP_PERFORMING_LOCATIONS
 from siltstone.session import shared_dir
 from siltstone.sources import partitions as P
 from siltstone.sources import relational as R
+from siltstone.sources import schema_history as H
 from siltstone.sources.catalog import read_named
 from siltstone.sources.staging import stage
 from tests.conftest import plan, rows
@@ -111,6 +113,63 @@ def test_a_date_of_other_types_is_refused(spark, tmp_path):
         P.read_partition(spark, root, D1, Contract("t", ("z",), types="z int"))
 
 
+def _records(root):
+    return sorted(str(f.relative_to(root)) for f in root.glob("**/_schema-*"))
+
+
+def test_dates_are_read_by_their_recorded_schemas(spark, tmp_path):
+    """A wider number, a new column and an empty date; nothing is inferred from footers."""
+    root = tmp_path / "t"
+    P.write_partition(spark.createDataFrame([("a", 1, 1.5)], "k string, n int, x float"), str(root), D1)
+    wide = spark.createDataFrame([("b", 1 << 40, 2.25, "new")], "k string, n long, x double, y string")
+    P.write_partition(wide, str(root), D2)
+    P.write_partition(wide.where("n < 0"), str(root), D3)
+    assert len(_records(root)) == 3 and len({r.rsplit("-", 1)[1] for r in _records(root)}) == 2
+    df = P.read_table(spark, str(root))
+    assert df.dtypes == [("k", "string"), ("n", "bigint"), ("x", "double"), ("y", "string"), (INGESTED_DATE, "date")]
+    assert rows(df) == [("a", 1, 1.5, None, D1), ("b", 1 << 40, 2.25, "new", D2)]
+    assert len(H.groups(spark, str(root), H.date_folders(spark, str(root)))) == 2
+    narrow = P.read_dates(spark, str(root), [D1])
+    assert dict(narrow.dtypes)["n"] == "int"
+    typed = Contract("t", ("k",), types="k string, n long, x double, y string, z date, ingested_date date")
+    assert rows(P.read_table(spark, str(root), typed))[0] == ("a", 1, 1.5, None, None, D1)
+    strict = Contract("t", ("k",), types="k string, n int, ingested_date date")
+    with pytest.raises(ValueError, match="t: column n is bigint in some dates and int"):
+        P.read_table(spark, str(root), strict)
+
+
+def test_a_record_goes_with_its_date(spark, tmp_path):
+    root = tmp_path / "t"
+    P.write_partition(frame(spark, ("a", 1)), str(root), D1)
+    P.write_partition(frame(spark, ("a", 1)).withColumn("x", F.lit(1)), str(root), D1)
+    assert len(_records(root)) == 1
+    assert rows(P.read_table(spark, str(root))) == [("a", 1, 1, D1)]
+    P.write_table(frame(spark, ("a", 1)), str(tmp_path / "w"))
+    P.write_table(frame(spark, ("a", 1)).select("k"), str(tmp_path / "w"))
+    assert len(_records(tmp_path / "w")) == 1 and rows(P.read_table(spark, str(tmp_path / "w"))) == [("a",)]
+
+
+def test_dates_of_other_writers_are_read_by_their_footers(spark, tmp_path):
+    root = tmp_path / "t"
+    P.write_partition(frame(spark, ("a", 1)), str(root), D1)
+    other = spark.createDataFrame([("b", 5)], "k string, n long")
+    other.write.parquet(str(root / f"ingested_date={D2}"))
+    (root / f"ingested_date={D3}").mkdir()
+    assert rows(P.read_table(spark, str(root))) == [("a", 1, D1), ("b", 5, D2)]
+    spark.createDataFrame([("x", "y")], "k string, n string").write.parquet(str(root / "ingested_date=2024-01-04"))
+    with pytest.raises(ValueError, match="column n is"):
+        P.read_table(spark, str(root))
+
+
+def test_types_widen_only():
+    kinds = [T.IntegerType(), T.LongType(), T.DecimalType(10, 2), T.DecimalType(8, 6), T.DoubleType(), T.StringType()]
+    assert H.wider(kinds[0], kinds[1]) == T.LongType()
+    assert H.wider(kinds[2], kinds[3]) == T.DecimalType(14, 6)
+    assert H.wider(T.DecimalType(38, 0), T.DecimalType(10, 9)) is None
+    assert H.wider(T.FloatType(), T.DoubleType()) == T.DoubleType()
+    assert all(H.wider(a, b) is None for a, b in [(kinds[1], kinds[4]), (kinds[0], kinds[5]), (kinds[2], kinds[4])])
+
+
 def test_run_date(spark):
     assert P.run_date("2024-02-29") == date(2024, 2, 29)
     assert P.run_date() == datetime.now(timezone.utc).date()
