@@ -32,11 +32,32 @@ def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
     customer with very many orders is spread over tasks until only sums remain. The
     customer table joins the finished totals, one row per key on both sides.
     """
-    per_order = orders.groupBy("customer_id", "order_id").agg(
+    return _customers(order_parts(orders), customers)
+
+
+def order_parts(orders: DataFrame, *batch: str) -> DataFrame:
+    """What a batch of order lines adds to each order: spend, first and last date.
+
+    A day's batch reduces to a row per order. The orders are the keys that the count of
+    distinct orders needs, so batches merge exactly even where an order's lines are in several.
+    The lines may hold several batches, told apart by the batch columns.
+    """
+    return orders.groupBy(*batch, "customer_id", "order_id").agg(
         F.sum(amount(orders, "amount")).alias("spend"),
         F.min("order_date").alias("first_date"),
         F.max("order_date").alias("last_date"),
     )
+
+
+def customers_from_parts(parts: DataFrame, customers: DataFrame) -> DataFrame:
+    """customer_lifetime_value from the parts of all batches instead of from all lines."""
+    merged = parts.groupBy("customer_id", "order_id").agg(
+        F.sum("spend").alias("spend"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")
+    )
+    return with_segments(_customers(merged, customers))
+
+
+def _customers(per_order: DataFrame, customers: DataFrame) -> DataFrame:
     per_customer = per_order.groupBy("customer_id").agg(
         F.sum("spend").cast("double").alias("total_spend"),
         F.count("order_id").alias("total_orders"),
@@ -90,12 +111,26 @@ def item_options(option_lines: DataFrame, menu: DataFrame) -> DataFrame:
     are counted under NULL names. Quantities may be of any numeric type, but must add up to whole
     numbers.
     """
+    return _options(option_parts(option_lines), menu)
+
+
+def option_parts(option_lines: DataFrame, *batch: str) -> DataFrame:
+    """What a batch of option lines adds to each item_id; batches merge by adding up."""
     quantity = amount(option_lines, "quantity")
     removed = F.coalesce(F.col("removed"), F.lit(False))
-    per_id = option_lines.groupBy("item_id").agg(
+    return option_lines.groupBy(*batch, "item_id").agg(
         F.sum(F.when(~removed, quantity)).alias("added"),
         F.sum(F.when(removed, quantity)).alias("gone"),
     )
+
+
+def options_from_parts(parts: DataFrame, menu: DataFrame) -> DataFrame:
+    """item_options from the parts of all batches."""
+    merged = parts.groupBy("item_id").agg(F.sum("added").alias("added"), F.sum("gone").alias("gone"))
+    return _options(merged, menu)
+
+
+def _options(per_id: DataFrame, menu: DataFrame) -> DataFrame:
     return (
         per_id.join(one_per_key(menu, "item_id", "item_name", "option_name"), "item_id", "left")
         .groupBy("item_name", "option_name")
@@ -138,6 +173,16 @@ def location_totals(
     return _with_currency(_per_restaurant(_per_week(per_order)), restaurants)
 
 
+def line_parts(order_lines: DataFrame, *batch: str) -> DataFrame:
+    """What a batch of order lines adds to each order and restaurant.
+
+    The result can stand for the lines. An order's date is looked up when batches are merged,
+    so an order may arrive after its lines, and its lines in several batches.
+    """
+    revenue = F.sum(amount(order_lines, "revenue")).alias("revenue")
+    return order_lines.groupBy(*batch, "order_id", "restaurant_id").agg(revenue)
+
+
 def _per_week(per_order: DataFrame) -> DataFrame:
     """Revenue, orders and days (as bits) of every restaurant and week."""
     week = F.date_trunc("week", "day").cast("date").alias("week")

@@ -102,6 +102,31 @@ JOBS = {
         "gold/customer_lifetime_value",
         whole=True,
     ),
+    "order_parts": Job((("bronze/orders", schemas.ORDERS),), commerce.order_parts, "gold/order_parts"),
+    "customer_lifetime_value_from_parts": Job(
+        (("gold/order_parts", schemas.ORDER_PARTS), ("bronze/customers", schemas.CUSTOMERS)),
+        commerce.customers_from_parts,
+        "gold/customer_lifetime_value",
+        whole=True,
+    ),
+    "option_parts": Job((("bronze/option_lines", schemas.OPTION_LINES),), commerce.option_parts, "gold/option_parts"),
+    "item_options_from_parts": Job(
+        (("gold/option_parts", schemas.OPTION_PARTS), ("bronze/menu", schemas.MENU)),
+        commerce.options_from_parts,
+        "gold/item_options",
+        whole=True,
+    ),
+    "line_parts": Job((("bronze/order_lines", schemas.ORDER_LINES),), commerce.line_parts, "gold/line_parts"),
+    "top_performing_locations_from_parts": Job(
+        (
+            ("gold/line_parts", schemas.ORDER_LINES),
+            ("bronze/orders", schemas.ORDERS),
+            ("bronze/restaurants", schemas.RESTAURANTS),
+        ),
+        commerce.top_performing_locations,
+        "gold/top_performing_locations",
+        whole=True,
+    ),
     "item_options": Job(
         (("bronze/option_lines", schemas.OPTION_LINES), ("bronze/menu", schemas.MENU)),
         commerce.item_options,

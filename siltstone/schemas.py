@@ -136,6 +136,10 @@ LANDED_PAGES = Contract("landed pages", ("event_type", "status_code", "raw"))
 
 ORDERS = Contract("orders", ("customer_id", "order_id", "amount", "order_date"))
 
+ORDER_PARTS = Contract("order_parts", ("customer_id", "order_id", "spend", "first_date", "last_date"))
+
+OPTION_PARTS = Contract("option_parts", ("item_id", "added", "gone"))
+
 CUSTOMERS = Contract("customers", ("customer_id", "currency"))
 
 OPTION_LINES = Contract("option_lines", ("item_id", "quantity", "removed"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -246,6 +246,26 @@ def dates_with_an_added_column(spark, sf_dir):
     return partitions.read_table(spark, root, schemas.SILVER_EVENTS)
 
 
+@query(
+    f"""SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
+           CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus,
+           CAST(DATE '{REWRITTEN_DAY}' + CAST(o_orderkey % 3 AS INTEGER) AS DATE) AS ingested_date
+    FROM orders"""
+)
+def dates_of_several_schemas(spark, sf_dir):
+    """Three dates: narrower numbers and a column less in the first, and one rewritten with wider ones."""
+    root = session.scratch_path(spark, "orders")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]
+    orders = orders.select(*columns[:2], F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderstatus")
+    for i in (2, 0, 1):
+        day = orders.where(F.col("o_orderkey") % 3 == i)
+        narrow = day.drop("o_orderstatus").withColumn("o_custkey", F.col("o_custkey").cast("int"))
+        partitions.write_partition(narrow if i != 1 else day, root, REWRITTEN_DAY + timedelta(days=i))
+    partitions.write_partition(orders.where("o_orderkey % 3 = 2"), root, REWRITTEN_DAY + timedelta(days=2))
+    return partitions.read_table(spark, root).select(*columns, "ingested_date")
+
+
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d_%H-%M-%S') AS stamp FROM events")
 def run_stamps(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -494,6 +514,34 @@ def clv_table_narrowed(spark, sf_dir):
     return _clv_from(spark, sf_dir, inputs.CLV_ORDERS)
 
 
+def _by_date(spark: SparkSession, lines: DataFrame, day: str, build: Callable[..., DataFrame]) -> DataFrame:
+    """The parts of all dates of some lines, dealt over seven dates by an expression.
+
+    One date comes late, after the others, and one is first written with wrong lines and run again.
+    """
+    root = session.scratch_path(spark, "parts")
+    days = [REWRITTEN_DAY + timedelta(days=i) for i in range(7)]
+    dated = lines.withColumn("ingested_date", F.expr(f"date_add(date'{days[0]}', cast({day} as int))"))
+    late, again = days[2], days[4]
+    early = dated.where(F.col("ingested_date") != F.lit(late))
+    wrong = F.when(F.col("ingested_date") == F.lit(again), F.lit(days[5])).otherwise(F.col("ingested_date"))
+    mistaken = dated.where(F.col("ingested_date").isin(days[3], days[4])).withColumn("ingested_date", F.lit(again))
+    partitions.write_dates(build(mistaken, "ingested_date"), root)
+    partitions.write_dates(build(early.withColumn("ingested_date", wrong), "ingested_date"), root)
+    rerun = dated.where(F.col("ingested_date").isin(days[4], days[5]))
+    partitions.write_dates(build(rerun, "ingested_date"), root)
+    partitions.write_partition(build(dated.where(F.col("ingested_date") == F.lit(late)).drop("ingested_date")), root, late)
+    return partitions.read_table(spark, root).drop("ingested_date")
+
+
+@query(f"SELECT * FROM {_sql_clv(_sql_clv_totals(inputs.CLV_ORDERS_WIDE))}")
+def clv_table_by_date(spark, sf_dir):
+    """The same table from the parts of each date, with a late date and one run again."""
+    orders = derive(spark, sf_dir, inputs.CLV_ORDERS_WIDE)
+    parts = _by_date(spark, orders, "order_id % 7", commerce.order_parts)
+    return commerce.customers_from_parts(parts, derive(spark, sf_dir, inputs.CLV_CUSTOMERS))
+
+
 @query(
     f"""SELECT count(*) AS total_customers, round(sum(total_spend), 2) AS total_revenue,
            round(avg(avg_order_value), 4) AS avg_order_value,
@@ -587,6 +635,14 @@ def item_options_table(spark, sf_dir):
     return _built_options(spark, sf_dir)
 
 
+@query(f"SELECT * FROM {SQL_OPTIONS}")
+def item_options_by_date(spark, sf_dir):
+    """The same table from the parts of each date; an item's lines are in all of them."""
+    lines = derive(spark, sf_dir, inputs.OPTION_LINES)
+    parts = _by_date(spark, lines, "pmod(xxhash64(item_id, quantity), 7)", commerce.option_parts)
+    return commerce.options_from_parts(parts, derive(spark, sf_dir, inputs.MENU))
+
+
 @query(f"SELECT * FROM {SQL_CLEAN}")
 def item_options_clean(spark, sf_dir):
     return _clean(spark, sf_dir)
@@ -703,6 +759,16 @@ def locations_table_ranged(spark, sf_dir):
     return _locations_from(spark, sf_dir, inputs.ORDER_LINES)
 
 
+@query(f"SELECT * FROM {_sql_locations(inputs.ORDER_LINES_WIDE)}")
+def locations_table_by_date(spark, sf_dir):
+    """The same table from the parts of each date; the lines of an order are in several of them."""
+    lines = derive(spark, sf_dir, inputs.ORDER_LINES_WIDE)
+    parts = _by_date(spark, lines, "pmod(order_id + xxhash64(revenue), 7)", commerce.line_parts)
+    return commerce.top_performing_locations(
+        parts, derive(spark, sf_dir, inputs.ORDER_DATES), derive(spark, sf_dir, inputs.RESTAURANTS)
+    )
+
+
 @query(
     f"""SELECT revenue_rank, restaurant_id,
            row_number() OVER (ORDER BY revenue_rank, restaurant_id) - 1 AS "position"
