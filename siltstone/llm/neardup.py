@@ -13,9 +13,17 @@ A larger bucket whose texts are all of one class by then is done. The texts of t
 crowded, and searched by their rarest k-mers: of texts of n and m k-mers that share c or more,
 the n - c + 1 rarest of one and the m - c + 1 rarest of the other have one in common, whatever
 the order of rarity. Lengths go by classes two in a hundred wide, so that c is close to what a
-pair needs and a template that many strangers share does not count among the rarest. Texts of
-different classes with a common rare k-mer are candidates too. So any two similar texts that
-share a bucket end in one class.
+pair needs and a template that many strangers share does not count among the rarest. Where up to
+FEW texts share a rare k-mer, those of different classes are candidates.
+
+More texts than that are measured against one of them, the hub, the one with most links. What
+x and y share is at most what either shares with the hub, plus what they share outside of it. So
+once x and the hub are compared, a text similar to x must have in common with it either nothing
+but the hub's k-mers, which only texts as close to the hub as x can, or enough k-mers outside of
+the hub; of these the rarest are the next keys. Texts around one hub are many, but what they
+have outside of it is their own, so that few meet there; most are of the hub's class by then.
+Every step only leaves out pairs that cannot be similar. So any two similar texts that share a
+bucket end in one class.
 
 Similarity is the share of aligned k-mers among all of both texts, the Jaccard index that
 also asks for order; pairs of SIMILARITY or more are linked, and connected texts form a class.
@@ -25,10 +33,11 @@ Jaccard index of 0.8 in common share 8 of the 20 wide buckets on average, and no
 chance of about 0.00003.
 
 Defined cases: a null text counts as an empty one; texts without words are copies only of
-equal texts; a text of fewer words than a k-mer has one k-mer, all its words; rows with one
-doc_id are one document; a row without doc_id gets an id from its text, from 2**62 on, so
-that rows with one lead their classes; repeated rows have a row each; an empty table gives an
-empty result.
+equal texts; a text of fewer words than a k-mer has one k-mer, all its words; very long texts are
+searched whole, their k-mers in pieces; of several texts with one doc_id each counts for itself,
+all but one under an id made from the text; a row without doc_id gets such an id, too. Those
+ids start at 2**62, so that rows with a doc_id lead their classes; repeated rows have a row each;
+other columns are kept, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,6 +62,7 @@ NARROW = 10
 ELEMENTS = 2 * WIDE
 
 RARITY = 1 << 21  # counters of k-mers; k-mers that share one only look less rare
+FEW = 8  # texts that a rare k-mer may bring together pair by pair
 
 _CHUNK = 1 << 14
 _SEEDS = mixed(np.arange(1, ELEMENTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -164,8 +174,21 @@ def _text_keys() -> dict[str, Column]:
     """Two 64-bit hashes of the text, and the row's id."""
     text = word_text("text")
     one, two = F.xxhash64(text), F.xxhash64(F.lit("again"), text)
-    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
-    return {"_k1": one, "_k2": two, "_id": F.coalesce(F.col("doc_id").cast("long"), nameless)}
+    return {"_k1": one, "_k2": two, "_id": F.coalesce(F.col("doc_id").cast("long"), _made_id(one, two))}
+
+
+def _made_id(one: Column, two: Column) -> Column:
+    """An id from 2**62 on for a text that has no doc_id to itself."""
+    return F.lit(1 << 62) + F.pmod(F.xxhash64(one, two), F.lit(1 << 61))
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """_k1, _k2, _id and _node of every distinct text: its smallest id, and an id that is its alone."""
+    texts = rows.groupBy("_k1", "_k2").agg(F.min("_id").alias("_id"))
+    owners = texts.groupBy("_id").agg(F.min(F.struct("_k1", "_k2")).alias("_owner"))
+    own = (F.col("_owner._k1") == F.col("_k1")) & (F.col("_owner._k2") == F.col("_k2"))
+    node = F.when(own, F.col("_id")).otherwise(_made_id(F.col("_k1"), F.col("_k2")))
+    return texts.join(owners, "_id").select("_k1", "_k2", "_id", node.alias("_node"))
 
 
 def _bucketed(docs: DataFrame) -> DataFrame:
@@ -182,7 +205,7 @@ def _bucketed(docs: DataFrame) -> DataFrame:
 
 def _candidates(rows: DataFrame) -> DataFrame:
     """Pairs (_node, _hub): every text of a bucket with the smallest and the largest one of the bucket."""
-    members = rows.where("_id = _node").select("_node", F.explode("_keys").alias("_key"))
+    members = rows.where("_id = _least").select("_node", F.explode("_keys").alias("_key"))
     ends = members.groupBy("_key").agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"))
     met = members.join(ends.where("_low < _high"), "_key")
     met = met.select("_node", F.explode(F.array("_low", "_high")).alias("_end")).where("_node <> _end")
@@ -190,15 +213,15 @@ def _candidates(rows: DataFrame) -> DataFrame:
 
 
 def _kmers_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """_id and _kmers, the labelled k-mers of the texts of some nodes, staged."""
+    """_node and _kmers, the labelled k-mers of the texts of some nodes, staged."""
 
     def make_kmers() -> Callable:
         return lambda texts: ([(kmers(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts],)
 
     texts = docs.select("text", *(c.alias(n) for n, c in _text_keys().items()))
     texts = texts.join(nodes, ["_id", "_k1", "_k2"])
-    texts = add_columns(texts, ["_id"], [F.col("text")], make_kmers, {"_kmers": "binary"})
-    return stage(texts.dropDuplicates(["_id"]), "kmers").df
+    texts = add_columns(texts, ["_node"], [F.col("text")], make_kmers, {"_kmers": "binary"})
+    return stage(texts.dropDuplicates(["_node"]), "kmers").df
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -211,8 +234,8 @@ def _aligned(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
         return compare
 
-    one = texts.select(F.col("_id").alias("_node"), F.col("_kmers").alias("_a"))
-    two = texts.select(F.col("_id").alias("_hub"), F.col("_kmers").alias("_b"))
+    one = texts.select("_node", F.col("_kmers").alias("_a"))
+    two = texts.select(F.col("_node").alias("_hub"), F.col("_kmers").alias("_b"))
     both = pairs.join(one, "_node").join(two, "_hub")
     made = add_columns(both, ["_node", "_hub"], [F.col("_a"), F.col("_b")], make_similarity, {"similarity": "double"})
     return made.where(F.col("similarity") >= least)
@@ -220,7 +243,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def _crowded(rows: DataFrame, found: DataFrame) -> DataFrame:
     """_node and _class of the texts in buckets of more than three texts that are not of one class."""
-    members = rows.where("_id = _node").select("_node", "_keys").join(found, "_node", "left")
+    members = rows.where("_id = _least").select("_node", "_keys").join(found, "_node", "left")
     members = members.select("_node", F.coalesce("_class", "_node").alias("_class"), F.explode("_keys").alias("_key"))
     buckets = members.groupBy("_key").agg(
         F.count("*").alias("_n"), F.min("_class").alias("_low"), F.max("_class").alias("_high")
@@ -229,6 +252,24 @@ def _crowded(rows: DataFrame, found: DataFrame) -> DataFrame:
     return members.select("_node", "_class").distinct()
 
 
+def _by_rarity(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct k-mers from the rarest on, hashed, and whether another text may have them."""
+    often = counts[found & np.uint32(len(counts) - 1)]
+    order = np.lexsort((found, often))
+    return mixed(found[order].astype(np.uint64)), often[order] > 1
+
+
+def _lengths_of_partners(n: int, least: float) -> list[tuple[np.uint64, int]]:
+    """For every class of lengths that a similar text may have: a tag of both classes, and the k-mers shared at least."""
+    low, high = math.ceil(least * n - 1e-9), math.floor(n / least + 1e-9)
+    own, first, last = (np.searchsorted(_LENGTHS, [n, low, high], side="right") - 1).tolist()
+    out = []
+    for other in range(first, last + 1):
+        needed = math.ceil(least / (1 + least) * (n + max(low, int(_LENGTHS[other]))) - 1e-9)
+        out.append((np.uint64(min(own, other) << 16 | max(own, other)), needed))
+    return out
+
+
 def rare_keys(found: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
     """Keys that a text has in common with any text similar to it, for every class of lengths.
 
@@ -238,23 +279,39 @@ def rare_keys(found: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray
     n = len(found)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    ranked = np.unique(found)
-    often = counts[ranked & np.uint32(len(counts) - 1)]
-    order = np.lexsort((ranked, often))
-    ranked, shared = ranked[order].astype(np.uint64), often[order] > 1
-    low, high = math.ceil(least * n - 1e-9), math.floor(n / least + 1e-9)
-    own, first, last = (np.searchsorted(_LENGTHS, [n, low, high], side="right") - 1).tolist()
+    ranked, shared = _by_rarity(np.unique(found), counts)
     out = []
-    for other in range(first, last + 1):
-        needed = math.ceil(least / (1 + least) * (n + max(low, int(_LENGTHS[other]))) - 1e-9)
+    for tag, needed in _lengths_of_partners(n, least):
         size = max(0, n - needed + 1)
-        classes_of_both = np.uint64(min(own, other) << 16 | max(own, other))
-        out.append(mixed(mixed(ranked[:size][shared[:size]]) + classes_of_both))
+        out.append(mixed(ranked[:size][shared[:size]] + tag))
     return np.concatenate(out)
 
 
-def _rare_candidates(crowded: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (_node, _hub) of crowded texts of different classes that have a rare k-mer in common."""
+def keys_beside(found: np.ndarray, hub: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
+    """Keys that a text has in common with any text similar to it, given a hub for both.
+
+    The texts share at least `needed` k-mers, of which at most as many as the text shares with
+    the hub are the hub's. If that leaves some for outside, the rarest of those are keys;
+    if not, the texts either share one outside, or both are that close to the hub, which has a
+    key of its own.
+    """
+    n = len(found)
+    own = np.unique(found)
+    beside = np.setdiff1d(own, hub)
+    inside = len(own) - len(beside)
+    ranked, shared = _by_rarity(beside, counts)
+    out = []
+    for tag, needed in _lengths_of_partners(n, least):
+        outside = needed - inside - (n - len(own))  # k-mers that share 32 bits count as the hub's
+        size = max(0, len(ranked) - max(1, outside) + 1)
+        out.append(mixed(ranked[:size][shared[:size]] + tag))
+        if outside <= 0:
+            out.append(mixed(np.array([tag], dtype=np.uint64)))
+    return np.concatenate(out)
+
+
+def _counts(texts: DataFrame) -> np.ndarray:
+    """How often the k-mers of each counter are there."""
 
     def make_counters() -> Callable:
         def counters(found):
@@ -263,25 +320,91 @@ def _rare_candidates(crowded: DataFrame, texts: DataFrame, least: float) -> Data
 
         return counters
 
-    slots = add_columns(texts.select("_id", "_kmers"), ["_id"], [F.col("_kmers")], make_counters, {"_slots": "array<long>"})
+    slots = add_columns(texts, [], [F.col("_kmers")], make_counters, {"_slots": "array<long>"})
     slots = slots.select(F.explode("_slots").alias("_slot")).groupBy("_slot").agg(F.count("*").alias("_n"))
     seen = slots.where("_n > 1").toArrow()  # at most a row for each counter
     counts = np.ones(RARITY, dtype=np.uint32)
     counts[seen["_slot"].to_numpy()] = np.minimum(seen["_n"].to_numpy(), 0xFFFFFFFF)
+    return counts
+
+
+def _pair() -> list[Column]:
+    return [F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")]
+
+
+def _met(keyed: DataFrame, *key: str) -> DataFrame:
+    """Pairs (_node, _hub) of different classes with a common key: those of a key's largest class meet all others."""
+    sizes = keyed.groupBy(*key, "_class").agg(F.count("*").alias("_n"))
+    kinds = sizes.groupBy(*key).agg(F.max_by("_class", "_n").alias("_main"), F.count("*").alias("_kinds"))
+    keyed = keyed.join(kinds.where("_kinds > 1").drop("_kinds"), list(key))
+    others = keyed.where("_class <> _main").select(*key, F.col("_node").alias("_end"), F.col("_class").alias("_other"))
+    return keyed.join(others, list(key)).where("_class <> _other").select(*_pair()).distinct()
+
+
+def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (_node, _hub, similarity) that join crowded texts of different classes.
+
+    crowded: _node, _class and _links, the links found so far; known: pairs that are compared
+    already. Links within a class are left out.
+    """
+    counts = _counts(texts)
 
     def make_keys() -> Callable:
         return lambda found: ([rare_keys(np.frombuffer(k, np.uint32), counts, least).view(np.int64).tolist() for k in found],)
 
-    keyed = add_columns(texts.select("_id", "_kmers"), ["_id"], [F.col("_kmers")], make_keys, {"_keys": "array<long>"})
-    keyed = keyed.withColumnRenamed("_id", "_node").join(crowded, "_node")
-    keyed = stage(keyed.select("_node", "_class", F.explode("_keys").alias("_key")), "rare").df
-    # Texts of a key's largest class meet those of its other classes only.
-    sizes = keyed.groupBy("_key", "_class").agg(F.count("*").alias("_n"))
-    mixed_keys = sizes.groupBy("_key").agg(F.max_by("_class", "_n").alias("_main"), F.count("*").alias("_kinds"))
-    keyed = keyed.join(mixed_keys.where("_kinds > 1").select("_key", "_main"), "_key")
-    others = keyed.where("_class <> _main").select("_key", F.col("_node").alias("_end"), F.col("_class").alias("_other"))
-    met = keyed.join(others, "_key").where("_class <> _other")
-    return met.select(F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")).distinct()
+    keyed = add_columns(texts, ["_node"], [F.col("_kmers")], make_keys, {"_keys": "array<long>"})
+    keyed = keyed.join(crowded, "_node").select("_node", "_class", "_links", F.explode("_keys").alias("_key"))
+    keyed = stage(keyed, "rare").df
+    sizes = keyed.groupBy("_key").agg(
+        F.count("*").alias("_n"),
+        F.min("_class").alias("_low"),
+        F.max("_class").alias("_high"),
+        F.max(F.struct("_links", "_node"))["_node"].alias("_hub"),
+    )
+    sizes = stage(sizes.where("_low < _high").select("_key", "_n", "_hub"), "sizes").df
+    pairs = _met(keyed.join(sizes.where(F.col("_n") <= FEW).select("_key"), "_key"), "_key")
+    links = stage(_aligned(stage(pairs.join(known, ["_node", "_hub"], "left_anti"), "pairs").df, texts, least), "links").df
+
+    spokes = keyed.join(sizes.where(F.col("_n") > FEW).select("_key", "_hub"), "_key")
+    spokes = stage(spokes.where("_node <> _hub").select("_node", "_hub").distinct(), "spokes").df
+    if spokes.isEmpty():
+        return links
+
+    def make_spoke() -> Callable:
+        def measure(left, right):
+            sides = [[np.frombuffer(k, np.uint32) for k in side] for side in (left, right)]
+            near = [similarity(a, b, least) for a, b in zip(*sides, strict=True)]
+            keys = [keys_beside(a, b, counts, least).view(np.int64).tolist() for a, b in zip(*sides, strict=True)]
+            return near, keys
+
+        return measure
+
+    one = texts.select("_node", F.col("_kmers").alias("_a"))
+    two = texts.select(F.col("_node").alias("_hub"), F.col("_kmers").alias("_b"))
+    both = spokes.join(one, "_node").join(two, "_hub")
+    made = {"similarity": "double", "_keys": "array<long>"}
+    measured = stage(add_columns(both, ["_node", "_hub"], [F.col("_a"), F.col("_b")], make_spoke, made), "spokes").df
+    near = measured.where(F.col("similarity") >= least)
+    near = near.select(F.col("_node"), F.col("_hub").alias("_end"), "similarity").select(*_pair(), "similarity")
+    links = links.union(near)
+
+    merged = _merged(crowded.select("_node", "_class"), links)
+    beside = measured.join(merged, "_node").select("_hub", "_node", "_class", F.explode("_keys").alias("_key"))
+    beside = stage(beside.withColumnRenamed("_hub", "_around"), "beside").df
+    done = known.union(pairs).union(spokes.select(F.col("_node"), F.col("_hub").alias("_end")).select(*_pair()))
+    pairs = _met(beside, "_around", "_key").join(done, ["_node", "_hub"], "left_anti")
+    more = stage(_aligned(stage(pairs, "pairs").df, texts, least), "links").df
+    return links.union(more)
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """_node and _class once links between the classes are counted in; found: _node and _class."""
+    one = found.withColumnRenamed("_class", "_one")
+    two = found.select(F.col("_node").alias("_hub"), F.col("_class").alias("_two"))
+    between = links.join(one, "_node").join(two, "_hub").where("_one <> _two")
+    wider = components(between.select(F.greatest("_one", "_two").alias("_node"), F.least("_one", "_two").alias("_hub")).distinct())
+    wider = wider.select(F.col("_node").alias("_class"), F.col("_class").alias("_wider"))
+    return found.join(wider, "_class", "left").select("_node", F.coalesce("_wider", "_class").alias("_class"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -315,39 +438,35 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     text was found similar to.
     """
     rows = stage(_bucketed(docs), "buckets").df
-    nodes = rows.groupBy("_k1", "_k2").agg(F.min("_id").alias("_node"))
-    nodes = stage(nodes, "nodes").df
-    rows = rows.join(nodes, ["_k1", "_k2"])
+    nodes = stage(_nodes(rows), "nodes").df
+    rows = rows.join(nodes.withColumnRenamed("_id", "_least"), ["_k1", "_k2"])
     pairs = stage(_candidates(rows), "candidates").df
-    named = nodes.groupBy(F.col("_node").alias("_id")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"))
-    named = named.select("_id", "_k._k1", "_k._k2")
-    ends = pairs.select(F.col("_node").alias("_id")).union(pairs.select("_hub")).distinct()
-    links = stage(_aligned(pairs, _kmers_of(docs, named.join(ends, "_id")), least), "links").df
+    ends = pairs.select("_node").union(pairs.select("_hub")).distinct()
+    links = stage(_aligned(pairs, _kmers_of(docs, nodes.join(ends, "_node")), least), "links").df
     found = components(links)
-    crowded = stage(_crowded(rows, found), "crowded").df
+    crowded = _crowded(rows, found).join(_link_counts(links), "_node", "left")
+    crowded = stage(crowded.select("_node", "_class", F.coalesce("_n", F.lit(0)).alias("_links")), "crowded").df
     if not crowded.isEmpty():
-        texts = _kmers_of(docs, named.join(crowded.select(F.col("_node").alias("_id")), "_id"))
-        more = _rare_candidates(crowded, texts, least).join(pairs, ["_node", "_hub"], "left_anti")
-        more = stage(_aligned(stage(more, "candidates").df, texts, least), "links").df
-        hubs = crowded.select(F.col("_node").alias("_hub"), F.col("_class").alias("_hub_class"))
-        between = more.join(crowded, "_node").join(hubs, "_hub")
-        wider = components(between.select(F.col("_class").alias("_node"), F.col("_hub_class").alias("_hub")).distinct())
-        wider = wider.select(F.col("_node").alias("_was"), F.col("_class").alias("_wider"))
-        every = found.select("_node", "_class").unionByName(crowded).distinct()
-        found = every.join(wider, F.col("_class") == F.col("_was"), "left")
-        found = found.select("_node", F.coalesce("_wider", "_class").alias("_class"))
-        links = links.unionByName(more)
-    ends = links.select(F.col("_node").alias("_node")).union(links.select("_hub"))
-    found = found.join(ends.groupBy("_node").agg(F.count("*").alias("n_links")), "_node", "left")
+        texts = _kmers_of(docs, nodes.join(crowded.select("_node"), "_node"))
+        more = stage(_search_crowded(crowded, pairs, texts, least).distinct(), "more").df
+        every = found.select("_node", "_class").union(crowded.select("_node", "_class")).distinct()
+        found = _merged(every, more)
+        links = links.union(more).dropDuplicates(["_node", "_hub"])
+    found = found.join(_link_counts(links), "_node", "left")
     out = rows.drop("_keys").join(found, "_node", "left")
     class_id = F.coalesce("_class", "_node").alias("class_id")
-    return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("_n", F.lit(0)).alias("n_links"))
+
+
+def _link_counts(links: DataFrame) -> DataFrame:
+    """_node and _n, its links."""
+    return links.select("_node").union(links.select("_hub")).groupBy("_node").agg(F.count("*").alias("_n"))
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents without near copies: of every class the one with the smallest id stays."""
-    found = classes(docs, least).where("_id = class_id")
-    kept = found.groupBy("_id").agg(F.min(F.struct("_k1", "_k2")).alias("_k")).select("_id", "_k._k1", "_k._k2")
+    found = classes(docs, least).groupBy("class_id").agg(F.min(F.struct("_id", "_k1", "_k2")).alias("_k"))
+    kept = found.select("_k.*")
     kept = kept.select(F.col("_id").alias("_kept"), F.col("_k1").alias("_kept1"), F.col("_k2").alias("_kept2"))
     own, names = set_apart(docs, ["doc_id", "text"])
     own = own.withColumns(_text_keys())

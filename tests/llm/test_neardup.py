@@ -98,7 +98,7 @@ def test_large_groups_of_copies_make_few_pairs(spark):
         docs.append((i, " ".join(own)))
     df = spark.createDataFrame(docs, "doc_id long, text string")
     rows = N.stage(N._bucketed(df), "b").df
-    rows = rows.withColumn("_node", F.col("_id"))
+    rows = rows.withColumns({"_node": F.col("_id"), "_least": F.col("_id")})
     assert N._candidates(rows).count() < 200 * (N.WIDE + N.NARROW)
     got = {r._id: r.class_id for r in N.classes(df).collect()}
     assert got == near_classes(docs)
@@ -117,7 +117,8 @@ def test_nothing(spark, empty_dir):
 
 def test_a_bucket_meets_at_both_of_its_ends(spark):
     rows = [(n, n, [7]) for n in (1, 2, 3)] + [(n, n, [8]) for n in (4, 5, 6, 9)] + [(10, 10, [11]), (12, 10, [7])]
-    got = N._candidates(spark.createDataFrame(rows, "_id long, _node long, _keys array<long>"))
+    rows = spark.createDataFrame(rows, "_id long, _node long, _keys array<long>").withColumn("_least", F.col("_node"))
+    got = N._candidates(rows)
     found = {(r._node, r._hub) for r in got.collect()}
     assert found == {(2, 1), (3, 1), (3, 2), (5, 4), (6, 4), (9, 4), (9, 5), (9, 6)}
 
@@ -166,3 +167,54 @@ def test_similar_texts_have_a_rare_key_in_common():
         b = np.array([x for x in a if rng.random() > 0.1] + rng.sample(range(1 << 31), rng.randrange(len(a) // 10 + 1)), np.uint32)
         if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
             assert set(N.rare_keys(a, counts, 0.8).tolist()) & set(N.rare_keys(b, counts, 0.8).tolist())
+
+
+def test_similar_texts_have_a_key_beside_a_hub_in_common():
+    """Any two similar texts, whatever the hub: near both, near one or near neither."""
+    rng = random.Random(7)
+    counts = np.full(N.RARITY, 2, np.uint32)
+    met = 0
+    for _ in range(1500):
+        base = rng.sample(range(1 << 31), rng.randrange(1, 200))
+
+        def edited(share, base=base):
+            kept = [x for x in base if rng.random() > share]
+            return np.array(kept + rng.sample(range(1 << 31), rng.randrange(int(len(base) * share) + 1)) or [1], np.uint32)
+
+        common = np.array(rng.sample(range(1 << 31), rng.randrange(8)), np.uint32)
+        a, b, hub = (edited(s) for s in (rng.choice([0, 0.05, 0.1, 0.3]), rng.choice([0, 0.05, 0.1]), rng.choice([0, 0.1, 0.5, 0.9])))
+        a, b = np.concatenate([a, common]), np.concatenate([b, common])
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            met += 1
+            assert set(N.keys_beside(a, hub, counts, 0.8).tolist()) & set(N.keys_beside(b, hub, counts, 0.8).tolist())
+    assert met > 300
+
+
+def test_texts_of_one_id_count_each_for_itself(spark):
+    rng = random.Random(8)
+    a, b = ([f"w{rng.randrange(10_000)}" for _ in range(100)] for _ in range(2))
+    near = lambda t, i: " ".join([*t[:50], f"x{i}", *t[51:]])
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a, 2)), (3, near(b, 3)), (4, "another text of a few words")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {}
+    for r in N.classes(df).collect():
+        found.setdefault(r.class_id, []).append(r._id)
+    assert sorted(map(sorted, found.values())) == [[1, 2], [1, 3], [4]]
+    kept = N.one_of_each(df)
+    assert sorted(map(tuple, kept.collect())) == sorted([docs[0], docs[1], docs[4]])
+
+
+def test_a_dense_group_of_texts_that_are_just_not_similar(spark):
+    """A third of the rows around one text at similarities from 0.7 on: few pairs are compared."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 900):
+        own = list(base) if i % 3 else [f"v{rng.randrange(10_000)}" for _ in range(200)]
+        for k in range(rng.randrange(1, 9)):
+            own[rng.randrange(200)] = f"x{i}y{k}"
+        docs.append((i, " ".join(own)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r._id: r.class_id for r in N.classes(df).collect()}
+    assert got == near_classes(docs)
+    assert len(set(got.values())) > 301
