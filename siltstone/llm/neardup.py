@@ -287,27 +287,25 @@ def rare_keys(found: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray
     return np.concatenate(out)
 
 
-def keys_beside(found: np.ndarray, hub: np.ndarray, counts: np.ndarray, least: float) -> np.ndarray:
-    """Keys that a text has in common with any text similar to it, given a hub for both.
-
-    The texts share at least `needed` k-mers, of which at most as many as the text shares with
-    the hub are the hub's. If that leaves some for outside, the rarest of those are keys;
-    if not, the texts either share one outside, or both are that close to the hub, which has a
-    key of its own.
+def keys_beside(found: np.ndarray, hub: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that a text has in common with any text similar to it, given a hub for both, and how far each reaches.
+
+    A similar text of m k-mers shares least / (1 + least) * (n + m) of them, of which at most as
+    many as the text shares with the hub are the hub's. The rarest common one outside of the hub has
+    the other common ones behind it, so a k-mer is a key for texts up to the length, its reach,
+    at which enough are left. Where the hub's alone are enough, being that close to the hub is
+    a key of its own. Two similar texts have a key whose reach, in both, is the other's length.
     """
     n = len(found)
     own = np.unique(found)
     beside = np.setdiff1d(own, hub)
-    inside = len(own) - len(beside)
     ranked, shared = _by_rarity(beside, counts)
-    out = []
-    for tag, needed in _lengths_of_partners(n, least):
-        outside = needed - inside - (n - len(own))  # k-mers that share 32 bits count as the hub's
-        size = max(0, len(ranked) - max(1, outside) + 1)
-        out.append(mixed(ranked[:size][shared[:size]] + tag))
-        if outside <= 0:
-            out.append(mixed(np.array([tag], dtype=np.uint64)))
-    return np.concatenate(out)
+    inside = n - len(beside)  # k-mers that share 32 bits count as the hub's
+    left = np.concatenate([inside + len(beside) - np.arange(len(beside)), [inside]])
+    reach = np.minimum(left * (1 + least) / least - n, n / least) + 1e-6
+    keys = np.concatenate([ranked, np.zeros(1, dtype=np.uint64)])
+    kept = np.concatenate([shared, [True]]) & (reach >= least * n - 1e-6)
+    return keys[kept], np.floor(reach[kept]).astype(np.int64)
 
 
 def _counts(texts: DataFrame) -> np.ndarray:
@@ -333,12 +331,20 @@ def _pair() -> list[Column]:
 
 
 def _met(keyed: DataFrame, *key: str) -> DataFrame:
-    """Pairs (_node, _hub) of different classes with a common key: those of a key's largest class meet all others."""
+    """Pairs (_node, _hub) of different classes with a common key: those of a key's largest class meet all others.
+
+    Rows with a _reach meet only those whose _size is within it, from either side.
+    """
     sizes = keyed.groupBy(*key, "_class").agg(F.count("*").alias("_n"))
     kinds = sizes.groupBy(*key).agg(F.max_by("_class", "_n").alias("_main"), F.count("*").alias("_kinds"))
     keyed = keyed.join(kinds.where("_kinds > 1").drop("_kinds"), list(key))
-    others = keyed.where("_class <> _main").select(*key, F.col("_node").alias("_end"), F.col("_class").alias("_other"))
-    return keyed.join(others, list(key)).where("_class <> _other").select(*_pair()).distinct()
+    others = keyed.where("_class <> _main").drop("_main")
+    named = {"_node": "_end", "_class": "_other", "_size": "_other_size", "_reach": "_other_reach"}
+    others = others.select(*(F.col(c).alias(named.get(c, c)) for c in others.columns))
+    met = keyed.join(others, list(key)).where("_class <> _other")
+    if "_reach" in keyed.columns:
+        met = met.where("_size <= _other_reach AND _other_size <= _reach")
+    return met.select(*_pair()).distinct()
 
 
 def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -362,8 +368,9 @@ def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, leas
         F.max(F.struct("_links", "_node"))["_node"].alias("_hub"),
     )
     sizes = stage(sizes.where("_low < _high").select("_key", "_n", "_hub"), "sizes").df
-    pairs = _met(keyed.join(sizes.where(F.col("_n") <= FEW).select("_key"), "_key"), "_key")
-    links = stage(_aligned(stage(pairs.join(known, ["_node", "_hub"], "left_anti"), "pairs").df, texts, least), "links").df
+    few = sizes.where(F.col("_n") <= FEW).select("_key")
+    pairs = stage(_met(keyed.drop("_links").join(few, "_key"), "_key"), "pairs").df
+    links = stage(_aligned(pairs.join(known, ["_node", "_hub"], "left_anti"), texts, least), "links").df
 
     spokes = keyed.join(sizes.where(F.col("_n") > FEW).select("_key", "_hub"), "_key")
     spokes = stage(spokes.where("_node <> _hub").select("_node", "_hub").distinct(), "spokes").df
@@ -374,23 +381,26 @@ def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, leas
         def measure(left, right):
             sides = [[np.frombuffer(k, np.uint32) for k in side] for side in (left, right)]
             near = [similarity(a, b, least) for a, b in zip(*sides, strict=True)]
-            keys = [keys_beside(a, b, counts, least).view(np.int64).tolist() for a, b in zip(*sides, strict=True)]
-            return near, keys
+            found = [keys_beside(a, b, counts, least) for a, b in zip(*sides, strict=True)]
+            keys, reach = ([own.view(np.int64).tolist() for own in column] for column in zip(*found, strict=True))
+            return near, keys, reach, [len(a) for a in sides[0]]
 
         return measure
 
     one = texts.select("_node", F.col("_kmers").alias("_a"))
     two = texts.select(F.col("_node").alias("_hub"), F.col("_kmers").alias("_b"))
     both = spokes.join(one, "_node").join(two, "_hub")
-    made = {"similarity": "double", "_keys": "array<long>"}
+    made = {"similarity": "double", "_keys": "array<long>", "_reach": "array<long>", "_size": "long"}
     measured = stage(add_columns(both, ["_node", "_hub"], [F.col("_a"), F.col("_b")], make_spoke, made), "spokes").df
     near = measured.where(F.col("similarity") >= least)
     near = near.select(F.col("_node"), F.col("_hub").alias("_end"), "similarity").select(*_pair(), "similarity")
     links = links.union(near)
 
     merged = _merged(crowded.select("_node", "_class"), links)
-    beside = measured.join(merged, "_node").select("_hub", "_node", "_class", F.explode("_keys").alias("_key"))
-    beside = stage(beside.withColumnRenamed("_hub", "_around"), "beside").df
+    keys = F.explode(F.arrays_zip("_keys", "_reach")).alias("_at")
+    beside = measured.join(merged, "_node").select(F.col("_hub").alias("_around"), "_node", "_class", "_size", keys)
+    beside = beside.select("_around", "_node", "_class", "_size", F.col("_at._keys").alias("_key"), F.col("_at._reach").alias("_reach"))
+    beside = stage(beside, "beside").df
     done = known.union(pairs).union(spokes.select(F.col("_node"), F.col("_hub").alias("_end")).select(*_pair()))
     pairs = _met(beside, "_around", "_key").join(done, ["_node", "_hub"], "left_anti")
     more = stage(_aligned(stage(pairs, "pairs").df, texts, least), "links").df
