@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from siltstone import session
 from siltstone.functions.columns import run_stamp
+from siltstone.plans.backfill import backfill
 from siltstone.plans.calls import export_calls
 from siltstone.plans.jobs import JOBS, run
 from siltstone.sources.partitions import read_table, run_date
@@ -35,6 +36,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True, help="folder with bronze/, silver/ and gold/")
         job.add_argument("--ingested_date", help="YYYY-MM-DD, by default today in UTC")
+        if not JOBS[name].whole:
+            job.add_argument("--backfill", action="store_true", help="all dates that are missing or whose inputs changed")
         if name == "gold_media_details":
             job.add_argument("--base_url", required=True, help="prefix of default media URLs")
     extract = jobs.add_parser("extract")
@@ -83,7 +86,10 @@ def main(argv: list[str] | None = None) -> None:
             export_calls(read_table(spark, args.pages), args.out, stamp)
         else:
             options = {"base_url": args.base_url} if "base_url" in args else {}
-            run(spark, args.job, args.root, day, **options)
+            if getattr(args, "backfill", False):
+                backfill(spark, args.job, args.root, **options)
+            else:
+                run(spark, args.job, args.root, day, **options)
     finally:
         session.drop_scratch(spark)
 

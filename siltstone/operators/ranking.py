@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil, floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.ordering import in_order, spread
@@ -21,6 +21,17 @@ def best_ranked(df: DataFrame, rank: str, tie_break: str, n: int = 10) -> DataFr
     return by_rank(df, rank, tie_break).limit(n)
 
 
+def best_of_each(df: DataFrame, group: str, rank: str, tie_break: str, n: int = 10) -> DataFrame:
+    """The n best ranked rows of every group, in one pass; rows without a group are left out.
+
+    Each task keeps its n best rows of a group before anything moves, so that a group of any
+    size sends n rows a task.
+    """
+    order = Window.partitionBy(group).orderBy(F.asc_nulls_last(rank), F.asc_nulls_last(tie_break))
+    placed = df.where(F.col(group).isNotNull()).withColumn("__place", F.row_number().over(order))
+    return placed.where(F.col("__place") <= n).drop("__place")
+
+
 def by_rank(df: DataFrame, rank: str, tie_break: str) -> DataFrame:
     return df.orderBy(F.asc_nulls_last(rank), F.asc_nulls_last(tie_break))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.columns import whole_count
 from siltstone.operators.aggregates import group_by_known, mean, total, total_count
 from siltstone.operators.filters import in_list, sorted_values, where_selected
-from siltstone.operators.ranking import best_ranked, by_rank, largest
+from siltstone.operators.ranking import best_of_each, best_ranked, by_rank, largest
 
 
 def _rows() -> Column:
@@ -117,13 +117,29 @@ def location_currencies(locations: DataFrame) -> DataFrame:
     return sorted_values(locations, "currency")
 
 
-def locations_kpis(locations: DataFrame, currency: str | None = None) -> DataFrame:
-    """Key figures of one currency; by default the first currency by name."""
-    return where_selected(locations, "currency", currency).agg(
+def _location_figures() -> list[Column]:
+    return [
         _rows().alias("total_restaurants"),
         total(F.col("total_revenue")).alias("total_revenue"),
         mean(F.col("avg_order_value")).alias("avg_order_value"),
         mean(F.col("avg_daily_orders")).alias("avg_daily_orders"),
+    ]
+
+
+def locations_kpis(locations: DataFrame, currency: str | None = None) -> DataFrame:
+    """Key figures of one currency; by default the first currency by name."""
+    return where_selected(locations, "currency", currency).agg(*_location_figures())
+
+
+def locations_kpis_by_currency(locations: DataFrame) -> DataFrame:
+    """Key figures of every currency, in one pass."""
+    return group_by_known(locations, "currency", *_location_figures())
+
+
+def locations_top10_by_currency(locations: DataFrame) -> DataFrame:
+    """The ten best ranked locations of every currency, in one pass."""
+    return best_of_each(locations, "currency", "revenue_rank", "restaurant_id").select(
+        "currency", "revenue_rank", "restaurant_id", "total_revenue", "avg_order_value", "avg_daily_orders"
     )
 
 

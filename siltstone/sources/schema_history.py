@@ -38,7 +38,8 @@ def record(spark: SparkSession, folder: str, schema: T.StructType) -> None:
     out.close()
 
 
-def _listed(spark: SparkSession, pattern: str) -> list[str]:
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that fit a pattern, those of hidden files included."""
     files, place = file_system(spark, pattern)
     return sorted(status.getPath().toString() for status in files.globStatus(place) or ())
 
@@ -86,7 +87,7 @@ def united(table: str, schemas: Sequence[T.StructType], fixed: T.StructType | No
 def groups(spark: SparkSession, root: str, folders: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
     """Folders by schema: from their records, one of each kind being read, else from their own footers."""
     records: dict[str, list[str]] = {}
-    for path in _listed(spark, f"{root}/{INGESTED_DATE}=*/{RECORD}*"):
+    for path in listed(spark, f"{root}/{INGESTED_DATE}=*/{RECORD}*"):
         folder, name = path.rsplit("/", 1)
         records.setdefault(_date_of(folder), []).append(name)
     schemas: dict[str, T.StructType] = {}
@@ -97,8 +98,8 @@ def groups(spark: SparkSession, root: str, folders: Sequence[str]) -> list[tuple
             if names[0] not in schemas:
                 schemas[names[0]] = _recorded(spark, f"{folder}/{names[0]}")
             schema = schemas[names[0]]
-        elif not _listed(spark, f"{folder}/*.parquet"):
-            if not _listed(spark, folder):
+        elif not listed(spark, f"{folder}/*.parquet"):
+            if not listed(spark, folder):
                 spark.read.parquet(folder)  # raises PATH_NOT_FOUND
             continue
         else:
@@ -113,7 +114,7 @@ def _date_of(folder: str) -> str:
 
 def date_folders(spark: SparkSession, root: str) -> list[str]:
     """The folders of a table's dates; none for a table without dates."""
-    return _listed(spark, f"{root.rstrip('/')}/{INGESTED_DATE}=*")
+    return listed(spark, f"{root.rstrip('/')}/{INGESTED_DATE}=*")
 
 
 def read_dated(
@@ -145,7 +146,7 @@ def read_dated(
 
 def read_undated(spark: SparkSession, root: str) -> DataFrame:
     """A whole table by its record, or else with the columns of all its files."""
-    names = _listed(spark, f"{root.rstrip('/')}/{RECORD}*")
+    names = listed(spark, f"{root.rstrip('/')}/{RECORD}*")
     if len(names) == 1:
         return spark.read.schema(_recorded(spark, names[0])).parquet(root)
     return spark.read.option("mergeSchema", "true").parquet(root)

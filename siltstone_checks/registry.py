@@ -14,7 +14,7 @@ from siltstone_checks.inputs import as_sql, derive
 from siltstone import schemas, session
 from siltstone.functions.columns import run_stamp
 from siltstone.operators.ordering import in_order
-from siltstone.plans import calls, commerce, gold, jobs, reports, silver
+from siltstone.plans import backfill, calls, commerce, gold, jobs, reports, silver
 from siltstone.sources import partitions, relational, text
 from siltstone.sources.catalog import read_named
 from siltstone.sources.staging import stage
@@ -293,6 +293,46 @@ def job_reports(spark, sf_dir):
     return spark.createDataFrame(rows, "job string, rows_in long, rows_out long, schema string")
 
 
+@query(
+    f"""SELECT attempt, ingested_date, count(*) AS rows_out
+    FROM {SQL_EVENTS}, (VALUES ('first'), ('second'), ('third')) AS attempts(attempt)
+    WHERE CASE attempt WHEN 'first' THEN ingested_date <> DATE '{REWRITTEN_DAY}' + 1
+                       WHEN 'second' THEN ingested_date BETWEEN DATE '{REWRITTEN_DAY}' AND DATE '{REWRITTEN_DAY}' + 1
+                            AND (visitor_key IS NOT NULL OR ingested_date <> DATE '{REWRITTEN_DAY}')
+                       ELSE false END
+    GROUP BY 1, 2"""
+)
+def backfill_runs(spark, sf_dir):
+    """What three backfills run: all dates there; then a changed and a late one; then none."""
+    root = session.scratch_path(spark, "lake")
+    events = derive(spark, sf_dir, inputs.EVENTS)
+    late = REWRITTEN_DAY + timedelta(days=1)
+    partitions.write_dates(events.where(F.col("ingested_date") != F.lit(late)), f"{root}/bronze/events")
+    found = [("first", backfill.backfill(spark, "silver_events", root))]
+    day = events.where(F.col("ingested_date") == F.lit(REWRITTEN_DAY)).where("visitor_key IS NOT NULL")
+    partitions.write_partition(day, f"{root}/bronze/events", REWRITTEN_DAY)
+    partitions.write_partition(events.where(F.col("ingested_date") == F.lit(late)), f"{root}/bronze/events", late)
+    found += [(attempt, backfill.backfill(spark, "silver_events", root)) for attempt in ("second", "third")]
+    rows = [(attempt, day, report.rows_out) for attempt, runs in found for day, report in runs.items()]
+    return spark.createDataFrame(rows, "attempt string, ingested_date date, rows_out long")
+
+
+@query(
+    f"""SELECT true AS of_today, event_key, visitor_key FROM {SQL_EVENTS} WHERE ingested_date = DATE '{REWRITTEN_DAY}'"""
+)
+def run_without_a_date(spark, sf_dir):
+    """A run without a date reads and writes the folder of today in UTC."""
+    root = session.scratch_path(spark, "lake")
+    events = derive(spark, sf_dir, inputs.EVENTS)
+    today = partitions.run_date()
+    of_day = events.where(F.col("ingested_date") == F.lit(REWRITTEN_DAY))
+    partitions.write_partition(of_day, f"{root}/bronze/events", today)
+    jobs.run(spark, "silver_events", root, today)
+    age = F.datediff(F.current_date(), F.col("ingested_date"))  # 1 if midnight has passed
+    written = partitions.read_table(spark, f"{root}/silver/events")
+    return written.select(age.between(0, 1).alias("of_today"), "event_key", "visitor_key")
+
+
 @query("SELECT * FROM orders WHERE o_orderstatus <> 'P'")
 def table_overwrite_roundtrip(spark, sf_dir):
     """A whole table is written, then replaced by other rows."""
@@ -317,7 +357,7 @@ def csv_roundtrip(spark, sf_dir):
     UNION ALL SELECT 'lineitem', 'ok', count(*), false FROM lineitem"""
 )
 def ingest_status(spark, sf_dir):
-    """Tables are copied one by one; the one that cannot be read does not stop the rest."""
+    """Tables are copied side by side; the one that cannot be read does not stop the rest."""
     status = relational.extract_tables(
         spark,
         ["customer", "orders", "no_such_table", "lineitem"],
@@ -804,6 +844,26 @@ def locations_top10(spark, sf_dir):
     return reports.locations_top10(_locations(spark, sf_dir))
 
 
+@query(
+    f"""SELECT currency, revenue_rank, restaurant_id, total_revenue, avg_order_value, avg_daily_orders
+    FROM (SELECT *, row_number() OVER (PARTITION BY currency ORDER BY revenue_rank, restaurant_id) AS place
+          FROM {SQL_LOCATIONS} WHERE currency IS NOT NULL) WHERE place <= 10"""
+)
+def locations_top10_by_currency(spark, sf_dir):
+    return reports.locations_top10_by_currency(_locations(spark, sf_dir))
+
+
+@query(
+    f"""SELECT currency, count(*) AS total_restaurants, round(sum(total_revenue), 2) AS total_revenue,
+           round(avg(avg_order_value), 4) AS avg_order_value,
+           round(avg(avg_daily_orders), 6) AS avg_daily_orders
+    FROM {SQL_LOCATIONS} WHERE currency IS NOT NULL GROUP BY currency"""
+)
+def locations_kpis_by_currency(spark, sf_dir):
+    kpis = reports.locations_kpis_by_currency(_locations(spark, sf_dir))
+    return rounded(kpis, total_revenue=2, avg_order_value=4, avg_daily_orders=6)
+
+
 @query(
     f"""SELECT restaurant_id, avg_order_value, total_revenue, total_orders
     FROM {SQL_LOCATIONS} WHERE {SQL_FIRST_CURRENCY}"""

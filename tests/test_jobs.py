@@ -11,6 +11,7 @@ from siltstone_checks.inputs import derive
 from siltstone import schemas, session
 from siltstone.__main__ import main
 from siltstone.plans import commerce, gold, reports, silver
+from siltstone.plans.backfill import backfill, pending
 from siltstone.plans.jobs import JOBS, run
 from siltstone.sources import partitions as P
 from siltstone.sources.catalog import read_named
@@ -88,6 +89,28 @@ def test_dimension_from_batches_equals_the_rebuild(spark, lake):
     assert report.rows_out == len(rebuilt)
 
 
+def test_backfill_runs_missing_and_changed_dates_only(spark, tmp_path):
+    root = str(tmp_path)
+    events = silver.events(derive(spark, SMALL, inputs.EVENTS))
+    visitors = silver.visitors(derive(spark, SMALL, inputs.VISITORS))
+    for day in DAYS:
+        P.write_partition(events.where(F.col("ingested_date") == F.lit(day)), f"{root}/silver/events", day)
+    for day in DAYS[:2]:
+        P.write_partition(visitors, f"{root}/silver/visitors", day)
+    assert list(pending(spark, "fact_visitor", root)) == DAYS[:2]
+    assert list(backfill(spark, "fact_visitor", root)) == DAYS[:2]
+    assert backfill(spark, "fact_visitor", root) == {}
+    P.write_partition(visitors.limit(3), f"{root}/silver/visitors", DAYS[1])
+    P.write_partition(visitors, f"{root}/silver/visitors", DAYS[2])
+    assert list(pending(spark, "fact_visitor", root)) == DAYS[1:]
+    assert list(backfill(spark, "fact_visitor", root)) == DAYS[1:]
+    run(spark, "fact_visitor", root, DAYS[0])  # replaces the date, and its record with it
+    main(["fact_visitor", "--root", root, "--backfill"])
+    assert pending(spark, "fact_visitor", root) == {}
+    with pytest.raises(ValueError, match="all dates"):
+        pending(spark, "dim_visitor", root)
+
+
 def test_missing_input_date_fails_and_keeps_output(spark, lake):
     before = P.read_table(spark, f"{lake}/silver/events").count()
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):

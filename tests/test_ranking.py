@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.ordering import in_order
-from siltstone.operators.ranking import exact_quantiles, largest, rank_within
+from siltstone.operators.ranking import best_of_each, exact_quantiles, largest, rank_within
 from tests.conftest import plan, rows
 
 
@@ -88,3 +88,18 @@ def test_rank_ties_share_a_rank(spark):
     ranks = rank_within(df, "g", "v", "r").select("v", "r")
     assert rows(ranks) == [(1.0, 3), (3.0, 1), (3.0, 1)]
     assert dict(ranks.dtypes)["r"] == "int"
+
+
+def test_best_of_every_group_in_one_pass(spark):
+    rng = random.Random(3)
+    data = [(i, rng.choice(["EUR", "EUR", "USD", None]), rng.choice([None, *range(40)])) for i in range(900)]
+    df = spark.createDataFrame(data, "id int, c string, r int").repartition(6)
+    best = best_of_each(df, "c", "r", "id", 10)
+    want = {}
+    for i, c, r in data:
+        if c is not None:
+            want.setdefault(c, []).append((r is None, r or 0, i))
+    assert sorted(map(tuple, best.select("c", "id").collect())) == sorted((c, i) for c, own in want.items() for _, _, i in sorted(own)[:10])
+    text = plan(best)
+    below = text[text.index("Exchange") :]
+    assert "WindowGroupLimit" in below  # each task cuts its groups before rows move

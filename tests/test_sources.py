@@ -1,3 +1,4 @@
+import threading
 from datetime import date, datetime, timezone
 
 import pytest
@@ -260,3 +261,17 @@ def test_failure_while_writing_is_a_failed_table(spark, tmp_path):
         spark, ["t"], lambda _: bad, str(tmp_path), raise_on_failure=False
     ).first()
     assert status.status == "failed" and "lost connection" in status.error
+
+
+def test_tables_are_copied_side_by_side(spark, tmp_path):
+    """Two reads wait for each other; a table that fails stops none, and order is kept."""
+    both = threading.Barrier(2, timeout=60)
+
+    def read(table):
+        if table == "bad":
+            raise OSError("gone")
+        both.wait()
+        return spark.range(int(table[1:]))
+
+    status = R.extract_tables(spark, ["t5", "bad", "t7"], read, str(tmp_path), raise_on_failure=False, at_once=3)
+    assert [tuple(r) for r in status.collect()] == [("t5", "ok", 5, None), ("bad", "failed", None, "gone"), ("t7", "ok", 7, None)]
