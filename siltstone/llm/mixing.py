@@ -8,11 +8,14 @@ evenly over the schedule, and the rank of a place among its source's places is c
 by bit without sorting. The documents of a source, shuffled by a digest of their id, are cut
 into blocks of equally many words; the place of rank r joins block r, and once all blocks
 are used, the blocks again. The few places that rounding leaves a source short are added at
-the end, and a source's last block is cut at its target.
+the end, and a source's last block is cut at its target. A document stands in the mix where its
+first block of a pass is placed, which is the order that the mix is laid out in.
 
 Defined cases: a null text has no words; a null source is one of its own, the last; a
-source without words has target 0; repeated rows are rows of their own; equal digests go by
-doc_id and size; an empty table gives an empty result. Other columns are ignored.
+source without words has target 0; a document of which nothing is taken has no place; very long
+texts are counted whole and may lie in many blocks; repeated rows are rows of their own; equal
+digests go by doc_id and size; an empty table gives an empty result. Other columns are kept by
+`mix`, whatever their names, and ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -155,8 +158,8 @@ def schedule(sources: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """Every document once a pass, with the words that the pass takes of it.
 
-    Columns: doc_id, source, _key, size, source_size, target, _uid, pass and taken. A document
-    without words has one row, with pass 0.
+    Columns: doc_id, source, _key, size, source_size, target, _uid, pass, taken and place, the first
+    place of the pass that holds words of it. A document without words has one row, with pass 0.
     """
     rows = stage(sized(docs), "sizes").df
     sources = stage(targets(rows), "targets").df
@@ -167,35 +170,41 @@ def mixed(docs: DataFrame) -> DataFrame:
     pieces = rows.where("size > 0").withColumn(
         "block", F.explode(F.expr(f"sequence(_start div {block}, (_start + size - 1) div {block})"))
     )
-    met = pieces.join(places.drop("place", "_block"), ["_key", "block"])
+    met = pieces.join(places.drop("_block"), ["_key", "block"])
     words = F.expr("greatest(0, least(_start + size, _to) - greatest(_start, _from))")
-    taken = met.withColumn("_words", words).groupBy("_uid", "pass").agg(F.sum("_words").alias("taken"))
+    taken = met.withColumn("_words", words).groupBy("_uid", "pass").agg(
+        F.sum("_words").alias("taken"), F.min(F.when(F.col("_words") > 0, F.col("place"))).alias("place")
+    )
     kept = ["doc_id", "source", "_key", "size", "source_size", "target", "_uid"]
     return rows.select(*kept).join(taken, "_uid", "left").fillna(0, ["pass", "taken"])
 
 
 def op4_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of every document."""
+    """The words that the mix takes of every document, and its first place in the schedule."""
     rows = mixed(table(spark, sf_dir, "documents"))
     keys = ["_uid", "doc_id", "size", "source_size", "target"]
-    return rows.groupBy(*keys).agg(F.sum("taken").alias("taken")).drop("_uid")
+    return rows.groupBy(*keys).agg(F.sum("taken").alias("taken"), F.min("place").alias("first_place")).drop("_uid")
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mix itself: a document once for each pass that takes at least half of its words.
+    """The mix itself, in the order of the schedule: a document once for each pass that takes at least half of its words.
 
     Only the document at a pass's end is cut, so that words taken stay near the targets.
     Rows that agree in doc_id, source and size share their decision.
     """
     passes = mixed(docs).where("size > 0 AND taken * 2 >= size")
-    copies = passes.groupBy("_uid", "doc_id", "_key", "size").agg(F.count("*").alias("_copies"))
-    copies = copies.groupBy("doc_id", "_key", "size").agg(F.max("_copies").alias("_copies"))
+    copies = passes.groupBy("_uid", "doc_id", "_key", "size").agg(F.array_sort(F.collect_list("place")).alias("_places"))
+    # Of equal rows the first one speaks for all; at most REPEATS places a document.
+    copies = copies.groupBy("doc_id", "_key", "size").agg(F.max_by("_places", F.struct(F.size("_places"), F.negate(F.col("_uid")))).alias("_places"))
     copies = copies.select(*(F.col(c).alias(f"_m_{c}") for c in copies.columns))
     own, names = set_apart(docs, ["doc_id", "source", "text"])
     same = F.col("doc_id").eqNullSafe(F.col("_m_doc_id")) & (F.col("_own_key") == F.col("_m__key"))
     own = own.withColumns({"_own_key": source_key(), "_own_size": word_count()})
     found = own.join(copies, same & (F.col("_own_size") == F.col("_m_size")))
-    return put_back(found.withColumn("_copy", F.explode(F.expr("sequence(1, _m__copies)"))), names)
+    found = found.withColumn("_place", F.explode("_m__places"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = found.repartitionByRange(tasks, "_place", "doc_id").sortWithinPartitions("_place", "doc_id")
+    return put_back(laid, names)
 
 
 OP4_SQL = r"""
@@ -224,13 +233,52 @@ WITH sized AS (
          END AS target
   FROM steps s, level l
 ), placed AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS quota,
+  SELECT d.source, d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS quota,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest, d.doc_id, d.size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
   FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), shares AS (
+  SELECT source, source_size, CAST(floor(target) AS BIGINT) AS quota,
+         CAST(coalesce(sum(CAST(floor(target) AS BIGINT)) OVER (ORDER BY source NULLS LAST
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before,
+         CAST(sum(CAST(floor(target) AS BIGINT)) OVER () AS BIGINT) AS whole
+  FROM targets
+), owners AS (
+  SELECT *, (whole + 131071) // 131072 AS block_words, (before * 131072 + whole - 1) // whole AS a,
+         ((before + quota) * 131072 + whole - 1) // whole AS b
+  FROM shares WHERE quota > 0
+), needs AS (
+  SELECT *, (source_size + block_words - 1) // block_words AS blocks,
+         CASE WHEN quota <= source_size THEN (quota + block_words - 1) // block_words
+              ELSE (source_size + block_words - 1) // block_words + (quota - source_size + block_words - 1) // block_words
+         END AS needed
+  FROM owners
+), points AS (
+  SELECT i AS number, CAST(list_sum(list_transform(range(17), lambda k: ((i >> k) & 1) << (16 - k))) AS BIGINT) AS place
+  FROM range(131072) AS t(i)
+), places AS (
+  SELECT source, source_size, quota, block_words, blocks, needed, place,
+         row_number() OVER (PARTITION BY source ORDER BY place) - 1 AS rank
+  FROM needs JOIN points ON number >= a AND number < b
+  UNION ALL
+  SELECT source, source_size, quota, block_words, blocks, needed, 131072 + j, j
+  FROM (SELECT *, unnest(range(b - a, greatest(needed, b - a))) AS j FROM needs)
+), used AS (
+  SELECT source, place, block_words, rank % blocks AS block, (rank % blocks) * block_words AS low,
+         least((rank % blocks + 1) * block_words,
+               CASE WHEN rank < blocks THEN least(source_size, quota) ELSE quota - source_size END) AS high
+  FROM places WHERE rank < needed
+), firsts AS (
+  SELECT p.source, p.doc_id, p.size, p.start, min(u.place) AS first_place
+  FROM placed p JOIN used u ON p.source IS NOT DISTINCT FROM u.source
+    AND u.block BETWEEN p.start // u.block_words AND (p.start + p.size - 1) // u.block_words
+  WHERE p.size > 0 AND least(p.start + p.size, u.high) > greatest(p.start, u.low)
+  GROUP BY 1, 2, 3, 4
 )
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(start + size, least(quota, source_size)) - start)
-          + greatest(0, least(start + size, greatest(0, quota - source_size)) - start) AS BIGINT) AS taken
-FROM placed
+SELECT p.doc_id, p.size, source_size, target,
+       CAST(greatest(0, least(p.start + p.size, least(quota, source_size)) - p.start)
+          + greatest(0, least(p.start + p.size, greatest(0, quota - source_size)) - p.start) AS BIGINT) AS taken,
+       CAST(first_place AS BIGINT) AS first_place
+FROM placed p LEFT JOIN firsts f ON p.source IS NOT DISTINCT FROM f.source AND p.doc_id IS NOT DISTINCT FROM f.doc_id
+  AND p.size = f.size AND p.start = f.start
 """

@@ -43,10 +43,12 @@ def _brute(docs):
     return sorted(out, key=repr)
 
 
-def test_words_taken_equal_the_sql(spark, duck):
-    columns = ["doc_id", "size", "source_size", "target", "taken"]
+def test_words_taken_and_places_equal_the_sql(spark, duck):
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_place"]
     got = M.op4_source_schedule(spark, SMALL).select(columns).collect()
-    assert sorted(map(tuple, got)) == sorted(duck.sql(M.OP4_SQL).project(", ".join(columns)).fetchall())
+    expected = duck.sql(M.OP4_SQL).project(", ".join(columns)).fetchall()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+    assert all((r.first_place is None) == (r.taken == 0) for r in got)
 
 
 def test_odd_rows_equal_brute_force(spark, odd_dir):
@@ -100,6 +102,24 @@ def r_blocks(r, by_key):
     return -(-by_key[r._key].source_size // r._block)
 
 
+def test_the_mix_is_laid_out_by_the_points(spark, monkeypatch):
+    """Rows come in the order of their places, and other points give another order."""
+    docs = table(spark, SMALL, "documents")
+    first = {r.doc_id: r.first_place for r in M.op4_source_schedule(spark, SMALL).collect()}
+    laid = [r.doc_id for r in M.mix(docs).collect()]
+    heads = list(dict.fromkeys(laid))
+    whole = {r.doc_id for r in M.mixed(docs).where("pass = 0 AND taken = size").collect()}
+    places = [first[i] for i in heads if i in whole]
+    assert places == sorted(places) and len(places) > 100
+    sources = {r.doc_id: r.source for r in docs.collect()}
+    head = [sources[i] for i in laid[: len(laid) // 2]]
+    assert set(head) == {sources[i] for i in laid}  # every source all along the mix
+    schedule = M.schedule
+    monkeypatch.setattr(M, "schedule", lambda s: schedule(s).withColumn("place", F.col("place") * 7 % 131_071))
+    assert [r.doc_id for r in M.mix(docs).collect()] != laid
+    assert {r.doc_id: r.first_place for r in M.op4_source_schedule(spark, SMALL).collect()} != first
+
+
 def test_mix_keeps_columns_and_repeats_documents(spark, odd_dir):
     docs = table(spark, SMALL, "documents")
     mixed = M.mix(docs)
