@@ -66,7 +66,7 @@ def test_odd_and_empty_tables(spark, odd_dir, empty_dir):
 
 def test_every_operator_is_registered():
     names = spark_entry.queries()
-    assert sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))) == list(range(1, 11))
+    assert sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))) == list(range(1, 14))
     assert "pipeline" in names and "pipeline" not in spark_entry.oracle_sql()
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     assert language and decontamination
