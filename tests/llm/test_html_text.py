@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from siltstone.llm import html_text as H
@@ -17,8 +18,7 @@ def test_marked_articles_equal_the_plain_pattern(spark):
 
 
 def article(inside):
-    blocks, _ = H.page_blocks(f"<html><body><nav>m</nav><article>{inside}</article><footer>f</footer></body></html>")
-    return blocks
+    return H.page_blocks(f"<html><body><nav>m</nav><article>{inside}</article><footer>f</footer></body></html>")[0]
 
 
 def test_blocks_and_white_space():
@@ -48,45 +48,108 @@ def test_pages_cut_off():
     assert H.page_blocks("<article><p>one<script>var a")[0] == ["one"]
     assert H.page_blocks("<article><p>one<!-- two")[0] == ["one"]
     assert H.page_blocks("<article><p>1 < 2 and 3 &am")[0] == ["1 < 2 and 3 &am"]
-    assert H.page_blocks(None) == (None, [])
+    assert H.page_blocks(None) == ([], [], False)
 
 
-def _covered(pages, run):
-    """Positions that lie in a substring of run tokens that another page has too."""
-    holders = {}
-    for i, blocks in enumerate(pages):
-        for b in blocks:
-            for k in range(max(1, len(b) - run + 1)):
-                holders.setdefault(tuple(b[k : k + run]), set()).add(i)
+def test_a_class_word_alone_does_not_empty_a_page():
+    assert H.page_blocks('<div class="header-image article"><p>main here</div>')[0] == ["main here"]
+    assert H.page_blocks('<div class="header-image"><p>main here</div>')[0] == ["main here"]
+    assert H.page_blocks('<div class="header-image"><p>x</div><p>main here')[0] == ["main here"]
+    assert H.page_blocks('<div class="comments post"><p>main here</div>')[0] == []
+
+
+def _runs(blocks, heads):
+    """Every run of a page, as tokens and the blocks that it holds whole."""
     out = []
-    for blocks in pages:
-        kept = []
-        for b in blocks:
-            hit = set()
-            for k in range(max(1, len(b) - run + 1)):
-                if len(holders[tuple(b[k : k + run])]) > 1:
-                    hit |= set(range(k, k + run))
-            kept.append(" ".join(t for k, t in enumerate(b) if k not in hit))
-        out.append("\n\n".join(k for k in kept if k))
+    for k, block in enumerate(blocks):
+        first = max([i for i in range(k + 1) if heads[i]], default=0)
+        last = min([i for i in range(k + 1, len(blocks)) if heads[i]], default=len(blocks))
+        n = max(H.LONG, len(block.split(" ")))
+        after, before = " ".join(blocks[k:last]).split(" ")[:n], " ".join(blocks[first : k + 1]).split(" ")[-n:]
+        if len(after) == n:
+            out.append((after, [j for j in range(k, last) if len(" ".join(blocks[k : j + 1]).split(" ")) <= n]))
+        if len(before) == n:
+            out.append((before, [j for j in range(first, k + 1) if len(" ".join(blocks[j : k + 1]).split(" ")) <= n]))
+    return out
+
+
+def _kept(pages):
+    """Every page's text, by comparing each run with all places of all pages of its host."""
+    read = {i: (url.split("/")[2], *H._placed_blocks(html)) for i, url, html in pages}
+    out = {}
+    for i, (host, own, every, heads, marked) in read.items():
+        others = [o for o in read.values() if o[0] == host]
+        bodies = len({tuple(o[2]) for o in others})
+        least, share = (H.MARKED_LEAST, H.MARKED_SHARE) if marked else (H.OPEN_LEAST, H.OPEN_SHARE)
+
+        def often(run, bodies=bodies, others=others, least=least, share=share):
+            rests = set()
+            for _, _, blocks, heads, _ in others:
+                for tokens, held in _runs(blocks, heads):
+                    if tokens == run:
+                        rests.add(tuple(sorted(b for k, b in enumerate(blocks) if k not in held)))
+            return len(rests) >= max(least, share * bodies)
+
+        gone = {k for run, held in _runs(every, heads) if often(run) for k in held if k in own}
+        words = {k: len(every[k].split(" ")) for k in own}
+        if 2 * sum(words[k] for k in gone) > sum(words.values()):
+            gone = set()
+        out[i] = "\n\n".join(every[k] for k in own if k not in gone)
     return out
 
 
-def test_unique_runs_of_a_host_equal_brute_force(spark):
-    shared = "all rights of this page are reserved by its owner and friends"
-    tokens = [
-        [["own", f"text{i}", "of", "page", str(i)], shared.split() + [f"end{i}"], ["menu", "home"], f"before{i} {shared[:40]}".split()]
+def _texts(spark, pages):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in H.main_text(df).collect()}
+
+
+MORE = "Read more of our stories every single day on this site, sign up now."
+
+
+def _story(i, words=30):
+    return " ".join(f"w{i}x{k}" for k in range(words))
+
+
+def test_what_a_host_repeats_goes_from_marked_articles_too(spark):
+    def page(i, last):
+        return f"<article><h1>Title {i}</h1><p>{_story(i)}</p><p>{last}</p></article>"
+
+    pages = [(i, f"http://h.example/{i}", page(i, MORE)) for i in range(3)]
+    pages += [(10 + i, f"http://two.example/{i}", page(i, MORE)) for i in range(2)]
+    pages += [(20 + i, f"http://some.example/{i}", page(i, MORE if i < 3 else "end")) for i in range(5)]
+    pages += [(30 + i, "http://copy.example/", page(1, MORE)) for i in range(4)]
+    got = _texts(spark, pages)
+    assert got == _kept(pages)
+    assert got[0] == f"Title 0\n\n{_story(0)}"
+    assert all(MORE in got[i] for i in got if i >= 10 and i not in (23, 24))  # two pages, too few of five, copies of one
+
+
+def test_unmarked_pages_lose_whole_blocks_only(spark):
+    menu = "".join(f"<li>{w}</li>" for w in "Home About us Contact Imprint Help Jobs Press Shop".split())
+    fox = "The quick brown fox jumps over the lazy dog number {} today."
+    pages = [
+        (i, f"http://h.example/{i}", f"<ul>{menu}</ul><h2>Summary</h2><p>{_story(i)}</p><p>{fox.format(i)}</p><p>{MORE}</p>")
         for i in range(6)
     ]
-    tokens.append([["menu", "home"], ["alone"]])
-    pages = [(i, f"http://h.example/{i}", "".join(f"<p>{' '.join(b)}</p>" for b in blocks)) for i, blocks in enumerate(tokens)]
-    pages.append((50, "http://h.example/copy", pages[0][2]))  # a copy covers nothing
-    pages.append((60, "http://other.example/", f"<p>{shared}</p>"))
-    df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in H.main_text(df).collect()}
-    expected = _covered(tokens, H.RUN)
-    assert [got[i] for i in range(len(tokens))] == expected
-    assert got[50] == got[0] and got[60] == shared
-    assert "reserved" not in got[1] and "text1" in got[1]
+    same = f"<p>{_story(99)}</p><p>short</p>"
+    pages += [(50 + i, f"http://s.example/{i}", f"<{tag}>{same}</{tag}>") for i, tag in enumerate(("div", "section"))]
+    pages += [(60 + i, f"http://v.example/{i}", f"<div>menu {i}</div>{same}") for i in range(4)]
+    got = _texts(spark, pages)
+    assert got == _kept(pages)
+    assert all(got[i] == f"Summary\n\n{_story(i)}\n\n{fox.format(i)}" for i in range(6))
+    assert got[50] == got[51] == f"{_story(99)}\n\nshort"
+    assert all(_story(99) in got[i] for i in range(60, 64))  # versions of one page
+
+
+def test_random_pages_equal_brute_force(spark):
+    rng = random.Random(5)
+    runs = [" ".join(f"r{k}t{j}" for j in range(n)) for k, n in enumerate((1, 2, 3, 7, 8, 9, 14))]
+    pages = []
+    for i in range(80):
+        blocks = [rng.choice(runs) if rng.random() < 0.6 else _story(i * 100 + k, rng.randrange(1, 20)) for k in range(rng.randrange(1, 9))]
+        html = "".join(f"<{tag}>{b}</{tag}>" for b in blocks for tag in [rng.choice(["p", "p", "p", "h2"])])
+        pages.append((i, f"http://h{i % 7}.example/{i}", f"<article>{html}</article>" if i % 3 else html))
+    assert _texts(spark, pages) == _kept(pages)
 
 
 def test_odd_rows(spark, odd_dir):
