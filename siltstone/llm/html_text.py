@@ -10,7 +10,7 @@ follows. A run that stands on MARKED_SHARE (in articles) or OPEN_SHARE (elsewher
 host's distinct pages, MARKED_LEAST or OPEN_LEAST at least, covers the blocks that it holds whole.
 
 Covered blocks are boilerplate and go whole; no words are cut out of a block that stays. A run
-counts once for pages that are alike but for it. Where the covered blocks hold more than half
+counts once for pages that are alike but for it. Where the covered blocks hold more than VERSION
 of a page's words, the page is a version of others rather than one with boilerplate, and keeps
 all. The article decides which blocks can be main text: those inside of it, or without one all
 open blocks, or without those the blocks that only a class or id calls furniture.
@@ -44,6 +44,7 @@ LONG = 8  # tokens of a run at least
 # Distinct pages of a host that a run must stand on, at least and as a share of all.
 MARKED_LEAST, MARKED_SHARE = 3, 0.8  # for a block of a marked article
 OPEN_LEAST, OPEN_SHARE = 2, 0.5  # for any other block
+VERSION = 0.8  # share of covered words beyond which a page is a version of others
 
 OPEN, ARTICLE, FURNITURE, NAMED = 0, 1, 2, 3  # NAMED: furniture by a class or id alone
 
@@ -302,7 +303,7 @@ def main_text(pages: DataFrame, long: int = LONG) -> DataFrame:
     kept = F.filter("_blocks", lambda _, i: ~F.array_contains("_gone", i.cast("long")))
     both = F.col("_blocks"), kept
     whole, rest = (F.aggregate(b, F.lit(0), lambda n, t: n + F.size(F.split(t, " ", -1))) for b in both)
-    blocks = F.when(F.col("_gone").isNotNull() & (rest * 2 >= whole), kept).otherwise(F.col("_blocks"))
+    blocks = F.when(F.col("_gone").isNotNull() & (whole - rest <= VERSION * whole), kept).otherwise(F.col("_blocks"))
     text = F.array_join(blocks, "\n\n").alias("text")
     return every.select("page_id", "url", text).withColumn("n_chars", F.length("text").cast("long"))
 

@@ -92,7 +92,7 @@ def _kept(pages):
 
         gone = {k for run, held in _runs(every, heads) if often(run) for k in held if k in own}
         words = {k: len(every[k].split(" ")) for k in own}
-        if 2 * sum(words[k] for k in gone) > sum(words.values()):
+        if sum(words[k] for k in gone) > H.VERSION * sum(words.values()):
             gone = set()
         out[i] = "\n\n".join(every[k] for k in own if k not in gone)
     return out
