@@ -2,24 +2,30 @@
 
 Generators propose spans. Those of the base forms that pass their check (parts of an address,
 check digit, number of digits) are always kept. The looser ones (written-out e-mail signs,
-numbers without a plus, dotted cards, long addresses) are kept if boosted trees that see their
-format and context score them above a threshold. The trees learn from the corpus itself: base
-forms that pass are examples, base forms that fail and other numbers are counterexamples. The
-thresholds are calibrated on examples that the trees have not seen, a kind each.
+numbers without a plus in any grouping, dotted cards, long addresses, shortened ones too) are
+kept if boosted trees that see their format and context score them above a threshold. The trees
+learn from the corpus itself: base forms that pass are examples; base forms that fail, other
+numbers, an @ without an address, and looser forms behind a word that names something else
+("version", "key") are counterexamples. The thresholds are calibrated on examples that the trees
+have not seen, a kind each.
 
 Training takes at most about MAX_EXAMPLES examples, as many of every kind and label, chosen by
 a hash of where they stand. Calibration takes all that are held out, as histograms of scores.
+One rule serves kinds of any number of examples: the precision that a kind shows is weighed
+against what all kinds show, and that against the score, as if each had been seen PRIOR times.
 
 Defined cases: a null text is empty; a table without both sorts of examples adds nothing to the
-base spans, nor does a kind whose held-out examples never reach the wanted precision; a kind with
-fewer than LEAST_SHOWN of them to show it has the threshold FALLBACK; overlapping additions go by
-score, then place; repeated rows have a row each; other columns are ignored.
+base spans, nor does a kind whose precision never reaches the wanted one; additions may overlap
+base spans but not lie inside of one; overlapping additions go by score, then place; very long
+texts are read whole, in time that grows with their length; repeated rows have a row each; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,8 +41,7 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_EXAMPLES = 20_000
 HELD_OUT = 4  # one example in so many
 PRECISION = 0.99
-LEAST_SHOWN = 20  # held-out examples of a kind that calibration needs
-FALLBACK = 0.9  # threshold of a kind with fewer
+PRIOR = 1.0  # weight of what is believed before a kind's held-out examples are counted
 BINS = 1000  # of a histogram of scores
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -49,17 +54,20 @@ _DIGIT = re.compile(r"[0-9]")
 _NUMBER = re.compile(r"(?<![0-9])[0-9]++(?:[.,-][0-9]++)*+")
 _GROUP = re.compile(r"[0-9]++")
 
+# Two to six groups with any separators, or one; the number of digits is checked afterwards.
 _LOOSE_PHONE = re.compile(
-    r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"
+    r"(?<![0-9A-Za-z+])(?<![0-9][.,:/-])\(?[0-9]++\)?(?:[\x20./()-]{1,2}[0-9]{2,9}(?![0-9])\)?){0,5}(?![0-9A-Za-z:])"
 )
 _LOOSE_CARD = re.compile(
-    r"(?<![0-9.])[0-9]{4}([\x20./-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"
-    r"|(?<![0-9])[0-9]{13}(?![0-9])"
+    r"(?<![0-9.])[0-9]{4}([\x20./-])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{6}\1[0-9]{5})(?![0-9])"
+    r"|(?<![0-9])[0-9]{13,16}(?![0-9])"
 )
-_LOOSE_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
-_AT = re.compile(r"\x20?(?:[\[(]at[\])]|@)\x20?")
-_BEFORE_AT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
-_AFTER_AT = re.compile(r"[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]{2,24}){1,4}")
+# Eight groups of an address, or fewer with one gap.
+_LOOSE_IP = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}|:)(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
+_AT = re.compile(r"\x20?[\[(]at[\])]\x20?|\x20?@\x20?|\x20at\x20", re.I)
+_DOT = r"(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20|\x20\.\x20|\.)"
+_AFTER_AT = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)*{_DOT}[A-Za-z]{{2,}}+", re.I)
+_LABEL = re.compile(r"[A-Za-z0-9-]*+")
 
 # Words before a span that speak for each kind, and for none.
 _CUES = (
@@ -118,21 +126,60 @@ def base_forms(text: str) -> Iterator[tuple[int, int, int, bool]]:
         yield 3, m.start(), m.end(), 10 <= len(_digits(m[0])) <= 15
 
 
+def _start_of_local(text: str, free: int, at: int) -> int:
+    while at > free and text[at - 1] in _LOCAL:
+        at -= 1
+    return at
+
+
+def _loose_emails(text: str) -> Iterator[tuple[int, int]]:
+    free, worded = 0, " dot " in text.lower()
+    for m in _AT.finditer(text):
+        if m[0].lower() == " at " and not worded:
+            continue
+        start = _start_of_local(text, free, m.start())
+        after = _AFTER_AT.match(text, m.end()) if start < m.start() else None
+        if after:
+            yield start, after.end()
+        free = m.end()
+
+
+def _is_address(span: str) -> bool:
+    """An address of eight groups, or of fewer with one gap, with a digit in it."""
+    groups = span.split(":")
+    gaps = span.count("::")
+    if ":::" in span or gaps > 1 or (span[0] == ":") != (span[:2] == "::") or (span[-1] == ":") != (span[-2:] == "::"):
+        return False
+    shown = sum(map(bool, groups))
+    return (shown == 8 if not gaps else 2 <= shown <= 7) and bool(_DIGIT.search(span))
+
+
 def loose_forms(text: str) -> Iterator[tuple[int, int, int]]:
-    for m in _AT.finditer(text) if "@" in text or "at)" in text or "at]" in text else ():
-        before = _BEFORE_AT.search(text, max(0, m.start() - 64), m.start())
-        after = _AFTER_AT.match(text, m.end())
-        if before and after:
-            yield 0, before.start(), after.end()
+    """Spans that may be personal data, of all kinds; they may overlap."""
+    for start, end in _loose_emails(text):
+        yield 0, start, end
     if not _DIGIT.search(text):
         return
     if ":" in text:
         for m in _LOOSE_IP.finditer(text):
-            yield 1, m.start(), m.end()
+            if _is_address(m[0]):
+                yield 1, m.start(), m.end()
     for m in _LOOSE_CARD.finditer(text):
         yield 2, m.start(), m.end()
     for m in _LOOSE_PHONE.finditer(text):
-        yield 3, m.start(), m.end()
+        digits = _digits(m[0]).removeprefix("00")
+        if 10 <= len(digits) <= 15 and not _IP.fullmatch(m[0]):
+            yield 3, m.start(), m.end()
+
+
+def _bare_signs(text: str) -> Iterator[tuple[int, int]]:
+    """Every @ with the name before it and the label behind it."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        end = _LABEL.match(text, at + 1).end()
+        yield _start_of_local(text, free, at), end
+        free = at + 1
+        at = text.find("@", free)
 
 
 def _side(c: str) -> float:
@@ -192,11 +239,16 @@ def proposals(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
         spans.append((kind, start, end, int(passes)))
         if passes:
             base.append((start, kind, end))
-    taken = _Taken(base)
+    inside = _Taken(base)
     for kind, start, end in loose_forms(text):
-        if not taken.meets(start, end):
-            spans.append((kind, start, end, -1))
+        if not inside.holds(start, end):
+            before = text[max(0, start - 24) : start]
+            other = _COUNTER_CUE.search(before) and not _CUES[kind].search(before)
+            spans.append((kind, start, end, 0 if other else -1))
     taken = _Taken([(start, kind, end) for kind, start, end, label in spans if label])
+    for start, end in _bare_signs(text):
+        if not taken.meets(start, end):
+            spans.append((0, start, end, 0))
     for m in _NUMBER.finditer(text):
         if not taken.meets(m.start(), m.end()):
             kind = 1 if m[0].count(".") > 1 else 2 if len(m[0]) > 11 else 3
@@ -217,6 +269,10 @@ class _Taken:
                 self.starts.append(start)
                 self.ends.append(end)
 
+    def holds(self, start: int, end: int) -> bool:
+        i = int(np.searchsorted(self.ends, end))
+        return i < len(self.starts) and self.starts[i] <= start
+
     def meets(self, start: int, end: int) -> bool:
         i = int(np.searchsorted(self.ends, start, side="right"))
         return i < len(self.starts) and self.starts[i] < end
@@ -236,20 +292,27 @@ def _proposed() -> Callable:
     return propose
 
 
-def _threshold(shown: list[tuple[int, int, int]]) -> float | None:
-    """The lowest score from which on the examples reach the wanted precision.
+def _thresholds(shown: dict[int, list[tuple[int, int, int]]]) -> dict[int, float]:
+    """For every kind the lowest score from which on its examples reach the wanted precision.
 
-    shown: bin of the score, examples and counterexamples in it.
+    shown: for each kind the bin of the score, examples and counterexamples in it.
     """
-    if sum(right for _, right, _ in shown) < LEAST_SHOWN:
-        return FALLBACK
-    best, right, every = None, 0, 0
-    for at, examples, others in sorted(shown, reverse=True):
-        right += examples
-        every += examples + others
-        if right >= PRECISION * every and examples:
-            best = at / BINS
-    return max(best, 0.5) if best is not None else None
+    right = np.zeros((len(KINDS), BINS + 1))
+    wrong = np.zeros((len(KINDS), BINS + 1))
+    for kind, own in shown.items():
+        for at, examples, others in own:
+            right[kind, at] += examples
+            wrong[kind, at] += others
+
+    def beyond(counts: np.ndarray) -> np.ndarray:
+        return counts[..., ::-1].cumsum(axis=-1)[..., ::-1]
+
+    right, every = beyond(right), beyond(right + wrong)
+    score = np.arange(BINS + 1) / BINS
+    pooled = (right.sum(axis=0) + PRIOR * score) / (every.sum(axis=0) + PRIOR)
+    precision = (right + PRIOR * pooled) / (every + PRIOR)
+    reached = (precision >= PRECISION) & (score >= 0.5)
+    return {kind: float(score[np.argmax(own)]) for kind, own in enumerate(reached) if own.any()}
 
 
 def _scored(spans: DataFrame, model) -> DataFrame:
@@ -284,12 +347,14 @@ def found(docs: DataFrame) -> DataFrame:
         def merge(base, more):
             digests, every = [], []
             for own, extra in zip(base, more, strict=True):
-                spans = parsed(own)
+                added: list[tuple[int, int, int]] = []
                 for span in parsed(extra or ""):
-                    if not _Taken(spans).meets(span[0], span[2]):
-                        spans.append(span)
+                    at = bisect_left(added, span)
+                    after = at < len(added) and added[at][0] < span[2]
+                    if not after and not (at and added[at - 1][2] > span[0]):
+                        added.insert(at, span)
                 digests.append(hashlib.sha256(own.encode()).hexdigest())
-                every.append(joined(spans))
+                every.append(joined(parsed(own) + added))
             return digests, every
 
         return merge
@@ -326,7 +391,7 @@ def _additions(spans: DataFrame) -> DataFrame | None:
     shown: dict[int, list[tuple[int, int, int]]] = {kind: [] for kind in range(len(KINDS))}
     for r in unseen.collect():  # at most a row for each kind and bin
         shown[r["_kind"]].append((r["_bin"], r["right"], r["wrong"]))
-    limits = {kind: t for kind, own in shown.items() if (t := _threshold(own)) is not None}
+    limits = _thresholds(shown)
     if not limits:
         return None
     passes: Column = F.lit(False)

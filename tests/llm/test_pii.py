@@ -141,3 +141,91 @@ def test_a_rare_kind_among_many_numbers_keeps_its_threshold(spark):
 
 def test_a_kind_with_few_examples_has_a_threshold(spark):
     assert _share_found(spark, 40, 40, 2) > 0.9
+
+
+def test_generators_propose_forms_of_any_grouping():
+    def proposed(text):
+        return {(I.KINDS[kind], text[start:end]) for kind, start, end in I.loose_forms(text)}
+
+    for phone in ("030 5551234", "030/5551234", "004930 5551234", "0305551234", "(030) 555-12-34", "01 23 45 67 89", "415.555.1234"):
+        assert ("phone", phone) in proposed(f"call {phone} now"), phone
+    for address in ("2001:db8::1", "::ffff:1:2", "fe80::", "1:2:3:4:5:6:7:8"):
+        assert (("ip", address) in proposed(f"host {address} up")) == (address != "fe80::"), address
+    for card in ("3782.822463.10005", "4111/1111/1111/1111", "4222222222222"):
+        assert ("card", card) in proposed(f"card {card}."), card
+    name = "a" * 80
+    assert ("email", f"{name} (at) b (dot) c.org") in proposed(f"mail {name} (at) b (dot) c.org, please")
+    assert ("email", "jo at b dot org") in proposed("write to jo at b dot org today")
+    for text in ("std::dec and a::b", "2024-01-02 10:30", "look at this. Then", "pages 12-14", "5 at home. No 7"):
+        assert not proposed(text), text
+
+
+def test_additions_may_overlap_base_spans_but_not_each_other():
+    text = "call 415 555 1234 or +1 415 555 1234, 9 +49 30 5551234"
+    base, spans = I.proposals(text)
+    open_ones = [(s, e) for kind, s, e, label in spans if label < 0]
+    assert [text[s:e] for s, e in open_ones] == ["415 555 1234"] and len(base) == 2
+    assert I.redact("a@b.org x", "email:0:7,phone:3:9") == "[EMAIL]"
+
+
+def test_one_rule_of_thresholds_for_any_number_of_examples():
+    def threshold(right, wrong=0, others=0):
+        shown = {0: [(950, right, wrong)], 1: [(300, 0, others)]}
+        return I._thresholds(shown).get(0)
+
+    assert threshold(0) is None or threshold(0) >= I.PRECISION
+    assert [threshold(n) for n in (20, 200, 20_000)] == [0.5] * 3
+    assert threshold(5) is not None and threshold(20, 20) is None or threshold(20, 20) > 0.95
+    assert threshold(20, 0, 100_000) == 0.5
+
+
+def test_recall_and_precision_by_kind_on_a_made_up_corpus(spark):
+    """Looser forms of four kinds in half of the documents, look-alikes in the others."""
+    rng = random.Random(21)
+
+    def digits(n):
+        return "".join(rng.choice("123456789") for _ in range(n))
+
+    def word():
+        return "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(4, 9)))
+
+    def token():
+        own = digits(16)
+        return own if not I.luhn(own) else token()
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + d for d in "0123456789" if I.luhn(body + d))
+
+    base = [
+        lambda: f"mail {word()}@{word()}.org",
+        lambda: f"host {rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(256)}",
+        lambda: f"card {card()}",
+        lambda: f"call +1 {digits(3)} {digits(3)} {digits(4)}",
+    ]
+    loose = [
+        lambda: f"mail {word()} (at) {word()}.org",
+        None,  # long addresses share no format with the base form, so nothing can be learned for them
+        lambda: "card " + "/".join(re.findall("....", card())),
+        lambda: rng.choice([f"call {digits(3)} {digits(7)}", f"call {digits(3)}/{digits(7)}", f"call {digits(3)} {digits(3)} {digits(4)}"]),
+    ]
+    others = [
+        lambda: f"hello @{word()} there",
+        lambda: f"version {rng.randrange(300, 999)}.{digits(2)}.{digits(2)}.{digits(2)}",
+        lambda: f"token {token()}",
+        lambda: f"page {digits(3)} key {digits(3)} {digits(3)} {digits(4)}",
+    ]
+    docs = []
+    for i in range(1600):
+        kind, sort = i % 4, i // 4 % 3
+        make = (base, loose, others)[sort][kind] or others[kind]
+        docs.append((i, f"{word()} {make()} {word()}"))
+    rows = {r.doc_id: r.spans for r in I.found(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    _hits = {0: [], 2: [], 3: []}
+    for i, _ in docs:
+        kind, sort = i % 4, i // 4 % 3
+        if sort == 1 and kind in _hits:
+            _hits[kind].append(I.KINDS[kind] in rows[i])
+        elif sort == 2 or sort == 1:
+            assert not rows[i], docs[i]
+    assert all(sum(h) > 0.9 * len(h) for h in _hits.values()), {k: sum(h) / len(h) for k, h in _hits.items()}
