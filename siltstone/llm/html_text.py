@@ -299,7 +299,9 @@ def main_text(pages: DataFrame, long: int = LONG) -> DataFrame:
     added |= dict.fromkeys(("_place", "_run", "_rest"), "array<long>")
     rows = add_columns(own, ["page_id", "url", "_host"], [F.col("html")], _split(long), added)
     rows = stage(rows.withColumn("_uid", F.monotonically_increasing_id()), "blocks").df
-    every = rows.select("_uid", "page_id", "url", "_blocks").join(_boilerplate(rows), "_uid", "left")
+    # Written first, so that Spark knows its size: texts are shuffled only where it is large.
+    gone = stage(_boilerplate(rows), "gone").df
+    every = rows.select("_uid", "page_id", "url", "_blocks").join(gone, "_uid", "left")
     kept = F.filter("_blocks", lambda _, i: ~F.array_contains("_gone", i.cast("long")))
     both = F.col("_blocks"), kept
     whole, rest = (F.aggregate(b, F.lit(0), lambda n, t: n + F.size(F.split(t, " ", -1))) for b in both)
