@@ -1,6 +1,7 @@
 """Command line of the jobs, for spark-submit or python -m siltstone.
 
     silver_events --root s3a://lake/media --ingested_date 2024-01-02
+    visitor_state --root s3a://lake/media --ingested_date 2024-01-02
     extract --url jdbc:sqlserver://… --properties login.json --out s3a://lake/bronze
     export_calls --pages s3a://lake/landed/calls --out s3a://lake/calls
 """
@@ -15,12 +16,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone import session
+from siltstone import schemas, session
 from siltstone.functions.columns import run_stamp
+from siltstone.plans import visitor_state
 from siltstone.plans.backfill import backfill
 from siltstone.plans.calls import export_calls
 from siltstone.plans.jobs import JOBS, run
-from siltstone.sources.partitions import read_table, run_date
+from siltstone.sources.partitions import read_partition, read_table, run_date
 from siltstone.sources.relational import (
     HASH_PARTITIONS,
     SOURCE_TABLES,
@@ -40,6 +42,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             job.add_argument("--backfill", action="store_true", help="all dates that are missing or whose inputs changed")
         if name == "gold_media_details":
             job.add_argument("--base_url", required=True, help="prefix of default media URLs")
+    state = jobs.add_parser("visitor_state", help="put a date of silver/events into the bucketed visitor state")
+    state.add_argument("--root", required=True)
+    state.add_argument("--ingested_date", help="YYYY-MM-DD, by default today in UTC")
     extract = jobs.add_parser("extract")
     extract.add_argument("--url", required=True)
     extract.add_argument("--tables", nargs="+", default=list(SOURCE_TABLES))
@@ -81,6 +86,9 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "extract":
             _extract(spark, args)
+        elif args.job == "visitor_state":
+            events = read_partition(spark, f"{args.root}/silver/events", day, schemas.SILVER_EVENTS)
+            visitor_state.update(spark, f"{args.root}/gold/visitor_state", events, day)
         elif args.job == "export_calls":
             stamp = spark.range(1).select(run_stamp(F.current_timestamp())).first()[0]
             export_calls(read_table(spark, args.pages), args.out, stamp)

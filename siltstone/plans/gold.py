@@ -15,7 +15,7 @@ VISITOR_ATTRIBUTES = ("ip", "country")
 
 def dim_visitor(events: DataFrame) -> DataFrame:
     """One row per visitor with the earliest known ip and the earliest known country."""
-    return _as_dimension(visitor_first_seen(events))
+    return as_dimension(visitor_first_seen(events))
 
 
 def visitor_first_seen(events: DataFrame, *batch: str) -> DataFrame:
@@ -34,10 +34,11 @@ def visitor_first_seen(events: DataFrame, *batch: str) -> DataFrame:
 
 def merge_first_seen(batches: DataFrame) -> DataFrame:
     """The visitor dimension from the batches' rows; equals dim_visitor over all events."""
-    return _as_dimension(merge_known(batches, ["visitor_key"], VISITOR_ATTRIBUTES))
+    return as_dimension(merge_known(batches, ["visitor_key"], VISITOR_ATTRIBUTES))
 
 
-def _as_dimension(first_seen: DataFrame) -> DataFrame:
+def as_dimension(first_seen: DataFrame) -> DataFrame:
+    """Rows of visitor_first_seen, one per visitor, as the dimension."""
     return rename(known_values(first_seen, VISITOR_ATTRIBUTES), "visitor_key", "visitor_id")
 
 

@@ -14,9 +14,9 @@ from siltstone_checks.inputs import as_sql, derive
 from siltstone import schemas, session
 from siltstone.functions.columns import run_stamp
 from siltstone.operators.ordering import in_order
-from siltstone.plans import backfill, calls, commerce, gold, jobs, reports, silver
+from siltstone.plans import backfill, calls, commerce, gold, jobs, reports, silver, visitor_state
 from siltstone.sources import partitions, relational, text
-from siltstone.sources.catalog import read_named
+from siltstone.sources.catalog import read_named, write_bucketed
 from siltstone.sources.staging import stage
 
 BASE_URL = "https://media.example/medias/"
@@ -160,6 +160,18 @@ def gold_dim_visitor_by_date(spark, sf_dir):
     return gold.merge_first_seen(partitions.read_table(spark, path))
 
 
+@query(SQL_DIM_VISITOR)
+def gold_dim_visitor_by_bucket(spark, sf_dir):
+    """The same dimension after a run for each of three dates, the second of which ran with wrong rows first."""
+    root = session.scratch_path(spark, "visitor_state")
+    events = _silver_events(spark, sf_dir)
+    dated = F.pmod(F.unix_date("ingested_date"), F.lit(3))
+    wrong = events.where(dated == 2).withColumns({"received_at": F.lit("1999-01-01").cast("timestamp"), "ip": F.lit("0")})
+    for i, rows in ((0, events.where(dated == 0)), (1, wrong), (2, events.where(dated == 2)), (1, events.where(dated == 1))):
+        visitor_state.update(spark, root, rows, REWRITTEN_DAY + timedelta(days=i), buckets=16)
+    return visitor_state.dimension(spark, root)
+
+
 @query(f"SELECT * FROM {SQL_SILVER_STATS}")
 def gold_fact_media(spark, sf_dir):
     return gold.fact_media(silver.media_stats(derive(spark, sf_dir, inputs.MEDIA_STATS)))
@@ -809,6 +821,18 @@ def locations_table_by_date(spark, sf_dir):
     )
 
 
+@query(f"SELECT * FROM {SQL_LOCATIONS}")
+def locations_table_bucketed(spark, sf_dir):
+    """The same table from order tables of the catalog, bucketed by order, whose lines need no shuffle."""
+    for name, sql in (("order_lines_by_order", inputs.ORDER_LINES), ("order_dates_by_order", inputs.ORDER_DATES)):
+        write_bucketed(derive(spark, sf_dir, sql), name, session.scratch_path(spark, name), "order_id", buckets=16)
+    return commerce.top_performing_locations(
+        read_named(spark, "order_lines_by_order"),
+        read_named(spark, "order_dates_by_order"),
+        derive(spark, sf_dir, inputs.RESTAURANTS),
+    )
+
+
 @query(
     f"""SELECT revenue_rank, restaurant_id,
            row_number() OVER (ORDER BY revenue_rank, restaurant_id) - 1 AS "position"

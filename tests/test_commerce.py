@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from siltstone_checks import inputs
 from siltstone_checks.inputs import derive
 from siltstone.plans import commerce, reports
+from siltstone.session import scratch_path
+from siltstone.sources.catalog import read_named, write_bucketed
 from tests.conftest import SMALL, plan, rows
 
 NAN = float("nan")
@@ -144,8 +146,8 @@ def test_location_cadence(spark):
 
 
 def _bucketed(spark, name, df, key):
-    df.write.bucketBy(8, key).mode("overwrite").saveAsTable(name)
-    return spark.table(name)
+    write_bucketed(df, name, scratch_path(spark, name), key, 8)
+    return read_named(spark, name)
 
 
 def test_tables_bucketed_by_their_keys_need_no_shuffle_of_lines(spark, with_conf):
