@@ -132,9 +132,11 @@ def shards(
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder for each shard, its rows in the curve's order."""
-    n = max(1, sharded.select("shard").distinct().count())
-    laid = sharded.repartitionByRange(n, "shard").sortWithinPartitions("shard", "slot")
+    """One folder for each shard; its files, by name, hold its rows in the curve's order.
+
+    A shard is cut by slot into as many tasks as its size asks for.
+    """
+    laid = sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     laid.write.partitionBy("shard").parquet(path)
 
 
