@@ -203,3 +203,27 @@ def op8_template_compiler(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = [(PROBE, 0, "user", PROBE_TEXT), (PROBE, 1, "assistant", PROBE_TEXT)]
     return read_back(rows.union(spark.createDataFrame(probe, rows.schema)))
+
+
+def _escaped_length(column: str) -> str:
+    """SQL for the length of an escaped text: a character more for each backslash and control string."""
+    controls = "|".join(map(re.escape, CONTROL))
+    doubled = f"replace({column}, chr(92), chr(92) || chr(92))"
+    return f"length(regexp_replace({doubled}, '({controls})', '\\1-', 'g'))"
+
+
+_ORDER = "ORDER BY turn NULLS LAST, role, text"
+OP8_SQL = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT * FROM (VALUES ({PROBE}, 0, 'user', '{PROBE_TEXT}'), ({PROBE}, 1, 'assistant', '{PROBE_TEXT}')) AS p(conv_id, turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' {_ORDER})) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' {_ORDER}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST({len("<s>")} + sum(CASE role
+           WHEN 'user' THEN {len("[INST][/INST]")} + {_escaped_length("text")}
+           WHEN 'assistant' THEN {len("</s>")} + {_escaped_length("text")}
+           ELSE {len("[ROLE][/ROLE][/TURN]")} + {_escaped_length("role")} + {_escaped_length("text")} END) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""

@@ -21,6 +21,7 @@ QUERIES = {
 }
 ORACLE = {
     "op4_source_schedule": mixing.OP4_SQL,
+    "op8_template_compiler": chat.OP8_SQL,
     "op10_benchmark_windows": decontamination.OP10_SQL,
     "op12_filter_audit": audit.OP12_SQL,
     "op13_block_neighbours": neighbours.OP13_SQL,

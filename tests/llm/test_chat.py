@@ -1,5 +1,6 @@
 import hashlib
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -98,6 +99,19 @@ def test_all_conversations(spark, odd_dir, empty_dir):
         _check(spark, where)
 
 
+@pytest.mark.parametrize("where", ["odd", "/root/testdata/sf0.01"])
+def test_sql_gives_the_same_rows(spark, odd_dir, where):
+    path = odd_dir if where == "odd" else where
+    spark_rows = C.op8_template_compiler(spark, path)
+    con = duckdb.connect()
+    turns = table(spark, path, "conversations").select("conv_id", "turn", "role", "text").toPandas()
+    turns = turns.astype({"conv_id": "Int64", "turn": "Int64"})
+    con.register("conversations", turns)
+    answer = con.sql(C.OP8_SQL)
+    assert answer.columns == spark_rows.columns
+    assert sorted(map(repr, answer.fetchall())) == sorted(repr(tuple(r)) for r in spark_rows.collect())
+
+
 def test_pieces_join_to_the_formatted_text(spark, odd_dir):
     pieces = C.formatted(table(spark, odd_dir, "conversations")).collect()
     digest = {r.conv_id: r for r in C.read_back(table(spark, odd_dir, "conversations")).collect()}
