@@ -114,7 +114,8 @@ def _options_top(clean: DataFrame, count: str) -> DataFrame:
 
 
 def location_currencies(locations: DataFrame) -> DataFrame:
-    return sorted_values(locations, "currency")
+    """Every currency there is, in order; NULL, of locations without a restaurant row, comes last."""
+    return locations.select("currency").distinct().orderBy(F.asc_nulls_last("currency"))
 
 
 def _location_figures() -> list[Column]:

@@ -256,3 +256,8 @@ def test_location_reports(spark):
     assert [r[0] for r in ranking.collect()] == list(range(1, 13))
     assert ranking.columns[0] == "revenue_rank" and "currency" not in ranking.columns
     assert reports.locations_scatter(table, "EUR").count() == 12
+
+
+def test_locations_without_a_restaurant_have_a_currency_entry(spark):
+    table = spark.createDataFrame([("USD",), (None,), ("EUR",), (None,)], "currency string")
+    assert [r[0] for r in reports.location_currencies(table).collect()] == ["EUR", "USD", None]
