@@ -20,6 +20,7 @@ from siltstone.functions.columns import amount
 from siltstone.operators.joins import one_per_key
 from siltstone.operators.ordering import in_order, spread
 from siltstone.operators.ranking import rank_within, sorted_quantiles
+from siltstone.session import small_tasks
 
 
 def customer_totals(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -222,8 +223,10 @@ def top_performing_locations(
     """Location totals ranked by revenue inside each currency.
 
     The totals are written once to the shared folder, in the order of their ranks, so that the
-    ranks compare the same sums that are shown.
+    ranks compare the same sums that are shown. A line is held by several sorts and hash tables
+    of a task until its week's sums are left, so that tasks are small.
     """
     totals = location_totals(order_lines, orders, restaurants)
-    ranked = rank_within(totals, "currency", "total_revenue", "revenue_rank")
+    with small_tasks(totals.sparkSession):
+        ranked = rank_within(totals, "currency", "total_revenue", "revenue_rank")
     return ranked.select("revenue_rank", *totals.columns)

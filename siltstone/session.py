@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Most input of a task in steps that sort and hash their rows several times over: in memory
+# these take some 30 times the bytes of the compressed files they come from.
+SMALL_TASKS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+}
+# Shuffle partitions that Spark joins to tasks of that size; fewer would leave larger ones.
+PARTITIONS = 200
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def create(app_name: str = "siltstone", **conf: str) -> SparkSession:
     """Session for the jobs; the cluster's own settings stay unless given here."""
@@ -34,6 +47,36 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Tasks of little input for what is planned and run inside.
+
+    The number of tasks grows with the input then, and the memory of one does not. Settings
+    that ask for smaller tasks or more partitions stay.
+    """
+    wanted = {k: str(v) for k, v in SMALL_TASKS.items() if v < _size(spark.conf.get(k))}
+    given = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if int(given) < PARTITIONS:
+        wanted[INITIAL_PARTITIONS] = str(PARTITIONS)
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def _size(text: str) -> int:
+    """Bytes of a size as Spark's settings give it, such as 64MB; a bare number is bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by spark.checkpoint.dir."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from siltstone_checks import inputs
 from siltstone_checks.inputs import derive
 from siltstone.plans import commerce, reports
+from siltstone import session
 from siltstone.session import scratch_path
-from siltstone.sources.catalog import read_named, write_bucketed
+from siltstone.sources.catalog import buckets_for, read_named, write_bucketed
 from tests.conftest import SMALL, plan, rows
 
 NAN = float("nan")
@@ -261,3 +262,26 @@ def test_location_reports(spark):
 def test_locations_without_a_restaurant_have_a_currency_entry(spark):
     table = spark.createDataFrame([("USD",), (None,), ("EUR",), (None,)], "currency string")
     assert [r[0] for r in reports.location_currencies(table).collect()] == ["EUR", "USD", None]
+
+
+def test_locations_are_added_up_by_small_tasks(spark, with_conf, monkeypatch):
+    """Smaller sizes that the session asks for stay, and all are as before afterwards."""
+    size, read, first = *session.SMALL_TASKS, session.INITIAL_PARTITIONS
+    with_conf(**{size.replace(".", "__"): "64MB", read.replace(".", "__"): "1m"})
+    seen, rank_within = {}, commerce.rank_within
+
+    def spy(*args):
+        seen.update({k: spark.conf.get(k) for k in (size, read, first)})
+        return rank_within(*args)
+
+    monkeypatch.setattr(commerce, "rank_within", spy)
+    lines, dates, places = (
+        derive(spark, SMALL, sql) for sql in (inputs.ORDER_LINES, inputs.ORDER_DATES, inputs.RESTAURANTS)
+    )
+    assert commerce.top_performing_locations(lines, dates, places).count() > 0
+    assert seen == {size: str(16 << 20), read: "1m", first: "200"}  # the session has 8 shuffle partitions
+    assert (spark.conf.get(size), spark.conf.get(read), spark.conf.get(first, None)) == ("64MB", "1m", None)
+
+
+def test_buckets_grow_with_the_table():
+    assert [buckets_for(n) for n in (0, 1, 8_000_000, 8_000_001, 216_000_000)] == [16, 16, 16, 32, 512]
