@@ -16,7 +16,7 @@ from siltstone.functions.columns import run_stamp
 from siltstone.operators.ordering import in_order
 from siltstone.plans import backfill, calls, commerce, gold, jobs, reports, silver, visitor_state
 from siltstone.sources import partitions, relational, text
-from siltstone.sources.catalog import read_named, write_bucketed
+from siltstone.sources.catalog import buckets_for, read_named, write_bucketed
 from siltstone.sources.staging import stage
 
 BASE_URL = "https://media.example/medias/"
@@ -824,8 +824,11 @@ def locations_table_by_date(spark, sf_dir):
 @query(f"SELECT * FROM {SQL_LOCATIONS}")
 def locations_table_bucketed(spark, sf_dir):
     """The same table from order tables of the catalog, bucketed by order, whose lines need no shuffle."""
+    buckets = buckets_for(derive(spark, sf_dir, inputs.ORDER_LINES).count())  # of the larger table, for both
     for name, sql in (("order_lines_by_order", inputs.ORDER_LINES), ("order_dates_by_order", inputs.ORDER_DATES)):
-        write_bucketed(derive(spark, sf_dir, sql), name, session.scratch_path(spark, name), "order_id", buckets=16)
+        path = session.scratch_path(spark, name)
+        with session.small_tasks(spark):
+            write_bucketed(derive(spark, sf_dir, sql), name, path, "order_id", buckets)
     return commerce.top_performing_locations(
         read_named(spark, "order_lines_by_order"),
         read_named(spark, "order_dates_by_order"),
