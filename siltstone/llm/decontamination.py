@@ -230,7 +230,9 @@ def searched(
     limit: int = MAX_BYTES,
 ) -> DataFrame:
     """The kept columns, text, _hits and _items of every document."""
-    found = stage(blocks(items, width), "blocks").df
+    # A block is half a window of words, or the whole of a short item.
+    n, chars = items.agg(F.count("*"), F.sum(F.length(F.col("text").cast("string")))).first()
+    found = stage(blocks(items, width), "blocks", n + (chars or 0) // (width + width % 2)).df
     n = found.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
     groups = max(1, -(-n // limit))
     kept = list(dict.fromkeys([*keep, "text"]))

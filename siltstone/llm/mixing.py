@@ -161,10 +161,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     Columns: doc_id, source, _key, size, source_size, target, _uid, pass, taken and place, the first
     place of the pass that holds words of it. A document without words has one row, with pass 0.
     """
-    rows = stage(sized(docs), "sizes").df
-    sources = stage(targets(rows), "targets").df
-    rows = placed(rows, sources).withColumn("_uid", F.monotonically_increasing_id())
-    rows = stage(rows, "placed").df
+    sizes = stage(sized(docs), "sizes")
+    sources = stage(targets(sizes.df), "targets").df
+    rows = placed(sizes.df, sources).withColumn("_uid", F.monotonically_increasing_id())
+    rows = stage(rows, "placed", sizes.rows).df
     places = schedule(sources)
     block = sources.agg(F.expr(f"(sum(_quota) + {SLOTS - 1}) div {SLOTS}")).first()[0] or 1
     pieces = rows.where("size > 0").withColumn(

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import add_columns, put_back, set_apart, table, word_text
 from siltstone.llm.words import mixed, word_hashes
-from siltstone.sources.staging import stage
+from siltstone.sources.staging import TEXT_ROWS, Staged, in_few, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -212,8 +212,8 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return met.select(F.greatest("_node", "_end").alias("_node"), F.least("_node", "_end").alias("_hub")).distinct()
 
 
-def _kmers_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """_node and _kmers, the labelled k-mers of the texts of some nodes, staged."""
+def _kmers_of(docs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """_node and _kmers, the labelled k-mers of the texts of some nodes, so many at most, staged."""
 
     def make_kmers() -> Callable:
         return lambda texts: ([(kmers(t) >> np.uint64(32)).astype(np.uint32).tobytes() for t in texts],)
@@ -221,7 +221,7 @@ def _kmers_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select("text", *(c.alias(n) for n, c in _text_keys().items()))
     texts = texts.join(nodes, ["_id", "_k1", "_k2"])
     texts = add_columns(texts, ["_node"], [F.col("text")], make_kmers, {"_kmers": "binary"})
-    return stage(texts.dropDuplicates(["_node"]), "kmers").df
+    return stage(texts.dropDuplicates(["_node"]), "kmers", most, TEXT_ROWS).df
 
 
 def _aligned(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -347,7 +347,7 @@ def _met(keyed: DataFrame, *key: str) -> DataFrame:
     return met.select(*_pair()).distinct()
 
 
-def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+def _search_crowded(crowded: Staged, known: DataFrame, texts: DataFrame, least: float) -> Staged:
     """Links (_node, _hub, similarity) that join crowded texts of different classes.
 
     crowded: _node, _class and _links, the links found so far; known: pairs that are compared
@@ -359,22 +359,23 @@ def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, leas
         return lambda found: ([rare_keys(np.frombuffer(k, np.uint32), counts, least).view(np.int64).tolist() for k in found],)
 
     keyed = add_columns(texts, ["_node"], [F.col("_kmers")], make_keys, {"_keys": "array<long>"})
-    keyed = keyed.join(crowded, "_node").select("_node", "_class", "_links", F.explode("_keys").alias("_key"))
-    keyed = stage(keyed, "rare").df
+    keyed = keyed.join(crowded.df, "_node").select("_node", "_class", "_links", F.explode("_keys").alias("_key"))
+    keyed, n_keys = stage(keyed, "rare", crowded.rows, TEXT_ROWS)
     sizes = keyed.groupBy("_key").agg(
         F.count("*").alias("_n"),
         F.min("_class").alias("_low"),
         F.max("_class").alias("_high"),
         F.max(F.struct("_links", "_node"))["_node"].alias("_hub"),
     )
-    sizes = stage(sizes.where("_low < _high").select("_key", "_n", "_hub"), "sizes").df
+    sizes = stage(sizes.where("_low < _high").select("_key", "_n", "_hub"), "sizes", n_keys).df
     few = sizes.where(F.col("_n") <= FEW).select("_key")
-    pairs = stage(_met(keyed.drop("_links").join(few, "_key"), "_key"), "pairs").df
-    links = stage(_aligned(pairs.join(known, ["_node", "_hub"], "left_anti"), texts, least), "links").df
+    pairs, n_pairs = stage(_met(keyed.drop("_links").join(few, "_key"), "_key"), "pairs", n_keys * (FEW - 1) // 2)
+    links = _aligned(pairs.join(known, ["_node", "_hub"], "left_anti"), texts, least)
+    links = stage(links, "links", n_pairs, TEXT_ROWS)
 
     spokes = keyed.join(sizes.where(F.col("_n") > FEW).select("_key", "_hub"), "_key")
-    spokes = stage(spokes.where("_node <> _hub").select("_node", "_hub").distinct(), "spokes").df
-    if spokes.isEmpty():
+    spokes, n_spokes = stage(spokes.where("_node <> _hub").select("_node", "_hub").distinct(), "spokes", n_keys)
+    if not n_spokes:
         return links
 
     def make_spoke() -> Callable:
@@ -391,28 +392,31 @@ def _search_crowded(crowded: DataFrame, known: DataFrame, texts: DataFrame, leas
     two = texts.select(F.col("_node").alias("_hub"), F.col("_kmers").alias("_b"))
     both = spokes.join(one, "_node").join(two, "_hub")
     made = {"similarity": "double", "_keys": "array<long>", "_reach": "array<long>", "_size": "long"}
-    measured = stage(add_columns(both, ["_node", "_hub"], [F.col("_a"), F.col("_b")], make_spoke, made), "spokes").df
+    measured = add_columns(both, ["_node", "_hub"], [F.col("_a"), F.col("_b")], make_spoke, made)
+    measured = stage(measured, "spokes", n_spokes, TEXT_ROWS).df
     near = measured.where(F.col("similarity") >= least)
     near = near.select(F.col("_node"), F.col("_hub").alias("_end"), "similarity").select(*_pair(), "similarity")
-    links = links.union(near)
+    near = links.df.union(near)
 
-    merged = _merged(crowded.select("_node", "_class"), links)
+    merged = _merged(crowded.df.select("_node", "_class"), near, links.rows + n_spokes)
     keys = F.explode(F.arrays_zip("_keys", "_reach")).alias("_at")
     beside = measured.join(merged, "_node").select(F.col("_hub").alias("_around"), "_node", "_class", "_size", keys)
     beside = beside.select("_around", "_node", "_class", "_size", F.col("_at._keys").alias("_key"), F.col("_at._reach").alias("_reach"))
-    beside = stage(beside, "beside").df
+    beside = stage(beside, "beside", n_spokes, TEXT_ROWS).df
     done = known.union(pairs).union(spokes.select(F.col("_node"), F.col("_hub").alias("_end")).select(*_pair()))
     pairs = _met(beside, "_around", "_key").join(done, ["_node", "_hub"], "left_anti")
-    more = stage(_aligned(stage(pairs, "pairs").df, texts, least), "links").df
-    return links.union(more)
+    pairs, n_pairs = stage(pairs, "pairs")
+    more = stage(_aligned(pairs, texts, least), "links", n_pairs, TEXT_ROWS)
+    return stage(near.union(more.df).distinct(), "more", links.rows + n_spokes + more.rows)
 
 
-def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
-    """_node and _class once links between the classes are counted in; found: _node and _class."""
+def _merged(found: DataFrame, links: DataFrame, most: int) -> DataFrame:
+    """_node and _class once links between the classes, so many at most, are counted in; found: _node and _class."""
     one = found.withColumnRenamed("_class", "_one")
     two = found.select(F.col("_node").alias("_hub"), F.col("_class").alias("_two"))
     between = links.join(one, "_node").join(two, "_hub").where("_one <> _two")
-    wider = components(between.select(F.greatest("_one", "_two").alias("_node"), F.least("_one", "_two").alias("_hub")).distinct())
+    between = between.select(F.greatest("_one", "_two").alias("_node"), F.least("_one", "_two").alias("_hub"))
+    wider = components(in_few(between.distinct(), most))
     wider = wider.select(F.col("_node").alias("_class"), F.col("_class").alias("_wider"))
     return found.join(wider, "_class", "left").select("_node", F.coalesce("_wider", "_class").alias("_class"))
 
@@ -424,9 +428,9 @@ def components(links: DataFrame) -> DataFrame:
     that long chains need few rounds. Labels are staged after each round.
     """
     both = links.select(F.col("_node").alias("_from"), F.col("_hub").alias("_to"))
-    both = stage(both.union(both.select("_to", "_from")), "links").df
+    both, n_ends = stage(both.union(both.select("_to", "_from")), "links")
     labels = both.groupBy(F.col("_from").alias("_node")).agg(F.min("_to").alias("_low"))
-    labels = stage(labels.select("_node", F.least("_node", "_low").alias("_class")), "labels").df
+    labels = stage(labels.select("_node", F.least("_node", "_low").alias("_class")), "labels", n_ends).df
     while True:
         near = both.join(labels.withColumnRenamed("_node", "_to"), "_to")
         near = near.groupBy(F.col("_from").alias("_node")).agg(F.min("_class").alias("_near"))
@@ -435,7 +439,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         jump = lower.select(F.col("_node").alias("_class"), F.col("_class").alias("_jump"))
         lower = lower.join(jump, "_class").select("_node", "_was", F.least("_class", "_jump").alias("_class"))
-        lower = stage(lower, "labels").df
+        lower = stage(lower, "labels", n_ends).df
         labels = lower.select("_node", "_class")
         if lower.where("_was <> _class").isEmpty():
             return labels
@@ -447,25 +451,31 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     class_id is the smallest id of the class, n_links the number of candidates that the row's
     text was found similar to.
     """
-    rows = stage(_bucketed(docs), "buckets").df
-    nodes = stage(_nodes(rows), "nodes").df
+    return _classified(docs, least)[0]
+
+
+def _classified(docs: DataFrame, least: float) -> tuple[DataFrame, int]:
+    """What `classes` returns, and the number of its rows."""
+    rows, n_rows = stage(_bucketed(docs), "buckets")
+    nodes, n_nodes = stage(_nodes(rows), "nodes", n_rows)
     rows = rows.join(nodes.withColumnRenamed("_id", "_least"), ["_k1", "_k2"])
-    pairs = stage(_candidates(rows), "candidates").df
+    pairs, n_pairs = stage(_candidates(rows), "candidates", 2 * (WIDE + NARROW) * n_nodes)
     ends = pairs.select("_node").union(pairs.select("_hub")).distinct()
-    links = stage(_aligned(pairs, _kmers_of(docs, nodes.join(ends, "_node")), least), "links").df
+    texts = _kmers_of(docs, nodes.join(ends, "_node"), min(n_nodes, 2 * n_pairs))
+    links, _ = stage(_aligned(pairs, texts, least), "links", n_pairs, TEXT_ROWS)
     found = components(links)
     crowded = _crowded(rows, found).join(_link_counts(links), "_node", "left")
-    crowded = stage(crowded.select("_node", "_class", F.coalesce("_n", F.lit(0)).alias("_links")), "crowded").df
-    if not crowded.isEmpty():
-        texts = _kmers_of(docs, nodes.join(crowded.select("_node"), "_node"))
-        more = stage(_search_crowded(crowded, pairs, texts, least).distinct(), "more").df
-        every = found.select("_node", "_class").union(crowded.select("_node", "_class")).distinct()
-        found = _merged(every, more)
+    crowded = stage(crowded.select("_node", "_class", F.coalesce("_n", F.lit(0)).alias("_links")), "crowded", n_nodes)
+    if crowded.rows:
+        texts = _kmers_of(docs, nodes.join(crowded.df.select("_node"), "_node"), crowded.rows)
+        more, n_more = _search_crowded(crowded, pairs, texts, least)
+        every = found.select("_node", "_class").union(crowded.df.select("_node", "_class")).distinct()
+        found = _merged(every, more, n_more)
         links = links.union(more).dropDuplicates(["_node", "_hub"])
     found = found.join(_link_counts(links), "_node", "left")
     out = rows.drop("_keys").join(found, "_node", "left")
     class_id = F.coalesce("_class", "_node").alias("class_id")
-    return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("_n", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "_id", "_k1", "_k2", class_id, F.coalesce("_n", F.lit(0)).alias("n_links")), n_rows
 
 
 def _link_counts(links: DataFrame) -> DataFrame:
@@ -475,13 +485,14 @@ def _link_counts(links: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The documents without near copies: of every class the one with the smallest id stays."""
-    found = classes(docs, least).groupBy("class_id").agg(F.min(F.struct("_id", "_k1", "_k2")).alias("_k"))
-    kept = found.select("_k.*")
+    found, n_rows = _classified(docs, least)
+    kept = found.groupBy("class_id").agg(F.min(F.struct("_id", "_k1", "_k2")).alias("_k")).select("_k.*")
     kept = kept.select(F.col("_id").alias("_kept"), F.col("_k1").alias("_kept1"), F.col("_k2").alias("_kept2"))
     own, names = set_apart(docs, ["doc_id", "text"])
     own = own.withColumns(_text_keys())
     same = (F.col("_id") == F.col("_kept")) & (F.col("_k1") == F.col("_kept1")) & (F.col("_k2") == F.col("_kept2"))
-    return put_back(own.join(kept, same).dropDuplicates(["_id", "_k1", "_k2"]), names)
+    own = own.join(kept, same).dropDuplicates(["_id", "_k1", "_k2"])
+    return put_back(in_few(own, n_rows, TEXT_ROWS), names)
 
 
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from siltstone.llm.common import put_back, ready_python, set_apart, table
 from siltstone.operators.ordering import in_order
-from siltstone.sources.staging import stage
+from siltstone.sources.staging import TEXT_ROWS, stage
 
 SHARDS = 16
 BITS = 6
@@ -108,9 +108,10 @@ def with_size(docs: DataFrame) -> DataFrame:
     return docs.drop(*ADDED).withColumns(added)
 
 
-def cut_runs(placed: DataFrame, count: int) -> DataFrame:
-    """Rows with a curve index, cut into runs that differ by one row at most (law "rows")."""
-    rows = in_order(placed, [F.col(c) for c in ("curve", "text_crc32", "doc_id")], "curve")
+def cut_runs(placed: DataFrame, count: int, most: int | None = None) -> DataFrame:
+    """Rows with a curve index, at most so many, cut into runs that differ by one row at most (law "rows")."""
+    order = [F.col(c) for c in ("curve", "text_crc32", "doc_id")]
+    rows = in_order(placed, order, "curve", most=most, each=TEXT_ROWS)
     rows = rows.withColumns({"law": F.lit("rows"), "shard": F.expr(f"rank * {count} div total").cast("int")})
     first = F.expr(f"(shard * total + {count - 1}) div {count}")
     rows = rows.withColumns({"slot": F.col("rank") - first, "grown_shard": F.lit(None).cast("int")})
@@ -126,8 +127,8 @@ def shards(
     """
     own, names = set_apart(docs, ["doc_id", "text", *dimensions])
     sized = with_size(own)
-    narrow = stage(sized.select(*dimensions), "dimensions").df
-    rows = cut_runs(sized.withColumn("curve", curve_column(narrow, dimensions, bits)), count)
+    narrow = stage(sized.select(*dimensions), "dimensions")
+    rows = cut_runs(sized.withColumn("curve", curve_column(narrow.df, dimensions, bits)), count, narrow.rows)
     return put_back(rows, names, *ADDED)
 
 

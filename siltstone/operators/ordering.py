@@ -5,22 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.sources.staging import stage
+from siltstone.sources.staging import NARROW_ROWS, stage
 
 # monotonically_increasing_id holds the partition above these bits, the row's place below.
 ROW_BITS = 33
 
 
-def in_order(df: DataFrame, order: list[Column], name: str, value: str | None = None) -> DataFrame:
+def in_order(
+    df: DataFrame,
+    order: list[Column],
+    name: str,
+    value: str | None = None,
+    most: int | None = None,
+    each: int = NARROW_ROWS,
+) -> DataFrame:
     """df with rank (0-based place in the order) and total (rows), written to the shared folder.
 
     With a value column (whole numbers, not null) also before, the sum of the values of all
     earlier rows, and whole, the sum of all. Spark sorts by range, so no key gathers in one
     task; a row's place is its place in its own partition plus the rows of the partitions
-    before it, and only one number or two for each partition are added up in one task.
+    before it, and only one number or two for each partition are added up in one task. A bound
+    of the rows, most, sets the number of files as in `stage`; sorted partitions stay as they are.
     """
     at = F.col("__at")
-    rows = stage(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), name).df
+    rows = stage(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()), name, most, each).df
     rows = rows.withColumns(
         {"__part": F.shiftright(at, ROW_BITS), "__row": at.bitwiseAND((1 << ROW_BITS) - 1)}
     )

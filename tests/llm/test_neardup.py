@@ -1,8 +1,10 @@
 import random
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from siltstone import session
 from siltstone.llm import neardup as N
 from siltstone.llm.common import table
 from siltstone.llm.words import word_hashes, words
@@ -219,3 +221,36 @@ def test_a_dense_group_of_texts_that_are_just_not_similar(spark):
     got = {r._id: r.class_id for r in N.classes(df).collect()}
     assert got == near_classes(docs)
     assert len(set(got.values())) > 301
+
+
+def test_tables_between_steps_have_few_files(spark):
+    """Files go by rows and cores, not by shuffle partitions; fails if every partition writes its own."""
+    rng = random.Random(10)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    docs = []
+    for i in range(300):
+        own = list(base)
+        for k in range(rng.randrange(1, 9)):
+            own[rng.randrange(200)] = f"x{i}y{k}"
+        docs.append((i, " ".join(own)))
+    given = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in given}
+    root = Path(session.scratch_path(spark, "x").removeprefix("file:")).parent.parent
+    old = set(root.glob("*"))
+    try:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+        kept = N.one_of_each(spark.createDataFrame(docs, "doc_id long, text string"))
+        tasks, ids = kept.rdd.getNumPartitions(), {r.doc_id for r in kept.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert ids == set(near_classes(docs).values())
+    files = {}
+    for folder in set(root.glob("*")) - old:
+        for table in folder.iterdir():
+            files.setdefault(table.name, []).append(len(list(table.glob("part-*"))))
+    cores = spark.sparkContext.defaultParallelism
+    bounded = ["nodes", "candidates", "kmers", "labels", "crowded", "rare", "sizes", "spokes", "more"]
+    assert all(max(files[name]) <= cores for name in bounded) and tasks <= cores
+    assert max(files["links"]) <= 2 * cores  # one written from both directions
