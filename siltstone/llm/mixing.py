@@ -170,7 +170,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     pieces = rows.where("size > 0").withColumn(
         "block", F.explode(F.expr(f"sequence(_start div {block}, (_start + size - 1) div {block})"))
     )
-    met = pieces.join(places.drop("_block"), ["_key", "block"])
+    # Spark takes the places for as few as the sources and would broadcast all of them, through the driver.
+    met = pieces.join(places.drop("_block").hint("merge"), ["_key", "block"])
     words = F.expr("greatest(0, least(_start + size, _to) - greatest(_start, _from))")
     taken = met.withColumn("_words", words).groupBy("_uid", "pass").agg(
         F.sum("_words").alias("taken"), F.min(F.when(F.col("_words") > 0, F.col("place"))).alias("place")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from siltstone.llm import mixing as M
 from siltstone.llm.common import table
 from siltstone.sources.staging import stage
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan
 from tests.llm.conftest import ODD_DOCS
 
 
@@ -133,6 +133,13 @@ def test_mix_keeps_columns_and_repeats_documents(spark, odd_dir):
     assert M.mix(odd).where("rank <> 7 OR size <> 7 OR text IS NULL").count() == 0
 
 
+def test_places_are_not_broadcast(spark):
+    """SLOTS rows and more, however few the sources are that they are made from."""
+    rows = spark.range(400).selectExpr("id AS doc_id", "repeat('some words ', 20) AS text", "concat('s', id % 3) AS source")
+    joins = [line for line in plan(M.mixed(rows)).splitlines() if "Join [_key" in line and "block#" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
+
+
 def test_nothing(spark, empty_dir):
     assert M.op4_source_schedule(spark, empty_dir).count() == 0
     assert M.mix(table(spark, empty_dir, "documents")).count() == 0
